@@ -288,6 +288,8 @@ def with_ctes(names: list[str], body: str) -> str:
 
     for n in names:
         visit(n)
+    if not order:
+        return body
     ctes = ",\n".join(f"{n} AS ({CTE[n]})" for n in order)
     return f"WITH {ctes}\n{body}"
 
@@ -404,3 +406,181 @@ SELECT GENDER, RACE, patient_status, patient_count, ROUND(avg_current_age, 1) AS
 sql("verify_quality", ["g4"], """
 SELECT total_records, unique_patients, quality_issues, clean_records, overall_completeness_pct, missing_birthdate,
   missing_gender, missing_income FROM g4""")
+
+
+def sround(x: str, n: int) -> str:
+    """Spark's ROUND of a double: half-up on the shortest decimal text of the value."""
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
+
+
+def hours(later: str, earlier: str) -> str:
+    return f"((CAST(floor(epoch({later})) AS BIGINT) - CAST(floor(epoch({earlier})) AS BIGINT)) / 3600.0)"
+
+
+# --- F: scalar functions ---------------------------------------------------
+sql("fn_parse_date", ["pat_raw"], f"""
+SELECT Id, source_file, BIRTHDATE, {date_parse('BIRTHDATE')} AS birth_date, {date_parse('DEATHDATE')} AS death_date FROM pat_raw""")
+sql("fn_to_date", ["obs_raw"], "SELECT PATIENT, CODE, source_file, obs_ts, CAST(obs_ts AS DATE) AS obs_date FROM obs_raw")
+sql("fn_try_int", ["pat_raw"], f"""
+SELECT Id, source_file, {int_guard('ZIP')} AS zip, {int_guard('FIPS')} AS fips, {int_guard('INCOME')} AS income FROM pat_raw""")
+sql("fn_try_double", ["pat_raw"], """
+SELECT Id, source_file, TRY_CAST(LAT AS DOUBLE) AS lat, TRY_CAST(LON AS DOUBLE) AS lon,
+  TRY_CAST(HEALTHCARE_EXPENSES AS DOUBLE) AS expenses, TRY_CAST(INCOME AS DOUBLE) AS income FROM pat_raw""")
+sql("fn_cast_guarded", ["obs_raw"], """
+SELECT PATIENT, obs_ts, CODE, source_file, VALUE, TYPE,
+  CASE WHEN TYPE = 'numeric' THEN TRY_CAST(VALUE AS DOUBLE) END AS numeric_value FROM obs_raw""")
+sql("fn_cast_bigint", ["pat"], """
+SELECT STATE, CAST(trunc(AVG(HEALTHCARE_EXPENSES)) AS BIGINT) AS avg_expenses_int,
+  CAST(trunc(AVG(INCOME)) AS BIGINT) AS avg_income_int FROM pat GROUP BY STATE""")
+sql("fn_age_years", ["pat"], f"""
+SELECT Id, BIRTHDATE, DEATHDATE, {age('BIRTHDATE', AS_OF_DATE)} AS age, {age('BIRTHDATE', 'DEATHDATE')} AS age_at_death FROM pat""")
+sql("fn_datediff_days", ["obs_raw"], """
+SELECT PATIENT, obs_ts, CODE, source_file,
+  CAST(datediff('day', CAST(obs_ts AS DATE), CAST(ingestion_timestamp AS DATE)) AS INTEGER) AS days_to_ingest FROM obs_raw""")
+sql("fn_hours_between", ["obs_raw"], f"""
+SELECT PATIENT, obs_ts, CODE, source_file, {sround(hours('ingestion_timestamp', 'obs_ts'), 2)} AS hours_to_ingest FROM obs_raw""")
+sql("fn_hours_whole", ["obs_raw"], """
+SELECT PATIENT, obs_ts, CODE, source_file, date_sub('hour', obs_ts, ingestion_timestamp) AS whole_hours FROM obs_raw""")
+sql("fn_year", ["pat"], "SELECT Id, BIRTHDATE, CAST(year(BIRTHDATE) AS INTEGER) AS birth_year FROM pat")
+sql("fn_now", ["pat_raw"], f"SELECT Id, source_file, {AS_OF_TS} AS processing_timestamp, {AS_OF_DATE} AS processing_date FROM pat_raw")
+sql("fn_upper_lower", ["org_raw"], "SELECT Id, upper(STATE) AS state, lower(NAME) AS name_lower FROM org_raw")
+sql("fn_digits_only", ["org_raw"], "SELECT Id, PHONE, regexp_replace(PHONE, '[^0-9]', '', 'g') AS phone_digits FROM org_raw")
+sql("fn_concat_ws", ["pat_raw"], "SELECT Id, source_file, concat_ws(' ', PREFIX, FIRST, MIDDLE, LAST) AS full_name FROM pat_raw")
+sql("fn_contains", ["obs_raw"], """
+SELECT PATIENT, obs_ts, CODE, source_file, CATEGORY, contains(CATEGORY, 'vital') AS is_vital, contains(CATEGORY, 'lab') AS is_lab
+FROM obs_raw""")
+sql("fn_trim_length", ["org_raw"], "SELECT Id, NAME, (NAME IS NOT NULL AND length(trim(NAME)) > 0) AS name_present FROM org_raw")
+sql("fn_round", ["obs"], f"""
+SELECT patient_id, observation_date, observation_code, {sround('observation_value', 1)} AS value_r1,
+  {sround('observation_value / 3', 2)} AS third_r2 FROM obs""")
+sql("fn_floor", ["pat"], """
+SELECT Id, CAST(floor(LAT / 7) AS BIGINT) AS lat_band, CAST(floor(HEALTHCARE_EXPENSES) AS BIGINT) AS expenses_floor FROM pat""")
+sql("fn_null_tests", ["pat"], """
+SELECT Id, BIRTHDATE IS NULL AS birthdate_missing, GENDER IS NOT NULL AS gender_present, INCOME IS NULL AS income_missing FROM pat""")
+sql("fn_boolean_logic", ["obs"], """
+SELECT patient_id, observation_date, observation_code,
+  ((observation_value > 100 AND category = 'vital-signs') OR observation_type = 'text') AS flagged,
+  (NOT (observation_value < 50)) AS not_low FROM obs""")
+sql("fn_between_dates", ["pat"], f"""
+SELECT Id, BIRTHDATE, (BIRTHDATE >= DATE '1900-01-01' AND BIRTHDATE <= {AS_OF_DATE}) AS birth_in_range FROM pat""")
+sql("fn_flag", ["org_raw"], """
+SELECT Id, UTILIZATION, CASE WHEN UTILIZATION > 100 THEN 1 ELSE 0 END AS high_util_int,
+  COALESCE(UTILIZATION > 100, false) AS high_util_bool FROM org_raw""")
+
+# --- P: projections and filters -------------------------------------------
+sql("project_rename", ["org_raw"], """
+SELECT Id AS organization_id, NAME AS organization_name, CITY AS city, REVENUE AS revenue FROM org_raw""")
+sql("derive_column", ["obs_raw"], "SELECT * EXCLUDE (_rescued_data) REPLACE (lower(CATEGORY) AS CATEGORY) FROM obs_raw")
+sql("derive_columns", ["obs_raw"], """
+SELECT PATIENT, obs_ts, CODE, source_file, VALUE,
+  CASE WHEN PATIENT IS NULL THEN 1 ELSE 0 END AS missing_patient,
+  CASE WHEN TRY_CAST(VALUE AS DOUBLE) IS NULL THEN 1 ELSE 0 END AS missing_value,
+  CASE WHEN CODE IS NULL THEN 1 ELSE 0 END AS missing_code FROM obs_raw""")
+sql("drop_column", ["pat_raw"], "SELECT * EXCLUDE (_rescued_data, SUFFIX, MAIDEN, DRIVERS, PASSPORT) FROM pat_raw")
+sql("filter_rows", ["obs"], "SELECT * FROM obs WHERE category = 'vital-signs' AND observation_value IS NOT NULL")
+sql("filter_in_set", ["pat_raw"], "SELECT Id, source_file, GENDER FROM pat_raw WHERE GENDER IN ('M', 'F')")
+sql("filter_threshold", ["p360"], "SELECT * FROM p360 WHERE total_observations > 20")
+sql("case_banding", ["pat"], f"""
+SELECT Id, age, CASE WHEN age < 18 THEN '0-17' WHEN age < 35 THEN '18-34' WHEN age < 50 THEN '35-49'
+  WHEN age < 65 THEN '50-64' ELSE '65+' END AS age_group
+FROM (SELECT Id, {age('BIRTHDATE', AS_OF_DATE)} AS age FROM pat) t""")
+sql("scalar_subquery", ["pat_raw", "pat_pipeline"], """
+SELECT (SELECT COUNT(*) FROM pat_raw) AS bronze_count, (SELECT COUNT(*) FROM pat_pipeline) AS silver_count,
+  (SELECT COUNT(*) FROM pat_raw) - (SELECT COUNT(*) FROM pat_pipeline) AS duplicates_removed""")
+sql("constant_column", ["pat"], "SELECT 'silver' AS layer, 'patients' AS entity, Id FROM pat")
+
+# --- A: aggregations -------------------------------------------------------
+sql("agg_global", [], """
+SELECT COUNT(*) AS row_count, SUM(l_quantity) AS sum_qty, AVG(l_extendedprice) AS avg_price,
+  MIN(l_shipdate) AS first_ship, MAX(l_shipdate) AS last_ship FROM lineitem""")
+sql("agg_grouped", [], """
+SELECT l_returnflag, l_linestatus, SUM(l_quantity) AS sum_qty, SUM(l_extendedprice) AS sum_base_price,
+  SUM(l_extendedprice * (1 - l_discount)) AS sum_disc_price, AVG(l_quantity) AS avg_qty, AVG(l_discount) AS avg_disc,
+  COUNT(*) AS count_order FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+sql("agg_count", ["obs"], """
+SELECT COUNT(*) AS rows, COUNT(observation_value) AS values_present, COUNT(patient_id) AS patients_present FROM obs""")
+sql("agg_count_distinct", ["obs"], """
+SELECT observation_code, COUNT(DISTINCT patient_id) AS unique_patients, COUNT(DISTINCT encounter_id) AS unique_encounters
+FROM obs GROUP BY observation_code""")
+sql("agg_min_max", [], """
+SELECT o_orderpriority, MIN(o_totalprice) AS min_price, MAX(o_totalprice) AS max_price, MIN(o_orderdate) AS first_order,
+  MAX(o_orderdate) AS last_order FROM orders GROUP BY o_orderpriority""")
+sql("agg_avg_sum", [], """
+SELECT o_orderstatus, AVG(o_totalprice) AS avg_price, SUM(o_totalprice) AS total_price FROM orders GROUP BY o_orderstatus""")
+sql("agg_stddev", [], """
+SELECT l_returnflag, STDDEV_SAMP(l_quantity) AS stddev_qty, STDDEV_SAMP(l_discount) AS stddev_disc FROM lineitem GROUP BY l_returnflag""")
+sql("agg_conditional_sum", ["obs"], """
+SELECT category, CAST(SUM(CASE WHEN observation_type = 'numeric' THEN 1 ELSE 0 END) AS BIGINT) AS numeric_rows,
+  COUNT(*) FILTER (WHERE observation_type = 'text') AS text_rows,
+  COUNT(*) FILTER (WHERE has_quality_issue = 1) AS issue_rows FROM obs GROUP BY category""")
+sql("agg_percentile", [], """
+SELECT l_linestatus, quantile_disc(l_extendedprice, 0.25) AS p25, quantile_disc(l_extendedprice, 0.5) AS median,
+  quantile_disc(l_extendedprice, 0.75) AS p75 FROM lineitem GROUP BY l_linestatus""")
+sql("agg_first", ["obs"], "SELECT observation_code, MIN(units) AS units FROM obs GROUP BY observation_code")
+sql("agg_span_days", ["obs"], """
+SELECT patient_id, CAST(datediff('day', CAST(MIN(observation_date) AS DATE), CAST(MAX(observation_date) AS DATE)) AS INTEGER) AS span_days
+FROM obs GROUP BY patient_id""")
+sql("agg_ratio_post", ["pat"], f"""
+SELECT STATE, {sround('AVG(HEALTHCARE_EXPENSES) / NULLIF(AVG(INCOME), 0)', 4)} AS expense_to_income,
+  {sround('CAST(COUNT(*) FILTER (WHERE data_quality_flag = 0) AS DOUBLE) / NULLIF(COUNT(*), 0) * 100.0', 2)} AS clean_pct
+FROM pat GROUP BY STATE""")
+sql("agg_value_counts", ["obs"], "SELECT observation_type, COUNT(*) AS count FROM obs GROUP BY observation_type ORDER BY count DESC")
+sql("agg_having", ["pat_raw"], "SELECT Id, COUNT(*) AS duplicate_count FROM pat_raw GROUP BY Id HAVING COUNT(*) > 1")
+sql("agg_reaggregate", ["g1"], """
+SELECT GENDER, STATE, CAST(SUM(patient_count) AS BIGINT) AS total_patients, AVG(avg_income) AS avg_of_avg_income
+FROM g1 GROUP BY GENDER, STATE""")
+sql("agg_distinct_rows", ["obs_raw"], """
+SELECT (SELECT COUNT(*) FROM (SELECT DISTINCT CATEGORY FROM obs_raw)) AS distinct_categories,
+  (SELECT COUNT(*) FROM (SELECT DISTINCT PATIENT FROM obs_raw)) AS distinct_patients""")
+
+# --- J: joins --------------------------------------------------------------
+sql("join_inner", ["obs", "pat"], """
+SELECT o.patient_id, o.observation_date, o.observation_code, o.observation_value, p.GENDER, p.STATE
+FROM obs o JOIN pat p ON o.patient_id = p.Id""")
+sql("join_left_agg", ["obs", "pat"], """
+SELECT a.patient_id, a.n_obs, p.GENDER, p.STATE
+FROM (SELECT patient_id, COUNT(*) AS n_obs FROM obs GROUP BY patient_id) a LEFT JOIN pat p ON a.patient_id = p.Id""")
+sql("join_semi_in", ["pat_raw"], """
+SELECT Id, source_file, MARITAL FROM pat_raw WHERE Id IN (SELECT Id FROM pat_raw GROUP BY Id HAVING COUNT(*) > 1)""")
+
+# --- W: windows ------------------------------------------------------------
+sql("dedup_latest", ["pat_raw"], """
+SELECT Id, source_file, MARITAL, ingestion_timestamp FROM pat_raw
+QUALIFY row_number() OVER (PARTITION BY Id ORDER BY ingestion_timestamp DESC NULLS LAST, source_file DESC NULLS LAST) = 1""")
+sql("dedup_composite", [], """
+SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+  l_returnflag, l_linestatus FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
+  l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST,
+  l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) = 1""")
+sql("duplicate_rank", ["pat_raw"], """
+SELECT Id, FIRST, LAST, BIRTHDATE, source_file, ingestion_timestamp,
+  row_number() OVER (PARTITION BY Id ORDER BY ingestion_timestamp DESC NULLS LAST, source_file DESC NULLS LAST) AS dup_rank
+FROM pat_raw WHERE Id IN (SELECT Id FROM pat_raw GROUP BY Id HAVING COUNT(*) > 1)""")
+sql("dedup_stats", ["pat_raw", "pat"], f"""
+SELECT b AS total_records, a AS unique_records, b - a AS duplicates_removed,
+  {sround('CAST(b - a AS DOUBLE) / NULLIF(b, 0) * 100.0', 2)} AS duplicate_pct
+FROM (SELECT (SELECT COUNT(*) FROM pat_raw) AS b, (SELECT COUNT(*) FROM pat) AS a) t""")
+
+# --- L: sort and limit -----------------------------------------------------
+sql("sort_desc", ["obs"], "SELECT observation_code, COUNT(*) AS n FROM obs GROUP BY observation_code ORDER BY n DESC, observation_code")
+sql("top_k", ["p360"], "SELECT * FROM p360 ORDER BY total_observations DESC, patient_id LIMIT 10")
+sql("limit_sample", ["pat"], "SELECT Id, FIRST, LAST, BIRTHDATE, INCOME FROM pat ORDER BY Id LIMIT 5")
+
+# --- U: set operations -----------------------------------------------------
+sql("union_all_metrics", ["pat_pipeline", "org_silver", "obs_pipeline"], """
+SELECT 'Patients' AS entity, COUNT(*) AS record_count, COUNT(DISTINCT patient_id) AS unique_keys,
+  MAX(silver_timestamp) AS latest_refresh FROM pat_pipeline
+UNION ALL SELECT 'Organizations', COUNT(*), COUNT(DISTINCT organization_id), MAX(silver_timestamp) FROM org_silver
+UNION ALL SELECT 'Observations', COUNT(*), COUNT(DISTINCT patient_id), MAX(silver_timestamp) FROM obs_pipeline""")
+sql("distinct_values", ["obs_raw"], "SELECT DISTINCT CATEGORY FROM obs_raw")
+sql("schema_diff", [], """
+SELECT * FROM (VALUES
+  ('observation_date', NULL, 'timestamp_ntz', 'OK'), ('patient_id', NULL, 'string', 'OK'),
+  ('encounter_id', NULL, 'string', 'OK'), ('observation_code', NULL, 'string', 'OK'),
+  ('observation_description', NULL, 'string', 'OK'), ('observation_value', 'double', 'double', 'OK'),
+  ('observation_type', NULL, 'string', 'OK'), ('category', NULL, 'string', 'OK'),
+  ('missing_date', 'bigint', 'int', 'TYPE_CHANGED'), ('missing_patient', NULL, 'int', 'OK'),
+  ('missing_value', NULL, 'int', 'OK'), ('missing_code', NULL, 'int', 'OK'), ('has_quality_issue', NULL, 'int', 'OK'),
+  ('source_file', 'string', NULL, 'MISSING'), ('units', NULL, 'string', 'EXTRA')
+) t(column_name, expected_type, actual_type, status)""")
