@@ -584,3 +584,198 @@ SELECT * FROM (VALUES
   ('missing_value', NULL, 'int', 'OK'), ('missing_code', NULL, 'int', 'OK'), ('has_quality_issue', NULL, 'int', 'OK'),
   ('source_file', 'string', NULL, 'MISSING'), ('units', NULL, 'string', 'EXTRA')
 ) t(column_name, expected_type, actual_type, status)""")
+
+
+# --- E: expectations -------------------------------------------------------
+# DuckDB forms of the rule catalogue at the fixed clock (tier, name, predicate).
+DUCK_RULES: dict[str, list[tuple[str, str, str]]] = {
+    "bronze_patients": [
+        ("fail", "valid_patient_id", "Id IS NOT NULL"),
+        ("drop", "valid_birthdate", "BIRTHDATE IS NOT NULL"),
+        ("drop", "valid_gender", "GENDER IN ('M', 'F')"),
+        ("warn", "birthdate_in_past", f"TRY_CAST(BIRTHDATE AS DATE) <= {AS_OF_DATE}"),
+        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
+    ],
+    "bronze_organizations": [
+        ("fail", "valid_org_id", "Id IS NOT NULL"),
+        ("drop", "valid_org_name", "NAME IS NOT NULL AND LENGTH(TRIM(NAME)) > 0"),
+        ("warn", "non_negative_revenue", "REVENUE IS NULL OR REVENUE >= 0"),
+        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
+    ],
+    "bronze_observations": [
+        ("fail", "valid_patient_ref", "PATIENT IS NOT NULL"),
+        ("drop", "valid_observation_date", '"DATE" IS NOT NULL'),
+        ("drop", "valid_observation_code", "CODE IS NOT NULL"),
+        ("warn", "has_observation_value", "VALUE IS NOT NULL"),
+        ("warn", "observation_in_past", f'"DATE" <= {AS_OF_TS}'),
+        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
+    ],
+    "silver_patients": [
+        ("fail", "valid_patient_id", "patient_id IS NOT NULL"),
+        ("drop", "valid_birthdate_range", f"birth_date >= DATE '1900-01-01' AND birth_date <= {AS_OF_DATE}"),
+        ("warn", "has_name", "first_name IS NOT NULL AND last_name IS NOT NULL"),
+        ("warn", "valid_gender", "gender IN ('M', 'F')"),
+        ("warn", "valid_state", "state IS NOT NULL"),
+    ],
+}
+
+CTE["obs_bronze"] = 'SELECT * EXCLUDE (obs_ts), obs_ts AS "DATE" FROM obs_raw'
+DEPS["obs_bronze"] = ["obs_raw"]
+
+
+def metrics_sql(src: str, table: str, tiers: tuple[str, ...] = ("fail", "drop", "warn")) -> str:
+    parts = []
+    for tier, name, pred in DUCK_RULES[table]:
+        if tier not in tiers:
+            continue
+        bad = f"COUNT(*) FILTER (WHERE ({pred}) IS NOT TRUE)"
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{tier}' AS tier, '{name}' AS rule, COUNT(*) AS total_records, "
+            f"COUNT(*) - {bad} AS passed_records, {bad} AS failed_records, "
+            f"{sround(f'CAST({bad} AS DOUBLE) / NULLIF(COUNT(*), 0)', 4)} AS failure_rate FROM {src}"
+        )
+    return "\nUNION ALL ".join(parts)
+
+
+def passes(table: str, tiers: tuple[str, ...]) -> str:
+    return " AND ".join(f"COALESCE(({p}), false)" for t, _, p in DUCK_RULES[table] if t in tiers)
+
+
+CTE["bmetrics"] = "\nUNION ALL ".join([
+    metrics_sql("pat_raw", "bronze_patients"),
+    metrics_sql("org_raw", "bronze_organizations"),
+    metrics_sql("obs_bronze", "bronze_observations"),
+])
+DEPS["bmetrics"] = ["pat_raw", "org_raw", "obs_bronze"]
+
+sql("expect_or_fail", ["pat_raw"], "SELECT Id, source_file, GENDER FROM pat_raw WHERE Id IS NOT NULL")
+sql("expect_or_drop", ["pat_raw"], f"""
+SELECT Id, source_file, BIRTHDATE, GENDER FROM pat_raw WHERE {passes('bronze_patients', ('fail', 'drop'))}""")
+sql("expect_monitor", ["pat_raw"], metrics_sql("pat_raw", "bronze_patients", ("warn",)))
+sql("expect_all", ["pat_pipeline"], metrics_sql("pat_pipeline", "silver_patients", ("warn",)))
+sql("expectation_metrics", ["bmetrics"], "SELECT * FROM bmetrics")
+sql("expectation_breach", ["bmetrics"], "SELECT * FROM bmetrics WHERE failure_rate > 0.05")
+sql("quarantine_rows", ["pat_raw"], """
+SELECT Id, source_file, concat_ws(',', CASE WHEN (BIRTHDATE IS NOT NULL) IS NOT TRUE THEN 'valid_birthdate' END,
+  CASE WHEN (GENDER IN ('M', 'F')) IS NOT TRUE THEN 'valid_gender' END) AS violated_rules
+FROM pat_raw WHERE (BIRTHDATE IS NOT NULL) IS NOT TRUE OR (GENDER IN ('M', 'F')) IS NOT TRUE""")
+
+# --- M: monitoring ---------------------------------------------------------
+
+
+def drift_sql(src: str, name: str) -> str:
+    k = "COUNT(*) FILTER (WHERE _rescued_data IS NOT NULL)"
+    return (f"SELECT '{name}' AS table_name, COUNT(*) AS total_records, {k} AS records_with_schema_drift, "
+            f"{sround(f'CAST({k} AS DOUBLE) / NULLIF(COUNT(*), 0) * 100.0', 2)} AS schema_drift_pct, "
+            f"MAX(ingestion_timestamp) AS latest_ingestion, "
+            f"CASE WHEN {k} = 0 THEN 'NO DRIFT' ELSE 'DRIFT DETECTED' END AS drift_status FROM {src}")
+
+
+def fresh_sql(src: str, name: str) -> str:
+    h = hours(AS_OF_TS, "MAX(ingestion_timestamp)")
+    return (f"SELECT '{name}' AS table_name, MAX(ingestion_timestamp) AS latest_ingestion, {sround(h, 2)} AS hours_since_ingestion, "
+            f"CASE WHEN MAX(ingestion_timestamp) IS NULL THEN 'EMPTY' WHEN {h} <= 6 THEN 'FRESH' WHEN {h} <= 24 THEN 'STALE' "
+            f"ELSE 'CRITICAL' END AS freshness_status FROM {src}")
+
+
+CTE["drifts"] = "\nUNION ALL ".join([drift_sql("pat_raw", "Patients"), drift_sql("org_raw", "Organizations"),
+                                     drift_sql("obs_raw", "Observations")])
+DEPS["drifts"] = ["pat_raw", "org_raw", "obs_raw"]
+CTE["fresh"] = "\nUNION ALL ".join([fresh_sql("pat_raw", "Patients"), fresh_sql("org_raw", "Organizations"),
+                                    fresh_sql("obs_raw", "Observations")])
+DEPS["fresh"] = ["pat_raw", "org_raw", "obs_raw"]
+_rh = hours(RUNS_AS_OF_TS, "MAX(end_time)")
+CTE["rec"] = f"""
+SELECT pipeline_id, MAX(end_time) AS last_successful_update, {sround(_rh, 2)} AS hours_since_last_update,
+  CASE WHEN {_rh} <= 24 THEN 'ON SCHEDULE' WHEN {_rh} <= 48 THEN 'DELAYED' ELSE 'CRITICAL' END AS update_status
+FROM runs WHERE state = 'COMPLETED' GROUP BY pipeline_id"""
+DEPS["rec"] = ["runs"]
+_rate = sround("CAST(COUNT(*) FILTER (WHERE state = 'COMPLETED') AS DOUBLE) / NULLIF(COUNT(*), 0) * 100.0", 2)
+CTE["succ"] = f"""
+SELECT pipeline_id, COUNT(*) AS total_runs, COUNT(*) FILTER (WHERE state = 'COMPLETED') AS completed_runs,
+  COUNT(*) FILTER (WHERE state = 'FAILED') AS failed_runs, {_rate} AS success_rate_pct,
+  CASE WHEN {_rate} < 90.0 THEN 'WARNING' ELSE 'OK' END AS status
+FROM runs WHERE start_time > {RUNS_AS_OF_TS} - INTERVAL 30 DAY AND start_time <= {RUNS_AS_OF_TS}
+GROUP BY pipeline_id"""
+DEPS["succ"] = ["runs"]
+
+sql("schema_drift", ["drifts"], "SELECT * FROM drifts")
+sql("dedup_effectiveness", ["pat_raw", "pat_pipeline"], f"""
+SELECT 'Patients' AS entity, b AS bronze_records, s AS silver_records, b - s AS records_deduplicated,
+  {sround('CAST(b - s AS DOUBLE) / NULLIF(b, 0) * 100.0', 2)} AS deduplication_pct,
+  CASE WHEN b - s > 0 THEN 'DEDUPLICATED' ELSE 'NO DEDUPLICATION' END AS status
+FROM (SELECT (SELECT COUNT(*) FROM pat_raw) AS b, (SELECT COUNT(*) FROM pat_pipeline) AS s) t""")
+sql("layer_counts", ["pat_pipeline", "org_silver", "obs_pipeline"], """
+SELECT 'Patients' AS entity, COUNT(*) AS record_count, COUNT(DISTINCT patient_id) AS unique_keys,
+  MAX(silver_timestamp) AS latest_refresh FROM pat_pipeline
+UNION ALL SELECT 'Organizations', COUNT(*), COUNT(DISTINCT organization_id), MAX(silver_timestamp) FROM org_silver
+UNION ALL SELECT 'Observations', COUNT(*), COUNT(DISTINCT patient_id), MAX(silver_timestamp) FROM obs_pipeline
+ORDER BY entity""")
+sql("freshness", ["fresh"], "SELECT * FROM fresh ORDER BY table_name")
+sql("update_recency", ["rec"], "SELECT * FROM rec")
+_fh = hours(AS_OF_TS, "latest_ingestion")
+_uh = hours(RUNS_AS_OF_TS, "last_successful_update")
+sql("alerts", ["fresh", "drifts", "bmetrics", "rec", "succ"], f"""
+SELECT 'WARNING' AS severity,
+  CASE WHEN latest_ingestion IS NULL THEN 'Data freshness alert: ' || table_name || ' is empty'
+       ELSE 'Data freshness alert: ' || table_name || ' is ' || printf('%.1f', {sround(_fh, 1)}) || ' hours old (Threshold: 6h)' END AS alert,
+  'Check source data availability and the ingestion stream' AS action
+FROM fresh WHERE latest_ingestion IS NULL OR {_fh} > 6
+UNION ALL
+SELECT 'WARNING', 'Schema drift detected: ' || table_name || ' has ' || CAST(records_with_schema_drift AS VARCHAR) || ' records in _rescued_data',
+  'Review schema changes and update pipeline schema if needed' FROM drifts WHERE records_with_schema_drift > 0
+UNION ALL
+SELECT 'CRITICAL', 'Expectation failure rate: ' || table_name || '.' || rule || ' at ' || printf('%.1f', {sround('failure_rate * 100', 1)}) || '% (Threshold: 5%)',
+  'Inspect rejected rows and fix the source data or the rule' FROM bmetrics WHERE failure_rate > 0.05
+UNION ALL
+SELECT 'CRITICAL', 'No successful update of ' || pipeline_id || ' for ' || printf('%.1f', {sround(_uh, 1)}) || ' hours (Threshold: 24h)',
+  'Check the pipeline schedule and the last failed run' FROM rec WHERE {_uh} > 24
+UNION ALL
+SELECT 'WARNING', 'Pipeline ' || pipeline_id || ' success rate ' || printf('%.1f', {sround('success_rate_pct', 1)}) || '% (Threshold: 90%)',
+  'Review failed runs and their error messages' FROM succ WHERE success_rate_pct < 90.0""")
+sql("run_success_rate", ["succ"], "SELECT pipeline_id, total_runs, completed_runs, failed_runs, success_rate_pct, status FROM succ")
+sql("run_duration_trend", ["runs"], f"""
+SELECT CAST(start_time AS DATE) AS run_date, COUNT(*) AS runs,
+  {sround('AVG((epoch(end_time) - epoch(start_time)) / 60.0)', 2)} AS avg_duration_min,
+  MIN((epoch(end_time) - epoch(start_time)) / 60.0) AS min_duration_min,
+  MAX((epoch(end_time) - epoch(start_time)) / 60.0) AS max_duration_min
+FROM runs GROUP BY CAST(start_time AS DATE)""")
+sql("layer_reconciliation", ["pat_raw", "org_raw"], f"""
+SELECT 'Patients' AS entity, b AS bronze_records, r AS rejected_records, b - r - s AS deduplicated_records, s AS silver_records
+FROM (SELECT (SELECT COUNT(*) FROM pat_raw) AS b,
+             (SELECT COUNT(*) FROM pat_raw WHERE NOT ({passes('bronze_patients', ('drop',))})) AS r,
+             (SELECT COUNT(DISTINCT Id) FROM pat_raw WHERE {passes('bronze_patients', ('drop',))}) AS s) t
+UNION ALL
+SELECT 'Organizations', b, r, b - r - s, s
+FROM (SELECT (SELECT COUNT(*) FROM org_raw) AS b,
+             (SELECT COUNT(*) FROM org_raw WHERE NOT ({passes('bronze_organizations', ('drop',))})) AS r,
+             (SELECT COUNT(*) FROM org_raw WHERE {passes('bronze_organizations', ('drop',))}) AS s) t""")
+
+# --- R / B7 / B8 -----------------------------------------------------------
+sql("null_key_check", ["obs_bronze"], """
+SELECT column_name, null_count, CASE WHEN null_count > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM (
+  SELECT 'PATIENT' AS column_name, COUNT(*) FILTER (WHERE PATIENT IS NULL) AS null_count FROM obs_bronze
+  UNION ALL SELECT 'DATE', COUNT(*) FILTER (WHERE "DATE" IS NULL) FROM obs_bronze
+  UNION ALL SELECT 'CODE', COUNT(*) FILTER (WHERE CODE IS NULL) FROM obs_bronze
+  UNION ALL SELECT 'ENCOUNTER', COUNT(*) FILTER (WHERE ENCOUNTER IS NULL) FROM obs_bronze) t""")
+sql("orphan_rows", ["obs", "pat"], """
+SELECT patient_id, observation_date, observation_code, observation_value FROM obs
+WHERE patient_id IS NOT NULL AND patient_id NOT IN (SELECT Id FROM pat WHERE Id IS NOT NULL)""")
+sql("remaining_duplicates", ["pat"], "SELECT Id, COUNT(*) AS dup_count FROM pat GROUP BY Id HAVING COUNT(*) > 1")
+sql("ingest_verification", ["pat_raw"], """
+SELECT COUNT(*) AS total_records, COUNT(DISTINCT Id) AS unique_keys, MIN(ingestion_timestamp) AS first_ingestion,
+  MAX(ingestion_timestamp) AS last_ingestion, COUNT(DISTINCT source_file) AS source_files,
+  true AS has_source_file, true AS has_ingestion_timestamp FROM pat_raw""")
+_np = []
+for _c in ["BIRTHDATE", "DEATHDATE", "SSN", "GENDER", "INCOME", "_rescued_data"]:
+    _k = f"COUNT(*) FILTER (WHERE {_c} IS NULL)"
+    _np.append(f"SELECT '{_c}' AS column_name, COUNT(*) AS total_rows, {_k} AS null_count, "
+               f"{sround(f'CAST({_k} AS DOUBLE) / NULLIF(COUNT(*), 0) * 100.0', 2)} AS null_pct FROM pat_raw")
+sql("null_profile", ["pat_raw"], "\nUNION ALL ".join(_np))
+sql("monitored_tables", ["pat_raw", "org_raw", "obs_raw", "pat_pipeline", "org_silver", "obs_pipeline"], """
+SELECT 'bronze_patients' AS table_name, 'BRONZE' AS layer, COUNT(*) AS row_count, 31 AS column_count FROM pat_raw
+UNION ALL SELECT 'bronze_organizations', 'BRONZE', COUNT(*), 14 FROM org_raw
+UNION ALL SELECT 'bronze_observations', 'BRONZE', COUNT(*), 12 FROM obs_raw
+UNION ALL SELECT 'silver_patients', 'SILVER', COUNT(*), 21 FROM pat_pipeline
+UNION ALL SELECT 'silver_organizations', 'SILVER', COUNT(*), 13 FROM org_silver
+UNION ALL SELECT 'silver_observations', 'SILVER', COUNT(*), 13 FROM obs_pipeline""")
