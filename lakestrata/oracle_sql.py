@@ -779,3 +779,118 @@ UNION ALL SELECT 'bronze_observations', 'BRONZE', COUNT(*), 12 FROM obs_raw
 UNION ALL SELECT 'silver_patients', 'SILVER', COUNT(*), 21 FROM pat_pipeline
 UNION ALL SELECT 'silver_organizations', 'SILVER', COUNT(*), 13 FROM org_silver
 UNION ALL SELECT 'silver_observations', 'SILVER', COUNT(*), 13 FROM obs_pipeline""")
+
+
+# --- S / K / B / ST: file and table round trips -----------------------------
+CTE["org_inferred"] = """
+SELECT CAST(Id AS INTEGER) AS Id, NAME, ADDRESS, CITY, STATE, CAST(ZIP AS INTEGER) AS ZIP, LAT, LON, PHONE, REVENUE,
+  UTILIZATION FROM org_raw"""
+DEPS["org_inferred"] = ["org_raw"]
+CTE["pat_strings"] = """
+SELECT * EXCLUDE (_rescued_data, source_file, ingestion_timestamp) REPLACE (NULLIF(BIRTHDATE, '') AS BIRTHDATE),
+  replace(source_file, '.csv', '') AS source_dir FROM pat_raw"""
+DEPS["pat_strings"] = ["pat_raw"]
+OBS_COLS = "obs_ts, PATIENT, ENCOUNTER, CATEGORY, CODE, DESCRIPTION, VALUE, UNITS, TYPE"
+ORG_COLS = "Id, NAME, ADDRESS, CITY, STATE, ZIP, LAT, LON, PHONE, REVENUE, UTILIZATION"
+
+
+def rescued_json(parts: list[tuple[str, str, str]]) -> str:
+    """JSON object of rescued values; parts are (key, raw, typed) in key order."""
+    items = [f"CASE WHEN {raw} IS NOT NULL AND {typed} IS NULL THEN '\"{k}\":' || CAST(to_json({raw}) AS VARCHAR) END"
+             for k, raw, typed in sorted(parts)]
+    body = f"concat_ws(',', {', '.join(items)})"
+    return f"CASE WHEN {body} = '' THEN NULL ELSE '{{' || {body} || '}}' END"
+
+
+_bd = "NULLIF(BIRTHDATE, '')"
+_PAT_TYPED = {
+    "BIRTHDATE": (_bd, f"TRY_CAST({_bd} AS DATE)"),
+    "DEATHDATE": ("DEATHDATE", "TRY_CAST(DEATHDATE AS DATE)"),
+    "LAT": ("LAT", "TRY_CAST(LAT AS DOUBLE)"),
+    "LON": ("LON", "TRY_CAST(LON AS DOUBLE)"),
+    "INCOME": ("INCOME", int_guard("INCOME")),
+    "HEALTHCARE_EXPENSES": ("HEALTHCARE_EXPENSES", "TRY_CAST(HEALTHCARE_EXPENSES AS DOUBLE)"),
+    "HEALTHCARE_COVERAGE": ("HEALTHCARE_COVERAGE", "TRY_CAST(HEALTHCARE_COVERAGE AS DOUBLE)"),
+}
+_pat_parts = [(k, raw, typed) for k, (raw, typed) in _PAT_TYPED.items()]
+
+sql("scan_csv_batch", ["org_inferred"], "SELECT * FROM org_inferred")
+sql("scan_csv_incremental", ["org_inferred"], "SELECT * FROM org_inferred")
+sql("scan_csv_strings", ["pat_strings"], "SELECT * EXCLUDE (source_dir) FROM pat_strings")
+sql("lineage_file", ["pat_raw"], "SELECT Id, replace(source_file, '.csv', '') AS source_dir FROM pat_raw")
+sql("lineage_time", ["pat_raw"], f"SELECT Id, MARITAL, {AS_OF_TS} AS ingestion_timestamp FROM pat_raw")
+_drift_parts = _pat_parts + [("EXTRA", "CASE WHEN source_file = 'patients2.csv' THEN 'x' END", "NULL")]
+sql("rescue_data", ["pat_raw"], f"""
+SELECT Id, replace(source_file, '.csv', '') AS source_dir, {_PAT_TYPED['BIRTHDATE'][1]} AS BIRTHDATE,
+  {_PAT_TYPED['INCOME'][1]} AS INCOME, {_PAT_TYPED['LAT'][1]} AS LAT, ZIP, {rescued_json(_drift_parts)} AS _rescued_data
+FROM pat_raw""")
+sql("scan_table", ["obs"], "SELECT * FROM obs")
+sql("scan_table_stream", ["org_silver"], "SELECT * FROM org_silver")
+sql("sink_overwrite", ["obs"], "SELECT * FROM obs WHERE observation_value IS NOT NULL")
+sql("sink_append_stream", ["obs_raw"], f"SELECT {OBS_COLS} FROM obs_raw")
+sql("streaming_table", ["org_raw"], f"""
+SELECT {ORG_COLS} FROM org_raw WHERE {passes('bronze_organizations', ('drop',))}""")
+sql("materialized_table", ["pat_pipeline"], f"""
+SELECT * FROM pat_pipeline WHERE {passes('silver_patients', ('drop',))}""")
+sql("guarded_write", ["pat"], """
+SELECT true AS table_existed, n AS current_rows, n AS new_rows, CAST(0 AS BIGINT) AS row_delta, false AS schema_changed,
+  true AS written, n AS rows_after FROM (SELECT COUNT(*) AS n FROM pat) t""")
+sql("compact_table", ["pat"], "SELECT * EXCLUDE (processing_timestamp, processing_date) FROM pat")
+sql("table_properties", [], """
+SELECT * FROM (VALUES ('quality', 'silver'), ('layer', 'silver'), ('description', 'Silver layer: validated organizations'))
+  t(key, value)""")
+sql("create_schema", ["org_silver"], "SELECT * FROM org_silver")
+sql("list_tables", ["pat_pipeline", "org_silver", "obs_pipeline"], """
+SELECT 'patients' AS table_name, COUNT(*) AS row_count FROM pat_pipeline
+UNION ALL SELECT 'organizations', COUNT(*) FROM org_silver
+UNION ALL SELECT 'observations', COUNT(*) FROM obs_pipeline""")
+_V2_TYPES = {"BIRTHDATE": "date", "DEATHDATE": "date", "ZIP": "int", "FIPS": "int", "LAT": "double", "LON": "double",
+             "INCOME": "int", "HEALTHCARE_EXPENSES": "double", "HEALTHCARE_COVERAGE": "double",
+             "data_quality_flag": "int", "ingestion_timestamp": "timestamp_ntz"}
+_V2_COLS = ["Id", "SSN", "BIRTHDATE", "DEATHDATE", "GENDER", "RACE", "ETHNICITY", "MARITAL", "PREFIX", "FIRST", "MIDDLE",
+            "LAST", "SUFFIX", "MAIDEN", "ADDRESS", "CITY", "STATE", "COUNTY", "BIRTHPLACE", "ZIP", "FIPS", "LAT", "LON",
+            "INCOME", "HEALTHCARE_EXPENSES", "HEALTHCARE_COVERAGE", "DRIVERS", "PASSPORT", "data_quality_flag",
+            "source_file", "ingestion_timestamp"]
+sql("describe_table", ["pat"], "SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', '{_V2_TYPES.get(c, 'string')}')" for c in _V2_COLS) + ") t(col_name, data_type) WHERE (SELECT COUNT(*) FROM pat) >= 0")
+
+_b1_cols = ", ".join(
+    f"{_PAT_TYPED[c][1]} AS {c}" if c in _PAT_TYPED else c
+    for c in ["Id", "SSN", "BIRTHDATE", "DEATHDATE", "GENDER", "RACE", "ETHNICITY", "MARITAL", "PREFIX", "FIRST",
+              "MIDDLE", "LAST", "SUFFIX", "MAIDEN", "ADDRESS", "CITY", "STATE", "COUNTY", "BIRTHPLACE", "ZIP", "FIPS",
+              "LAT", "LON", "INCOME", "HEALTHCARE_EXPENSES", "HEALTHCARE_COVERAGE", "DRIVERS", "PASSPORT"])
+sql("bronze_patients_stream", ["pat_raw"], f"""
+SELECT {_b1_cols}, {rescued_json(_pat_parts)} AS _rescued_data, replace(source_file, '.csv', '') AS source_dir
+FROM pat_raw WHERE {_PAT_TYPED['BIRTHDATE'][1]} IS NOT NULL AND COALESCE(GENDER IN ('M', 'F'), false)""")
+sql("bronze_organizations_stream", ["org_raw"], f"""
+SELECT {ORG_COLS}, CAST(NULL AS VARCHAR) AS _rescued_data,
+  CASE WHEN CAST(Id AS BIGINT) % 2 = 0 THEN 'organizations1' ELSE 'organizations2' END AS source_dir
+FROM org_raw WHERE {passes('bronze_organizations', ('drop',))}""")
+sql("bronze_observations_stream", ["obs_raw"], """
+SELECT obs_ts AS "DATE", PATIENT, ENCOUNTER, CATEGORY, CODE, DESCRIPTION, VALUE, UNITS, TYPE,
+  CAST(NULL AS VARCHAR) AS _rescued_data, replace(source_file, '.csv', '') AS source_dir
+FROM obs_raw WHERE PATIENT IS NOT NULL""")
+sql("bronze_patients_batch", ["pat_raw"], """
+SELECT total_rows, unique_ids, null_ids, null_birthdates, null_genders, total_rows <> unique_ids AS has_duplicates,
+  null_ids > 0 AS has_null_ids
+FROM (SELECT COUNT(*) AS total_rows, COUNT(DISTINCT Id) AS unique_ids, COUNT(*) FILTER (WHERE Id IS NULL) AS null_ids,
+        COUNT(*) FILTER (WHERE NULLIF(BIRTHDATE, '') IS NULL) AS null_birthdates,
+        COUNT(*) FILTER (WHERE GENDER IS NULL) AS null_genders FROM pat_raw) t""")
+sql("bronze_observations_batch", ["obs_raw"], """
+SELECT COUNT(*) AS total_rows, COUNT(DISTINCT PATIENT) AS unique_patients, COUNT(DISTINCT ENCOUNTER) AS unique_encounters,
+  COUNT(*) FILTER (WHERE PATIENT IS NULL) AS null_patients, COUNT(*) FILTER (WHERE obs_ts IS NULL) AS null_dates,
+  COUNT(*) FILTER (WHERE VALUE IS NULL) AS null_values, COUNT(*) FILTER (WHERE CATEGORY IS NULL) AS null_categories
+FROM obs_raw""")
+sql("bronze_patients_auto", ["pat_strings"], "SELECT * FROM pat_strings")
+sql("stream_ingest", ["org_inferred"], "SELECT * FROM org_inferred")
+sql("stream_table_to_table", ["org_inferred"], """
+SELECT Id AS organization_id, NAME AS organization_name, ADDRESS AS address, CITY AS city, upper(STATE) AS state,
+  ZIP AS zip_code, LAT AS latitude, LON AS longitude, regexp_replace(PHONE, '[^0-9]', '', 'g') AS phone,
+  REVENUE AS revenue, UTILIZATION AS utilization, COALESCE(UTILIZATION > 100, false) AS high_utilization_flag
+FROM org_inferred""")
+sql("stream_exactly_once", ["obs_raw"], f"SELECT {OBS_COLS} FROM obs_raw")
+SQL["stream_dedup_latest"] = SQL["dedup_latest"]
+sql("gold_incremental_refresh", ["obs_pipeline"], """
+SELECT patient_id, COUNT(*) AS total_observations, MIN(observation_timestamp) AS first_observation,
+  MAX(observation_timestamp) AS last_observation, COUNT(*) FILTER (WHERE value_type = 'numeric') AS numeric_observations
+FROM obs_pipeline GROUP BY patient_id""")
