@@ -29,6 +29,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     for k, v in conf.items():
