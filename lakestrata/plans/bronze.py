@@ -71,7 +71,7 @@ def bronze_frame(raw: DataFrame, spec: BronzeSpec, as_of: str | None = None, fil
 
 
 def bronze(spark: SparkSession, spec: BronzeSpec, src_dir: str, target: str, checkpoint: str,
-           as_of: str | None = None, metrics_path: str | None = None, max_files_per_trigger: int | None = None,
+           as_of: str | None = None, metrics_path: str | None = None, max_files_per_trigger: int | None = 1000,
            glob: str | None = None, timeout_s: float | None = None) -> StreamingQuery:
     """Incremental bronze table with lineage, rescue and expectations."""
     rules = E.catalogue(spec.rules, as_of)

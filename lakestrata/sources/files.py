@@ -154,29 +154,80 @@ def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = "_rescued_dat
     return df.select(*out, rescued.alias(rescued_col), *kept)
 
 
-def headers_by_file(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def _arrow_path(path: str) -> str:
+    """URI pyarrow understands (Spark writes local paths as ``file:/x``)."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    return path
+
+
+def _first_line(path: str, chunk: int = 65536) -> str:
+    import pyarrow.fs as pafs
+
+    fs, rel = pafs.FileSystem.from_uri(_arrow_path(path))
+    buf = b""
+    with fs.open_input_stream(rel, compression="detect") as fh:
+        while b"\n" not in buf:
+            part = fh.read(chunk)
+            if not part:
+                break
+            buf += part
+    line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8")
+    return line.lstrip("\ufeff")
+
+
+def _arrow_can_open(path: str) -> bool:
+    try:
+        import pyarrow.fs as pafs
+
+        pafs.FileSystem.from_uri(_arrow_path(path))
+        return True
+    except Exception:  # noqa: BLE001 - scheme not supported by pyarrow here
+        return False
+
+
+def headers_by_file(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """(header, files) for each distinct header line under ``path``.
 
-    One job: the first line of each file is taken from the split that
-    starts at byte 0; only headers and file names reach the driver.
+    Files are listed by Spark (a ``binaryFile`` read that selects only
+    ``path``); tasks then open their files and read only the first line,
+    so the cost is a few KB per file, not a scan. Where pyarrow cannot open
+    the file system, the first line comes from the split that starts at
+    byte 0 of a text scan instead. Only headers and file names reach the
+    driver.
     """
-    t = spark.read.format("text")
+    b = spark.read.format("binaryFile")
     if glob:
-        t = t.option("pathGlobFilter", glob)
-    lines = t.load(path).select(
-        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start")
-    ).filter(F.col("start") == 0)
-
-    def first_lines(batches):
-        seen: set[str] = set()
-        for pdf in batches:
-            firsts = pdf.drop_duplicates("file_path", keep="first")
-            firsts = firsts[~firsts["file_path"].isin(seen)]
-            seen.update(firsts["file_path"].tolist())
-            if len(firsts):
-                yield pd.DataFrame({"header": firsts["value"].values, "file_path": firsts["file_path"].values})
-
-    firsts = lines.mapInPandas(first_lines, "header string, file_path string")
+        b = b.option("pathGlobFilter", glob)
+    listed = b.load(path).select(F.col("path").alias("file_path"))
+    probe = listed.select("file_path").first()
+    if probe is None:
+        return spark.createDataFrame([], "header string, files array<string>")
+    if _arrow_can_open(probe["file_path"]):
+        def heads(batches):
+            for pdf in batches:
+                yield pd.DataFrame({"header": [_first_line(p) for p in pdf["file_path"]],
+                                    "file_path": pdf["file_path"].values})
+
+        firsts = listed.mapInPandas(heads, "header string, file_path string")
+    else:
+        t = spark.read.format("text")
+        if glob:
+            t = t.option("pathGlobFilter", glob)
+        lines = t.load(path).select(
+            "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start")
+        ).filter(F.col("start") == 0)
+
+        def first_lines(batches):
+            seen: set[str] = set()
+            for pdf in batches:
+                f = pdf.drop_duplicates("file_path", keep="first")
+                f = f[~f["file_path"].isin(seen)]
+                seen.update(f["file_path"].tolist())
+                if len(f):
+                    yield pd.DataFrame({"header": f["value"].values, "file_path": f["file_path"].values})
+
+        firsts = lines.mapInPandas(first_lines, "header string, file_path string")
     return firsts.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
 
 
