@@ -203,18 +203,26 @@ def ratio(num: ColumnOrName, den: ColumnOrName, scale: int | None = None, factor
     return F.round(r, scale) if scale is not None else r
 
 
+EXACT = "decimal(38,9)"
+
+
+def exact_mean(c: ColumnOrName) -> Column:
+    """Mean of the values taken to 9 decimals, summed exactly (decimal)."""
+    return F.avg(_c(c).cast(EXACT))
+
+
 def exact_avg(c: ColumnOrName, scale: int | None = None) -> Column:
-    """Mean summed in decimal(38,18): exact and independent of partition order.
+    """Mean summed in decimal(38,9): exact and independent of partition order.
 
     A double sum depends on the order rows are added, so a rounded mean at a
     .5 tie can flip between runs; the decimal sum cannot. Returns a double.
     """
-    m = F.avg(_c(c).cast("decimal(38,18)"))
+    m = exact_mean(c)
     if scale is not None:
         m = F.round(m, scale)
     return m.cast("double")
 
 
 def exact_sum(c: ColumnOrName) -> Column:
-    """Sum in decimal(38,18) (order independent), returned as double."""
-    return F.sum(_c(c).cast("decimal(38,18)")).cast("double")
+    """Sum in decimal(38,9) (order independent), returned as double."""
+    return F.sum(_c(c).cast(EXACT)).cast("double")

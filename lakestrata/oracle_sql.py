@@ -123,6 +123,18 @@ def date_parse(x: str) -> str:
     return f"CAST(TRY_STRPTIME({x}, '%Y-%m-%d') AS DATE)"
 
 
+def exact_sum(x: str) -> str:
+    """Sum of the values taken to 9 decimals, as an integer count of 1e-9 units."""
+    return f"CAST(SUM(CAST({x} AS DECIMAL(38,9))) * 1000000000 AS HUGEINT)"
+
+
+def half_up(num: str, den: str, n: int) -> str:
+    """num / den rounded half away from zero to n decimals (exact integer arithmetic)."""
+    k = 10 ** n
+    return (f"(CAST(sign({num}) * sign({den}) * ((abs({num}) * {2 * k} + abs({den})) // (2 * abs({den}))) AS DOUBLE)"
+            f" / {k}.0)")
+
+
 def xavg(x: str, n: int) -> str:
     """Mean from an exact decimal sum, rounded half-up in integer arithmetic."""
     big = f"CAST(SUM(CAST({x} AS DECIMAL(38,9))) * 1000000000 AS HUGEINT)"
@@ -130,6 +142,15 @@ def xavg(x: str, n: int) -> str:
     return f"(CAST(sign({big}) * ((abs({big}) * 2 + {den}) // (2 * {den})) AS DOUBLE) / {10 ** n}.0)"
 
 
+def sround(x: str, n: int) -> str:
+    """Spark's ROUND of a double: half-up on the shortest decimal text of the value."""
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
+
+
+def hours(later: str, earlier: str) -> str:
+    return f"((CAST(floor(epoch({later})) AS BIGINT) - CAST(floor(epoch({earlier})) AS BIGINT)) / 3600.0)"
+
+
 def age(birth: str, at: str) -> str:
     return f"CAST(date_sub('year', {birth}, {at}) AS BIGINT)"
 
@@ -213,15 +234,15 @@ SELECT GENDER, RACE, ETHNICITY, MARITAL, STATE, COUNTY, COUNT(Id) AS patient_cou
 FROM pat GROUP BY GENDER, RACE, ETHNICITY, MARITAL, STATE, COUNTY
 """
 
-CTE["g2"] = """
+CTE["g2"] = f"""
 SELECT GENDER, STATE, COUNT(Id) AS patient_count, AVG(INCOME) AS avg_income, MIN(INCOME) AS min_income,
   MAX(INCOME) AS max_income, STDDEV_SAMP(INCOME) AS stddev_income,
   AVG(HEALTHCARE_EXPENSES) AS avg_healthcare_expenses, SUM(HEALTHCARE_EXPENSES) AS total_healthcare_expenses,
   MIN(HEALTHCARE_EXPENSES) AS min_healthcare_expenses, MAX(HEALTHCARE_EXPENSES) AS max_healthcare_expenses,
   AVG(HEALTHCARE_COVERAGE) AS avg_healthcare_coverage, SUM(HEALTHCARE_COVERAGE) AS total_healthcare_coverage,
   COUNT(*) FILTER (WHERE data_quality_flag = 1) AS quality_issues_count,
-  ROUND(AVG(HEALTHCARE_EXPENSES) / NULLIF(AVG(INCOME), 0), 4) AS expense_to_income_ratio,
-  ROUND(AVG(HEALTHCARE_EXPENSES) - AVG(HEALTHCARE_COVERAGE), 2) AS coverage_gap
+  {half_up(f"{exact_sum('HEALTHCARE_EXPENSES')} * COUNT(INCOME)", f"NULLIF({exact_sum('INCOME')}, 0) * COUNT(HEALTHCARE_EXPENSES)", 4)} AS expense_to_income_ratio,
+  {half_up(f"{exact_sum('HEALTHCARE_EXPENSES')} * COUNT(HEALTHCARE_COVERAGE) - {exact_sum('HEALTHCARE_COVERAGE')} * COUNT(HEALTHCARE_EXPENSES)", "COUNT(HEALTHCARE_EXPENSES) * COUNT(HEALTHCARE_COVERAGE) * 1000000000", 2)} AS coverage_gap
 FROM pat GROUP BY GENDER, STATE
 """
 
@@ -238,7 +259,7 @@ FROM (
 GROUP BY GENDER, RACE, patient_status
 """
 
-CTE["g4"] = """
+CTE["g4"] = f"""
 SELECT COUNT(*) AS total_records, COUNT(DISTINCT Id) AS unique_patients,
   COUNT(*) FILTER (WHERE data_quality_flag = 1) AS quality_issues,
   COUNT(*) FILTER (WHERE data_quality_flag = 0) AS clean_records,
@@ -252,7 +273,7 @@ SELECT COUNT(*) AS total_records, COUNT(DISTINCT Id) AS unique_patients,
   COUNT(*) FILTER (WHERE LON IS NULL) AS missing_lon,
   MIN(processing_timestamp) AS earliest_processing_timestamp,
   MAX(processing_timestamp) AS latest_processing_timestamp,
-  ROUND(CAST(COUNT(*) FILTER (WHERE data_quality_flag = 0) AS DOUBLE) / NULLIF(COUNT(*), 0) * 100.0, 2) AS overall_completeness_pct
+  {sround('CAST(COUNT(*) FILTER (WHERE data_quality_flag = 0) AS DOUBLE) / NULLIF(COUNT(*), 0) * 100.0', 2)} AS overall_completeness_pct
 FROM pat
 """
 
@@ -325,7 +346,7 @@ sql("gold_lifetime", ["g3"], "SELECT * FROM g3")
 sql("gold_quality", ["g4"], "SELECT * FROM g4")
 sql("gold_clinical_summary", ["obs", "pat"], f"""
 SELECT a.*, p.GENDER, p.RACE, p.ETHNICITY, p.STATE, p.COUNTY, p.BIRTHDATE, p.DEATHDATE, p.current_age,
-  CASE WHEN a.observation_span_days > 0 THEN ROUND(a.total_observations / (a.observation_span_days / 365.25), 2)
+  CASE WHEN a.observation_span_days > 0 THEN {sround('a.total_observations / (a.observation_span_days / 365.25)', 2)}
        ELSE CAST(a.total_observations AS DOUBLE) END AS observations_per_year,
   CASE WHEN p.DEATHDATE IS NULL THEN 'Living' ELSE 'Deceased' END AS patient_status
 FROM (
@@ -344,11 +365,11 @@ LEFT JOIN (SELECT Id AS patient_id, GENDER, RACE, ETHNICITY, STATE, COUNTY, BIRT
 sql("gold_vital_signs", ["obs", "pat"], f"""
 SELECT GENDER, age_group, observation_code, observation_description, units,
   COUNT(*) AS observation_count, COUNT(DISTINCT patient_id) AS patient_count,
-  {xavg('observation_value', 2)} AS avg_value, ROUND(MIN(observation_value), 2) AS min_value,
-  ROUND(MAX(observation_value), 2) AS max_value, ROUND(STDDEV_SAMP(observation_value), 2) AS stddev_value,
-  ROUND(quantile_disc(observation_value, 0.25), 2) AS p25_value,
-  ROUND(quantile_disc(observation_value, 0.5), 2) AS median_value,
-  ROUND(quantile_disc(observation_value, 0.75), 2) AS p75_value
+  {xavg('observation_value', 2)} AS avg_value, {sround('MIN(observation_value)', 2)} AS min_value,
+  {sround('MAX(observation_value)', 2)} AS max_value, {sround('STDDEV_SAMP(observation_value)', 2)} AS stddev_value,
+  {sround('quantile_disc(observation_value, 0.25)', 2)} AS p25_value,
+  {sround('quantile_disc(observation_value, 0.5)', 2)} AS median_value,
+  {sround('quantile_disc(observation_value, 0.75)', 2)} AS p75_value
 FROM (
   SELECT o.*, p.GENDER,
     CASE WHEN p.age < 18 THEN '0-17' WHEN p.age < 35 THEN '18-34' WHEN p.age < 50 THEN '35-49'
@@ -358,9 +379,9 @@ FROM (
   WHERE o.category = 'vital-signs' AND o.observation_value IS NOT NULL) t
 GROUP BY GENDER, age_group, observation_code, observation_description, units""")
 sql("gold_observation_types", ["obs", "pat"], f"""
-SELECT *, ROUND(CAST(total_observations AS DOUBLE) / NULLIF(unique_patients, 0), 1) AS observations_per_patient,
-  ROUND(CAST(unique_patients AS DOUBLE) / NULLIF((SELECT COUNT(*) FROM pat), 0) * 100.0, 1) AS patient_coverage_pct,
-  ROUND(CAST(non_null_values AS DOUBLE) / NULLIF(total_observations, 0) * 100.0, 1) AS value_completeness_pct
+SELECT *, {sround('CAST(total_observations AS DOUBLE) / NULLIF(unique_patients, 0)', 1)} AS observations_per_patient,
+  {sround('CAST(unique_patients AS DOUBLE) / NULLIF((SELECT COUNT(*) FROM pat), 0) * 100.0', 1)} AS patient_coverage_pct,
+  {sround('CAST(non_null_values AS DOUBLE) / NULLIF(total_observations, 0) * 100.0', 1)} AS value_completeness_pct
 FROM (
   SELECT category, observation_code, observation_description, observation_type, units,
     COUNT(*) AS total_observations, COUNT(DISTINCT patient_id) AS unique_patients,
@@ -372,7 +393,7 @@ ORDER BY total_observations DESC""")
 sql("gold_risk_indicators", ["obs", "pat"], f"""
 SELECT o.patient_id, p.GENDER, p.age, p.RACE, p.STATE, risk_flag, observation_code, observation_description,
   COUNT(*) AS risk_occurrence_count, {xavg('observation_value', 2)} AS avg_risk_value,
-  ROUND(MIN(observation_value), 2) AS min_value, ROUND(MAX(observation_value), 2) AS max_value,
+  {sround('MIN(observation_value)', 2)} AS min_value, {sround('MAX(observation_value)', 2)} AS max_value,
   MAX(observation_date) AS last_risk_observation_date, MIN(units) AS units,
   CASE WHEN COUNT(*) >= 10 THEN 'High' WHEN COUNT(*) >= 5 THEN 'Medium' ELSE 'Low' END AS risk_severity
 FROM (
@@ -392,31 +413,22 @@ sql("gold_patient360", ["p360"], "SELECT * FROM p360")
 sql("org_rollup", ["p360"], """
 SELECT organization_name, COUNT(DISTINCT patient_id) AS patient_count, CAST(SUM(total_observations) AS BIGINT) AS total_obs
 FROM p360 WHERE organization_name IS NOT NULL GROUP BY organization_name ORDER BY patient_count DESC""")
-sql("verify_demographics", ["g1"], """
-SELECT GENDER, STATE, CAST(SUM(patient_count) AS BIGINT) AS total_patients, ROUND(AVG(avg_income), 0) AS avg_income,
+sql("verify_demographics", ["g1"], f"""
+SELECT GENDER, STATE, CAST(SUM(patient_count) AS BIGINT) AS total_patients, {sround('AVG(avg_income)', 0)} AS avg_income,
   CAST(SUM(deceased_count) AS BIGINT) AS deceased
 FROM g1 GROUP BY GENDER, STATE ORDER BY total_patients DESC, GENDER NULLS FIRST, STATE NULLS FIRST LIMIT 10""")
-sql("verify_financial", ["g2"], """
-SELECT GENDER, STATE, patient_count, ROUND(avg_income, 0) AS avg_income, ROUND(avg_healthcare_expenses, 0) AS avg_expenses,
-  expense_to_income_ratio, ROUND(coverage_gap, 0) AS coverage_gap
+sql("verify_financial", ["g2"], f"""
+SELECT GENDER, STATE, patient_count, {sround('avg_income', 0)} AS avg_income, {sround('avg_healthcare_expenses', 0)} AS avg_expenses,
+  expense_to_income_ratio, {sround('coverage_gap', 0)} AS coverage_gap
 FROM g2 ORDER BY patient_count DESC, GENDER NULLS FIRST, STATE NULLS FIRST LIMIT 10""")
-sql("verify_lifetime", ["g3"], """
-SELECT GENDER, RACE, patient_status, patient_count, ROUND(avg_current_age, 1) AS avg_age,
-  ROUND(avg_age_at_death, 1) AS avg_age_at_death FROM g3 ORDER BY patient_count DESC""")
+sql("verify_lifetime", ["g3"], f"""
+SELECT GENDER, RACE, patient_status, patient_count, {sround('avg_current_age', 1)} AS avg_age,
+  {sround('avg_age_at_death', 1)} AS avg_age_at_death FROM g3 ORDER BY patient_count DESC""")
 sql("verify_quality", ["g4"], """
 SELECT total_records, unique_patients, quality_issues, clean_records, overall_completeness_pct, missing_birthdate,
   missing_gender, missing_income FROM g4""")
 
 
-def sround(x: str, n: int) -> str:
-    """Spark's ROUND of a double: half-up on the shortest decimal text of the value."""
-    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
-
-
-def hours(later: str, earlier: str) -> str:
-    return f"((CAST(floor(epoch({later})) AS BIGINT) - CAST(floor(epoch({earlier})) AS BIGINT)) / 3600.0)"
-
-
 # --- F: scalar functions ---------------------------------------------------
 sql("fn_parse_date", ["pat_raw"], f"""
 SELECT Id, source_file, BIRTHDATE, {date_parse('BIRTHDATE')} AS birth_date, {date_parse('DEATHDATE')} AS death_date FROM pat_raw""")

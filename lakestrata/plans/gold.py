@@ -67,10 +67,15 @@ def financial(pat: DataFrame, as_of: str | None = None, stamps: bool = False) ->
         F.avg("HEALTHCARE_COVERAGE").alias("avg_healthcare_coverage"),
         F.sum("HEALTHCARE_COVERAGE").alias("total_healthcare_coverage"),
         _cnt(F.col("data_quality_flag") == 1).alias("quality_issues_count"),
+        # exact (decimal) means for the two rounded business metrics, so a
+        # value on a rounding tie does not depend on summation order
+        S.exact_mean("HEALTHCARE_EXPENSES").cast("decimal(24,10)").alias("_exp"),
+        S.exact_mean("INCOME").cast("decimal(24,10)").alias("_inc"),
+        S.exact_mean("HEALTHCARE_COVERAGE").cast("decimal(24,10)").alias("_cov"),
     ).withColumns({
-        "expense_to_income_ratio": S.ratio("avg_healthcare_expenses", "avg_income", 4),
-        "coverage_gap": F.round(F.col("avg_healthcare_expenses") - F.col("avg_healthcare_coverage"), 2),
-    })
+        "expense_to_income_ratio": F.round(F.try_divide(F.col("_exp"), F.col("_inc")), 4).cast("double"),
+        "coverage_gap": F.round(F.col("_exp") - F.col("_cov"), 2).cast("double"),
+    }).drop("_exp", "_inc", "_cov")
     return S.stamps(out, as_of, "snapshot_timestamp", "processing_date") if stamps else out
 
 
@@ -223,7 +228,7 @@ def risk_indicators(obs: DataFrame, pat: DataFrame, as_of: str | None = None,
     ).filter(F.col("risk_flag").isNotNull())
     per = flagged.groupBy("patient_id", "risk_flag", "observation_code", "observation_description").agg(
         F.count(F.lit(1)).alias("risk_occurrence_count"),
-        F.sum(x.cast("decimal(38,18)")).alias("_sum"),
+        F.sum(x.cast(S.EXACT)).alias("_sum"),
         F.min(x).alias("_min"),
         F.max(x).alias("_max"),
         F.max("observation_date").alias("last_risk_observation_date"),
