@@ -273,7 +273,7 @@ def q_b1(spark, d):
     root = scratch_dir(spark, "b1")
     _pat_csv(spark, d, f"{root}/in")
     B.bronze(spark, B.PATIENTS, f"{root}/in/patients*", f"{root}/out", f"{root}/ck", AS_OF, f"{root}/metrics",
-             max_files_per_trigger=1, glob="*.csv")
+             glob="*.csv")
     return _bronze_out(spark, f"{root}/out")
 
 
