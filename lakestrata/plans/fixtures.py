@@ -22,10 +22,6 @@ T_FIRST = "2024-06-28 00:00:00"
 T_LATER = "2024-06-29 20:00:00"
 
 
-def _ts(s: str):
-    return F.lit(s).cast("timestamp_ntz")
-
-
 def read(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
@@ -39,81 +35,67 @@ def pat_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze patients, all text, one to three snapshots per id."""
     c = read(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
     n = read(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    k = F.col("c_custkey")
-    snap = F.col("snap")
     base = c.join(n, c.c_nationkey == n.n_nationkey, "inner").withColumn(
-        "snap", F.explode(F.sequence(F.lit(1), (F.lit(1) + k % 3).cast("int")))
+        "snap", F.explode(F.sequence(F.lit(1), (F.lit(1) + F.col("c_custkey") % 3).cast("int")))
     )
-    birth = F.date_add(F.lit("1930-01-01").cast("date"), (k * 7919 % 32000).cast("int"))
-    death = F.date_add(F.lit("2018-01-01").cast("date"), (k % 2000).cast("int"))
-    return base.select(
-        _s(k).alias("Id"),
-        F.concat(F.lit("ssn-"), _s(k)).alias("SSN"),
-        F.when(k % 97 == 0, F.lit("")).when(k % 89 == 0, F.lit("not-a-date")).otherwise(_s(birth)).alias("BIRTHDATE"),
-        F.when(k % 11 == 0, _s(death)).alias("DEATHDATE"),
-        F.when(k % 53 == 0, F.lit(None).cast("string")).when(k % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("GENDER"),
-        F.col("c_mktsegment").alias("RACE"),
-        F.when(k % 5 == 0, F.lit("hispanic")).otherwise(F.lit("nonhispanic")).alias("ETHNICITY"),
-        F.when(snap == 1, F.lit("S")).when(snap == 2, F.lit("M")).otherwise(F.lit("D")).alias("MARITAL"),
-        F.when(k % 3 == 0, F.lit("Dr.")).alias("PREFIX"),
-        F.concat(F.lit("First"), _s(k)).alias("FIRST"),
-        F.when(k % 4 == 0, F.lit("Mid")).alias("MIDDLE"),
-        F.col("c_name").alias("LAST"),
-        F.lit(None).cast("string").alias("SUFFIX"),
-        F.lit(None).cast("string").alias("MAIDEN"),
-        F.concat(_s(k), F.lit(" Main St")).alias("ADDRESS"),
-        F.concat(F.lit("City"), _s(k % 40)).alias("CITY"),
-        F.lower("n_name").alias("STATE"),
-        F.concat(F.lit("County"), _s(F.col("n_regionkey"))).alias("COUNTY"),
-        F.col("n_name").alias("BIRTHPLACE"),
-        F.when(k % 43 == 0, F.lit("bad")).otherwise(_s(10000 + k % 80000)).alias("ZIP"),
-        F.when(k % 2 == 0, F.lit("25025.0")).otherwise(F.lit("25025")).alias("FIPS"),
-        F.when(k % 71 == 0, F.lit(None).cast("string")).otherwise(_s(k % 90)).alias("LAT"),
-        F.when(k % 73 == 0, F.lit(None).cast("string")).otherwise(_s(-(k % 180))).alias("LON"),
-        F.when(k % 41 == 0, F.lit("n/a")).otherwise(_s(1000 + k * 37 % 90000)).alias("INCOME"),
-        _s(F.col("c_acctbal")).alias("HEALTHCARE_EXPENSES"),
-        _s(F.col("c_nationkey") * 100).alias("HEALTHCARE_COVERAGE"),
-        F.lit(None).cast("string").alias("DRIVERS"),
-        F.lit(None).cast("string").alias("PASSPORT"),
-        F.when(k % 61 == 0, F.lit('{"EXTRA":"x"}')).alias("_rescued_data"),
-        F.concat(F.lit("patients"), _s(snap), F.lit(".csv")).alias("source_file"),
-        F.when(snap == 3, _ts(T_LATER)).otherwise(_ts(T_FIRST)).alias("ingestion_timestamp"),
+    return base.selectExpr(
+        "CAST(c_custkey AS STRING) AS Id",
+        "'ssn-' || CAST(c_custkey AS STRING) AS SSN",
+        "CASE WHEN c_custkey % 97 = 0 THEN '' WHEN c_custkey % 89 = 0 THEN 'not-a-date' "
+        "ELSE CAST(date_add(DATE'1930-01-01', CAST(c_custkey * 7919 % 32000 AS INT)) AS STRING) END AS BIRTHDATE",
+        "CASE WHEN c_custkey % 11 = 0 THEN CAST(date_add(DATE'2018-01-01', CAST(c_custkey % 2000 AS INT)) AS STRING) END"
+        " AS DEATHDATE",
+        "CASE WHEN c_custkey % 53 = 0 THEN CAST(NULL AS STRING) WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS GENDER",
+        "c_mktsegment AS RACE",
+        "CASE WHEN c_custkey % 5 = 0 THEN 'hispanic' ELSE 'nonhispanic' END AS ETHNICITY",
+        "CASE WHEN snap = 1 THEN 'S' WHEN snap = 2 THEN 'M' ELSE 'D' END AS MARITAL",
+        "CASE WHEN c_custkey % 3 = 0 THEN 'Dr.' END AS PREFIX",
+        "'First' || CAST(c_custkey AS STRING) AS FIRST",
+        "CASE WHEN c_custkey % 4 = 0 THEN 'Mid' END AS MIDDLE",
+        "c_name AS LAST",
+        "CAST(NULL AS STRING) AS SUFFIX",
+        "CAST(NULL AS STRING) AS MAIDEN",
+        "CAST(c_custkey AS STRING) || ' Main St' AS ADDRESS",
+        "'City' || CAST(c_custkey % 40 AS STRING) AS CITY",
+        "lower(n_name) AS STATE",
+        "'County' || CAST(n_regionkey AS STRING) AS COUNTY",
+        "n_name AS BIRTHPLACE",
+        "CASE WHEN c_custkey % 43 = 0 THEN 'bad' ELSE CAST(10000 + c_custkey % 80000 AS STRING) END AS ZIP",
+        "CASE WHEN c_custkey % 2 = 0 THEN '25025.0' ELSE '25025' END AS FIPS",
+        "CASE WHEN c_custkey % 71 = 0 THEN CAST(NULL AS STRING) ELSE CAST(c_custkey % 90 AS STRING) END AS LAT",
+        "CASE WHEN c_custkey % 73 = 0 THEN CAST(NULL AS STRING) ELSE CAST(-(c_custkey % 180) AS STRING) END AS LON",
+        "CASE WHEN c_custkey % 41 = 0 THEN 'n/a' ELSE CAST(1000 + c_custkey * 37 % 90000 AS STRING) END AS INCOME",
+        "CAST(c_acctbal AS STRING) AS HEALTHCARE_EXPENSES",
+        "CAST(c_nationkey * 100 AS STRING) AS HEALTHCARE_COVERAGE",
+        "CAST(NULL AS STRING) AS DRIVERS",
+        "CAST(NULL AS STRING) AS PASSPORT",
+        "CASE WHEN c_custkey % 61 = 0 THEN '{\"EXTRA\":\"x\"}' END AS _rescued_data",
+        "'patients' || CAST(snap AS STRING) || '.csv' AS source_file",
+        f"CASE WHEN snap = 3 THEN TIMESTAMP_NTZ'{T_LATER}' ELSE TIMESTAMP_NTZ'{T_FIRST}' END AS ingestion_timestamp",
     )
 
 
 def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze observations; every 15th event (id % 15 = 1) is re-sent."""
     e = read(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    i = F.col("event_id")
-    et = F.col("event_type")
-    resend = F.col("resend")
-    fan = F.when(i % 15 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    base = e.withColumn("resend", F.explode(fan))
-    return base.select(
-        F.col("ts").alias("obs_ts"),
-        F.when(i % 211 == 0, F.lit(None).cast("string"))
-        .when(i % 101 == 0, _s(F.col("user_id") + 1000000))
-        .otherwise(_s(F.col("user_id")))
-        .alias("PATIENT"),
-        F.concat(F.lit("enc-"), _s(i % 3000)).alias("ENCOUNTER"),
-        F.when(et == "purchase", F.lit("laboratory")).when(i % 13 == 0, F.lit("survey")).otherwise(F.lit("vital-signs")).alias("CATEGORY"),
-        F.when(et == "view", F.lit("39156-5"))
-        .when(et == "click", F.lit("8480-6"))
-        .when(et == "error", F.lit("8462-4"))
-        .when(et == "signup", F.lit("8867-4"))
-        .otherwise(F.lit("8310-5"))
-        .alias("CODE"),
-        F.concat(F.lit("desc "), et).alias("DESCRIPTION"),
-        F.when(i % 10 == 0, F.lit("Never smoker")).otherwise(_s(F.col("value") + resend)).alias("VALUE"),
-        F.when(et == "view", F.lit("kg/m2"))
-        .when(et == "signup", F.lit("/min"))
-        .when(et == "purchase", F.lit("degF"))
-        .otherwise(F.lit("mm[Hg]"))
-        .alias("UNITS"),
-        F.when(i % 10 == 0, F.lit("text")).otherwise(F.lit("numeric")).alias("TYPE"),
-        F.when(i % 307 == 0, F.lit('{"EXTRA":"x"}')).alias("_rescued_data"),
-        F.when(resend == 1, F.lit("observations2.csv")).otherwise(F.lit("observations1.csv")).alias("source_file"),
-        F.when(resend == 1, _ts(T_LATER)).otherwise(_ts(T_FIRST)).alias("ingestion_timestamp"),
+    fan = F.when(F.col("event_id") % 15 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return e.withColumn("resend", F.explode(fan)).selectExpr(
+        "ts AS obs_ts",
+        "CASE WHEN event_id % 211 = 0 THEN CAST(NULL AS STRING) "
+        "WHEN event_id % 101 = 0 THEN CAST(user_id + 1000000 AS STRING) ELSE CAST(user_id AS STRING) END AS PATIENT",
+        "'enc-' || CAST(event_id % 3000 AS STRING) AS ENCOUNTER",
+        "CASE WHEN event_type = 'purchase' THEN 'laboratory' WHEN event_id % 13 = 0 THEN 'survey' ELSE 'vital-signs' END"
+        " AS CATEGORY",
+        "CASE event_type WHEN 'view' THEN '39156-5' WHEN 'click' THEN '8480-6' WHEN 'error' THEN '8462-4' "
+        "WHEN 'signup' THEN '8867-4' ELSE '8310-5' END AS CODE",
+        "'desc ' || event_type AS DESCRIPTION",
+        "CASE WHEN event_id % 10 = 0 THEN 'Never smoker' ELSE CAST(value + resend AS STRING) END AS VALUE",
+        "CASE event_type WHEN 'view' THEN 'kg/m2' WHEN 'signup' THEN '/min' WHEN 'purchase' THEN 'degF' "
+        "ELSE 'mm[Hg]' END AS UNITS",
+        "CASE WHEN event_id % 10 = 0 THEN 'text' ELSE 'numeric' END AS TYPE",
+        "CASE WHEN event_id % 307 = 0 THEN '{\"EXTRA\":\"x\"}' END AS _rescued_data",
+        "CASE WHEN resend = 1 THEN 'observations2.csv' ELSE 'observations1.csv' END AS source_file",
+        f"CASE WHEN resend = 1 THEN TIMESTAMP_NTZ'{T_LATER}' ELSE TIMESTAMP_NTZ'{T_FIRST}' END AS ingestion_timestamp",
     )
 
 
@@ -121,22 +103,21 @@ def org_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze organizations."""
     s = read(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
     n = read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
-    k = F.col("s_suppkey")
-    return s.join(n, s.s_nationkey == n.n_nationkey, "inner").select(
-        _s(k).alias("Id"),
-        F.when(k % 31 == 30, F.lit("  ")).otherwise(F.col("s_name")).alias("NAME"),
-        F.concat(_s(k), F.lit(" High St")).alias("ADDRESS"),
-        F.concat(F.lit("City"), _s(k % 40)).alias("CITY"),
-        F.lower("n_name").alias("STATE"),
-        _s(10000 + k).alias("ZIP"),
-        F.when(k % 17 == 0, F.lit(None).cast("double")).otherwise((k % 90).cast("double")).alias("LAT"),
-        (-(k % 180)).cast("double").alias("LON"),
-        F.concat(F.lit("(555) "), _s(100 + k % 900), F.lit("-0199")).alias("PHONE"),
-        F.col("s_acctbal").alias("REVENUE"),
-        (k * 7 % 250).cast("int").alias("UTILIZATION"),
-        F.when(k % 61 == 5, F.lit('{"EXTRA":"x"}')).alias("_rescued_data"),
-        F.lit("organizations1.csv").alias("source_file"),
-        _ts(T_LATER).alias("ingestion_timestamp"),
+    return s.join(n, s.s_nationkey == n.n_nationkey, "inner").selectExpr(
+        "CAST(s_suppkey AS STRING) AS Id",
+        "CASE WHEN s_suppkey % 31 = 30 THEN '  ' ELSE s_name END AS NAME",
+        "CAST(s_suppkey AS STRING) || ' High St' AS ADDRESS",
+        "'City' || CAST(s_suppkey % 40 AS STRING) AS CITY",
+        "lower(n_name) AS STATE",
+        "CAST(10000 + s_suppkey AS STRING) AS ZIP",
+        "CASE WHEN s_suppkey % 17 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(s_suppkey % 90 AS DOUBLE) END AS LAT",
+        "CAST(-(s_suppkey % 180) AS DOUBLE) AS LON",
+        "'(555) ' || CAST(100 + s_suppkey % 900 AS STRING) || '-0199' AS PHONE",
+        "s_acctbal AS REVENUE",
+        "CAST(s_suppkey * 7 % 250 AS INT) AS UTILIZATION",
+        "CASE WHEN s_suppkey % 61 = 5 THEN '{\"EXTRA\":\"x\"}' END AS _rescued_data",
+        "'organizations1.csv' AS source_file",
+        f"TIMESTAMP_NTZ'{T_LATER}' AS ingestion_timestamp",
     )
 
 
