@@ -116,7 +116,9 @@ def _touched_buckets(df: DataFrame) -> list[int]:
 
 
 def _replace_buckets(spark: SparkSession, new_content: DataFrame, dst: str, stage: str) -> None:
-    new_content.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
+    # One writer per bucket: the content is already reduced to one row per
+    # key (or group), and buckets are sized by choosing ``buckets``.
+    new_content.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
     (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(dst))
 
