@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakestrata.catalog import _p360, obs, obs_raw, org_raw, pat, pat_pipeline, pat_raw, register
 from lakestrata.functions import scalars as S
 from lakestrata.operators import dedup as W
+from lakestrata.operators.joins import skew_join
 from lakestrata.operators import quality as Q
 from lakestrata.plans import fixtures as X
 from lakestrata.plans import gold as G
@@ -393,9 +394,8 @@ def q_a16(spark, d):
 @register("join_inner")
 def q_j1(spark, d):
     dim = pat(spark, d).select(F.col("Id").alias("patient_id"), "GENDER", "STATE")
-    return obs(spark, d).select("patient_id", "observation_date", "observation_code", "observation_value").join(
-        dim, "patient_id", "inner"
-    )
+    facts = obs(spark, d).select("patient_id", "observation_date", "observation_code", "observation_value")
+    return skew_join(facts, dim, "patient_id", "inner")
 
 
 @register("join_left_agg")

@@ -87,8 +87,10 @@ def duplicate_rank(
     Skew-safe: a hot key is split across range partitions instead of being
     handed to a single window task.
     """
+    from lakestrata.operators.joins import skew_join
+
     dup = duplicate_keys(df, keys).select(*keys)
-    rows = df.join(dup, list(keys), "left_semi")
+    rows = skew_join(df, dup, list(keys), "left_semi")
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(n, *_cols(keys), *order).sortWithinPartitions(*_cols(keys), *order)
     key_list = list(keys)

@@ -46,12 +46,14 @@ def null_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Fact rows whose non-NULL key has no dimension row (R2).
 
-    ``left_anti``: the dimension is hashed (or broadcast when AQE measures
-    it small) and no fact row is duplicated.
+    ``left_anti`` through ``skew_join``: a fact key holding a large share of
+    the rows is checked map-side against the broadcast dimension keys.
     """
-    d = dim.select(F.col(dim_key).alias("_k")).distinct()
+    from lakestrata.operators.joins import skew_join
+
+    d = dim.select(F.col(dim_key).alias(fact_key)).distinct()
     f = fact.filter(F.col(fact_key).isNotNull())
-    return f.join(d, f[fact_key] == d["_k"], "left_anti")
+    return skew_join(f, d, [fact_key], "left_anti")
 
 
 def verify_ingest(df: DataFrame, key: str, file_col: str = "source_file", time_col: str = "ingestion_timestamp") -> DataFrame:

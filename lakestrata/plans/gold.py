@@ -3,8 +3,8 @@
 Plans are written so that the heavy side is reduced before it is joined:
 per-patient observation aggregates are computed first and then joined
 (G5, G8, G9). Where the grouping needs patient attributes and raw values
-(G6: percentiles), the join comes first and AQE's skew-join split handles a
-hot patient. Scalar inputs such as the patient total (G7) are scalar
+(G6: percentiles), the join comes first and hot patients are isolated
+and joined by broadcast (``skew_join``). Scalar inputs such as the patient total (G7) are scalar
 subqueries, not joins.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions import scalars as S
+from lakestrata.operators.joins import skew_join
 
 # Risk rules (code, low, high, label); a value strictly outside
 # [low, high] is a risk. First matching rule wins.
@@ -172,7 +173,9 @@ def vital_signs(obs: DataFrame, pat: DataFrame, as_of: str | None = None, accura
     """Vital-sign value statistics per gender, age band and code."""
     v = obs.filter((F.col("category") == "vital-signs") & F.col("observation_value").isNotNull())
     dim = _patient_dim(pat, ["GENDER"], as_of, "age")
-    j = v.join(dim, "patient_id", "inner").withColumn("age_group", age_band(F.col("age"), null_band))
+    # raw values are needed for the percentiles, so this join cannot be
+    # pre-aggregated: hot patients are joined by broadcast (skew_join)
+    j = skew_join(v, dim, "patient_id", "inner").withColumn("age_group", age_band(F.col("age"), null_band))
     x = F.col("observation_value")
     return j.groupBy("GENDER", "age_group", "observation_code", "observation_description", "units").agg(
         F.count(F.lit(1)).alias("observation_count"),
