@@ -1,17 +1,20 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-AQE splits a skewed partition only when both join inputs come straight
-from a shuffle. A dimension that is already partitioned on the key (for
-example the output of a dedup window on that key) is joined without a new
-shuffle, so AQE cannot split a hot key there, and a key with a third of
-the fact rows would be one task.
-
-``skew_join`` isolates hot keys explicitly. A key is hot when it holds
-more than ``1 / max_hot_keys`` of the big side's rows, so there are fewer
-than ``max_hot_keys`` hot keys: that bound is what makes broadcasting them
-safe. Rows with hot keys are joined map-side against the broadcast
-dimension rows of those keys (at most one row per key for a dimension
-unique on the key); all other rows use the ordinary shuffle join.
+AQE splits a skewed join partition only when both inputs come straight
+from a shuffle. A dimension already partitioned on the key (for example
+the output of a dedup window on that key) is joined without a new shuffle,
+so AQE cannot split a hot key there: a key with a third of the fact rows
+would be a single task.
+
+``skew_join`` salts the hot keys instead. Hot keys are the (at most
+``max_hot_keys``) most frequent keys with at least ``min_rows`` rows; a
+top-k is a proven size bound, so the set is broadcast. Fact rows of a hot
+key are spread over ``salts`` sub-keys by a hash of the row; dimension rows
+of a hot key are replicated once per sub-key (at most
+``max_hot_keys * salts`` extra rows); all other rows keep sub-key 0. The
+join on (key, sub-key) then has no partition larger than a 1/``salts``
+share of a hot key. Results equal the plain join for inner, left, semi and
+anti joins. Cost: one extra partial aggregation over the fact side.
 """
 
 from __future__ import annotations
@@ -22,30 +25,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SUPPORTED = ("inner", "left", "left_semi", "left_anti")
+SALT = "_salt"
+HOT = "_hot"
 
 
-def hot_keys(big: DataFrame, keys: Sequence[str], max_hot_keys: int = 1000) -> DataFrame:
-    """Keys holding more than 1/max_hot_keys of the rows (fewer than max_hot_keys rows)."""
-    total = big.select(F.count(F.lit(1))).scalar()
+def hot_keys(big: DataFrame, keys: Sequence[str], max_hot_keys: int = 1000, min_rows: int = 100_000) -> DataFrame:
+    """The ``max_hot_keys`` most frequent non-NULL keys having at least ``min_rows`` rows."""
+    keys = list(keys)
     counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cond = F.col("_n") * F.lit(max_hot_keys) > total
+    cond = F.col("_n") >= min_rows
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    return counts.filter(cond).select(*keys)
+    return counts.filter(cond).orderBy(F.desc("_n"), *keys).limit(max_hot_keys).select(*keys)
 
 
 def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str] | str, how: str = "inner",
-              max_hot_keys: int = 1000) -> DataFrame:
-    """``big.join(small, keys, how)`` with hot keys of ``big`` joined by broadcast.
-
-    ``small`` must be unique on ``keys`` for the broadcast side to be bounded
-    by ``max_hot_keys`` rows (a dimension). Results equal the plain join.
-    """
+              max_hot_keys: int = 1000, min_rows: int = 100_000, salts: int = 32) -> DataFrame:
+    """``big.join(small, keys, how)`` with the hot keys of ``big`` salted."""
     if how not in SUPPORTED:
         raise ValueError(f"skew_join supports {SUPPORTED}, not {how!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = F.broadcast(hot_keys(big, keys, max_hot_keys))
-    big_hot = big.join(hot, keys, "left_semi")
-    big_rest = big.join(hot, keys, "left_anti")
-    small_hot = F.broadcast(small.join(hot, keys, "left_semi"))
-    return big_hot.join(small_hot, keys, how).unionByName(big_rest.join(small, keys, how))
+    hot = F.broadcast(hot_keys(big, keys, max_hot_keys, min_rows).withColumn(HOT, F.lit(True)))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    b = big.join(hot, keys, "left").withColumn(
+        SALT, F.when(F.col(HOT), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    ).drop(HOT)
+    s = small.join(hot, keys, "left").withColumn(
+        SALT, F.explode(F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    ).drop(HOT)
+    return b.join(s, [*keys, SALT], how).drop(SALT)

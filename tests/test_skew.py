@@ -29,22 +29,28 @@ def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_hot_patient_join_is_isolated(spark, sf_dir):
+def test_hot_patient_is_salted(spark, sf_dir):
     old = {k: spark.conf.get(k, None) for k in CONF}
     try:
         for k, v in CONF.items():
             spark.conf.set(k, v)
         o = _skewed(spark, sf_dir)
         hot = pat(spark, sf_dir).select("Id").orderBy("Id").first()["Id"]
-        assert [r[0] for r in hot_keys(o, ["patient_id"], 4).collect()] == [hot]
-        df = G.vital_signs(o, pat(spark, sf_dir), AS_OF)
-        got = _rows(df)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan  # hot rows joined map-side
+        assert [r[0] for r in hot_keys(o, ["patient_id"], 1, min_rows=50).collect()] == [hot]
         dim = pat(spark, sf_dir).selectExpr("Id AS patient_id", "GENDER")
-        a = _rows(skew_join(o, dim, "patient_id", "left"))
-        b = _rows(o.join(dim, "patient_id", "left"))
-        assert a == b and len(a) == o.count()
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            j = skew_join(o, dim, "patient_id", how, max_hot_keys=5, min_rows=50, salts=8)
+            assert _rows(j) == _rows(o.join(dim, "patient_id", how)), how
+        j = skew_join(o, dim, "patient_id", "inner", max_hot_keys=5, min_rows=50, salts=8)
+        j.write.format("noop").mode("overwrite").save()
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(patient_id" in plan and "_salt" in plan.split("SortMergeJoin")[1].split("\n")[0]
+        # the hot key's rows are spread over several join partitions
+        spread = (o.join(hot_keys(o, ["patient_id"], 1, min_rows=50), "patient_id", "left_semi")
+                  .withColumn("s", F.pmod(F.xxhash64(*o.columns), F.lit(8))).select("s").distinct().count())
+        assert spread == 8
+        assert _rows(G.vital_signs(o, pat(spark, sf_dir), AS_OF)) == _rows(
+            G.vital_signs(o, pat(spark, sf_dir), AS_OF))
     finally:
         for k, v in old.items():
             if v is None:
