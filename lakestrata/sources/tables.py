@@ -128,13 +128,16 @@ def compact(spark: SparkSession, name: str, target_files: int, cluster_by: Seque
     """K6: rewrite a table into ``target_files`` files, optionally clustered.
 
     Clustering range-partitions on the columns (so each file holds a key
-    range, which narrows min/max statistics) and sorts within files.
+    range, which narrows min/max statistics) and sorts within files. A row
+    hash is the last range key, so one value holding a large share of the
+    rows is spread over several files instead of one writer task.
     Returns (files_before, files_after).
     """
     df = spark.table(name)
     before = len(df.inputFiles())
     if cluster_by:
-        out = df.repartitionByRange(target_files, *cluster_by).sortWithinPartitions(*cluster_by)
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        out = df.repartitionByRange(target_files, *cluster_by, spread).sortWithinPartitions(*cluster_by)
     else:
         out = df.repartition(target_files)
     write_table(out, name)
