@@ -19,7 +19,7 @@ from lakestrata.operators import quality as Q
 from lakestrata.plans import fixtures as X
 from lakestrata.plans import gold as G
 from lakestrata.plans import silver as V
-from lakestrata.session import AS_OF, RUNS_AS_OF
+from lakestrata.session import AS_OF, RUNS_AS_OF, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -27,7 +27,13 @@ REGISTRY: dict[str, Query] = {}
 
 def register(key: str):
     def deco(fn: Query) -> Query:
-        REGISTRY[key] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        REGISTRY[key] = run
         return fn
 
     return deco

@@ -89,6 +89,9 @@ def duplicate_rank(
     """
     from lakestrata.operators.joins import skew_join
 
+    from lakestrata.session import ship_package
+
+    ship_package(df.sparkSession)
     dup = duplicate_keys(df, keys).select(*keys)
     rows = skew_join(df, dup, list(keys), "left_semi")
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -36,6 +36,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -62,3 +63,44 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lakestrata`` importable in Python workers (once per application).
+
+    Operators that run Python inside tasks (``mapInPandas``) refer to
+    helpers of this package; the package is zipped and added with
+    ``addPyFile`` so executors can import it wherever the driver runs from.
+    """
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    data = buf.getvalue()
+    name = f"lakestrata-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    root = checkpoint_root(spark)
+    local = root.replace("file://", "").replace("file:", "") if ("://" not in root or root.startswith("file:")) else None
+    folder = os.path.join(local, "pyfiles") if local else tempfile.mkdtemp(prefix="lakestrata-pyfiles-")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    if not os.path.exists(path):
+        with open(path, "wb") as fh:
+            fh.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(app)

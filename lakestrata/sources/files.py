@@ -204,6 +204,10 @@ def headers_by_file(spark: SparkSession, path: str | Sequence[str], glob: str |
     if probe is None:
         return spark.createDataFrame([], "header string, files array<string>")
     if _arrow_can_open(probe["file_path"]):
+        from lakestrata.session import ship_package
+
+        ship_package(spark)
+
         def heads(batches):
             for pdf in batches:
                 yield pd.DataFrame({"header": [_first_line(p) for p in pdf["file_path"]],
