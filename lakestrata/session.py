@@ -51,8 +51,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - core conf may be read-only; the context dir is set
+            pass
     return root
 
 
