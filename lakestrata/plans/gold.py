@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from lakestrata.functions import scalars as S
 from lakestrata.operators.joins import skew_join
 
-# Risk rules (code, low, high, label); a value strictly outside
-# [low, high] is a risk. First matching rule wins.
-RISK_RULES: list[tuple[str, float, float, str]] = [
+# Risk rules (code, low, high, label[, unit]); a value strictly
+# outside [low, high] is a risk. First matching rule wins. A rule with a unit
+# applies only to observations recorded in that unit (the temperature limits
+# are Fahrenheit); without a unit it applies to every unit, as published.
+RISK_RULES: list[tuple] = [
     ("39156-5", 18.5, 30.0, "BMI Abnormal"),
     ("8480-6", 90.0, 140.0, "Blood Pressure High/Low"),
     ("8462-4", 60.0, 90.0, "Blood Pressure High/Low"),
@@ -212,12 +214,19 @@ def observation_types(obs: DataFrame, pat: DataFrame) -> DataFrame:
                "observation_type", "units")
 
 
-def risk_flag(code: Column, value: Column, rules: Sequence[tuple[str, float, float, str]] = RISK_RULES) -> Column:
-    return S.case_when([((code == c) & ((value < lo) | (value > hi)), label) for c, lo, hi, label in rules])
+def risk_flag(code: Column, value: Column, rules: Sequence[tuple] = RISK_RULES, units: Column | None = None) -> Column:
+    branches = []
+    for rule in rules:
+        c, lo, hi, label = rule[:4]
+        cond = (code == c) & ((value < lo) | (value > hi))
+        if len(rule) > 4 and rule[4] is not None and units is not None:
+            cond = cond & (units == rule[4])
+        branches.append((cond, label))
+    return S.case_when(branches)
 
 
 def risk_indicators(obs: DataFrame, pat: DataFrame, as_of: str | None = None,
-                    rules: Sequence[tuple[str, float, float, str]] = RISK_RULES) -> DataFrame:
+                    rules: Sequence[tuple] = RISK_RULES) -> DataFrame:
     """Out-of-range occurrences per patient, risk and code.
 
     The risk flag depends on the observation only, so observations are
@@ -227,7 +236,7 @@ def risk_indicators(obs: DataFrame, pat: DataFrame, as_of: str | None = None,
     """
     x = F.col("observation_value")
     flagged = obs.filter(x.isNotNull() & F.col("patient_id").isNotNull()).withColumn(
-        "risk_flag", risk_flag(F.col("observation_code"), x, rules)
+        "risk_flag", risk_flag(F.col("observation_code"), x, rules, F.col("units"))
     ).filter(F.col("risk_flag").isNotNull())
     per = flagged.groupBy("patient_id", "risk_flag", "observation_code", "observation_description").agg(
         F.count(F.lit(1)).alias("risk_occurrence_count"),

@@ -89,3 +89,10 @@ def test_update_recency_and_success_rate(spark):
     a = M.alerts(recency=M.update_recency(runs, "2001-08-01 12:00:00"), success=M.success_rate(runs, "2001-08-01 12:00:00"),
                  as_of="2001-08-01 12:00:00").collect()
     assert sorted(x["severity"] for x in a) == ["CRITICAL", "WARNING"]
+
+
+def test_risk_rule_with_unit(spark):
+    rules = [("8310-5", 97.0, 99.5, "Temperature Abnormal", "degF")]
+    celsius = _obs(spark, "8310-5", [37.0]).withColumn("units", F.lit("Cel"))
+    assert G.risk_indicators(celsius, _pat(spark), AS_OF, rules).count() == 0
+    assert G.risk_indicators(celsius, _pat(spark), AS_OF).count() == 1  # published rules ignore the unit
