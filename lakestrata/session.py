@@ -97,13 +97,25 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     data = buf.getvalue()
     name = f"lakestrata-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    # the zip goes to the shared folder (spark.checkpoint.dir), never to a
+    # machine-local temporary folder; executors fetch it from there
     root = checkpoint_root(spark)
-    local = root.replace("file://", "").replace("file:", "") if ("://" not in root or root.startswith("file:")) else None
-    folder = os.path.join(local, "pyfiles") if local else tempfile.mkdtemp(prefix="lakestrata-pyfiles-")
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, name)
-    if not os.path.exists(path):
-        with open(path, "wb") as fh:
-            fh.write(data)
+    path = f"{root.rstrip('/')}/pyfiles/{name}"
+    if "://" not in root or root.startswith("file:"):
+        local = path.replace("file://", "").replace("file:", "")
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        if not os.path.exists(local):
+            with open(local, "wb") as fh:
+                fh.write(data)
+    else:
+        jvm = sc._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(target):
+            out = fs.create(target, True)
+            try:
+                out.write(bytearray(data))
+            finally:
+                out.close()
     sc.addPyFile(path)
     _SHIPPED.add(app)
