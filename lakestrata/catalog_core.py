@@ -332,10 +332,9 @@ def q_a9(spark, d):
     li = _lineitem(spark, d, ["l_linestatus", "l_extendedprice"])
     x = F.col("l_extendedprice")
     acc = G.PERCENTILE_ACCURACY
-    return li.groupBy("l_linestatus").agg(
-        F.percentile_approx(x, 0.25, acc).alias("p25"), F.percentile_approx(x, 0.5, acc).alias("median"),
-        F.percentile_approx(x, 0.75, acc).alias("p75"),
-    )
+    q = F.col("_q")  # one sketch per group serves all three percentiles
+    return li.groupBy("l_linestatus").agg(F.percentile_approx(x, [0.25, 0.5, 0.75], acc).alias("_q")).select(
+        "l_linestatus", q[0].alias("p25"), q[1].alias("median"), q[2].alias("p75"))
 
 
 @register("agg_first")

@@ -179,16 +179,21 @@ def vital_signs(obs: DataFrame, pat: DataFrame, as_of: str | None = None, accura
     # pre-aggregated: hot patients are joined by broadcast (skew_join)
     j = skew_join(v, dim, "patient_id", "inner").withColumn("age_group", age_band(F.col("age"), null_band))
     x = F.col("observation_value")
-    return j.groupBy("GENDER", "age_group", "observation_code", "observation_description", "units").agg(
+    keys = ["GENDER", "age_group", "observation_code", "observation_description", "units"]
+    # one sketch per group serves all three percentiles
+    q = F.col("_q")
+    return j.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("observation_count"),
         F.count_distinct("patient_id").alias("patient_count"),
         S.exact_avg(x, 2).alias("avg_value"),
         F.round(F.min(x), 2).alias("min_value"),
         F.round(F.max(x), 2).alias("max_value"),
         F.round(F.stddev_samp(x), 2).alias("stddev_value"),
-        F.round(F.percentile_approx(x, 0.25, accuracy), 2).alias("p25_value"),
-        F.round(F.percentile_approx(x, 0.5, accuracy), 2).alias("median_value"),
-        F.round(F.percentile_approx(x, 0.75, accuracy), 2).alias("p75_value"),
+        F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias("_q"),
+    ).select(
+        *keys, "observation_count", "patient_count", "avg_value", "min_value", "max_value", "stddev_value",
+        F.round(q[0], 2).alias("p25_value"), F.round(q[1], 2).alias("median_value"),
+        F.round(q[2], 2).alias("p75_value"),
     )
 
 
