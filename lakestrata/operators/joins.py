@@ -9,11 +9,14 @@ would be a single task.
 ``skew_join`` salts the hot keys instead. Hot keys are the (at most
 ``max_hot_keys``) most frequent keys with at least ``min_rows`` rows; a
 top-k is a proven size bound, so the set is broadcast. Fact rows of a hot
-key are spread over ``salts`` sub-keys by a hash of the row; dimension rows
-of a hot key are replicated once per sub-key (at most
-``max_hot_keys * salts`` extra rows); all other rows keep sub-key 0. The
-join on (key, sub-key) then has no partition larger than a 1/``salts``
-share of a hot key. Results equal the plain join for inner, left, semi and
+key are spread over sub-keys by a hash of the row; the number of sub-keys
+of a key grows with its row count (about ``rows_per_salt`` rows each), so
+a key holding a third of 100 TB is cut as finely as one holding a third of
+1 GB; ``salts`` fixes the number instead. Dimension rows of a hot key are
+replicated once per sub-key (in total about rows of hot keys /
+``rows_per_salt`` extra rows); all other rows keep sub-key 0. The join on
+(key, sub-key) then has no partition larger than about ``rows_per_salt``
+rows of a hot key. Results equal the plain join for inner, left, semi and
 anti joins. Cost: one extra partial aggregation over the fact side.
 """
 
@@ -29,28 +32,35 @@ SALT = "_salt"
 HOT = "_hot"
 
 
-def hot_keys(big: DataFrame, keys: Sequence[str], max_hot_keys: int = 1000, min_rows: int = 100_000) -> DataFrame:
-    """The ``max_hot_keys`` most frequent non-NULL keys having at least ``min_rows`` rows."""
+def hot_keys(big: DataFrame, keys: Sequence[str], max_hot_keys: int = 1000, min_rows: int = 100_000,
+             with_counts: bool = False) -> DataFrame:
+    """The ``max_hot_keys`` most frequent non-NULL keys having at least
+    ``min_rows`` rows (with their row count ``_n`` if ``with_counts``)."""
     keys = list(keys)
     counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     cond = F.col("_n") >= min_rows
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    return counts.filter(cond).orderBy(F.desc("_n"), *keys).limit(max_hot_keys).select(*keys)
+    top = counts.filter(cond).orderBy(F.desc("_n"), *keys).limit(max_hot_keys)
+    return top.select(*keys, "_n") if with_counts else top.select(*keys)
 
 
 def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str] | str, how: str = "inner",
-              max_hot_keys: int = 1000, min_rows: int = 100_000, salts: int = 32) -> DataFrame:
+              max_hot_keys: int = 1000, min_rows: int = 100_000, salts: int | None = None,
+              rows_per_salt: int = 500_000) -> DataFrame:
     """``big.join(small, keys, how)`` with the hot keys of ``big`` salted."""
     if how not in SUPPORTED:
         raise ValueError(f"skew_join supports {SUPPORTED}, not {how!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = F.broadcast(hot_keys(big, keys, max_hot_keys, min_rows).withColumn(HOT, F.lit(True)))
+    n_salts = (F.lit(salts) if salts else F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_salt))))
+    hot = F.broadcast(hot_keys(big, keys, max_hot_keys, min_rows, with_counts=True)
+                      .select(*keys, n_salts.cast("int").alias(HOT)))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
     b = big.join(hot, keys, "left").withColumn(
-        SALT, F.when(F.col(HOT), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int")
+        SALT, F.when(F.col(HOT).isNotNull(), F.pmod(row_hash, F.col(HOT))).otherwise(F.lit(0)).cast("int")
     ).drop(HOT)
     s = small.join(hot, keys, "left").withColumn(
-        SALT, F.explode(F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+        SALT, F.explode(F.when(F.col(HOT).isNotNull(), F.sequence(F.lit(0), F.col(HOT) - 1))
+                        .otherwise(F.array(F.lit(0))))
     ).drop(HOT)
     return b.join(s, [*keys, SALT], how).drop(SALT)

@@ -41,6 +41,10 @@ def test_hot_patient_is_salted(spark, sf_dir):
         for how in ("inner", "left", "left_semi", "left_anti"):
             j = skew_join(o, dim, "patient_id", how, max_hot_keys=5, min_rows=50, salts=8)
             assert _rows(j) == _rows(o.join(dim, "patient_id", how)), how
+        # sub-keys sized from the hot key's row count
+        for how in ("inner", "left_anti"):
+            j = skew_join(o, dim, "patient_id", how, max_hot_keys=5, min_rows=50, rows_per_salt=40)
+            assert _rows(j) == _rows(o.join(dim, "patient_id", how)), how
         j = skew_join(o, dim, "patient_id", "inner", max_hot_keys=5, min_rows=50, salts=8)
         j.write.format("noop").mode("overwrite").save()
         plan = j._jdf.queryExecution().executedPlan().toString()
