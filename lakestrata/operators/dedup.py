@@ -89,7 +89,7 @@ def duplicate_rank(
     """
     from lakestrata.operators.joins import skew_join
 
-    from lakestrata.session import ship_package
+    from lakestrata.session import scratch_dir, ship_package
 
     ship_package(df.sparkSession)
     dup = duplicate_keys(df, keys).select(*keys)
@@ -121,7 +121,14 @@ def duplicate_rank(
             prev_hash = h[-1]
             yield pdf.assign(_pid=pid, _local_rank=rank.astype("int64"))
 
-    local = ranged.mapInPandas(number, _rank_schema(rows))
+    # The numbered rows feed two branches (per-partition counts and the rows
+    # themselves); each branch would otherwise sample its own range bounds,
+    # so partition ids could disagree. They are written once to the shared
+    # folder (survives executor loss) and both branches read that table.
+    spark = df.sparkSession
+    path = scratch_dir(spark, "dup-rank")
+    ranged.mapInPandas(number, _rank_schema(rows)).write.mode("overwrite").parquet(path)
+    local = spark.read.parquet(path)
     counts = local.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
