@@ -16,9 +16,14 @@ RUNS_AS_OF = "2001-08-01 12:00:00"
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "lakestrata") -> SparkSession:
     """Local/test session with AQE on and the UI off.
 
-    On a cluster the session comes from the launcher; only conf keys that are
-    unset there are filled in here.
+    On a cluster the session comes from the launcher: when a session is
+    active and no master is given, it is returned unchanged.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None and master is None:
+        # the launcher's session (cluster): keep its partitioning and AQE settings
+        ship_package(active)
+        return active
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
