@@ -46,8 +46,9 @@ def null_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Fact rows whose non-NULL key has no dimension row (R2).
 
-    ``left_anti`` through ``skew_join``: a fact key holding a large share of
-    the rows is checked map-side against the broadcast dimension keys.
+    ``left_anti`` through ``skew_join``: the rows of a fact key holding a
+    large share of the rows are salted over sub-keys, so no task gets all
+    of them.
     """
     from lakestrata.operators.joins import skew_join
 

@@ -3,9 +3,9 @@
 Plans are written so that the heavy side is reduced before it is joined:
 per-patient observation aggregates are computed first and then joined
 (G5, G8, G9). Where the grouping needs patient attributes and raw values
-(G6: percentiles), the join comes first and hot patients are isolated
-and joined by broadcast (``skew_join``). Scalar inputs such as the patient total (G7) are scalar
-subqueries, not joins.
+(G6: percentiles), the join comes first and the rows of hot patients are
+salted over sub-keys (``skew_join``). Scalar inputs such as the patient
+total (G7) are scalar subqueries, not joins.
 """
 
 from __future__ import annotations
@@ -176,7 +176,7 @@ def vital_signs(obs: DataFrame, pat: DataFrame, as_of: str | None = None, accura
     v = obs.filter((F.col("category") == "vital-signs") & F.col("observation_value").isNotNull())
     dim = _patient_dim(pat, ["GENDER"], as_of, "age")
     # raw values are needed for the percentiles, so this join cannot be
-    # pre-aggregated: hot patients are joined by broadcast (skew_join)
+    # pre-aggregated: rows of hot patients are salted over sub-keys (skew_join)
     j = skew_join(v, dim, "patient_id", "inner").withColumn("age_group", age_band(F.col("age"), null_band))
     x = F.col("observation_value")
     keys = ["GENDER", "age_group", "observation_code", "observation_description", "units"]
