@@ -213,10 +213,10 @@ def headers_by_file(spark: SparkSession, path: str | Sequence[str], glob: str |
                 yield pd.DataFrame({"header": [_first_line(p) for p in pdf["file_path"]],
                                     "file_path": pdf["file_path"].values})
 
-        # spread the per-file opens over the cluster (a scan packs many small
-        # files into one partition); the shuffle moves only file names
-        parallel = max(1, spark.sparkContext.defaultParallelism)
-        firsts = listed.repartition(parallel).mapInPandas(heads, "header string, file_path string")
+        # no shuffle needed to spread the opens: the scan packs at most about
+        # maxPartitionBytes / openCostInBytes (32 by default) small files
+        # into one task
+        firsts = listed.mapInPandas(heads, "header string, file_path string")
     else:
         t = spark.read.format("text")
         if glob:
