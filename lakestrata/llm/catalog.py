@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import packing, quality_rules, token_counts
+from lakestrata.llm import license_scan, line_dedup, packing, quality_rules, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_token_counts": token_counts.query,
     "op3_best_fit_packing": packing.query,
+    "op4_license_scan": license_scan.query,
+    "op6_line_dedup": line_dedup.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_license_scan": license_scan.sql(),
+    "op6_line_dedup": line_dedup.sql(),
+}
