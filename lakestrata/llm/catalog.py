@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import license_scan, line_dedup, packing, quality_rules, token_counts
+from lakestrata.llm import decontamination, license_scan, line_dedup, packing, quality_rules, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_best_fit_packing": packing.query,
     "op4_license_scan": license_scan.query,
     "op6_line_dedup": line_dedup.query,
+    "op9_decontamination": decontamination.query,
 }
 
 SQL: dict[str, str] = {

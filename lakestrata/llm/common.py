@@ -155,3 +155,31 @@ def spans(lengths: np.ndarray) -> np.ndarray:
     """0 .. l-1 for each l, one after the other."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def annotated(docs: DataFrame, text_col: str, name: str, fields: str, fn, limit: int = SLICE_BYTES) -> DataFrame:
+    """``docs`` with one more struct column that ``fn(texts) -> arrays`` computes in Arrow batches.
+
+    Every column of ``docs`` passes through unchanged; ``fn`` gets the texts of
+    a slice without nulls and returns one array for each field.
+    """
+    from pyspark.sql import types as T
+
+    kind = T.StructType.fromDDL(fields)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+    names = [f.name for f in kind.fields]
+
+    def run(batches):
+        for part in slices(batches, text_col, limit):
+            got = pa.StructArray.from_arrays(fn(text_of(part, text_col)), names=names)
+            yield pa.RecordBatch.from_arrays([*part.columns, got], names=[*part.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
