@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import decontamination, license_scan, line_dedup, packing, quality_rules, token_counts
+from lakestrata.llm import decontamination, language_id, license_scan, line_dedup, packing, quality_rules, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_token_counts": token_counts.query,
     "op3_best_fit_packing": packing.query,
     "op4_license_scan": license_scan.query,
+    "op5_language_id": language_id.query,
     "op6_line_dedup": line_dedup.query,
     "op9_decontamination": decontamination.query,
 }
 
 SQL: dict[str, str] = {
     "op4_license_scan": license_scan.sql(),
+    "op5_language_id": language_id.query,
     "op6_line_dedup": line_dedup.sql(),
 }
