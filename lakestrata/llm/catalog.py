@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import decontamination, language_id, license_scan, line_dedup, packing, quality_rules, simhash, token_counts
+from lakestrata.llm import decontamination, language_id, lattice_lm, license_scan, line_dedup, packing, quality_rules, simhash, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_language_id": language_id.query,
     "op6_line_dedup": line_dedup.query,
     "op7_simhash": simhash.query,
+    "op8_lattice_lm": lattice_lm.query,
     "op9_decontamination": decontamination.query,
 }
 
