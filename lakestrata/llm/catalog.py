@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import decontamination, language_id, lattice_lm, license_scan, line_dedup, packing, quality_rules, simhash, token_counts
+from lakestrata.llm import decontamination, language_id, lattice_lm, license_scan, line_dedup, packing, quality_rules, simhash, substring_dedup, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_simhash": simhash.query,
     "op8_lattice_lm": lattice_lm.query,
     "op9_decontamination": decontamination.query,
+    "op10_substring_dedup": substring_dedup.query,
 }
 
 SQL: dict[str, str] = {
