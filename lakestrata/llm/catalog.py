@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from lakestrata.llm import decontamination, language_id, lattice_lm, license_scan, line_dedup, packing, quality_rules, simhash, substring_dedup, token_counts
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_lattice_lm": lattice_lm.query,
     "op9_decontamination": decontamination.query,
     "op10_substring_dedup": substring_dedup.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
@@ -22,3 +24,6 @@ SQL: dict[str, str] = {
     "op5_language_id": language_id.query,
     "op6_line_dedup": line_dedup.sql(),
 }
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

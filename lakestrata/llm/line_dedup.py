@@ -91,30 +91,34 @@ def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = M
 
 
 def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with the kept text in ``text_col``, and n_lines, n_removed, n_runs in ``_dedup``."""
+               text_col: str = "text") -> tuple[DataFrame, str]:
+    """All columns of ``docs`` with the kept text, a struct of n_lines, n_removed and n_runs, and that struct's name."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    gone = later_copies(slim, min_lines, min_words).select(
-        F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("gone").alias("_gone"))
-    row = docs.withColumn("_key", F.xxhash64(F.col(text_col)))
+    name, key, gone, other_id, other_key = (
+        C.fresh(docs, x) for x in ("line_dedup", "line_key", "line_gone", "line_id", "line_other"))
+    later = later_copies(slim, min_lines, min_words).select(
+        F.col("id").alias(other_id), F.col("h").alias(other_key), F.col("gone").alias(gone))
     text = F.col(text_col)
-    joined = row.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left")
-    at = _let(_numbered(text), lambda n: F.transform("_gone", lambda p: n[p]["at"]))
+    joined = docs.withColumn(key, F.xxhash64(text_col)).join(
+        later.hint("shuffle_hash"),
+        F.col(id_col).eqNullSafe(F.col(other_id)) & (F.col(key) == F.col(other_key)), "left")
+    at = _let(_numbered(text), lambda n: F.transform(gone, lambda p: n[p]["at"]))
     left = _let(F.split(text, "\n"), lambda s: F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(s) - 1), at), lambda i: s[i]))
     kept = _let(left, lambda s: F.when(F.exists(s, lambda x: x.rlike(WORD)), F.array_join(s, "\n")).otherwise(F.lit("")))
-    starts = F.size(F.filter("_gone", lambda p, i: (i == 0) | (F.element_at("_gone", F.greatest(i, F.lit(1))) != p - 1)))
+    starts = F.size(F.filter(gone, lambda p, i: (i == 0) | (F.element_at(gone, F.greatest(i, F.lit(1))) != p - 1)))
+    none = F.col(gone).isNull()
     info = F.struct(
         F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(starts).cast("long").alias("n_runs"))
-    out = [F.when(F.col("_gone").isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return joined.select(*out, info.alias("_dedup"))
+        F.when(none, 0).otherwise(F.size(gone)).cast("long").alias("n_removed"),
+        F.when(none, 0).otherwise(starts).cast("long").alias("n_runs"))
+    out = [F.when(none, text).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    return joined.select(*out, info.alias(name)), name
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    out = line_dedup(C.documents(spark, sf_dir).select("doc_id", "text"))
-    return out.select("doc_id", "_dedup.n_lines", "_dedup.n_removed", "_dedup.n_runs",
+    out, name = line_dedup(C.documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", f"{name}.n_lines", f"{name}.n_removed", f"{name}.n_runs",
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
