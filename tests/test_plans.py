@@ -11,9 +11,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
 
 def _plan_keys():
-    import __spark_entry__ as E
+    from lakestrata.registry import REGISTRY
 
-    return [k for k in E.queries() if not k.startswith(IO_PREFIXES)]
+    return [k for k in REGISTRY if not k.startswith(IO_PREFIXES)]
 
 
 @pytest.mark.parametrize("key", _plan_keys())
