@@ -30,7 +30,7 @@ HEADLINE = [
     "gold_vital_signs",
     "gold_observation_types",
     "gold_risk_indicators",
-    "gold_patient360",
+    "gold_patient_overview",
     "expectation_metrics",
     "alerts",
     "duplicate_rank",

@@ -19,7 +19,7 @@ from lakestrata.operators import quality as Q
 from lakestrata.plans import fixtures as X
 from lakestrata.plans import gold as G
 from lakestrata.plans import silver as V
-from lakestrata.session import AS_OF, RUNS_AS_OF, ship_package
+from lakestrata.session import AS_OF, RUNS_AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -27,13 +27,7 @@ REGISTRY: dict[str, Query] = {}
 
 def register(key: str):
     def deco(fn: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
-            return fn(spark, sf_dir)
-
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        REGISTRY[key] = run
+        REGISTRY[key] = fn
         return fn
 
     return deco
@@ -63,16 +57,25 @@ def obs(spark, d):
     return V.silver_observations_typed(X.obs_raw(spark, d), date_col="obs_ts")
 
 
-def pat_pipeline(spark, d):
+def pat_unchecked(spark, d):
     return V.silver_patients(X.pat_raw(spark, d), AS_OF)
 
 
+def checked(silver: DataFrame, table: str) -> DataFrame:
+    """The silver rule set of a table; rows that break a fail rule are set aside (the stop itself is tested on its own)."""
+    return E.expect(silver, E.quarantined(E.catalogue(table, AS_OF)))
+
+
+def pat_pipeline(spark, d):
+    return checked(pat_unchecked(spark, d), "silver_patients")
+
+
 def org_silver(spark, d):
-    return V.silver_organizations(X.org_raw(spark, d))
+    return checked(V.silver_organizations(X.org_raw(spark, d)), "silver_organizations")
 
 
 def obs_pipeline(spark, d):
-    return V.silver_observations(X.obs_raw(spark, d), date_col="obs_ts")
+    return checked(V.silver_observations(X.obs_raw(spark, d), date_col="obs_ts"), "silver_observations")
 
 
 def _no_stamps(df: DataFrame) -> DataFrame:
@@ -158,18 +161,18 @@ def q_g8(spark, d):
     return G.risk_indicators(obs(spark, d), pat(spark, d), AS_OF)
 
 
-def _p360(spark, d):
-    return G.patient360(obs(spark, d), pat(spark, d), X.pat_org(spark, d), org_silver(spark, d))
+def _overview(spark, d):
+    return G.patient_overview(obs(spark, d), pat(spark, d), X.pat_org(spark, d), org_silver(spark, d))
 
 
-@register("gold_patient360")
+@register("gold_patient_overview")
 def q_g9(spark, d):
-    return _p360(spark, d)
+    return _overview(spark, d)
 
 
 @register("org_rollup")
 def q_g10(spark, d):
-    return G.org_rollup(_p360(spark, d))
+    return G.org_rollup(_overview(spark, d))
 
 
 @register("verify_demographics")

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakestrata.catalog import _p360, obs, obs_raw, org_raw, pat, pat_pipeline, pat_raw, register
+from lakestrata.catalog import _overview, obs, obs_pipeline, obs_raw, org_raw, org_silver, pat, pat_pipeline, pat_raw, register
 from lakestrata.functions import scalars as S
 from lakestrata.operators import dedup as W
 from lakestrata.operators.joins import skew_join
+from lakestrata.operators.quantiles import group_quantiles
 from lakestrata.operators import quality as Q
 from lakestrata.plans import fixtures as X
 from lakestrata.plans import gold as G
@@ -225,7 +226,7 @@ def q_p6(spark, d):
 
 @register("filter_threshold")
 def q_p7(spark, d):
-    return _p360(spark, d).filter(F.col("total_observations") > 20)
+    return _overview(spark, d).filter(F.col("total_observations") > 20)
 
 
 @register("case_banding")
@@ -330,11 +331,7 @@ def q_a8(spark, d):
 @register("agg_percentile")
 def q_a9(spark, d):
     li = _lineitem(spark, d, ["l_linestatus", "l_extendedprice"])
-    x = F.col("l_extendedprice")
-    acc = G.PERCENTILE_ACCURACY
-    q = F.col("_q")  # one sketch per group serves all three percentiles
-    return li.groupBy("l_linestatus").agg(F.percentile_approx(x, [0.25, 0.5, 0.75], acc).alias("_q")).select(
-        "l_linestatus", q[0].alias("p25"), q[1].alias("median"), q[2].alias("p75"))
+    return group_quantiles(li, ["l_linestatus"], "l_extendedprice", {"p25": 0.25, "median": 0.5, "p75": 0.75})
 
 
 @register("agg_first")
@@ -408,7 +405,7 @@ def q_j2(spark, d):
 def q_j3(spark, d):
     raw = pat_raw(spark, d)
     dups = W.duplicate_keys(raw, ["Id"]).select("Id")
-    return raw.join(dups, "Id", "left_semi").select("Id", "source_file", "MARITAL")
+    return skew_join(raw.select("Id", "source_file", "MARITAL"), dups, "Id", "left_semi")
 
 
 # --- W: windows --------------------------------------------------------------
@@ -455,7 +452,7 @@ def q_l1(spark, d):
 
 @register("top_k")
 def q_l2(spark, d):
-    return Q.top_k(_p360(spark, d), 10, [F.desc("total_observations")], [F.asc("patient_id")])
+    return Q.top_k(_overview(spark, d), 10, [F.desc("total_observations")], [F.asc("patient_id")])
 
 
 @register("limit_sample")
@@ -469,8 +466,8 @@ def q_l3(spark, d):
 @register("union_all_metrics")
 def q_u1(spark, d):
     p = pat_pipeline(spark, d)
-    o = V.silver_organizations(X.org_raw(spark, d))
-    b = V.silver_observations(X.obs_raw(spark, d), date_col="obs_ts")
+    o = org_silver(spark, d)
+    b = obs_pipeline(spark, d)
 
     def m(df, entity, key):
         return df.agg(
@@ -489,6 +486,5 @@ def q_u2(spark, d):
 
 @register("schema_diff")
 def q_u3(spark, d):
-    types = {"observation_value": "double", "missing_date": "bigint"}
-    expected = [(c, types.get(c)) for c in V.OBSERVATION_TYPED_COLUMNS if c != "units"] + [("source_file", "string")]
-    return Q.schema_diff(obs(spark, d), expected)
+    declared = {"Id": "string", "BIRTHDATE": "date", "LAT": "double", "INCOME": "int", "FAX": "string"}
+    return Q.schema_diff(pat_raw(spark, d).select("Id", "BIRTHDATE", "GENDER", "LAT", "INCOME"), declared)

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.catalog import obs, obs_raw, org_raw, org_silver, pat, pat_pipeline, pat_raw, register
+from lakestrata.catalog import checked, obs, obs_pipeline, obs_raw, org_raw, org_silver, pat, pat_pipeline, pat_raw, register
 from lakestrata.operators import expectations as E
 from lakestrata.plans import bronze as B
 from lakestrata.plans import silver as V
@@ -45,10 +45,8 @@ def _pat_csv(spark, d, root: str, snaps=(1, 2, 3), drift: bool = False) -> None:
         SF.write_csv(part, f"{root}/patients{s}")
 
 
-def _obs_csv(spark, d, root: str, which=(1, 2), clean: bool = False, date_name: str = "obs_ts") -> None:
+def _obs_csv(spark, d, root: str, which=(1, 2), date_name: str = "obs_ts") -> None:
     raw = obs_raw(spark, d)
-    if clean:
-        raw = raw.filter(F.col("PATIENT").isNotNull())
     cols = [c for c in raw.columns if c not in LINEAGE and c != "_rescued_data"]
     for w in which:
         part = raw.filter(F.col("source_file") == f"observations{w}.csv").select(*cols)
@@ -198,10 +196,9 @@ def q_k4(spark, d):
     TB.write_table(pat_raw(spark, d), f"{db}.patients")
 
     def build():
-        rules = E.catalogue("silver_patients", AS_OF)
-        return E.expect(V.silver_patients(spark.table(f"{db}.patients"), AS_OF), rules)
+        return V.silver_patients(spark.table(f"{db}.patients"), AS_OF)
 
-    return TB.materialized_table(spark, f"{db}.patients_silver", build)
+    return TB.materialized_table(spark, f"{db}.patients_silver", build, rules=E.catalogue("silver_patients", AS_OF))
 
 
 @register("guarded_write")
@@ -217,8 +214,8 @@ def q_k5(spark, d):
 def q_k6(spark, d):
     db = _fresh_schema(spark, "silver")
     name = f"{db}.patients"
-    TB.write_table(pat(spark, d).drop("processing_timestamp", "processing_date").repartition(8), name)
-    TB.compact(spark, name, 2, ["STATE"])
+    TB.write_table(pat(spark, d).drop("processing_timestamp", "processing_date"), name)
+    TB.compact(spark, name, cluster_by=["STATE"])
     return spark.table(name)
 
 
@@ -245,7 +242,7 @@ def q_k9a(spark, d):
     db = _fresh_schema(spark, "silver")
     TB.write_table(pat_pipeline(spark, d), f"{db}.patients")
     TB.write_table(org_silver(spark, d), f"{db}.organizations")
-    TB.write_table(V.silver_observations(obs_raw(spark, d), date_col="obs_ts"), f"{db}.observations")
+    TB.write_table(obs_pipeline(spark, d), f"{db}.observations")
     names = [r["tableName"] for r in TB.layer_tables(spark, db).collect()]  # table names only
     counts = [spark.table(f"{db}.{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for n in names]
     out = counts[0]
@@ -289,9 +286,9 @@ def q_b2(spark, d):
 @register("bronze_observations_stream")
 def q_b3(spark, d):
     root = scratch_dir(spark, "b3")
-    _obs_csv(spark, d, f"{root}/in", clean=True, date_name="DATE")
+    _obs_csv(spark, d, f"{root}/in", date_name="DATE")
     B.bronze(spark, B.OBSERVATIONS, f"{root}/in/observations*", f"{root}/out", f"{root}/ck", AS_OF,
-             f"{root}/metrics", glob="*.csv")
+             f"{root}/metrics", glob="*.csv", quarantine=True)
     return _bronze_out(spark, f"{root}/out")
 
 
@@ -338,7 +335,8 @@ def q_st2(spark, d):
     _org_csv(spark, d, f"{root}/in", split=True)
     ST.ingest_available(spark, f"{root}/in/organizations*", "*.csv", f"{root}/bronze", f"{root}/ck1",
                         schema_location=f"{root}/schema", infer_types=True, as_of=AS_OF)
-    ST.transform_stream(spark, f"{root}/bronze", V.silver_organizations, f"{root}/silver", f"{root}/ck2")
+    ST.transform_stream(spark, f"{root}/bronze", V.silver_organizations, f"{root}/silver", f"{root}/ck2",
+                        rules=E.catalogue("silver_organizations", AS_OF))
     return spark.read.parquet(f"{root}/silver").drop("silver_timestamp")
 
 
@@ -388,6 +386,6 @@ def q_st5(spark, d):
     for w in (1, 2):
         _obs_csv(spark, d, f"{root}/in", which=(w,))
         s = SF.with_lineage(SF.stream_csv(spark, f"{root}/in/observations*", "*.csv", schema=schema), as_of=AS_OF)
-        silver = V.silver_observations(s, date_col="obs_ts")
+        silver = checked(V.silver_observations(s, date_col="obs_ts"), "silver_observations")
         ST.refresh_groups(silver, ["patient_id"], _activity, f"{root}/silver", f"{root}/gold", f"{root}/ck", buckets=16)
     return ST.read_bucketed(spark, f"{root}/gold")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakestrata.catalog import obs, obs_pipeline, obs_raw, org_raw, org_silver, pat, pat_pipeline, pat_raw, register
+from lakestrata.catalog import obs, obs_pipeline, obs_raw, org_raw, org_silver, pat, pat_pipeline, pat_raw, pat_unchecked, register
 from lakestrata.operators import expectations as E
 from lakestrata.operators import quality as Q
 from lakestrata.plans import fixtures as X
@@ -31,8 +31,7 @@ def _bronze_metrics(spark, d):
 
 @register("expect_or_fail")
 def q_e1(spark, d):
-    clean = pat_raw(spark, d).filter(F.col("Id").isNotNull())
-    return E.expect(clean, E.catalogue("bronze_patients", AS_OF, ("fail",))).select("Id", "source_file", "GENDER")
+    return E.expect(pat_raw(spark, d), E.catalogue("bronze_patients", AS_OF, ("fail",))).select("Id", "source_file", "GENDER")
 
 
 @register("expect_or_drop")
@@ -48,7 +47,7 @@ def q_e3(spark, d):
 
 @register("expect_all")
 def q_e4(spark, d):
-    return E.expectation_metrics(pat_pipeline(spark, d), E.catalogue("silver_patients", AS_OF, ("warn",)), "silver_patients")
+    return E.expectation_metrics(pat_unchecked(spark, d), E.catalogue("silver_patients", AS_OF, ("warn",)), "silver_patients")
 
 
 @register("expectation_metrics")
@@ -157,10 +156,11 @@ def q_m10(spark, d):
     # silver is computed from the rows that pass the drop rules
     from lakestrata.plans import silver as V
 
-    p_silver = V.silver_patients(E.expect(pr, prules), AS_OF)
+    srules = E.quarantined(E.catalogue("silver_patients", AS_OF))
+    p_latest = V.silver_patients(E.expect(pr, prules), AS_OF)
     o_silver = V.silver_organizations(E.expect(orr, orules))
     return Q.stack_metrics(
-        M.reconcile("Patients", pr, p_silver, E.rejects(pr, prules)),
+        M.reconcile("Patients", pr, E.expect(p_latest, srules), E.rejects(pr, prules), E.rejects(p_latest, srules)),
         M.reconcile("Organizations", orr, o_silver, E.rejects(orr, orules)),
     )
 

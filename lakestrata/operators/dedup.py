@@ -6,19 +6,15 @@ so a key holding a third of all rows is cut to one row per map partition
 before it is exchanged.
 
 ``duplicate_rank`` numbers every copy of a duplicated key without sending
-a whole key group to one task: rows are range-partitioned on (key, order),
-numbered inside each partition, and each partition's start offset per key
-comes from a small per-(partition, key) count table.
+a whole key group to one task, with JVM functions only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakestrata.functions.scalars import ratio
 
@@ -68,13 +64,6 @@ def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def _rank_schema(df: DataFrame) -> T.StructType:
-    return T.StructType(
-        list(df.schema.fields)
-        + [T.StructField("_pid", T.IntegerType(), False), T.StructField("_local_rank", T.LongType(), False)]
-    )
-
-
 def duplicate_rank(
     df: DataFrame,
     keys: Sequence[str],
@@ -84,53 +73,25 @@ def duplicate_rank(
 ) -> DataFrame:
     """All copies of duplicated keys with their 1-based rank under ``order``.
 
-    Skew-safe: a hot key is split across range partitions instead of being
-    handed to a single window task.
+    Ties are ranked by a hash of the whole row, so only equal rows can swap.
+    Skew-safe: rows are range-partitioned on (key, order, row hash), so even a
+    hot key whose rows all tie spans many partitions; the numbered partitions
+    are written once, and each (partition, key) start offset comes from a
+    small count table.
     """
     from lakestrata.operators.joins import skew_join
+    from lakestrata.session import scratch_table
 
-    from lakestrata.session import scratch_dir, ship_package
-
-    ship_package(df.sparkSession)
+    row, pid = "_row_hash", "_pid"
     dup = duplicate_keys(df, keys).select(*keys)
     rows = skew_join(df, dup, list(keys), "left_semi")
+    rows = rows.withColumn(row, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(n, *_cols(keys), *order).sortWithinPartitions(*_cols(keys), *order)
-    key_list = list(keys)
-
-    def number(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        prev_hash, carried = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            h = pd.util.hash_pandas_object(pdf[key_list], index=False).to_numpy()
-            hs = pd.Series(h)
-            change = hs.ne(hs.shift())
-            if prev_hash is not None and h[0] == prev_hash:
-                change.iloc[0] = False
-            gid = change.cumsum()
-            rank = hs.groupby(gid).cumcount().to_numpy() + 1
-            first = gid == gid.iloc[0]
-            if not change.iloc[0]:
-                rank[first.to_numpy()] += carried
-            last = gid == gid.iloc[-1]
-            carried = int(rank[last.to_numpy()][-1])
-            prev_hash = h[-1]
-            yield pdf.assign(_pid=pid, _local_rank=rank.astype("int64"))
-
-    # The numbered rows feed two branches (per-partition counts and the rows
-    # themselves); each branch would otherwise sample its own range bounds,
-    # so partition ids could disagree. They are written once to the shared
-    # folder (survives executor loss) and both branches read that table.
-    spark = df.sparkSession
-    path = scratch_dir(spark, "dup-rank")
-    ranged.mapInPandas(number, _rank_schema(rows)).write.mode("overwrite").parquet(path)
-    local = spark.read.parquet(path)
-    counts = local.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    ranked = local.join(offsets, ["_pid", *keys], "inner")
-    return ranked.withColumn(rank_col, F.col("_local_rank") + F.col("_offset")).drop("_pid", "_local_rank", "_offset")
+    # both branches below must see the same range bounds
+    ranged = scratch_table(rows.repartitionByRange(n, *_cols(keys), *order, row).withColumn(pid, F.spark_partition_id()), "dup-rank")
+    counts = ranged.groupBy(pid, *keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    local = F.row_number().over(Window.partitionBy(pid, *keys).orderBy(*order, row))
+    ranked = ranged.withColumn("_local", local).join(offsets, [pid, *keys], "inner")
+    return ranked.withColumn(rank_col, F.col("_local") + F.col("_offset")).drop(pid, row, "_local", "_offset")

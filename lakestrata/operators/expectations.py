@@ -44,6 +44,11 @@ def rules_from(fail: Mapping[str, str] | None = None, drop: Mapping[str, str] |
     return out
 
 
+def quarantined(rules: Sequence[Rule]) -> list[Rule]:
+    """The same rules with fail rules as drop rules: breakers are set aside (``rejects``) instead of stopping the run."""
+    return [Rule(r.name, r.predicate, "drop") if r.tier == "fail" else r for r in rules]
+
+
 def _tier(rules: Iterable[Rule], tier: str) -> list[Rule]:
     return [r for r in rules if r.tier == tier]
 

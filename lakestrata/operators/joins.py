@@ -1,23 +1,23 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-AQE splits a skewed join partition only when both inputs come straight
-from a shuffle. A dimension already partitioned on the key (for example
-the output of a dedup window on that key) is joined without a new shuffle,
-so AQE cannot split a hot key there: a key with a third of the fact rows
-would be a single task.
+AQE splits a skewed join partition only when both inputs come straight from a
+shuffle. A dimension already partitioned on the key (for example the output of
+a dedup window on that key) is joined without a new shuffle, so AQE cannot
+split a hot key there: a key with a third of the fact rows would be one task.
 
-``skew_join`` salts the hot keys instead. Hot keys are the (at most
-``max_hot_keys``) most frequent keys with at least ``min_rows`` rows; a
-top-k is a proven size bound, so the set is broadcast. Fact rows of a hot
-key are spread over sub-keys by a hash of the row; the number of sub-keys
-of a key grows with its row count (about ``rows_per_salt`` rows each), so
-a key holding a third of 100 TB is cut as finely as one holding a third of
-1 GB; ``salts`` fixes the number instead. Dimension rows of a hot key are
-replicated once per sub-key (in total about rows of hot keys /
-``rows_per_salt`` extra rows); all other rows keep sub-key 0. The join on
-(key, sub-key) then has no partition larger than about ``rows_per_salt``
-rows of a hot key. Results equal the plain join for inner, left, semi and
-anti joins. Cost: one extra partial aggregation over the fact side.
+``skew_join`` salts hot keys instead. A key is hot when it has more than
+``rows_per_salt`` rows, which is what one task should take; there is no fixed
+number of hot keys. Fact rows of a hot key go round robin over its sub-keys,
+one for each ``rows_per_salt`` rows, so equal rows are spread as well;
+dimension rows of a hot key are repeated once for each sub-key. Fact rows with
+a NULL key match nothing and go round robin too. The join on (key, sub-key)
+then has no group larger than about ``rows_per_salt`` fact rows. Results equal
+the plain join for inner, left, semi and anti joins.
+
+The fact side is written once to the shared folder, because its rows feed both
+the key counts and the join. The table of hot keys has at most rows /
+``rows_per_salt`` rows; it is broadcast only while that count is within
+``broadcast_keys``, and joined through repeated copies of itself beyond.
 """
 
 from __future__ import annotations
@@ -27,40 +27,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestrata.session import scratch_table
+
 SUPPORTED = ("inner", "left", "left_semi", "left_anti")
 SALT = "_salt"
 HOT = "_hot"
+#: Sub-keys for NULL keys, and copies of the hot-key table where it is not broadcast.
+SPREAD = 64
 
 
-def hot_keys(big: DataFrame, keys: Sequence[str], max_hot_keys: int = 1000, min_rows: int = 100_000,
-             with_counts: bool = False) -> DataFrame:
-    """The ``max_hot_keys`` most frequent non-NULL keys having at least
-    ``min_rows`` rows (with their row count ``_n`` if ``with_counts``)."""
-    keys = list(keys)
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cond = F.col("_n") >= min_rows
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    top = counts.filter(cond).orderBy(F.desc("_n"), *keys).limit(max_hot_keys)
-    return top.select(*keys, "_n") if with_counts else top.select(*keys)
+def hot_keys(big: DataFrame, keys: Sequence[str], rows_per_salt: int = 500_000) -> DataFrame:
+    """Non-NULL keys with more than ``rows_per_salt`` rows and their number of sub-keys (``_hot``)."""
+    counts = big.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > rows_per_salt).select(
+        *keys, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias(HOT))
 
 
 def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str] | str, how: str = "inner",
-              max_hot_keys: int = 1000, min_rows: int = 100_000, salts: int | None = None,
-              rows_per_salt: int = 500_000) -> DataFrame:
+              rows_per_salt: int = 500_000, broadcast_keys: int = 100_000) -> DataFrame:
     """``big.join(small, keys, how)`` with the hot keys of ``big`` salted."""
     if how not in SUPPORTED:
         raise ValueError(f"skew_join supports {SUPPORTED}, not {how!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n_salts = (F.lit(salts) if salts else F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_salt))))
-    hot = F.broadcast(hot_keys(big, keys, max_hot_keys, min_rows, with_counts=True)
-                      .select(*keys, n_salts.cast("int").alias(HOT)))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
-    b = big.join(hot, keys, "left").withColumn(
-        SALT, F.when(F.col(HOT).isNotNull(), F.pmod(row_hash, F.col(HOT))).otherwise(F.lit(0)).cast("int")
-    ).drop(HOT)
+    big = scratch_table(big, "skew-join")
+    hot = scratch_table(hot_keys(big, keys, rows_per_salt), "hot-keys")
+    turn = F.monotonically_increasing_id()
+    if hot.count() <= broadcast_keys:
+        b = big.withColumn("_turn", turn).join(F.broadcast(hot), keys, "left")
+    else:
+        copies = hot.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+        b = (big.withColumn("_turn", turn).withColumn("_copy", F.pmod("_turn", F.lit(SPREAD)).cast("int"))
+             .join(copies, [*keys, "_copy"], "left").drop("_copy"))
+    null_key = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    b = b.withColumn(SALT, F.when(null_key, F.pmod("_turn", F.lit(SPREAD)))
+                     .otherwise(F.pmod("_turn", F.coalesce(F.col(HOT), F.lit(1)))).cast("int")).drop(HOT, "_turn")
     s = small.join(hot, keys, "left").withColumn(
-        SALT, F.explode(F.when(F.col(HOT).isNotNull(), F.sequence(F.lit(0), F.col(HOT) - 1))
-                        .otherwise(F.array(F.lit(0))))
-    ).drop(HOT)
+        SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(HOT), F.lit(1)) - 1))).drop(HOT)
     return b.join(s, [*keys, SALT], how).drop(SALT)

@@ -8,7 +8,7 @@ nothing but the final report is small enough to look at on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,27 +71,29 @@ def verify_ingest(df: DataFrame, key: str, file_col: str = "source_file", time_c
     )
 
 
-def schema_diff(df: DataFrame, expected: Sequence[tuple[str, str]] | Sequence[str]) -> DataFrame:
-    """Missing, extra and type-changed columns against an expected list.
+def schema_diff(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """Columns and their values against a declared schema.
 
-    ``expected`` is names, or (name, simpleString type) pairs. The result has
-    one row per column: column_name, expected_type, actual_type, status.
-    The inputs are schema metadata, a handful of rows.
+    ``expected`` maps names to types. One row per column: column_name,
+    expected_type, actual_type, value_count (non-NULL values), misfit_count
+    (values that do not cast to the declared type) and status: MISSING, EXTRA,
+    OK, CASTABLE (another type, but every value fits) or TYPE_CHANGED. All
+    counts come from one aggregate over the table.
     """
-    spark = df.sparkSession
-    exp = [(e, None) if isinstance(e, str) else (e[0], e[1]) for e in expected]
-    act = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    e_df = spark.createDataFrame(exp, "column_name string, expected_type string")
-    a_df = spark.createDataFrame(act, "column_name string, actual_type string")
-    j = e_df.join(a_df, "column_name", "full_outer")
-    names = [n for n, _ in exp]
-    status = (
-        F.when(F.col("actual_type").isNull(), F.lit("MISSING"))
-        .when(~F.col("column_name").isin(names), F.lit("EXTRA"))
-        .when(F.col("expected_type").isNull() | (F.col("expected_type") == F.col("actual_type")), F.lit("OK"))
-        .otherwise(F.lit("TYPE_CHANGED"))
-    )
-    return j.select("column_name", "expected_type", "actual_type", status.alias("status"))
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = [*expected, *(c for c in actual if c not in expected)]
+    aggs, rows = [], []
+    for i, name in enumerate(names):
+        want, have = expected.get(name), actual.get(name)
+        col = F.col(f"`{name}`") if have else F.lit(None)
+        misfit = F.lit(0) if not (want and have) or want == have else F.when(col.isNotNull() & col.try_cast(want).isNull(), 1).otherwise(0)
+        aggs += [F.count(col).alias(f"_v{i}"), F.coalesce(F.sum(misfit), F.lit(0)).cast("long").alias(f"_m{i}")]
+        changed = F.when(F.col(f"_m{i}") > 0, "TYPE_CHANGED").otherwise("CASTABLE")
+        status = (F.lit("MISSING") if have is None else F.lit("EXTRA") if want is None else F.lit("OK") if want == have else changed)
+        rows.append(F.struct(F.lit(name).alias("column_name"), F.lit(want).cast("string").alias("expected_type"),
+                             F.lit(have).cast("string").alias("actual_type"), F.col(f"_v{i}").alias("value_count"),
+                             F.col(f"_m{i}").alias("misfit_count"), status.alias("status")))
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def stack_metrics(*dfs: DataFrame) -> DataFrame:

@@ -197,7 +197,52 @@ FROM (
 ) t
 """
 
-CTE["pat_pipeline"] = f"""
+# DuckDB forms of the rule catalogue at the fixed clock (tier, name, predicate).
+DUCK_RULES: dict[str, list[tuple[str, str, str]]] = {
+    "bronze_patients": [
+        ("fail", "valid_patient_id", "Id IS NOT NULL"),
+        ("drop", "valid_birthdate", "BIRTHDATE IS NOT NULL"),
+        ("drop", "valid_gender", "GENDER IN ('M', 'F')"),
+        ("warn", "birthdate_in_past", f"TRY_CAST(BIRTHDATE AS DATE) <= {AS_OF_DATE}"),
+        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
+    ],
+    "bronze_organizations": [
+        ("fail", "valid_org_id", "Id IS NOT NULL"),
+        ("drop", "valid_org_name", "NAME IS NOT NULL AND LENGTH(TRIM(NAME)) > 0"),
+        ("warn", "non_negative_revenue", "REVENUE IS NULL OR REVENUE >= 0"),
+        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
+    ],
+    "bronze_observations": [
+        ("fail", "valid_patient_ref", "PATIENT IS NOT NULL"),
+        ("drop", "valid_observation_date", '"DATE" IS NOT NULL'),
+        ("drop", "valid_observation_code", "CODE IS NOT NULL"),
+        ("warn", "has_observation_value", "VALUE IS NOT NULL"),
+        ("warn", "observation_in_past", f'"DATE" <= {AS_OF_TS}'),
+        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
+    ],
+    "silver_patients": [
+        ("fail", "valid_patient_id", "patient_id IS NOT NULL"),
+        ("drop", "valid_birthdate_range", f"birth_date >= DATE '1900-01-01' AND birth_date <= {AS_OF_DATE}"),
+        ("warn", "has_name", "first_name IS NOT NULL AND last_name IS NOT NULL"),
+        ("warn", "valid_gender", "gender IN ('M', 'F')"),
+        ("warn", "valid_state", "state IS NOT NULL"),
+    ],
+    "silver_organizations": [
+        ("fail", "valid_org_id", "organization_id IS NOT NULL"),
+        ("fail", "valid_org_name", "organization_name IS NOT NULL"),
+    ],
+    "silver_observations": [
+        ("fail", "valid_patient_reference", "patient_id IS NOT NULL"),
+        ("drop", "valid_observation_date", f"observation_timestamp IS NOT NULL AND observation_timestamp <= {AS_OF_TS}"),
+    ],
+}
+
+
+def passes(table: str, tiers: tuple[str, ...]) -> str:
+    return " AND ".join(f"COALESCE(({p}), false)" for t, _, p in DUCK_RULES[table] if t in tiers)
+
+
+CTE["pat_unchecked"] = f"""
 SELECT Id AS patient_id, concat_ws(' ', PREFIX, FIRST, MIDDLE, LAST) AS full_name, FIRST AS first_name, LAST AS last_name,
   GENDER AS gender, {date_parse('BIRTHDATE')} AS birth_date, {age(date_parse('BIRTHDATE'), AS_OF_DATE)} AS age,
   RACE AS race, ETHNICITY AS ethnicity, MARITAL AS marital_status, ADDRESS AS address, CITY AS city,
@@ -208,7 +253,7 @@ FROM pat_raw
 QUALIFY row_number() OVER (PARTITION BY Id ORDER BY ingestion_timestamp DESC NULLS LAST, source_file DESC NULLS LAST) = 1
 """
 
-CTE["org_silver"] = """
+CTE["org_unchecked"] = """
 SELECT Id AS organization_id, NAME AS organization_name, ADDRESS AS address, CITY AS city, upper(STATE) AS state,
   ZIP AS zip_code, LAT AS latitude, LON AS longitude, regexp_replace(PHONE, '[^0-9]', '', 'g') AS phone,
   REVENUE AS revenue, UTILIZATION AS utilization, COALESCE(UTILIZATION > 100, false) AS high_utilization_flag,
@@ -216,7 +261,7 @@ SELECT Id AS organization_id, NAME AS organization_name, ADDRESS AS address, CIT
 FROM org_raw
 """
 
-CTE["obs_pipeline"] = """
+CTE["obs_unchecked"] = """
 SELECT obs_ts AS observation_timestamp, CAST(obs_ts AS DATE) AS observation_date, PATIENT AS patient_id,
   ENCOUNTER AS encounter_id, lower(CATEGORY) AS category,
   CASE WHEN contains(lower(CATEGORY), 'vital') THEN 'vital_signs' WHEN contains(lower(CATEGORY), 'lab') THEN 'laboratory'
@@ -227,6 +272,9 @@ SELECT obs_ts AS observation_timestamp, CAST(obs_ts AS DATE) AS observation_date
 FROM obs_raw
 """
 
+for _name, _rules in (("pat_pipeline", "silver_patients"), ("org_silver", "silver_organizations"), ("obs_pipeline", "silver_observations")):
+    CTE[_name] = f"SELECT * FROM {_name.split('_')[0]}_unchecked WHERE {passes(_rules, ('fail', 'drop'))}"
+
 CTE["g1"] = """
 SELECT GENDER, RACE, ETHNICITY, MARITAL, STATE, COUNTY, COUNT(Id) AS patient_count, COUNT(DISTINCT Id) AS unique_patients,
   AVG(INCOME) AS avg_income, MIN(BIRTHDATE) AS oldest_birthdate, MAX(BIRTHDATE) AS youngest_birthdate,
@@ -277,7 +325,7 @@ SELECT COUNT(*) AS total_records, COUNT(DISTINCT Id) AS unique_patients,
 FROM pat
 """
 
-CTE["p360"] = """
+CTE["overview"] = """
 SELECT a.patient_id, p.patient_name, o.organization_name, a.total_observations, a.first_observation_date,
   a.most_recent_observation_date
 FROM (SELECT patient_id, COUNT(*) AS total_observations, MIN(observation_date) AS first_observation_date,
@@ -291,10 +339,11 @@ LEFT JOIN (SELECT m.Id AS patient_id, s.organization_name FROM pat_org m
 # Dependencies between CTEs (emitted in this order).
 DEPS: dict[str, list[str]] = {
     "pat_raw": [], "obs_raw": [], "org_raw": [], "pat_org": [], "runs": [],
-    "pat": ["pat_raw"], "obs": ["obs_raw"], "pat_pipeline": ["pat_raw"], "org_silver": ["org_raw"],
-    "obs_pipeline": ["obs_raw"],
+    "pat": ["pat_raw"], "obs": ["obs_raw"], "pat_unchecked": ["pat_raw"], "org_unchecked": ["org_raw"],
+    "obs_unchecked": ["obs_raw"], "pat_pipeline": ["pat_unchecked"], "org_silver": ["org_unchecked"],
+    "obs_pipeline": ["obs_unchecked"],
     "g1": ["pat"], "g2": ["pat"], "g3": ["pat"], "g4": ["pat"],
-    "p360": ["obs", "pat", "pat_org", "org_silver"],
+    "overview": ["obs", "pat", "pat_org", "org_silver"],
 }
 
 
@@ -409,10 +458,10 @@ JOIN (SELECT Id AS patient_id, GENDER, RACE, STATE, {age('BIRTHDATE', AS_OF_DATE
   ON o.patient_id = p.patient_id
 WHERE risk_flag IS NOT NULL
 GROUP BY o.patient_id, p.GENDER, p.age, p.RACE, p.STATE, risk_flag, observation_code, observation_description""")
-sql("gold_patient360", ["p360"], "SELECT * FROM p360")
-sql("org_rollup", ["p360"], """
+sql("gold_patient_overview", ["overview"], "SELECT * FROM overview")
+sql("org_rollup", ["overview"], """
 SELECT organization_name, COUNT(DISTINCT patient_id) AS patient_count, CAST(SUM(total_observations) AS BIGINT) AS total_obs
-FROM p360 WHERE organization_name IS NOT NULL GROUP BY organization_name ORDER BY patient_count DESC""")
+FROM overview WHERE organization_name IS NOT NULL GROUP BY organization_name ORDER BY patient_count DESC""")
 sql("verify_demographics", ["g1"], f"""
 SELECT GENDER, STATE, CAST(SUM(patient_count) AS BIGINT) AS total_patients, {sround('AVG(avg_income)', 0)} AS avg_income,
   CAST(SUM(deceased_count) AS BIGINT) AS deceased
@@ -491,7 +540,7 @@ SELECT PATIENT, obs_ts, CODE, source_file, VALUE,
 sql("drop_column", ["pat_raw"], "SELECT * EXCLUDE (_rescued_data, SUFFIX, MAIDEN, DRIVERS, PASSPORT) FROM pat_raw")
 sql("filter_rows", ["obs"], "SELECT * FROM obs WHERE category = 'vital-signs' AND observation_value IS NOT NULL")
 sql("filter_in_set", ["pat_raw"], "SELECT Id, source_file, GENDER FROM pat_raw WHERE GENDER IN ('M', 'F')")
-sql("filter_threshold", ["p360"], "SELECT * FROM p360 WHERE total_observations > 20")
+sql("filter_threshold", ["overview"], "SELECT * FROM overview WHERE total_observations > 20")
 sql("case_banding", ["pat"], f"""
 SELECT Id, age, CASE WHEN age < 18 THEN '0-17' WHEN age < 35 THEN '18-34' WHEN age < 50 THEN '35-49'
   WHEN age < 65 THEN '50-64' ELSE '65+' END AS age_group
@@ -576,7 +625,7 @@ FROM (SELECT (SELECT COUNT(*) FROM pat_raw) AS b, (SELECT COUNT(*) FROM pat) AS
 
 # --- L: sort and limit -----------------------------------------------------
 sql("sort_desc", ["obs"], "SELECT observation_code, COUNT(*) AS n FROM obs GROUP BY observation_code ORDER BY n DESC, observation_code")
-sql("top_k", ["p360"], "SELECT * FROM p360 ORDER BY total_observations DESC, patient_id LIMIT 10")
+sql("top_k", ["overview"], "SELECT * FROM overview ORDER BY total_observations DESC, patient_id LIMIT 10")
 sql("limit_sample", ["pat"], "SELECT Id, FIRST, LAST, BIRTHDATE, INCOME FROM pat ORDER BY Id LIMIT 5")
 
 # --- U: set operations -----------------------------------------------------
@@ -586,51 +635,19 @@ SELECT 'Patients' AS entity, COUNT(*) AS record_count, COUNT(DISTINCT patient_id
 UNION ALL SELECT 'Organizations', COUNT(*), COUNT(DISTINCT organization_id), MAX(silver_timestamp) FROM org_silver
 UNION ALL SELECT 'Observations', COUNT(*), COUNT(DISTINCT patient_id), MAX(silver_timestamp) FROM obs_pipeline""")
 sql("distinct_values", ["obs_raw"], "SELECT DISTINCT CATEGORY FROM obs_raw")
-sql("schema_diff", [], """
-SELECT * FROM (VALUES
-  ('observation_date', NULL, 'timestamp_ntz', 'OK'), ('patient_id', NULL, 'string', 'OK'),
-  ('encounter_id', NULL, 'string', 'OK'), ('observation_code', NULL, 'string', 'OK'),
-  ('observation_description', NULL, 'string', 'OK'), ('observation_value', 'double', 'double', 'OK'),
-  ('observation_type', NULL, 'string', 'OK'), ('category', NULL, 'string', 'OK'),
-  ('missing_date', 'bigint', 'int', 'TYPE_CHANGED'), ('missing_patient', NULL, 'int', 'OK'),
-  ('missing_value', NULL, 'int', 'OK'), ('missing_code', NULL, 'int', 'OK'), ('has_quality_issue', NULL, 'int', 'OK'),
-  ('source_file', 'string', NULL, 'MISSING'), ('units', NULL, 'string', 'EXTRA')
-) t(column_name, expected_type, actual_type, status)""")
+_misfit = {"BIRTHDATE": "TRY_CAST(BIRTHDATE AS DATE)", "LAT": "TRY_CAST(LAT AS DOUBLE)", "INCOME": int_guard("INCOME")}
+sql("schema_diff", ["pat_raw"], "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {want} AS expected_type, {have} AS actual_type, "
+    f"{f'COUNT({c})' if have != 'NULL' else 'COUNT(NULL)'} AS value_count, {m} AS misfit_count, {status} AS status FROM pat_raw"
+    for c, want, have, m, status in [
+        ("Id", "'string'", "'string'", "0", "'OK'"), ("GENDER", "NULL", "'string'", "0", "'EXTRA'"),
+        ("FAX", "'string'", "NULL", "0", "'MISSING'"),
+        *((c, f"'{t}'", "'string'", m, f"CASE WHEN {m} > 0 THEN 'TYPE_CHANGED' ELSE 'CASTABLE' END") for c, t, m in [
+            (c, t, f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {_misfit[c]} IS NULL)")
+            for c, t in (("BIRTHDATE", "date"), ("LAT", "double"), ("INCOME", "int"))])]))
 
 
 # --- E: expectations -------------------------------------------------------
-# DuckDB forms of the rule catalogue at the fixed clock (tier, name, predicate).
-DUCK_RULES: dict[str, list[tuple[str, str, str]]] = {
-    "bronze_patients": [
-        ("fail", "valid_patient_id", "Id IS NOT NULL"),
-        ("drop", "valid_birthdate", "BIRTHDATE IS NOT NULL"),
-        ("drop", "valid_gender", "GENDER IN ('M', 'F')"),
-        ("warn", "birthdate_in_past", f"TRY_CAST(BIRTHDATE AS DATE) <= {AS_OF_DATE}"),
-        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
-    ],
-    "bronze_organizations": [
-        ("fail", "valid_org_id", "Id IS NOT NULL"),
-        ("drop", "valid_org_name", "NAME IS NOT NULL AND LENGTH(TRIM(NAME)) > 0"),
-        ("warn", "non_negative_revenue", "REVENUE IS NULL OR REVENUE >= 0"),
-        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
-    ],
-    "bronze_observations": [
-        ("fail", "valid_patient_ref", "PATIENT IS NOT NULL"),
-        ("drop", "valid_observation_date", '"DATE" IS NOT NULL'),
-        ("drop", "valid_observation_code", "CODE IS NOT NULL"),
-        ("warn", "has_observation_value", "VALUE IS NOT NULL"),
-        ("warn", "observation_in_past", f'"DATE" <= {AS_OF_TS}'),
-        ("warn", "no_schema_drift", "_rescued_data IS NULL"),
-    ],
-    "silver_patients": [
-        ("fail", "valid_patient_id", "patient_id IS NOT NULL"),
-        ("drop", "valid_birthdate_range", f"birth_date >= DATE '1900-01-01' AND birth_date <= {AS_OF_DATE}"),
-        ("warn", "has_name", "first_name IS NOT NULL AND last_name IS NOT NULL"),
-        ("warn", "valid_gender", "gender IN ('M', 'F')"),
-        ("warn", "valid_state", "state IS NOT NULL"),
-    ],
-}
-
 CTE["obs_bronze"] = 'SELECT * EXCLUDE (obs_ts), obs_ts AS "DATE" FROM obs_raw'
 DEPS["obs_bronze"] = ["obs_raw"]
 
@@ -649,10 +666,6 @@ def metrics_sql(src: str, table: str, tiers: tuple[str, ...] = ("fail", "drop",
     return "\nUNION ALL ".join(parts)
 
 
-def passes(table: str, tiers: tuple[str, ...]) -> str:
-    return " AND ".join(f"COALESCE(({p}), false)" for t, _, p in DUCK_RULES[table] if t in tiers)
-
-
 CTE["bmetrics"] = "\nUNION ALL ".join([
     metrics_sql("pat_raw", "bronze_patients"),
     metrics_sql("org_raw", "bronze_organizations"),
@@ -664,7 +677,7 @@ sql("expect_or_fail", ["pat_raw"], "SELECT Id, source_file, GENDER FROM pat_raw
 sql("expect_or_drop", ["pat_raw"], f"""
 SELECT Id, source_file, BIRTHDATE, GENDER FROM pat_raw WHERE {passes('bronze_patients', ('fail', 'drop'))}""")
 sql("expect_monitor", ["pat_raw"], metrics_sql("pat_raw", "bronze_patients", ("warn",)))
-sql("expect_all", ["pat_pipeline"], metrics_sql("pat_pipeline", "silver_patients", ("warn",)))
+sql("expect_all", ["pat_unchecked"], metrics_sql("pat_unchecked", "silver_patients", ("warn",)))
 sql("expectation_metrics", ["bmetrics"], "SELECT * FROM bmetrics")
 sql("expectation_breach", ["bmetrics"], "SELECT * FROM bmetrics WHERE failure_rate > 0.05")
 sql("quarantine_rows", ["pat_raw"], """
@@ -729,22 +742,22 @@ _fh = hours(AS_OF_TS, "latest_ingestion")
 _uh = hours(RUNS_AS_OF_TS, "last_successful_update")
 sql("alerts", ["fresh", "drifts", "bmetrics", "rec", "succ"], f"""
 SELECT 'WARNING' AS severity,
-  CASE WHEN latest_ingestion IS NULL THEN 'Data freshness alert: ' || table_name || ' is empty'
-       ELSE 'Data freshness alert: ' || table_name || ' is ' || printf('%.1f', {sround(_fh, 1)}) || ' hours old (Threshold: 6h)' END AS alert,
-  'Check source data availability and the ingestion stream' AS action
+  CASE WHEN latest_ingestion IS NULL THEN table_name || ': no rows were ever ingested'
+       ELSE table_name || ': newest row is ' || printf('%.1f', {sround(_fh, 1)}) || ' h old, limit 6 h' END AS alert,
+  'Find out whether new files arrived and the ingest job ran' AS action
 FROM fresh WHERE latest_ingestion IS NULL OR {_fh} > 6
 UNION ALL
-SELECT 'WARNING', 'Schema drift detected: ' || table_name || ' has ' || CAST(records_with_schema_drift AS VARCHAR) || ' records in _rescued_data',
-  'Review schema changes and update pipeline schema if needed' FROM drifts WHERE records_with_schema_drift > 0
+SELECT 'WARNING', table_name || ': ' || CAST(records_with_schema_drift AS VARCHAR) || ' rows carry values that the declared columns do not hold',
+  'Compare the rescued keys with the declared columns; declare those that should stay' FROM drifts WHERE records_with_schema_drift > 0
 UNION ALL
-SELECT 'CRITICAL', 'Expectation failure rate: ' || table_name || '.' || rule || ' at ' || printf('%.1f', {sround('failure_rate * 100', 1)}) || '% (Threshold: 5%)',
-  'Inspect rejected rows and fix the source data or the rule' FROM bmetrics WHERE failure_rate > 0.05
+SELECT 'CRITICAL', 'rule ' || rule || ' of ' || table_name || ' fails for ' || printf('%.1f', {sround('failure_rate * 100', 1)}) || '% of rows, limit 5%',
+  'Read the rejected rows, then mend the source or the rule' FROM bmetrics WHERE failure_rate > 0.05
 UNION ALL
-SELECT 'CRITICAL', 'No successful update of ' || pipeline_id || ' for ' || printf('%.1f', {sround(_uh, 1)}) || ' hours (Threshold: 24h)',
-  'Check the pipeline schedule and the last failed run' FROM rec WHERE {_uh} > 24
+SELECT 'CRITICAL', pipeline_id || ': last completed run was ' || printf('%.1f', {sround(_uh, 1)}) || ' h ago, limit 24 h',
+  'See whether the job was started and why its last run ended' FROM rec WHERE {_uh} > 24
 UNION ALL
-SELECT 'WARNING', 'Pipeline ' || pipeline_id || ' success rate ' || printf('%.1f', {sround('success_rate_pct', 1)}) || '% (Threshold: 90%)',
-  'Review failed runs and their error messages' FROM succ WHERE success_rate_pct < 90.0""")
+SELECT 'WARNING', pipeline_id || ': ' || printf('%.1f', {sround('success_rate_pct', 1)}) || '% of runs completed, limit 90%',
+  'Go through the errors of the failed runs' FROM succ WHERE success_rate_pct < 90.0""")
 sql("run_success_rate", ["succ"], "SELECT pipeline_id, total_runs, completed_runs, failed_runs, success_rate_pct, status FROM succ")
 sql("run_duration_trend", ["runs"], f"""
 SELECT CAST(start_time AS DATE) AS run_date, COUNT(*) AS runs,
@@ -752,13 +765,18 @@ SELECT CAST(start_time AS DATE) AS run_date, COUNT(*) AS runs,
   MIN((epoch(end_time) - epoch(start_time)) / 60.0) AS min_duration_min,
   MAX((epoch(end_time) - epoch(start_time)) / 60.0) AS max_duration_min
 FROM runs GROUP BY CAST(start_time AS DATE)""")
-sql("layer_reconciliation", ["pat_raw", "org_raw"], f"""
-SELECT 'Patients' AS entity, b AS bronze_records, r AS rejected_records, b - r - s AS deduplicated_records, s AS silver_records
+_silver_ok = passes('silver_patients', ('fail', 'drop'))
+CTE["pat_latest"] = CTE["pat_unchecked"].replace("FROM pat_raw", f"FROM pat_raw WHERE {passes('bronze_patients', ('drop',))}")
+DEPS["pat_latest"] = ["pat_raw"]
+sql("layer_reconciliation", ["pat_raw", "org_raw", "pat_latest"], f"""
+SELECT 'Patients' AS entity, b AS bronze_records, r AS rejected_records, sr AS silver_rejected_records,
+  b - r - sr - s AS deduplicated_records, s AS silver_records
 FROM (SELECT (SELECT COUNT(*) FROM pat_raw) AS b,
              (SELECT COUNT(*) FROM pat_raw WHERE NOT ({passes('bronze_patients', ('drop',))})) AS r,
-             (SELECT COUNT(DISTINCT Id) FROM pat_raw WHERE {passes('bronze_patients', ('drop',))}) AS s) t
+             (SELECT COUNT(*) FROM pat_latest WHERE NOT ({_silver_ok})) AS sr,
+             (SELECT COUNT(*) FROM pat_latest WHERE {_silver_ok}) AS s) t
 UNION ALL
-SELECT 'Organizations', b, r, b - r - s, s
+SELECT 'Organizations', b, r, 0, b - r - s, s
 FROM (SELECT (SELECT COUNT(*) FROM org_raw) AS b,
              (SELECT COUNT(*) FROM org_raw WHERE NOT ({passes('bronze_organizations', ('drop',))})) AS r,
              (SELECT COUNT(*) FROM org_raw WHERE {passes('bronze_organizations', ('drop',))}) AS s) t""")
@@ -842,8 +860,7 @@ sql("sink_overwrite", ["obs"], "SELECT * FROM obs WHERE observation_value IS NOT
 sql("sink_append_stream", ["obs_raw"], f"SELECT {OBS_COLS} FROM obs_raw")
 sql("streaming_table", ["org_raw"], f"""
 SELECT {ORG_COLS} FROM org_raw WHERE {passes('bronze_organizations', ('drop',))}""")
-sql("materialized_table", ["pat_pipeline"], f"""
-SELECT * FROM pat_pipeline WHERE {passes('silver_patients', ('drop',))}""")
+sql("materialized_table", ["pat_pipeline"], "SELECT * FROM pat_pipeline")
 sql("guarded_write", ["pat"], """
 SELECT true AS table_existed, n AS current_rows, n AS new_rows, CAST(0 AS BIGINT) AS row_delta, false AS schema_changed,
   true AS written, n AS rows_after FROM (SELECT COUNT(*) AS n FROM pat) t""")

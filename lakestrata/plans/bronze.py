@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.operators import expectations as E
 from lakestrata.sources.files import read_csv, read_csv_by_header, rescue, stream_csv, with_lineage
-from lakestrata.streaming.ingest import BATCH_COL, run_available
+from lakestrata.streaming.ingest import BATCH_COL, batch_key, run_available
 
 
 def _schema(spec: dict[str, T.DataType]) -> T.StructType:
@@ -71,29 +71,35 @@ def bronze_frame(raw: DataFrame, spec: BronzeSpec, as_of: str | None = None, fil
 
 
 def bronze(spark: SparkSession, spec: BronzeSpec, src_dir: str, target: str, checkpoint: str,
-           as_of: str | None = None, metrics_path: str | None = None, max_files_per_trigger: int | None = 1000,
-           glob: str | None = None, timeout_s: float | None = None) -> StreamingQuery:
-    """Incremental bronze table with lineage, rescue and expectations."""
+           as_of: str | None = None, metrics_path: str | None = None, max_files_per_trigger: int = 1000,
+           glob: str | None = None, timeout_s: float | None = None, quarantine: bool = False) -> StreamingQuery:
+    """Incremental bronze table with lineage, rescue and expectations.
+
+    A broken fail rule stops the job before the batch is written; with
+    ``quarantine`` the rows that break it are set aside like those of drop
+    rules, and the metrics count them.
+    """
     rules = E.catalogue(spec.rules, as_of)
+    if quarantine:
+        rules = E.quarantined(rules)
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", glob or spec.glob))
-    if max_files_per_trigger:
-        files = files.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = files.load(src_dir).select("path")
+    files = files.option("maxFilesPerTrigger", str(max_files_per_trigger)).load(src_dir).select("path")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        key = batch_key(checkpoint, batch_id)
         # File names of this micro-batch only (bounded by maxFilesPerTrigger).
         paths = [r["path"] for r in batch.collect()]
         if not paths:
             return
         typed = bronze_frame(read_csv_by_header(spark, paths), spec, as_of).persist()
         try:
-            metrics = E.expectation_metrics(typed, rules, spec.name).withColumn(BATCH_COL, F.lit(batch_id)).persist()
+            metrics = E.expectation_metrics(typed, rules, spec.name).withColumn(BATCH_COL, F.lit(key)).persist()
             broken = metrics.filter((F.col("tier") == "fail") & (F.col("failed_records") > 0)).select("rule").collect()
             if broken:
                 raise ValueError(f"{spec.name}: expectation failed in batch {batch_id}: {[r['rule'] for r in broken]}")
             passing = E.expect(typed, [r for r in rules if r.tier == "drop"])
-            (passing.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("overwrite")
+            (passing.withColumn(BATCH_COL, F.lit(key)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(target))
             if metrics_path:
                 (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import scalars as S
 from lakestrata.operators.joins import skew_join
+from lakestrata.operators.quantiles import group_quantiles
+from lakestrata.session import scratch_table
 
 # Risk rules (code, low, high, label[, unit]); a value strictly
 # outside [low, high] is a risk. First matching rule wins. A rule with a unit
@@ -33,11 +35,6 @@ RISK_RULES: list[tuple] = [
 # Age bands (upper bound exclusive, label), default band "65+".
 AGE_BANDS: list[tuple[int, str]] = [(18, "0-17"), (35, "18-34"), (50, "35-49"), (65, "50-64")]
 
-# Percentile sketch accuracy: at 1,000,000 the results equal the exact
-# discrete quantile on the test data; the sketch stays bounded per group.
-PERCENTILE_ACCURACY = 1_000_000
-
-
 def _cnt(cond: Column) -> Column:
     return F.count_if(cond)
 
@@ -170,30 +167,38 @@ def age_band(age: Column, null_band: str | None = None) -> Column:
     return S.case_when(branches, "65+")
 
 
-def vital_signs(obs: DataFrame, pat: DataFrame, as_of: str | None = None, accuracy: int = PERCENTILE_ACCURACY,
-                null_band: str | None = None) -> DataFrame:
-    """Vital-sign value statistics per gender, age band and code."""
+def vital_signs(obs: DataFrame, pat: DataFrame, as_of: str | None = None, null_band: str | None = None,
+                rows_per_salt: int = 500_000) -> DataFrame:
+    """Vital-sign value statistics per gender, age band and code (quartiles are exact)."""
     v = obs.filter((F.col("category") == "vital-signs") & F.col("observation_value").isNotNull())
     dim = _patient_dim(pat, ["GENDER"], as_of, "age")
     # raw values are needed for the percentiles, so this join cannot be
     # pre-aggregated: rows of hot patients are salted over sub-keys (skew_join)
-    j = skew_join(v, dim, "patient_id", "inner").withColumn("age_group", age_band(F.col("age"), null_band))
+    j = skew_join(v, dim, "patient_id", "inner", rows_per_salt).withColumn("age_group", age_band(F.col("age"), null_band))
     x = F.col("observation_value")
     keys = ["GENDER", "age_group", "observation_code", "observation_description", "units"]
-    # one sketch per group serves all three percentiles
-    q = F.col("_q")
-    return j.groupBy(*keys).agg(
+    # read by three aggregations
+    j = scratch_table(j.select(*keys, "patient_id", "observation_value"), "vital-signs")
+    stats = j.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("observation_count"),
-        F.count_distinct("patient_id").alias("patient_count"),
         S.exact_avg(x, 2).alias("avg_value"),
         F.round(F.min(x), 2).alias("min_value"),
         F.round(F.max(x), 2).alias("max_value"),
         F.round(F.stddev_samp(x), 2).alias("stddev_value"),
-        F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias("_q"),
-    ).select(
+    )
+    patients = j.select(*keys, "patient_id").distinct().groupBy(*keys).agg(F.count("patient_id").alias("patient_count"))
+    quartiles = group_quantiles(j, keys, "observation_value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+
+    def also(left: DataFrame, right: DataFrame) -> DataFrame:
+        other = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = F.lit(True)
+        for k in keys:
+            same = same & left[k].eqNullSafe(other[f"_{k}"])
+        return left.join(other, same).drop(*[f"_{k}" for k in keys])
+
+    return also(also(stats, patients), quartiles).select(
         *keys, "observation_count", "patient_count", "avg_value", "min_value", "max_value", "stddev_value",
-        F.round(q[0], 2).alias("p25_value"), F.round(q[1], 2).alias("median_value"),
-        F.round(q[2], 2).alias("p75_value"),
+        F.round("p25", 2).alias("p25_value"), F.round("p50", 2).alias("median_value"), F.round("p75", 2).alias("p75_value"),
     )
 
 
@@ -266,7 +271,7 @@ def risk_indicators(obs: DataFrame, pat: DataFrame, as_of: str | None = None,
     )
 
 
-def patient360(obs: DataFrame, pat: DataFrame, pat_org: DataFrame, org: DataFrame) -> DataFrame:
+def patient_overview(obs: DataFrame, pat: DataFrame, pat_org: DataFrame, org: DataFrame) -> DataFrame:
     """Per patient name, organization, observation total, first and last date.
 
     Observations are aggregated per patient first; the organization name is
@@ -287,9 +292,9 @@ def patient360(obs: DataFrame, pat: DataFrame, pat_org: DataFrame, org: DataFram
     )
 
 
-def org_rollup(p360: DataFrame) -> DataFrame:
+def org_rollup(overview: DataFrame) -> DataFrame:
     """Distinct patients and total observations per organization."""
-    return p360.filter(F.col("organization_name").isNotNull()).groupBy("organization_name").agg(
+    return overview.filter(F.col("organization_name").isNotNull()).groupBy("organization_name").agg(
         F.count_distinct("patient_id").alias("patient_count"),
         F.sum("total_observations").alias("total_obs"),
     ).orderBy(F.desc("patient_count"), "organization_name")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed clocks used by tests and registered queries instead of now().
 AS_OF = "2024-06-30 00:00:00"
@@ -48,13 +49,15 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a fresh
-    local folder is created and registered.
+    Read from the session. Where it is unset, a local run (a ``local`` master,
+    as in tests) gets a fresh local folder; on a cluster that would leave
+    every executor with its own part of the files, so it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (master is {master})")
         root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         try:
@@ -69,10 +72,17 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+        os.makedirs(re.sub("^file:(//)?", "", path), exist_ok=True)
     return path
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: one computation for several readers."""
+    path = scratch_dir(df.sparkSession, name) + "/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.session import checkpoint_root
+from lakestrata.operators.expectations import Rule, expect
 
 
 def _q(name: str) -> str:
@@ -28,20 +28,15 @@ def ensure_schema(spark: SparkSession, name: str, comment: str | None = None, lo
     sql = f"CREATE SCHEMA IF NOT EXISTS {_q(name)}"
     if comment:
         sql += " COMMENT '" + comment.replace("'", "\\'") + "'"
-    if location is None:
-        location = f"{checkpoint_root(spark).rstrip('/')}/warehouse/{name}"
-    sql += f" LOCATION '{location}'"
+    if location:  # else the schema lies in spark.sql.warehouse.dir
+        sql += f" LOCATION '{location}'"
     spark.sql(sql)
 
 
 def table_root(spark: SparkSession, name: str) -> str:
+    """Folder of a table: in its schema's location (by default under spark.sql.warehouse.dir)."""
     db = name.split(".")[0] if "." in name else "default"
-    try:
-        loc = spark.sql(f"DESCRIBE SCHEMA {_q(db)}").filter("info_name = 'Location'").first()
-        base = loc["info_value"] if loc else None
-    except Exception:  # noqa: BLE001
-        base = None
-    base = base or f"{checkpoint_root(spark).rstrip('/')}/warehouse/{db}"
+    base = spark.sql(f"DESCRIBE SCHEMA {_q(db)}").filter("info_name = 'Location'").first()["info_value"]
     return f"{base.rstrip('/')}/{name.split('.')[-1]}"
 
 
@@ -69,30 +64,56 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "p
         w.save(loc)
         spark.sql(f"REFRESH TABLE {_q(name)}")
         return loc
-    root = location or table_root(spark, name)
-    loc = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    root = (location or table_root(spark, name)).rstrip("/")
+    loc = f"{root}/v-{uuid.uuid4().hex[:12]}"
     w = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(loc)
-    if exists and spark.table(name).schema.simpleString() == df.schema.simpleString():
+    before = table_location(spark, name)
+    if exists and not partition_by and not _partitions(spark, name) and \
+            spark.table(name).schema.simpleString() == df.schema.simpleString():
         spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{loc}'")
         spark.sql(f"REFRESH TABLE {_q(name)}")
-        return loc
-    props = {}
-    if exists:
-        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_q(name)}").collect()
-                 if not r["key"].startswith(("transient_", "spark."))}
-        spark.sql(f"DROP TABLE {_q(name)}")
-    spark.sql(f"CREATE TABLE {_q(name)} USING {fmt} LOCATION '{loc}'")
-    if props:
-        set_properties(spark, name, props)
+    else:
+        # the data is complete by now; only the catalog entry is made anew
+        props = {}
+        if exists:
+            props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_q(name)}").collect()
+                     if not r["key"].startswith(("transient_", "spark."))}
+            spark.sql(f"DROP TABLE {_q(name)}")
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        columns = f" ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {_q(name)}{columns} USING {fmt}{parts} LOCATION '{loc}'")
+        if partition_by:
+            spark.catalog.recoverPartitions(name)
+        if props:
+            set_properties(spark, name, props)
+    _drop_old_versions(spark, root, {loc, before})
     return loc
 
 
-def materialized_table(spark: SparkSession, name: str, fn, *args, **kwargs) -> DataFrame:
-    """K4: recompute a table from its full input and overwrite it."""
-    df = fn(*args, **kwargs)
+def _partitions(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _drop_old_versions(spark: SparkSession, root: str, keep: set) -> None:
+    """Remove version folders but the current one and the one before it (for plans that still read it)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = {k.rstrip("/").split("/")[-1] for k in keep if k}
+    for status in fs.listStatus(path):
+        if status.getPath().getName().startswith("v-") and status.getPath().getName() not in names:
+            fs.delete(status.getPath(), True)
+
+
+def materialized_table(spark: SparkSession, name: str, fn, *args, rules: Sequence[Rule] = (), **kwargs) -> DataFrame:
+    """K4: recompute a table from its full input and overwrite it; ``rules`` are met by every row written.
+
+    A broken fail rule ends the write, and the table keeps its old version.
+    """
+    df = expect(fn(*args, **kwargs), rules)
     write_table(df, name)
     return spark.table(name)
 
@@ -124,25 +145,39 @@ def guarded_write(df: DataFrame, name: str, enabled: bool = True, fmt: str = "pa
     )
 
 
-def compact(spark: SparkSession, name: str, target_files: int, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """K6: rewrite a table into ``target_files`` files, optionally clustered.
+def compact(spark: SparkSession, name: str, target_bytes: int = 256 << 20, cluster_by: Sequence[str] = ()) -> DataFrame:
+    """K6: rewrite a table into files of about ``target_bytes``, optionally clustered.
 
-    Clustering range-partitions on the columns (so each file holds a key
-    range, which narrows min/max statistics) and sorts within files. A row
-    hash is the last range key, so one value holding a large share of the
-    rows is spread over several files instead of one writer task.
+    The number of files follows from the table's bytes. Clustering
+    range-partitions on the columns (so each file holds a key range, which
+    narrows min/max statistics) and sorts within files. A row hash is the last
+    range key, so one value holding a large share of the rows is spread over
+    several files instead of one writer task.
     Returns (files_before, files_after).
     """
+    before, size = _files(spark, table_location(spark, name))
+    n = max(1, -(-size // target_bytes))
     df = spark.table(name)
-    before = len(df.inputFiles())
     if cluster_by:
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        out = df.repartitionByRange(target_files, *cluster_by, spread).sortWithinPartitions(*cluster_by)
+        out = df.repartitionByRange(n, *cluster_by, spread).sortWithinPartitions(*cluster_by)
     else:
-        out = df.repartition(target_files)
-    write_table(out, name)
-    after = len(spark.table(name).inputFiles())
-    return spark.createDataFrame([(before, after)], "files_before int, files_after int")
+        out = df.repartition(n)
+    write_table(out, name, partition_by=_partitions(spark, name))
+    after, _ = _files(spark, table_location(spark, name))
+    return spark.createDataFrame([(before, after)], "files_before long, files_after long")
+
+
+def _files(spark: SparkSession, location: str) -> tuple[int, int]:
+    """Data files and bytes below a folder, counted by the file system (no list of names)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    walk, n, size = fs.listFiles(path, True), 0, 0
+    while walk.hasNext():
+        f = walk.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            n, size = n + 1, size + f.getLen()
+    return n, size
 
 
 def set_properties(spark: SparkSession, name: str, props: Mapping[str, str], comment: str | None = None) -> DataFrame:

@@ -16,7 +16,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +60,14 @@ def ingest_available(spark: SparkSession, src_dir: str, glob: str | None, target
 
 
 def transform_stream(spark: SparkSession, src: str, fn: Callable[[DataFrame], DataFrame], dst: str,
-                     checkpoint: str) -> StreamingQuery:
-    """ST2: stateless transform of a table stream into another table."""
-    return run_available(fn(stream_table(spark, src)), dst, checkpoint)
+                     checkpoint: str, rules: Sequence[E.Rule] = ()) -> StreamingQuery:
+    """ST2: stateless transform of a table stream into another table; a broken fail rule stops the batch before its commit."""
+    return run_available(E.expect(fn(stream_table(spark, src)), rules), dst, checkpoint)
+
+
+def batch_key(checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch: unlike in other checkpoints that write to the same table, alike when it is replayed."""
+    return f"{hashlib.sha1(checkpoint.rstrip('/').encode()).hexdigest()[:12]}-{batch_id}"
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
@@ -83,14 +89,14 @@ def streaming_table(stream: DataFrame, rules: Sequence[E.Rule], target: str, che
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            metrics = E.expectation_metrics(batch, rules, table).withColumn(BATCH_COL, F.lit(batch_id)) if rules else None
+            metrics = E.expectation_metrics(batch, rules, table).withColumn(BATCH_COL, F.lit(batch_key(checkpoint, batch_id))) if rules else None
             if metrics is not None:
                 metrics = metrics.persist()
                 broken = metrics.filter((F.col("tier") == "fail") & (F.col("failed_records") > 0)).select("rule").collect()
                 if broken:
                     raise ValueError(f"expectation failed in batch {batch_id}: {[r['rule'] for r in broken]}")
             passing = E.expect(batch, [r for r in rules if r.tier == "drop"])
-            (passing.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("overwrite")
+            (passing.withColumn(BATCH_COL, F.lit(batch_key(checkpoint, batch_id))).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(target))
             if metrics is not None and metrics_path:
                 (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

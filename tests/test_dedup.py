@@ -74,3 +74,20 @@ def test_dedup_stats_and_remaining_duplicates(spark):
     empty = spark.createDataFrame([], SCHEMA)
     st0 = W.dedup_stats(empty, empty).first()
     assert st0["duplicate_pct"] is None
+
+
+def test_duplicate_rank_keeps_values_and_spreads_ties(spark):
+    import datetime as dt
+
+    big = 2**53 + 1
+    rows = [("a", big, dt.date(9999, 12, 31), 1), ("a", None, None, 1), ("b", 5, None, 1), ("b", 5, None, 1)]
+    rows += [("hot", k, None, 7) for k in range(500)]
+    df = spark.createDataFrame(rows, "k string, n long, d date, ts int").repartition(3)
+    out = W.duplicate_rank(df, ["k"], [F.desc("ts")], num_partitions=6).collect()
+    assert sorted(((r.k, r.n, r.d, r.ts) for r in out), key=repr) == sorted(rows, key=repr)
+    for k, n in (("a", 2), ("b", 2), ("hot", 500)):
+        assert sorted(r.dup_rank for r in out if r.k == k) == list(range(1, n + 1))
+    again = W.duplicate_rank(df.repartition(5), ["k"], [F.desc("ts")], num_partitions=4).collect()
+    assert {(r.k, r.n, r.dup_rank) for r in out if r.k != "b"} == {(r.k, r.n, r.dup_rank) for r in again if r.k != "b"}
+    plan = W.duplicate_rank(df, ["k"], [F.desc("ts")])._jdf.queryExecution().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan

@@ -82,7 +82,7 @@ def test_versioned_overwrite_of_self_and_properties(spark):
     assert spark.table(name).count() == 5
     props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
     assert props.get("quality") == "silver"
-    rep = TB.compact(spark, name, 1).first()
+    rep = TB.compact(spark, name).first()
     assert rep["files_after"] == 1
     g = TB.guarded_write(spark.table(name).withColumn("y", F.lit(1)), name, enabled=False).first()
     assert g["schema_changed"] and not g["written"] and g["new_rows"] == 5
@@ -100,3 +100,70 @@ def test_bronze_stream_maps_columns_by_name(spark):
     m = spark.read.parquet(f"{root}/metrics").groupBy("rule").agg(F.sum("failed_records").alias("f"))
     fails = {r["rule"]: r["f"] for r in m.collect()}
     assert fails["valid_org_name"] == 1 and fails["non_negative_revenue"] == 1
+
+
+def test_partitioned_table_reads_back_and_changes_schema(spark):
+    db = "t_" + os.urandom(4).hex()
+    root = tempfile.mkdtemp(prefix="wh-")
+    TB.ensure_schema(spark, db, "test", root)
+    name = f"{db}.p"
+    df = spark.range(10).withColumn("part", F.col("id") % 3)
+    TB.write_table(df, name, partition_by=["part"])
+    assert sorted(map(tuple, spark.table(name).select("id", "part").collect())) == [(k, k % 3) for k in range(10)]
+    assert spark.table(name).filter("part = 1").count() == 3
+    TB.write_table(spark.table(name).filter("id < 6").withColumn("x", F.lit("a")), name, partition_by=["part"])
+    assert spark.table(name).count() == 6 and "x" in spark.table(name).columns
+    TB.compact(spark, name, cluster_by=["id"])
+    assert spark.table(name).filter("part = 2").count() == 2
+    for k in range(4):
+        TB.write_table(spark.range(k + 1), f"{db}.q")
+    assert len([x for x in os.listdir(f"{root}/q") if x.startswith("v-")]) == 2  # the current and the one before
+    assert spark.table(f"{db}.q").count() == 4
+
+
+def test_two_checkpoints_keep_each_others_rows(spark):
+    root = tempfile.mkdtemp(prefix="two-")
+    for k in (1, 2):
+        spark.createDataFrame([(k, "a"), (k, "b")], "id int, v string").write.parquet(f"{root}/in{k}")
+        stream = spark.readStream.schema("id int, v string").parquet(f"{root}/in{k}")
+        ST.streaming_table(stream, [], f"{root}/out", f"{root}/ck{k}")
+    assert ST.read_batches(spark, f"{root}/out").count() == 4
+
+
+def test_silver_fail_rules_stop_writes(spark):
+    db = "t_" + os.urandom(4).hex()
+    TB.ensure_schema(spark, db, "test", tempfile.mkdtemp(prefix="wh-"))
+    good = spark.createDataFrame([("1", "A"), ("2", "B")], "organization_id string, organization_name string")
+    rules = [r for r in E.catalogue("silver_organizations") if r.tier == "fail"]
+    TB.materialized_table(spark, f"{db}.o", lambda: good, rules=rules)
+    bad = good.unionByName(spark.createDataFrame([(None, "C")], good.schema))
+    with pytest.raises(Exception, match="valid_org_id"):
+        TB.materialized_table(spark, f"{db}.o", lambda: bad, rules=rules)
+    assert spark.table(f"{db}.o").count() == 2
+    root = tempfile.mkdtemp(prefix="st2-")
+    bad.write.parquet(f"{root}/in")
+    with pytest.raises(Exception, match="valid_org_id"):
+        ST.transform_stream(spark, f"{root}/in", lambda x: x, f"{root}/out", f"{root}/ck", rules=rules)
+    assert not os.path.exists(f"{root}/out") or spark.read.schema(bad.schema).parquet(f"{root}/out").count() == 0
+
+
+def test_bronze_fail_rule_stops_or_sets_aside(spark):
+    root = tempfile.mkdtemp(prefix="b3-")
+    _write(f"{root}/in/observations1.csv", "DATE,PATIENT,CODE,VALUE\n2024-01-01T00:00:00.000000,p,c,1\n2024-01-01T00:00:00.000000,,c,2\n")
+    with pytest.raises(Exception, match="valid_patient_ref"):
+        B.bronze(spark, B.OBSERVATIONS, f"{root}/in", f"{root}/out", f"{root}/ck1", "2024-06-30 00:00:00")
+    assert not os.path.exists(f"{root}/out")
+    B.bronze(spark, B.OBSERVATIONS, f"{root}/in", f"{root}/out", f"{root}/ck2", "2024-06-30 00:00:00", f"{root}/m", quarantine=True)
+    assert ST.read_batches(spark, f"{root}/out").count() == 1
+    assert spark.read.parquet(f"{root}/m").filter("rule = 'valid_patient_ref'").first()["failed_records"] == 1
+
+
+def test_a_cluster_needs_the_shared_folder():
+    from types import SimpleNamespace
+
+    from lakestrata.session import checkpoint_root
+
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(fake)

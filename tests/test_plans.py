@@ -1,12 +1,10 @@
 """Plan checks: no Cartesian products, no nested-loop joins and
-no row-at-a-time Python in any registered query plan that is not an I/O job;
-Arrow-batched Python only where it is the operator (W3)."""
+no Python in any registered query plan that is not an I/O job."""
 import pytest
 
 IO_PREFIXES = ("scan_", "lineage_", "rescue_", "sink_", "streaming_table", "materialized_table", "guarded_write",
                "compact_table", "table_properties", "create_schema", "list_tables", "describe_table", "bronze_",
                "stream_", "gold_incremental_refresh")
-PANDAS_OK = {"duplicate_rank"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
 
@@ -24,8 +22,7 @@ def test_plan_shape(spark, sf_dir, key):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, f"{key}: {bad}"
-    if key not in PANDAS_OK:
-        assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan, key
+    assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan, key
 
 
 def test_scans_are_pruned(spark, sf_dir):

@@ -1,6 +1,5 @@
-"""A key holding a third of all rows in the join that cannot be
-pre-aggregated (G6): it is isolated and joined by broadcast, and the result
-equals the plain join."""
+"""A key holding a third of all rows in joins that cannot be pre-aggregated:
+its rows are salted, and results equal the plain join."""
 from pyspark.sql import functions as F
 
 from lakestrata.catalog import obs, pat
@@ -36,28 +35,51 @@ def test_hot_patient_is_salted(spark, sf_dir):
             spark.conf.set(k, v)
         o = _skewed(spark, sf_dir)
         hot = pat(spark, sf_dir).select("Id").orderBy("Id").first()["Id"]
-        assert [r[0] for r in hot_keys(o, ["patient_id"], 1, min_rows=50).collect()] == [hot]
+        assert max(hot_keys(o, ["patient_id"], 40).collect(), key=lambda r: r["_hot"])[0] == hot
         dim = pat(spark, sf_dir).selectExpr("Id AS patient_id", "GENDER")
-        for how in ("inner", "left", "left_semi", "left_anti"):
-            j = skew_join(o, dim, "patient_id", how, max_hot_keys=5, min_rows=50, salts=8)
-            assert _rows(j) == _rows(o.join(dim, "patient_id", how)), how
-        # sub-keys sized from the hot key's row count
-        for how in ("inner", "left_anti"):
-            j = skew_join(o, dim, "patient_id", how, max_hot_keys=5, min_rows=50, rows_per_salt=40)
-            assert _rows(j) == _rows(o.join(dim, "patient_id", how)), how
-        j = skew_join(o, dim, "patient_id", "inner", max_hot_keys=5, min_rows=50, salts=8)
+        for keys_at_once in (100_000, 0):  # broadcast hot keys, and the other way
+            for how in ("inner", "left", "left_semi", "left_anti"):
+                j = skew_join(o, dim, "patient_id", how, rows_per_salt=40, broadcast_keys=keys_at_once)
+                assert _rows(j) == _rows(o.join(dim, "patient_id", how)), how
+        j = skew_join(o, dim, "patient_id", "inner", rows_per_salt=40)
         j.write.format("noop").mode("overwrite").save()
         plan = j._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(patient_id" in plan and "_salt" in plan.split("SortMergeJoin")[1].split("\n")[0]
-        # the hot key's rows are spread over several join partitions
-        spread = (o.join(hot_keys(o, ["patient_id"], 1, min_rows=50), "patient_id", "left_semi")
-                  .withColumn("s", F.pmod(F.xxhash64(*o.columns), F.lit(8))).select("s").distinct().count())
-        assert spread == 8
-        assert _rows(G.vital_signs(o, pat(spark, sf_dir), AS_OF)) == _rows(
-            G.vital_signs(o, pat(spark, sf_dir), AS_OF))
+        plain = o.filter((F.col("category") == "vital-signs") & F.col("observation_value").isNotNull()).join(
+            pat(spark, sf_dir).selectExpr("Id AS patient_id"), "patient_id")
+        g = G.vital_signs(o, pat(spark, sf_dir), AS_OF, rows_per_salt=40)
+        assert g.agg(F.sum("observation_count")).first()[0] == plain.count()
+        code = g.select("observation_code").first()[0]
+        want = plain.filter(F.col("observation_code") == code).agg(F.min("observation_value"), F.max("observation_value")).first()
+        got = g.filter(F.col("observation_code") == code).agg(F.min("min_value"), F.max("max_value")).first()
+        assert [round(x, 2) for x in want] == list(got)
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_equal_rows_and_null_keys_are_spread(spark):
+    big = spark.createDataFrame([(1, "x")] * 3000 + [(None, "y")] * 3000 + [(2, "z")], "k int, v string").coalesce(1)
+    small = spark.createDataFrame([(1, "a"), (3, "c")], "k int, w string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        j = skew_join(big, small, "k", how, rows_per_salt=500)
+        assert _rows(j) == _rows(big.join(small, "k", how)), how
+    assert [r["_hot"] for r in hot_keys(big, ["k"], 500).collect()] == [6]
+
+
+def test_group_quantiles_match_sorting(spark):
+    import math
+    import random
+
+    from lakestrata.operators.quantiles import group_quantiles
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", None, "hot", "hot", "hot"]), rnd.choice([1.5, 2.0, rnd.random(), None])) for _ in range(2000)]
+    got = {r["g"]: (r["p25"], r["p50"], r["p100"]) for r in group_quantiles(
+        spark.createDataFrame(rows, "g string, v double"), ["g"], "v", {"p25": 0.25, "p50": 0.5, "p100": 1.0}, 7).collect()}
+    for g in ("a", None, "hot"):
+        v = sorted(x for k, x in rows if k == g and x is not None)
+        assert got[g] == tuple(v[math.ceil(len(v) * p) - 1] for p in (0.25, 0.5, 1.0))
