@@ -97,24 +97,29 @@ def q_s1(spark, d):
 
 @register("scan_csv_incremental")
 def q_s2(spark, d):
+    """Two runs; the second file is reordered and has a column more."""
     root = scratch_dir(spark, "s2")
     src, out, ck, sl = f"{root}/in", f"{root}/out", f"{root}/ck", f"{root}/schema"
     raw = org_raw(spark, d)
     cols = [c for c in raw.columns if c not in LINEAGE and c != "_rescued_data"]
+
+    def run():
+        ST.ingest_available(spark, f"{src}/organizations*", "*.csv", out, ck, schema_location=sl, infer_types=True, as_of=AS_OF)
+
     SF.write_csv(raw.filter(F.col("Id").cast("bigint") % 2 == 0).select(*cols), f"{src}/organizations1")
-    ST.run_available(SF.stream_csv(spark, f"{src}/organizations*", "*.csv", schema_location=sl), out, ck)
-    SF.write_csv(raw.filter(F.col("Id").cast("bigint") % 2 == 1).select(*cols), f"{src}/organizations2")
-    ST.run_available(SF.stream_csv(spark, f"{src}/organizations*", "*.csv", schema_location=sl), out, ck)
-    return spark.read.parquet(out)
+    run()
+    SF.write_csv(raw.filter(F.col("Id").cast("bigint") % 2 == 1).select(*reversed(cols), F.lit("x").alias("EXTRA")),
+                 f"{src}/organizations 2")
+    run()
+    return ST.read_batches(spark, out).drop(*LINEAGE)
 
 
 @register("scan_csv_strings")
 def q_s3(spark, d):
     root = scratch_dir(spark, "s3")
-    _pat_csv(spark, d, f"{root}/in")
-    s = SF.stream_csv(spark, f"{root}/in/patients*", "*.csv", schema_location=f"{root}/schema", infer_types=False)
-    ST.run_available(s, f"{root}/out", f"{root}/ck")
-    return spark.read.parquet(f"{root}/out")
+    _pat_csv(spark, d, f"{root}/in", drift=True)
+    ST.ingest_available(spark, f"{root}/in/patients*", "*.csv", f"{root}/out", f"{root}/ck", schema=_pat_schema(spark, d), as_of=AS_OF)
+    return ST.read_batches(spark, f"{root}/out").drop(*LINEAGE)
 
 
 @register("lineage_file")
@@ -296,7 +301,7 @@ def q_b3(spark, d):
 def q_b4(spark, d):
     root = scratch_dir(spark, "b4")
     _pat_csv(spark, d, root)
-    _, checks = B.load_patients(spark, f"{root}/patients*", "*.csv", AS_OF)
+    _, checks = B.load_patients(spark, f"{root}/patients*", "*.csv", AS_OF, B.PATIENTS)
     return checks
 
 
@@ -305,7 +310,7 @@ def q_b5(spark, d):
     root = scratch_dir(spark, "b5")
     raw = obs_raw(spark, d).withColumnRenamed("obs_ts", "DATE").drop(*LINEAGE, "_rescued_data")
     SF.write_csv(raw, f"{root}/observations1")
-    _, checks = B.load_observations(spark, f"{root}/observations*", "*.csv", AS_OF)
+    _, checks = B.load_observations(spark, f"{root}/observations*", "*.csv", AS_OF, B.OBSERVATIONS)
     return checks
 
 
@@ -314,7 +319,7 @@ def q_b6(spark, d):
     root = scratch_dir(spark, "b6")
     _pat_csv(spark, d, f"{root}/in")
     B.auto_patients(spark, f"{root}/in/patients*", f"{root}/out", f"{root}/ck", f"{root}/schema", glob="*.csv", as_of=AS_OF)
-    return spark.read.parquet(f"{root}/out").withColumn("source_dir", _dir_of()).drop(*LINEAGE)
+    return _bronze_out(spark, f"{root}/out")
 
 
 # --- ST: streams -------------------------------------------------------------
@@ -326,7 +331,7 @@ def q_st1(spark, d):
     _org_csv(spark, d, f"{root}/in", split=True)
     ST.ingest_available(spark, f"{root}/in/organizations*", "*.csv", f"{root}/out", f"{root}/ck",
                         schema_location=f"{root}/schema", infer_types=True, as_of=AS_OF)
-    return spark.read.parquet(f"{root}/out").drop(*LINEAGE)
+    return ST.read_batches(spark, f"{root}/out").drop(*LINEAGE)
 
 
 @register("stream_table_to_table")
@@ -366,7 +371,7 @@ def q_st4(spark, d):
         SF.write_csv(raw.filter(F.col("source_file") == f"patients{s}.csv"), f"{root}/in/patients{s}")
         stream = SF.stream_csv(spark, f"{root}/in/patients*", "*.csv", schema=schema)
         ST.dedup_stream(stream, ["Id"], [F.desc_nulls_last("ingestion_timestamp")], f"{root}/out", f"{root}/ck",
-                        ties=[F.desc_nulls_last("source_file")], buckets=16)
+                        ties=[F.desc_nulls_last("source_file")])
     return ST.read_bucketed(spark, f"{root}/out").select("Id", "source_file", "MARITAL", "ingestion_timestamp")
 
 
@@ -379,6 +384,10 @@ def _activity(df: DataFrame) -> DataFrame:
     )
 
 
+ACTIVITY_MERGE = {"total_observations": "sum", "first_observation": "min", "last_observation": "max",
+                  "numeric_observations": "sum"}
+
+
 @register("gold_incremental_refresh")
 def q_st5(spark, d):
     root = scratch_dir(spark, "st5")
@@ -387,5 +396,5 @@ def q_st5(spark, d):
         _obs_csv(spark, d, f"{root}/in", which=(w,))
         s = SF.with_lineage(SF.stream_csv(spark, f"{root}/in/observations*", "*.csv", schema=schema), as_of=AS_OF)
         silver = checked(V.silver_observations(s, date_col="obs_ts"), "silver_observations")
-        ST.refresh_groups(silver, ["patient_id"], _activity, f"{root}/silver", f"{root}/gold", f"{root}/ck", buckets=16)
+        ST.refresh_groups(silver, ["patient_id"], _activity, ACTIVITY_MERGE, f"{root}/silver", f"{root}/gold", f"{root}/ck")
     return ST.read_bucketed(spark, f"{root}/gold")

@@ -845,8 +845,10 @@ _PAT_TYPED = {
 _pat_parts = [(k, raw, typed) for k, (raw, typed) in _PAT_TYPED.items()]
 
 sql("scan_csv_batch", ["org_inferred"], "SELECT * FROM org_inferred")
-sql("scan_csv_incremental", ["org_inferred"], "SELECT * FROM org_inferred")
-sql("scan_csv_strings", ["pat_strings"], "SELECT * EXCLUDE (source_dir) FROM pat_strings")
+sql("scan_csv_incremental", ["org_inferred"], """
+SELECT *, CASE WHEN Id % 2 = 1 THEN '{"EXTRA":"x"}' END AS _rescued_data FROM org_inferred""")
+sql("scan_csv_strings", ["pat_strings"], """
+SELECT * EXCLUDE (source_dir), CASE WHEN source_dir = 'patients2' THEN '{"EXTRA":"x"}' END AS _rescued_data FROM pat_strings""")
 sql("lineage_file", ["pat_raw"], "SELECT Id, replace(source_file, '.csv', '') AS source_dir FROM pat_raw")
 sql("lineage_time", ["pat_raw"], f"SELECT Id, MARITAL, {AS_OF_TS} AS ingestion_timestamp FROM pat_raw")
 _drift_parts = _pat_parts + [("EXTRA", "CASE WHEN source_file = 'patients2.csv' THEN 'x' END", "NULL")]
@@ -903,15 +905,15 @@ sql("bronze_patients_batch", ["pat_raw"], """
 SELECT total_rows, unique_ids, null_ids, null_birthdates, null_genders, total_rows <> unique_ids AS has_duplicates,
   null_ids > 0 AS has_null_ids
 FROM (SELECT COUNT(*) AS total_rows, COUNT(DISTINCT Id) AS unique_ids, COUNT(*) FILTER (WHERE Id IS NULL) AS null_ids,
-        COUNT(*) FILTER (WHERE NULLIF(BIRTHDATE, '') IS NULL) AS null_birthdates,
+        COUNT(*) FILTER (WHERE TRY_CAST(NULLIF(BIRTHDATE, '') AS DATE) IS NULL) AS null_birthdates,
         COUNT(*) FILTER (WHERE GENDER IS NULL) AS null_genders FROM pat_raw) t""")
 sql("bronze_observations_batch", ["obs_raw"], """
 SELECT COUNT(*) AS total_rows, COUNT(DISTINCT PATIENT) AS unique_patients, COUNT(DISTINCT ENCOUNTER) AS unique_encounters,
   COUNT(*) FILTER (WHERE PATIENT IS NULL) AS null_patients, COUNT(*) FILTER (WHERE obs_ts IS NULL) AS null_dates,
   COUNT(*) FILTER (WHERE VALUE IS NULL) AS null_values, COUNT(*) FILTER (WHERE CATEGORY IS NULL) AS null_categories
 FROM obs_raw""")
-sql("bronze_patients_auto", ["pat_strings"], "SELECT * FROM pat_strings")
-sql("stream_ingest", ["org_inferred"], "SELECT * FROM org_inferred")
+sql("bronze_patients_auto", ["pat_strings"], "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM pat_strings")
+sql("stream_ingest", ["org_inferred"], "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM org_inferred")
 sql("stream_table_to_table", ["org_inferred"], """
 SELECT Id AS organization_id, NAME AS organization_name, ADDRESS AS address, CITY AS city, upper(STATE) AS state,
   ZIP AS zip_code, LAT AS latitude, LON AS longitude, regexp_replace(PHONE, '[^0-9]', '', 'g') AS phone,

@@ -1,11 +1,9 @@
 """Bronze layer (B1-B6): incremental and batch CSV ingestion.
 
-Streaming bronze tables (B1-B3) list new files with a ``binaryFile`` stream
-that selects only ``path`` (file contents are not read by it). Each
-micro-batch reads its files by header, so files whose columns were added,
-dropped or reordered are mapped by name, then types are applied with rescue
-(S6), lineage is added (S4, S5) and expectations run (E1-E3) before an
-idempotent write of the batch.
+Streaming bronze tables (B1-B3) read each micro-batch of new files by header,
+so files whose columns were added, dropped or reordered are mapped by name,
+then types are applied with rescue (S6), lineage is added (S4, S5) and
+expectations run (E1-E3) before an idempotent write of the batch.
 """
 
 from __future__ import annotations
@@ -18,8 +16,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.operators import expectations as E
-from lakestrata.sources.files import read_csv, read_csv_by_header, rescue, stream_csv, with_lineage
-from lakestrata.streaming.ingest import BATCH_COL, batch_key, run_available
+from lakestrata.sources.files import read_csv, read_csv_by_header, rescue, with_lineage
+from lakestrata.streaming.ingest import BATCH_COL, csv_batches, ingest_available
 
 
 def _schema(spec: dict[str, T.DataType]) -> T.StructType:
@@ -28,10 +26,6 @@ def _schema(spec: dict[str, T.DataType]) -> T.StructType:
 
 S, D, DT, I, TS = T.StringType(), T.DoubleType(), T.DateType(), T.IntegerType(), T.TimestampNTZType()
 
-# Fixed schema of the binaryFile source (only ``path`` is selected, so contents are not read).
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-
-
 @dataclass(frozen=True)
 class BronzeSpec:
     """Declared bronze columns and the rule-catalogue entry of one entity."""
@@ -82,22 +76,14 @@ def bronze(spark: SparkSession, spec: BronzeSpec, src_dir: str, target: str, che
     rules = E.catalogue(spec.rules, as_of)
     if quarantine:
         rules = E.quarantined(rules)
-    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("pathGlobFilter", glob or spec.glob))
-    files = files.option("maxFilesPerTrigger", str(max_files_per_trigger)).load(src_dir).select("path")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        key = batch_key(checkpoint, batch_id)
-        # File names of this micro-batch only (bounded by maxFilesPerTrigger).
-        paths = [r["path"] for r in batch.collect()]
-        if not paths:
-            return
-        typed = bronze_frame(read_csv_by_header(spark, paths), spec, as_of).persist()
+
+    def write(raw: DataFrame, key: str) -> None:
+        typed = bronze_frame(raw, spec, as_of).persist()
         try:
             metrics = E.expectation_metrics(typed, rules, spec.name).withColumn(BATCH_COL, F.lit(key)).persist()
             broken = metrics.filter((F.col("tier") == "fail") & (F.col("failed_records") > 0)).select("rule").collect()
             if broken:
-                raise ValueError(f"{spec.name}: expectation failed in batch {batch_id}: {[r['rule'] for r in broken]}")
+                raise ValueError(f"{spec.name}: expectation failed in batch {key}: {[r['rule'] for r in broken]}")
             passing = E.expect(typed, [r for r in rules if r.tier == "drop"])
             (passing.withColumn(BATCH_COL, F.lit(key)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(target))
@@ -108,18 +94,20 @@ def bronze(spark: SparkSession, spec: BronzeSpec, src_dir: str, target: str, che
         finally:
             typed.unpersist()
 
-    q = files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    return q
+    return csv_batches(spark, src_dir, glob or spec.glob, checkpoint, write, max_files_per_trigger, timeout_s)
 
 
-def _load(spark: SparkSession, path: str, glob: str | None, as_of: str | None) -> DataFrame:
+def _load(spark: SparkSession, path: str, glob: str | None, as_of: str | None, spec: BronzeSpec | None) -> DataFrame:
+    """With a spec: one pass by header, declared types and rescue. Without: types are inferred in a pass of its own."""
+    if spec is not None:
+        return bronze_frame(read_csv_by_header(spark, path, glob), spec, as_of)
     return with_lineage(read_csv(spark, path, glob=glob), as_of=as_of)
 
 
-def load_patients(spark: SparkSession, path: str, glob: str | None = None, as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Full load with inferred types and a one-pass validation row."""
-    df = _load(spark, path, glob, as_of)
+def load_patients(spark: SparkSession, path: str, glob: str | None = None, as_of: str | None = None,
+                  spec: BronzeSpec | None = None) -> tuple[DataFrame, DataFrame]:
+    """Full load with a one-pass validation row (types of ``spec``, or inferred)."""
+    df = _load(spark, path, glob, as_of, spec)
     checks = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_distinct("Id").alias("unique_ids"),
@@ -133,9 +121,10 @@ def load_patients(spark: SparkSession, path: str, glob: str | None = None, as_of
     return df, checks
 
 
-def load_observations(spark: SparkSession, path: str, glob: str | None = None, as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Full load with inferred types and a one-pass validation row."""
-    df = _load(spark, path, glob, as_of)
+def load_observations(spark: SparkSession, path: str, glob: str | None = None, as_of: str | None = None,
+                      spec: BronzeSpec | None = None) -> tuple[DataFrame, DataFrame]:
+    """Full load with a one-pass validation row (types of ``spec``, or inferred)."""
+    df = _load(spark, path, glob, as_of, spec)
     checks = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_distinct("PATIENT").alias("unique_patients"),
@@ -150,6 +139,5 @@ def load_observations(spark: SparkSession, path: str, glob: str | None = None, a
 
 def auto_patients(spark: SparkSession, src_dir: str, target: str, checkpoint: str, schema_location: str,
                   glob: str = "patients*.csv", as_of: str | None = None) -> StreamingQuery:
-    """All-string incremental load with a persisted schema and lineage."""
-    s = stream_csv(spark, src_dir, glob, schema_location=schema_location, infer_types=False)
-    return run_available(with_lineage(s, as_of=as_of), target, checkpoint)
+    """All-string incremental load with a persisted schema, rescue and lineage."""
+    return ingest_available(spark, src_dir, glob, target, checkpoint, schema_location=schema_location, as_of=as_of)

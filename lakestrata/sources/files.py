@@ -10,10 +10,14 @@ restarts reuse it.
 from __future__ import annotations
 
 import csv
+import io
 import json
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +26,8 @@ from lakestrata.functions.scalars import now
 
 # Timestamps are written and read with microseconds so CSV round trips are exact.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+#: Raw text of rows that have more values than their header.
+CORRUPT_COL = "_corrupt_record"
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT}
 
 
@@ -57,10 +63,10 @@ def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> Non
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(location).first()
-    except Exception:  # noqa: BLE001 - no schema saved yet
-        return None
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None  # nothing saved yet; any other error is one
+    row = spark.read.text(location).first()
     return T.StructType.fromJson(json.loads(row[0])) if row else None
 
 
@@ -83,10 +89,15 @@ def resolve_schema(spark: SparkSession, path: str, glob: str | None = None, sche
 def stream_csv(spark: SparkSession, path: str, glob: str | None = None, schema: T.StructType | None = None,
                schema_location: str | None = None, infer_types: bool = True, max_files_per_trigger: int | None = None,
                options: dict | None = None) -> DataFrame:
-    """Incremental CSV file stream; only files not seen before are read."""
+    """Incremental CSV file stream with one layout; only files not seen before are read.
+
+    Columns go by position, so a file whose header is not the schema's stops
+    the stream. For files whose layout may change use
+    ``streaming.ingest.ingest_available``.
+    """
     if schema is None:
         schema = resolve_schema(spark, path, glob, schema_location, infer_types)
-    r = _reader(spark, glob, options, stream=True).schema(schema)
+    r = _reader(spark, glob, {"enforceSchema": "false", **(options or {})}, stream=True).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
@@ -154,109 +165,80 @@ def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = "_rescued_dat
     return df.select(*out, rescued.alias(rescued_col), *kept)
 
 
-def _arrow_path(path: str) -> str:
-    """URI pyarrow understands (Spark writes local paths as ``file:/x``)."""
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    return path
-
-
-def _first_line(path: str, chunk: int = 65536) -> str:
-    import pyarrow.fs as pafs
+def file_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
+    """Header record -> files that have it.
 
-    fs, rel = pafs.FileSystem.from_uri(_arrow_path(path))
-    buf = b""
-    with fs.open_input_stream(rel, compression="detect") as fh:
-        while b"\n" not in buf:
-            part = fh.read(chunk)
-            if not part:
-                break
-            buf += part
-    line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8")
-    return line.lstrip("\ufeff")
-
-
-def _arrow_can_open(path: str) -> bool:
-    try:
-        import pyarrow.fs as pafs
+    Opens each file through Spark's own file system layer (any store that
+    Spark reads, compressed or not) and reads its first CSV record, which may
+    hold quoted line ends. Headers and file names are metadata: they are as
+    many as the files that Spark itself lists on the driver.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(path: str) -> str:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            codec = codecs.getCodec(p)
+            body = codec.createInputStream(stream) if codec is not None else stream
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(body, "UTF-8"))
+            record = lines.readLine() or ""
+            while record.count('"') % 2:
+                more = lines.readLine()
+                if more is None:
+                    break
+                record += "\n" + more
+            return record.lstrip("\ufeff")
+        finally:
+            stream.close()
+
+    out: dict[str, list[str]] = {}
+    paths = list(paths)
+    with ThreadPoolExecutor(16) as pool:
+        for path, record in zip(paths, pool.map(header, paths)):
+            out.setdefault(record, []).append(path)
+    return out
 
-        pafs.FileSystem.from_uri(_arrow_path(path))
-        return True
-    except Exception:  # noqa: BLE001 - scheme not supported by pyarrow here
-        return False
 
+def _plain_path(path: str) -> str:
+    """A path as a literal for ``load``: glob characters are escaped."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
-def headers_by_file(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """(header, files) for each distinct header line under ``path``.
 
-    Files are listed by Spark (a ``binaryFile`` read that selects only
-    ``path``); tasks then open their files and read only the first line,
-    so the cost is a few KB per file, not a scan. Where pyarrow cannot open
-    the file system, the first line comes from the split that starts at
-    byte 0 of a text scan instead. Only headers and file names reach the
-    driver.
-    """
+def list_files(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> list[str]:
     b = spark.read.format("binaryFile")
     if glob:
         b = b.option("pathGlobFilter", glob)
-    listed = b.load(path).select(F.col("path").alias("file_path"))
-    probe = listed.select("file_path").first()
-    if probe is None:
-        return spark.createDataFrame([], "header string, files array<string>")
-    if _arrow_can_open(probe["file_path"]):
-        from lakestrata.session import ship_package
-
-        ship_package(spark)
-
-        def heads(batches):
-            for pdf in batches:
-                yield pd.DataFrame({"header": [_first_line(p) for p in pdf["file_path"]],
-                                    "file_path": pdf["file_path"].values})
-
-        # no shuffle needed to spread the opens: the scan packs at most about
-        # maxPartitionBytes / openCostInBytes (32 by default) small files
-        # into one task
-        firsts = listed.mapInPandas(heads, "header string, file_path string")
-    else:
-        t = spark.read.format("text")
-        if glob:
-            t = t.option("pathGlobFilter", glob)
-        lines = t.load(path).select(
-            "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start")
-        ).filter(F.col("start") == 0)
-
-        def first_lines(batches):
-            seen: set[str] = set()
-            for pdf in batches:
-                f = pdf.drop_duplicates("file_path", keep="first")
-                f = f[~f["file_path"].isin(seen)]
-                seen.update(f["file_path"].tolist())
-                if len(f):
-                    yield pd.DataFrame({"header": f["value"].values, "file_path": f["file_path"].values})
-
-        firsts = lines.mapInPandas(first_lines, "header string, file_path string")
-    return firsts.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    return sorted(unquote(r["path"]) for r in b.load(path).select(F.col("_metadata.file_path").alias("path")).toLocalIterator())
 
 
 def read_csv_by_header(spark: SparkSession, path: str | Sequence[str], glob: str | None = None,
                        file_col: str | None = "source_file") -> DataFrame:
     """All-string read of CSV files whose headers differ (added, removed or
-    reordered columns): each header group is read with its own schema and
-    the groups are combined by column name. The source file path is added
-    as ``file_col`` (before the union, where ``_metadata`` is available)."""
-    groups = headers_by_file(spark, path, glob).collect()
+    reordered columns): see ``read_csv_files``."""
+    return read_csv_files(spark, list_files(spark, path, glob), file_col)
+
+
+def read_csv_files(spark: SparkSession, paths: Sequence[str], file_col: str | None = "source_file") -> DataFrame:
+    """Files of one header are read with that header as their schema, and the
+    groups are combined by column name. A row with more values than its header
+    has its whole text in CORRUPT_COL, so nothing is lost. The source file path
+    is added as ``file_col``. No files give an empty frame."""
     frames = []
-    for g in groups:
-        cols = next(csv.reader([g["header"]]))
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-        f = _reader(spark, None, None).schema(schema).load(list(g["files"]))
-        if file_col:
-            f = f.withColumn(file_col, F.col("_metadata.file_path"))
-        frames.append(f)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    for header, files in sorted(file_headers(spark, paths).items()):
+        names = next(csv.reader(io.StringIO(header)), [])
+        fields = [T.StructField(c, T.StringType(), True) for c in names]
+        schema = T.StructType([*fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
+        options = {"columnNameOfCorruptRecord": CORRUPT_COL, "multiLine": str("\n" in header).lower()}
+        f = _reader(spark, None, options).schema(schema).load([_plain_path(x) for x in files])
+        wide = ", ".join(f"c{i} string" for i in range(len(names) + 1))  # short rows are marked too; only long ones matter
+        f = f.withColumn(CORRUPT_COL, F.when(F.from_csv(CORRUPT_COL, wide)[f"c{len(names)}"].isNotNull(), F.col(CORRUPT_COL)))
+        frames.append(f.withColumn(file_col, F.col("_metadata.file_path")) if file_col else f)
+    if not frames:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (CORRUPT_COL, file_col) if c]))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partitions: int | None = None) -> None:

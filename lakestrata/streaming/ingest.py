@@ -8,34 +8,33 @@
   written to its own ``_batch_id=<n>`` partition with overwrite, which makes
   a replayed batch (foreachBatch is at-least-once) idempotent.
 * ``dedup_stream`` (ST4) and ``refresh_groups`` (ST5) keep a latest-row table
-  and an aggregate table current without full recompute: rows are placed in
-  ``_bucket = pmod(xxhash64(keys), n)`` partitions and each micro-batch
-  rewrites only the buckets it touches (dynamic partition overwrite), from a
-  staged copy so the job never overwrites files it is reading.
+  and an aggregate table current: rows are placed in
+  ``_bucket = pmod(xxhash64(keys), n)`` partitions, n is stored with the
+  table, and each micro-batch rewrites only the buckets that it changes
+  (dynamic partition overwrite), from a staged copy so the job never
+  overwrites files it is reading.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.operators import expectations as E
 from lakestrata.operators.dedup import dedup_latest
-from lakestrata.sources.files import stream_csv, stream_table, with_lineage
+from lakestrata.sources.files import read_csv_files, rescue, resolve_schema, stream_table, with_lineage
 
 BATCH_COL = "_batch_id"
 BUCKET_COL = "_bucket"
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+WRITER_COL, APPLIED_COL = "_writer", "_applied"
+#: Bytes that a bucket should hold, and how many first batches a new table is laid out for.
+BUCKET_BYTES, GROWTH = 128 << 20, 100
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -50,13 +49,57 @@ def run_available(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     return q
 
 
+#: Fixed schema of the binaryFile source (only ``path`` is selected, so contents are not read).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def csv_batches(spark: SparkSession, src_dir: str, glob: str | None, checkpoint: str,
+                write: Callable[[DataFrame, str], None], max_files_per_trigger: int = 1000,
+                timeout_s: float | None = None) -> StreamingQuery:
+    """Hand every micro-batch of new CSV files to ``write(frame, batch key)``, then stop.
+
+    The stream lists new files; each batch reads its files (at most
+    ``max_files_per_trigger``) by header, so added, dropped and reordered
+    columns go by name and surplus values stay.
+    """
+    files = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    if glob:
+        files = files.option("pathGlobFilter", glob)
+    files = files.option("maxFilesPerTrigger", str(max_files_per_trigger)).load(src_dir).select(
+        F.col("_metadata.file_path").alias("path"))
+
+    def batch_files(batch: DataFrame, batch_id: int) -> None:
+        paths = sorted(unquote(r["path"]) for r in batch.collect())  # bounded by max_files_per_trigger
+        if paths:
+            write(read_csv_files(spark, paths), batch_key(checkpoint, batch_id))
+
+    q = (files.writeStream.foreachBatch(batch_files).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    return q
+
+
 def ingest_available(spark: SparkSession, src_dir: str, glob: str | None, target: str, checkpoint: str,
-                     schema=None, schema_location: str | None = None, infer_types: bool = False,
-                     as_of: str | None = None, file_col: str = "source_file",
-                     time_col: str = "ingestion_timestamp") -> StreamingQuery:
-    """ST1: new CSV files -> lineage columns -> appended table, then stop."""
-    s = stream_csv(spark, src_dir, glob, schema, schema_location, infer_types)
-    return run_available(with_lineage(s, file_col, time_col, as_of), target, checkpoint)
+                     schema: T.StructType | None = None, schema_location: str | None = None, infer_types: bool = False,
+                     as_of: str | None = None, file_col: str = "source_file", time_col: str = "ingestion_timestamp",
+                     max_files_per_trigger: int = 1000) -> StreamingQuery:
+    """S2, S3, ST1: new CSV files -> declared columns by name, rescue and lineage -> appended table, then stop.
+
+    Without ``schema`` the saved one at ``schema_location`` holds, or the
+    first run's files give it (inferred types, or text). Later columns and
+    values that do not fit it go to ``_rescued_data``. Read the table with
+    ``read_batches``.
+    """
+    if schema is None:
+        schema = resolve_schema(spark, src_dir, glob, schema_location, infer_types)
+
+    def write(raw: DataFrame, key: str) -> None:
+        rows = rescue(with_lineage(raw, None, time_col, as_of).withColumnRenamed("source_file", file_col), schema,
+                      keep=(file_col, time_col))
+        (rows.withColumn(BATCH_COL, F.lit(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COL).parquet(target))
+
+    return csv_batches(spark, src_dir, glob, checkpoint, write, max_files_per_trigger)
 
 
 def transform_stream(spark: SparkSession, src: str, fn: Callable[[DataFrame], DataFrame], dst: str,
@@ -116,6 +159,39 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def bucket_count(spark: SparkSession, dst: str, buckets: int | None, first: DataFrame) -> int:
+    """Number of buckets of the table at ``dst``; it is stored with the table and never changes.
+
+    A new table gets ``buckets``, or one for each ``BUCKET_BYTES`` of
+    ``GROWTH`` first batches. Asking for another number later is an error,
+    because rows of one key would lie in two buckets.
+    """
+    fs, path = _fs(spark, f"{dst.rstrip('/')}/_buckets")
+    if fs.exists(path):
+        stream = fs.open(path)
+        try:
+            known = int(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        if buckets is not None and buckets != known:
+            raise ValueError(f"{dst} has {known} buckets; rewrite it to change them to {buckets}")
+        return known
+    if buckets is None:
+        size = int(first._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        buckets = int(min(100_000, max(16, GROWTH * size // BUCKET_BYTES)))
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(str(buckets).encode()))
+    finally:
+        out.close()
+    return buckets
+
+
 def _touched_buckets(df: DataFrame) -> list[int]:
     # At most ``buckets`` small integers reach the driver.
     return [r[0] for r in df.select(BUCKET_COL).distinct().collect()]
@@ -123,34 +199,44 @@ def _touched_buckets(df: DataFrame) -> list[int]:
 
 def _replace_buckets(spark: SparkSession, new_content: DataFrame, dst: str, stage: str) -> None:
     # One writer per bucket: the content is already reduced to one row per
-    # key (or group), and buckets are sized by choosing ``buckets``.
+    # key (or group), and buckets are sized by ``bucket_count``.
     new_content.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(dst))
+    (spark.read.schema(new_content.schema).parquet(stage).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(dst))
+    fs, path = _fs(spark, stage)
+    fs.delete(path, True)
 
 
 def dedup_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[Column], dst: str, checkpoint: str,
-                 ties: Sequence[Column] = (), buckets: int = 64, timeout_s: float | None = None) -> StreamingQuery:
+                 ties: Sequence[Column] = (), buckets: int | None = None, timeout_s: float | None = None) -> StreamingQuery:
     """ST4: keep the latest row per key current as new rows stream in.
 
-    Each batch is unioned with the current survivors of the buckets it
-    touches, deduplicated (W1) and written back over those buckets only.
-    Replaying a batch gives the same table (dedup is idempotent under a
-    total order).
+    A batch is cut to its latest row per key first. Only the buckets of rows
+    that beat the current survivor of their key are written. Replaying a batch
+    gives the same table (dedup is idempotent under a total order).
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn(BUCKET_COL, bucket_of(keys, buckets)).persist()
+        n = bucket_count(spark, dst, buckets, batch)
+        b = dedup_latest(batch.withColumn(BUCKET_COL, bucket_of(keys, n)), keys, order, ties).persist()
         try:
             touched = _touched_buckets(b)
             if not touched:
                 return
-            merged = b
-            if _exists(spark, dst):
-                current = spark.read.parquet(dst).filter(F.col(BUCKET_COL).isin(touched))
-                merged = current.unionByName(b)
-            out = dedup_latest(merged, keys, order, ties)
+            out = b
+            if _has_rows(spark, dst):
+                current = spark.read.parquet(dst).filter(F.col(BUCKET_COL).isin(touched)).withColumn("_new", F.lit(False))
+                merged = dedup_latest(current.unionByName(b.withColumn("_new", F.lit(True))), keys, order, [*ties, F.asc("_new")])
+                merged = merged.persist()
+                try:
+                    changed = _touched_buckets(merged.filter("_new"))
+                    if changed:
+                        _replace_buckets(spark, merged.filter(F.col(BUCKET_COL).isin(changed)).drop("_new"), dst,
+                                         f"{checkpoint.rstrip('/')}/stage/batch={batch_id}")
+                finally:
+                    merged.unpersist()
+                return
             _replace_buckets(spark, out, dst, f"{checkpoint.rstrip('/')}/stage/batch={batch_id}")
         finally:
             b.unpersist()
@@ -160,42 +246,50 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return q
 
 
-def refresh_groups(stream: DataFrame, keys: Sequence[str], agg: Callable[[DataFrame], DataFrame], silver: str,
-                   gold: str, checkpoint: str, buckets: int = 64, timeout_s: float | None = None) -> StreamingQuery:
-    """ST5: append new rows to ``silver`` and recompute only the touched groups of ``gold``.
+def _has_rows(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and any(x.getPath().getName().startswith(f"{BUCKET_COL}=") for x in fs.listStatus(p))
+
+
+MERGES = {"sum": F.sum, "min": F.min, "max": F.max}
 
-    ``agg(df)`` must group by ``keys``. Touched groups are recomputed from
-    the full silver table (semi-join on the batch's keys, NULL-safe); other
-    groups of the touched buckets are carried over unchanged.
+
+def refresh_groups(stream: DataFrame, keys: Sequence[str], agg: Callable[[DataFrame], DataFrame], merge: Mapping[str, str],
+                   silver: str, gold: str, checkpoint: str, buckets: int | None = None,
+                   timeout_s: float | None = None) -> StreamingQuery:
+    """ST5: append new rows to ``silver`` and bring the touched groups of ``gold`` up to date.
+
+    ``agg(df)`` groups by ``keys`` into columns that can be merged, and
+    ``merge`` says how (sum, min or max) for each. A batch is aggregated alone
+    and merged with the stored rows of its buckets: neither all of silver nor
+    the other buckets are read. Every row of a bucket names the last batch
+    that it holds, so a replayed batch is not added twice.
     """
     key_list = list(keys)
 
-    def null_safe(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        r = right.select(*[F.col(k).alias(f"_k_{k}") for k in key_list])
-        cond = None
-        for k in key_list:
-            c = left[k].eqNullSafe(r[f"_k_{k}"])
-            cond = c if cond is None else cond & c
-        return left.join(r, cond, how)
-
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        mine = batch_key(checkpoint, batch_id).split("-")[0]
         batch.persist()
         try:
-            (batch.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("overwrite")
+            (batch.withColumn(BATCH_COL, F.lit(batch_key(checkpoint, batch_id))).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(silver))
-            touched_keys = batch.select(*key_list).distinct()
-            all_rows = spark.read.parquet(silver).drop(BATCH_COL)
-            recomputed = agg(null_safe(all_rows, touched_keys, "left_semi"))
-            recomputed = recomputed.withColumn(BUCKET_COL, bucket_of(key_list, buckets)).persist()
-            touched = _touched_buckets(recomputed)
-            content = recomputed
-            if _exists(spark, gold):
+            n = bucket_count(spark, gold, buckets, batch)
+            new = agg(batch).withColumn(BUCKET_COL, bucket_of(key_list, n)).withColumns(
+                {WRITER_COL: F.lit(mine), APPLIED_COL: F.lit(batch_id).cast("long")}).persist()
+            touched = _touched_buckets(new)
+            content = new
+            if touched and _has_rows(spark, gold):
                 current = spark.read.parquet(gold).filter(F.col(BUCKET_COL).isin(touched))
-                kept = null_safe(current, touched_keys, "left_anti")
-                content = kept.unionByName(recomputed)
-            _replace_buckets(spark, content, gold, f"{checkpoint.rstrip('/')}/stage/batch={batch_id}")
-            recomputed.unpersist()
+                done = [r[0] for r in current.filter((F.col(WRITER_COL) == mine) & (F.col(APPLIED_COL) >= batch_id))
+                        .select(BUCKET_COL).distinct().collect()]  # bucket numbers
+                touched = [x for x in touched if x not in set(done)]
+                both = current.unionByName(new).filter(F.col(BUCKET_COL).isin(touched))
+                content = both.groupBy(*key_list, BUCKET_COL).agg(*[MERGES[how](c).alias(c) for c, how in merge.items()]).withColumns(
+                    {WRITER_COL: F.lit(mine), APPLIED_COL: F.lit(batch_id).cast("long")}).select(*new.columns)
+            if touched:
+                _replace_buckets(spark, content, gold, f"{checkpoint.rstrip('/')}/stage/batch={batch_id}")
+            new.unpersist()
         finally:
             batch.unpersist()
 
@@ -206,4 +300,4 @@ def refresh_groups(stream: DataFrame, keys: Sequence[str], agg: Callable[[DataFr
 
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     """Batch read of a table kept by ``dedup_stream`` / ``refresh_groups``."""
-    return spark.read.parquet(path).drop(BUCKET_COL)
+    return spark.read.parquet(path).drop(BUCKET_COL, WRITER_COL, APPLIED_COL)

@@ -41,7 +41,7 @@ def test_stream_rerun_adds_nothing_and_new_file_adds_its_rows(spark):
     def run():
         ST.ingest_available(spark, f"{root}/in", "*.csv", f"{root}/out", f"{root}/ck",
                             schema=SF.read_csv(spark, f"{root}/in", schema=schema).schema, as_of="2024-06-30 00:00:00")
-        return spark.read.parquet(f"{root}/out").count()
+        return ST.read_batches(spark, f"{root}/out").count()
 
     assert run() == 2
     assert run() == 2
@@ -167,3 +167,84 @@ def test_a_cluster_needs_the_shared_folder():
                            sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(fake)
+
+
+def test_csv_files_of_any_layout_and_name(spark):
+    root = tempfile.mkdtemp(prefix="layout-")
+    _write(f"{root}/in/a 1.csv", "Id,FIRST\n1,x\n")
+    _write(f"{root}/in/b%20[2].csv", "FIRST,EXTRA,Id\ny,e,2\n")
+    _write(f"{root}/in/c{{3}}.csv", "Id,FIRST\n3,z,surplus\n4\n")
+    _write(f"{root}/in/d.csv", 'Id,"GEN\nDER"\n5,w\n')
+    raw = SF.read_csv_by_header(spark, f"{root}/in", "*.csv")
+    from pyspark.sql.types import _parse_datatype_string
+    out = {r["Id"]: r for r in SF.rescue(raw, _parse_datatype_string("Id string, FIRST string")).collect()}
+    assert {k: r["FIRST"] for k, r in out.items()} == {"1": "x", "2": "y", "3": "z", "4": None, "5": None}
+    assert out["2"]["_rescued_data"] == '{"EXTRA":"e"}'
+    assert out["3"]["_rescued_data"] == '{"_corrupt_record":"3,z,surplus"}'
+    assert out["5"]["_rescued_data"] == '{"GEN\\nDER":"w"}'
+    assert out["1"]["_rescued_data"] is None and out["4"]["_rescued_data"] is None
+    os.makedirs(f"{root}/empty")
+    assert SF.read_csv_by_header(spark, f"{root}/empty").count() == 0
+
+
+def test_ingest_maps_later_files_by_name(spark):
+    root = tempfile.mkdtemp(prefix="st1-")
+    _write(f"{root}/in/p1.csv", "Id,FIRST,LAST\n1,f1,l1\n")
+
+    def run():
+        ST.ingest_available(spark, f"{root}/in", "*.csv", f"{root}/out", f"{root}/ck", schema_location=f"{root}/schema")
+        return {r["Id"]: r for r in ST.read_batches(spark, f"{root}/out").collect()}
+
+    run()
+    _write(f"{root}/in/p 2.csv", "LAST,EXTRA,Id,FIRST\nl2,e2,2,f2\n")
+    out = run()
+    assert (out["2"]["FIRST"], out["2"]["LAST"], out["2"]["_rescued_data"]) == ("f2", "l2", '{"EXTRA":"e2"}')
+    assert set(out) == {"1", "2"} and out["2"]["source_file"].endswith("p%202.csv")
+
+
+def test_a_stream_by_position_stops_at_another_header(spark):
+    root = tempfile.mkdtemp(prefix="pos-")
+    _write(f"{root}/in/p1.csv", "B,A\n1,2\n")
+    schema = SF.read_csv(spark, f"{root}/in", schema="A string, B string").schema
+    with pytest.raises(Exception):
+        ST.run_available(SF.stream_csv(spark, f"{root}/in", "*.csv", schema=schema), f"{root}/out", f"{root}/ck")
+
+
+def test_bucket_count_is_kept(spark):
+    root = tempfile.mkdtemp(prefix="buckets-")
+    schema = "Id string, ts int"
+
+    def run(k, buckets):
+        spark.createDataFrame([(f"k{k}", k), ("all", k)], schema).coalesce(1).write.parquet(f"{root}/in/b{k}")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in/b*")
+        ST.dedup_stream(stream, ["Id"], [F.desc("ts")], f"{root}/out", f"{root}/ck", buckets=buckets)
+
+    run(0, 4)
+    run(1, None)
+    with pytest.raises(Exception, match="4 buckets"):
+        run(2, 8)
+    run(3, 4)
+    assert sorted(map(tuple, ST.read_bucketed(spark, f"{root}/out").collect())) == [("all", 3), ("k0", 0), ("k1", 1), ("k2", 2), ("k3", 3)]
+    assert not os.path.exists(f"{root}/ck/stage/batch=0")
+
+
+def test_refresh_merges_partials_and_ignores_a_replay(spark):
+    root = tempfile.mkdtemp(prefix="st5-")
+    schema = "g string, v int"
+    agg = lambda df: df.groupBy("g").agg(F.count("*").alias("n"), F.max("v").alias("top"))
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in/b*")
+        ST.refresh_groups(stream, ["g"], agg, {"n": "sum", "top": "max"}, f"{root}/silver", f"{root}/gold", f"{root}/ck", buckets=4)
+        return sorted(map(tuple, ST.read_bucketed(spark, f"{root}/gold").collect()), key=repr)
+
+    spark.createDataFrame([("a", 1), ("a", 5), (None, 2)], schema).write.parquet(f"{root}/in/b0")
+    assert run() == [("a", 2, 5), (None, 1, 2)]
+    spark.createDataFrame([("a", 3), ("b", 9)], schema).coalesce(1).write.parquet(f"{root}/in/b1")
+    want = [("a", 3, 5), ("b", 1, 9), (None, 1, 2)]
+    assert run() == want
+    os.remove(f"{root}/ck/commits/1")  # the batch is handed out again
+    crc = f"{root}/ck/commits/.1.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    assert run() == want
