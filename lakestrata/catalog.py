@@ -114,6 +114,16 @@ def q_v6(spark, d):
     return V.observation_summary(obs(spark, d))
 
 
+@register("silver_observation_type_breakdown")
+def q_v6b(spark, d):
+    return V.observation_type_breakdown(obs(spark, d))
+
+
+@register("silver_patient_verification")
+def q_v7b(spark, d):
+    return V.patient_verification(pat(spark, d))
+
+
 @register("silver_patient_summary")
 def q_v7(spark, d):
     return V.patient_summary(pat(spark, d))

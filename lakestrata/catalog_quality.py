@@ -10,7 +10,7 @@ from lakestrata.operators import expectations as E
 from lakestrata.operators import quality as Q
 from lakestrata.plans import fixtures as X
 from lakestrata.plans import monitor as M
-from lakestrata.session import AS_OF, RUNS_AS_OF
+from lakestrata.session import AS_OF, RUNS_AS_OF, scratch_table
 
 
 def _obs_bronze(spark, d):
@@ -115,10 +115,15 @@ def q_m5(spark, d):
 @register("alerts")
 def q_m6(spark, d):
     runs = X.runs(spark, d)
+    health = scratch_table(Q.stack_metrics(*[  # one pass over each table, one row each
+        M.table_health(df, label, table, E.catalogue(table, AS_OF)) for df, label, table in (
+            (pat_raw(spark, d), "Patients", "bronze_patients"),
+            (org_raw(spark, d), "Organizations", "bronze_organizations"),
+            (_obs_bronze(spark, d), "Observations", "bronze_observations"))]), "health")
     return M.alerts(
-        fresh=_fresh(spark, d),
-        drifts=_drifts(spark, d),
-        metrics=_bronze_metrics(spark, d),
+        fresh=M.freshness_of(health),
+        drifts=M.drift_of(health),
+        metrics=M.metrics_of(health),
         as_of=AS_OF,
     ).unionByName(M.alerts(
         recency=M.update_recency(runs, RUNS_AS_OF), success=M.success_rate(runs, RUNS_AS_OF), as_of=RUNS_AS_OF,

@@ -381,6 +381,11 @@ sql("silver_observation_summary", ["obs"], f"""
 SELECT COUNT(*) AS total_observations, COUNT(DISTINCT patient_id) AS unique_patients,
   COUNT(DISTINCT observation_code) AS unique_observation_types, CAST(SUM(has_quality_issue) AS BIGINT) AS quality_issues,
   {xavg('observation_value', 2)} AS avg_value FROM obs""")
+sql("silver_observation_type_breakdown", ["obs"], """
+SELECT observation_type, COUNT(*) AS count FROM obs GROUP BY observation_type ORDER BY count DESC, observation_type""")
+sql("silver_patient_verification", ["pat"], """
+SELECT COUNT(*) AS total_patients, COUNT(DISTINCT Id) AS unique_ids,
+  COUNT(*) FILTER (WHERE data_quality_flag = 1) AS quality_issues FROM pat""")
 sql("silver_patient_summary", ["pat"], """
 SELECT 'Total Patients' AS metric, COUNT(*) AS value FROM pat
 UNION ALL SELECT 'Deceased Patients', COUNT(*) FROM pat WHERE DEATHDATE IS NOT NULL

@@ -134,7 +134,7 @@ def clinical_summary(obs: DataFrame, pat: DataFrame, as_of: str | None = None) -
     """Per-patient activity, aggregated first, then left-joined to patients.
 
     A NULL patient_id group is kept and matches no patient; observations of
-    unknown patients are labelled Living (the reference's semantics).
+    unknown patients are labelled Living, as they have no death date.
     """
     per = obs.groupBy("patient_id").agg(
         F.count(F.lit(1)).alias("total_observations"),

@@ -61,7 +61,7 @@ def silver_patients_typed(bronze: DataFrame, as_of: str | None = None, time_col:
 
 def silver_patients(bronze: DataFrame, as_of: str | None = None, time_col: str = "ingestion_timestamp",
                     file_col: str = "source_file") -> DataFrame:
-    """V1: newest row per Id, age, full name, upper-case state (21 columns)."""
+    """V1: newest row per Id, age, full name, upper-case state (21 columns; names and order are fixed)."""
     latest = dedup_latest(bronze, ["Id"], [F.desc_nulls_last(time_col)], [F.desc_nulls_last(file_col)])
     birth = F.col("BIRTHDATE")
     if dict(bronze.dtypes).get("BIRTHDATE") == "string":
@@ -118,7 +118,7 @@ def observation_class(category) -> F.Column:
 
 
 def silver_observations(bronze: DataFrame, date_col: str = "DATE", time_col: str = "ingestion_timestamp") -> DataFrame:
-    """V4: guarded numeric value, lower-case category, date, class. Stateless (stream-safe)."""
+    """V4: guarded numeric value, lower-case category, date, class. Stateless (stream-safe); names and order are fixed."""
     cat = S.lower("CATEGORY")
     return bronze.select(
         F.col(date_col).alias("observation_timestamp"),
@@ -138,7 +138,7 @@ def silver_observations(bronze: DataFrame, date_col: str = "DATE", time_col: str
 
 
 def silver_observations_typed(bronze: DataFrame, date_col: str = "DATE", time_col: str = "ingestion_timestamp",
-                              file_col: str = "source_file", missing_value_rule: bool = True) -> DataFrame:
+                              file_col: str = "source_file") -> DataFrame:
     """V5: safe typed value, four missing flags, overall flag, composite dedup.
 
     Dedup key (patient, date, code); the newest ingestion wins, then the
@@ -161,7 +161,7 @@ def silver_observations_typed(bronze: DataFrame, date_col: str = "DATE", time_co
     flags = {
         "missing_date": S.flag(F.col("observation_date").isNull()),
         "missing_patient": S.flag(F.col("patient_id").isNull()),
-        "missing_value": S.flag(F.col("observation_value").isNull()) if missing_value_rule else F.lit(0),
+        "missing_value": S.flag(F.col("observation_value").isNull()),
         "missing_code": S.flag(F.col("observation_code").isNull()),
     }
     q = typed.withColumns(flags).withColumn(
@@ -198,7 +198,7 @@ def observation_type_breakdown(obs: DataFrame) -> DataFrame:
 
 
 def patient_summary(pat: DataFrame) -> DataFrame:
-    """V7: metric/value rows (one aggregate, unpivoted)."""
+    """V7: metric/value rows (one aggregate, unpivoted; the metric labels are fixed values)."""
     one = pat.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("DEATHDATE").isNotNull()).alias("deceased"),
