@@ -182,7 +182,7 @@ def bucket_count(spark: SparkSession, dst: str, buckets: int | None, first: Data
             raise ValueError(f"{dst} has {known} buckets; rewrite it to change them to {buckets}")
         return known
     if buckets is None:
-        size = int(first._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(first._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         buckets = int(min(100_000, max(16, GROWTH * size // BUCKET_BYTES)))
     out = fs.create(path, True)
     try:
