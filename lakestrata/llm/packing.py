@@ -26,9 +26,11 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +39,9 @@ from lakestrata.llm import common as C
 
 CAPACITY = 2048
 #: Words whose ids a Python worker remembers; it starts anew beyond.
-CACHE = 300_000
+CACHE = 600_000
+#: A letter and the punctuation behind it at the end of a word (letters of Latin script whose lower case is one letter).
+WORD_END = r"([a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])([.,;:!?]+)([ \t\n\x0B\f\r]|$)"
 
 
 # --- packing of length classes ----------------------------------------------
@@ -152,8 +156,11 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
 class Encoder:
     """Ids of whole texts, encoded word by distinct word.
 
-    The tokenizer drops white space before it splits, so words that ASCII
-    white space parts are encoded alone.
+    The tokenizer lower-cases, drops white space, and parts letters from
+    punctuation, so a text may be cut at ASCII white space, take A-Z in lower
+    case and part punctuation at the end of a word from a letter before it
+    without changing its ids. Texts that may hold a special token's string
+    ("<|") keep their case.
     """
 
     def __init__(self, path: str):
@@ -161,33 +168,42 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-
-    def words(self, names: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        got = [self.cache.get(w) for w in names]
-        new = [w for w, g in zip(names, got) if g is None]
-        if new:
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.cache[w] = np.array(e.ids, "<u4").tobytes()
-            got = [self.cache[w] if g is None else g for w, g in zip(names, got)]
-        return got
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.size, self.start, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def words(self, names: list[str]) -> np.ndarray:
+        """Place of each word in the remembered ids."""
+        if len(self.slot) > CACHE:
+            self._forget()
+        get = self.slot.get
+        slots = np.fromiter((get(w, -1) for w in names), np.int64, len(names))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            fresh = [names[k] for k in new.tolist()]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            slots[new] = len(self.size) + np.arange(len(new))
+            self.slot.update(zip(fresh, slots[new].tolist()))
+            self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
+            self.size = np.append(self.size, size)
+            self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), "<u4", int(size.sum())))
+        return slots
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each ended with 0, and n + 1 offsets."""
-        words, row = C.words(texts)
+        special = pc.match_substring(texts, "<|")
+        plain = pc.replace_substring_regex(pc.ascii_lower(texts), WORD_END, r"\1 \2\3")
+        words, row = C.words(pc.if_else(special, texts, plain))
         code, distinct = C.codes(words)
-        parts = self.words(distinct.to_pylist())
-        size = np.array([len(p) // 4 for p in parts], np.int64)
-        start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        each = size[code] if len(code) else code
+        slot = self.words(distinct.to_pylist())[code] if len(code) else code
+        each = self.size[slot]
         per = np.bincount(row, weights=each, minlength=len(texts)).astype(np.int64) + 1
         offsets = np.concatenate(([0], np.cumsum(per)))
         ids = np.zeros(offsets[-1], "<u4")
-        if len(code):
-            ids[np.arange(each.sum()) + np.repeat(row, each)] = flat[np.repeat(start[code], each) + C.spans(each)]
+        ids[np.arange(each.sum()) + np.repeat(row, each)] = self.flat[np.repeat(self.start[slot], each) + C.spans(each)]
         return ids, offsets
 
 
