@@ -1,3 +1,4 @@
+import unicodedata
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from lakestrata.llm import language_id as L
 def slow_kn(train, text):
     """Kneser-Ney by dictionaries for one text; train is a list of texts."""
     def chars(t):
-        s = "".join(c if c.isalpha() else " " for c in t.lower())
+        s = "".join(c if c.isalpha() else " " for c in unicodedata.normalize("NFC", t).lower())
         return " " + " ".join(s.split()) + " " if s.split() else " "
 
     grams = {}
