@@ -8,7 +8,7 @@ are packed into blocks, and three steps narrow down what an index must hold:
    bytes) that start in it. A chunk whose bytes, up to the end of its last
    window, equal those of a chunk in an earlier text is settled: all its
    windows go. This takes copies and near copies at the cost of a hash a chunk.
-2. Anchors. Each window is named by its least 16-byte substring hash, so equal
+2. Anchors. Each window left is named by its least 24-byte substring hash, so equal
    windows share an anchor. Blocks send their sorted, distinct anchor hashes
    by ranges of the hash; a range tells each block which of its anchors some
    other text has too. Windows with other anchors are unique.
@@ -44,10 +44,10 @@ from pyspark.sql import functions as F
 from lakestrata.llm import common as C
 
 SPAN = 50
-GRAM = 16
-BLOCK_BYTES = 8 << 20
+GRAM = 24
+BLOCK_BYTES = 2 << 20
 #: Text bytes of the corpus for each range of anchor hashes.
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 4 << 20
 CHUNK_MASK = np.uint64(511)
 LAST = np.iinfo(np.int64).max
 
@@ -57,7 +57,7 @@ LAST = np.iinfo(np.int64).max
 def packed(columns: dict[str, pa.Array]) -> bytes:
     sink = pa.BufferOutputStream()
     table = pa.table(columns)
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))
     with pa.ipc.new_stream(sink, table.schema, options=options) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
@@ -88,13 +88,22 @@ _BYTE = C.mix(np.arange(1, 257, dtype=np.uint64))
 
 
 def gram_hashes(body: np.ndarray) -> np.ndarray:
-    """64-bit hash of every substring of GRAM bytes."""
+    """64-bit hash of every substring of GRAM bytes, put together from powers of two."""
     h, power, n = _BYTE[body], np.uint64(0x9E3779B97F4A7C15), 1
-    while n < GRAM:
-        h = h[:-n] * power + h[n:]
-        power = power * power
+    out, size = None, 0
+    while True:
+        if GRAM & n:  # the part of n bytes behind what is there
+            if out is None:
+                out = h
+            else:
+                m = min(len(out), len(h) - size)
+                out = out[:m] * power + h[size: size + m]
+            size += n
         n *= 2
-    return C.mix(h)
+        if n > GRAM:
+            return C.mix(out)
+        h = h[: -(n // 2)] * power + h[n // 2:]
+        power = power * power
 
 
 class Block:
@@ -104,9 +113,14 @@ class Block:
         self.body, self.offsets = C.raw(texts)
         self.order, self.span, n = order, span, len(self.body)
         size = np.diff(self.offsets)
-        self.windows = np.maximum(size - span + 1, 0)  # of each text
-        self.start = np.repeat(self.offsets[:-1], self.windows) + C.spans(self.windows)  # of each window
-        self.owner = np.repeat(np.arange(len(size)), self.windows)
+        windows = np.maximum(size - span + 1, 0)  # of each text
+        edge = np.zeros(n + 1, np.int8)
+        some = windows > 0
+        edge[self.offsets[:-1][some]] += 1
+        edge[(self.offsets[:-1] + windows)[some]] -= 1
+        self.valid = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)  # bytes at which a window starts
+        self.start = np.flatnonzero(self.valid)
+        self.owner = np.repeat(np.arange(len(size), dtype=np.int32), windows)
         if len(self.start) == 0:
             self.hash = np.zeros(0, np.uint64)
             return
@@ -122,11 +136,9 @@ class Block:
         bad = np.zeros(len(cut), bool)
         bad[1:] |= near
         bad[:-1] |= near
-        mark = np.zeros(len(self.body) + 1, bool)
-        mark[cut[~bad]] = True
-        head = mark[self.start]
-        head[np.flatnonzero(np.diff(self.owner, prepend=-1))] = True
-        at = np.flatnonzero(head)
+        cut = cut[~bad]
+        first = np.flatnonzero(np.diff(self.owner, prepend=-1))
+        at = np.union1d(np.searchsorted(self.start, cut[self.valid[cut]]), first)
         return self.start[at], np.diff(np.append(at, len(self.start)))
 
     def anchors(self) -> np.ndarray:
@@ -143,6 +155,12 @@ class Block:
             key = np.minimum(key[: len(key) - (grams - n)], key[grams - n:])
         return (full - (key[self.start] & full)).astype(np.int64)
 
+    def used(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct anchors and, for each window, the number of its own among them."""
+        mark = np.zeros(len(self.body), bool)
+        mark[at] = True
+        return np.flatnonzero(mark), (np.cumsum(mark, dtype=np.int32) - 1)[at]
+
     def names(self, at: np.ndarray) -> np.ndarray:
         """48-bit names of anchors; other bits than those that order them come first."""
         return C.mix(self.hash[at] + np.uint64(1)) >> np.uint64(16)
@@ -179,8 +197,8 @@ def _row(size: int, **given) -> pa.RecordBatch:
         [pa.array(given[k], t) if k in given else pa.nulls(size, t) for k, t in kinds.items()], names=list(kinds))
 
 
-def _blocks(docs: DataFrame, span: int, ranges: int, block_bytes: int) -> DataFrame:
-    """Three kinds of rows: bodies (start and range null), chunks (start set), anchors (range set)."""
+def _blocks(docs: DataFrame, span: int, block_bytes: int) -> DataFrame:
+    """Two kinds of rows: bodies (start null) and chunks."""
 
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
@@ -196,21 +214,38 @@ def _blocks(docs: DataFrame, span: int, ranges: int, block_bytes: int) -> DataFr
             h1, h2 = _digests(b.body.tobytes(), start, start + n + span - 1)
             text = np.searchsorted(b.offsets, start, side="right") - 1
             yield _row(len(start), block=np.full(len(start), block), start=start, n=n, h1=h1, h2=h2, rank=rank[text])
-            at = np.unique(b.anchors())
-            name, own = b.names(at), rank[np.searchsorted(b.offsets, at, side="right") - 1]
-            order = np.lexsort((own, name))
-            name, own = name[order], own[order]
-            head = np.flatnonzero(np.diff(name, prepend=~name[:1]) != 0)
-            several = np.minimum.reduceat(own, head) != np.maximum.reduceat(own, head)
-            value = (name[head] << np.uint64(1)) | several.astype(np.uint64)
-            which = _range_of(name[head], ranges)
-            edges = np.flatnonzero(np.diff(which, prepend=-1))
-            yield _row(len(edges), block=np.full(len(edges), block), range=which[edges],
-                       body=[pack_sorted(x) for x in np.split(value, edges[1:])])
 
     return docs.mapInArrow(run, BLOCK_FIELDS)
 
 
+def _opened(body: bytes, settled: pa.Table, span: int) -> tuple[Block, np.ndarray]:
+    """A block and the mask of its windows that no settled chunk owns."""
+    t = unpacked(body)
+    b = Block(t["text"].chunk(0) if t.num_rows else pa.array([], pa.string()), t["rank"].to_numpy(), span)
+    return b, ~_marked(b, settled["start"].to_numpy(), settled["n"].to_numpy())
+
+
+def _anchors(left: pa.Table, right: pa.Table, span: int, ranges: int) -> pa.Table:
+    """The anchors of a block's open windows, sorted, by ranges; the lowest bit says that two of its texts have one."""
+    out = [_row(0)]
+    for block, body in zip(left["block"].to_pylist(), left["body"].to_pylist()):
+        b, open_ = _opened(body, right, span)
+        at = b.used(b.anchors()[open_])[0]
+        if len(at) == 0:
+            continue
+        name, own = b.names(at), b.order[np.searchsorted(b.offsets, at, side="right") - 1]
+        order = np.lexsort((own, name))
+        name, own = name[order], own[order]
+        head = np.flatnonzero(np.diff(name, prepend=~name[:1]) != 0)
+        several = np.minimum.reduceat(own, head) != np.maximum.reduceat(own, head)
+        value = (name[head] << np.uint64(1)) | several.astype(np.uint64)
+        which = _range_of(name[head], ranges)
+        edges = np.flatnonzero(np.diff(which, prepend=-1))
+        out.append(_row(len(edges), block=np.full(len(edges), block), range=which[edges],
+                        body=[pack_sorted(x) for x in np.split(value, edges[1:])]))
+    return pa.Table.from_batches(out)
+
+
 def _range_of(name: np.ndarray, ranges: int) -> np.ndarray:
     return ((name >> np.uint64(16)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
@@ -238,19 +273,17 @@ def _shared(table: pa.Table) -> pa.Table:
 def _segments(left: pa.Table, right: pa.Table, span: int, ranges: int) -> list[pa.RecordBatch]:
     """Windows of a block that are not settled and have a shared anchor, as segments for the ranges."""
     out = []
+    sets = [unpack_sorted(x) for x in right["body"].to_pylist() if x is not None]
+    if not sets:
+        return out
+    known = np.sort(np.concatenate(sets))
+    settled = right.filter(pc.is_valid(right["start"]))
     for block, body in zip(left["block"].to_pylist(), left["body"].to_pylist()):
-        t = unpacked(body)
-        b = Block(t["text"].chunk(0) if t.num_rows else pa.array([], pa.string()), t["rank"].to_numpy(), span)
-        if len(b.start) == 0 or right.num_rows == 0:
-            continue
-        sets = [unpack_sorted(x) for x in right["body"].to_pylist() if x is not None]
-        if not sets:
+        b, open_ = _opened(body, settled, span)
+        if not open_.any():
             continue
-        known = np.sort(np.concatenate(sets))
-        settled = pc.is_valid(right["start"]).to_numpy()
-        open_ = ~_marked(b, right["start"].filter(settled).to_numpy(), right["n"].filter(settled).to_numpy())
         at = b.anchors()
-        used, inverse = np.unique(at, return_inverse=True)
+        used, inverse = b.used(at)
         name = b.names(used)
         spot = np.minimum(np.searchsorted(known, name), len(known) - 1)
         live = np.flatnonzero(open_ & (known[spot] == name)[inverse])
@@ -470,14 +503,15 @@ def removed_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", tex
     kind = to_arrow_type(id_type)
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, total // range_bytes)
-    made = C.written(_blocks(slim, span, ranges, block_bytes), "spans-blocks")
-    bodies = made.where("range is null and start is null").select("block", "body")
+    made = C.written(_blocks(slim, span, block_bytes), "spans-blocks")
+    bodies = made.where("start is null").select("block", "body")
     chunks = made.where("start is not null").select("block", "start", "n", "h1", "h2", "rank")
     earliest = C.written(chunks.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.count("*").alias("copies"))
                          .where("copies > 1").drop("copies"), "spans-chunks")
     settled = C.written(chunks.join(earliest, ["h1", "h2"]).where("rank > first").select("block", "start", "n"), "spans-settled")
-    shared = (made.where("range is not null").select("range", "block", "body").groupBy("range")
-              .applyInArrow(_shared, "block long, body binary"))
+    anchors = bodies.groupBy("block").cogroup(settled.groupBy("block")).applyInArrow(
+        lambda a, b: _anchors(a, b, span, ranges), BLOCK_FIELDS)
+    shared = anchors.select("range", "block", "body").groupBy("range").applyInArrow(_shared, "block long, body binary")
     told = settled.select("block", "start", "n", F.lit(None).cast("binary").alias("body")).unionByName(
         shared.select("block", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("n"), "body"))
 
