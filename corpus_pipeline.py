@@ -23,29 +23,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm import common, decontamination, language_id, line_dedup, packing, simhash
-from lakestrata.session import ship_package
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    common.prepare(spark)
     found, name = language_id.identify(docs, language_id.learn(docs))
     return found.where(~F.col(name)["rejected"]).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    common.prepare(spark)
     found, name = line_dedup.line_dedup(docs)
     emptied = (F.col(name)["n_removed"] > 0) & ~F.col("text").rlike(line_dedup.WORD)
     return found.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    common.prepare(spark)
     return simhash.near_dedup(docs, shingle=4, bits=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    common.prepare(spark)
     found, name = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     all_hit = (F.col(name)["n_hit"] > 0) & (F.col(name)["n_hit"] == F.col(name)["n_words"])
     return decontamination.without_spans(found.where(~all_hit), name).select(*docs.columns)
@@ -54,7 +53,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    ship_package(spark)
+    common.prepare(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

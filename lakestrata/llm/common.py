@@ -19,13 +19,20 @@ from pyspark.sql import functions as F
 
 from lakestrata.session import scratch_dir, ship_package
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes that end a word: space and \t \n \v \f \r.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and keep the Arrow batches between the JVM and Python small (long texts make large rows)."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -55,6 +62,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield batch.slice(start, stop - start)
             start, done = stop, int(ends[stop - 1])
+    pa.default_memory_pool().release_unused()  # workers are reused: give back what the task no longer needs
 
 
 def text_of(batch: pa.RecordBatch, column: str) -> pa.Array:

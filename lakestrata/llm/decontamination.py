@@ -34,7 +34,7 @@ from lakestrata.llm import common as C
 WINDOW = 10
 SAMPLE = 8
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 _PLAIN = np.full(256, 0x20, np.uint8)
 for _b in (*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)):

@@ -40,6 +40,8 @@ from lakestrata.llm import common as C
 CAPACITY = 2048
 #: Words whose ids a Python worker remembers; it starts anew beyond.
 CACHE = 600_000
+#: Words that the library encodes in one call (its results take about 1 KB a word).
+BATCH = 4_096
 #: A letter and the punctuation behind it at the end of a word (letters of Latin script whose lower case is one letter).
 WORD_END = r"([a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])([.,;:!?]+)([ \t\n\x0B\f\r]|$)"
 
@@ -183,7 +185,8 @@ class Encoder:
         new = np.flatnonzero(slots < 0)
         if len(new):
             fresh = [names[k] for k in new.tolist()]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            ids = [e.ids for k in range(0, len(fresh), BATCH)
+                   for e in self.tokenizer.encode_batch_fast(fresh[k: k + BATCH], add_special_tokens=False)]
             size = np.fromiter(map(len, ids), np.int64, len(ids))
             slots[new] = len(self.size) + np.arange(len(new))
             self.slot.update(zip(fresh, slots[new].tolist()))
@@ -220,7 +223,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str, tex
             _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
         encoder, seen = _ENCODERS[tokenizer_file], np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
-        for piece in C.slices(batches, "text"):
+        for piece in C.slices(batches, "text", C.SLICE_BYTES // 2):
             ids, offsets = encoder.encode(C.text_of(piece, "text"))
             size = np.diff(offsets)
             n = -(-size // capacity)
