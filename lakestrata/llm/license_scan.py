@@ -8,6 +8,15 @@ word bigrams. For each template, the sizes alone bound the Dice coefficient
 least t / (2 - t) of the larger. Everything is one projection of built-in
 higher-order functions inside the scan: no shuffle and no Python.
 
+A template that no passage matches is looked for in runs of words, across lines
+and paragraphs or inside a longer line; the best run is one more match. A run
+can only reach t if the text has t / (2 - t) of the template's n bigrams, which
+one intersection with all templates' bigrams tells. A run grows no worse by
+bigrams of the template, so only ends of stretches of such bigrams are tried;
+up to n (1 / (t / (2 - t)) - 1) other bigrams, counted with repeats, may lie
+inside. The oracle SQL knows passages only: texts in which only a run matches
+differ from it.
+
 Defined cases: null and empty texts and passages of fewer than two words match
 nothing; of equal scores the first template name wins; repeated rows are
 judged one by one; other columns are ignored.
@@ -41,43 +50,91 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _bigrams(passage: Column) -> Column:
+def _in_order(passage: Column) -> Column:
     return _let(
         F.split(passage, " "),
-        lambda w: F.array_distinct(F.zip_with(
+        lambda w: F.zip_with(
             F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))),
-            lambda a, b: F.concat(a, F.lit(" "), b))))
+            lambda a, b: F.concat(a, F.lit(" "), b)))
+
+
+def _bigrams(passage: Column) -> Column:
+    return F.array_distinct(_in_order(passage))
+
+
+def _plain(text: Column) -> Column:
+    plain = F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9\n]+", " ")
+    return F.coalesce(F.regexp_replace(plain, " ?\n ?", "\n"), F.lit(""))
+
+
+def _flat(plain: Column) -> Column:
+    return F.trim(F.regexp_replace(plain, "[ \n]+", " "))
+
+
+def _cut(plain: Column) -> Column:
+    return F.filter(F.array_distinct(F.concat(
+        F.transform(F.split(plain, "\n"), lambda x: F.trim(x)), F.transform(F.split(plain, "\n\n+"), _flat),
+        F.array(_flat(plain)))), lambda x: F.contains(x, F.lit(" ")))
 
 
 def passages(text: Column) -> Column:
     """Normalised lines, paragraphs and the whole of a text, without repeats."""
-    plain = F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9\n]+", " ")
-    plain = F.regexp_replace(plain, " ?\n ?", "\n")
+    return _let(_plain(text), _cut)
+
+
+def _best_run(grams: Column, t: Column, score, least: float) -> Column:
+    """The highest score of a run of a text's bigrams (in their order, with repeats) with one template."""
+
+    def stretches(hit):  # numbers of the hits that begin and that end a stretch
+        every = F.sequence(F.lit(1), F.size(hit))
+        first = F.filter(every, lambda j: (j == 1) | (hit[j - 1] - hit[F.greatest(j - 2, F.lit(0))] > 1))
+        last = F.filter(every, lambda j: (j == F.size(hit)) | (hit[F.least(j, F.size(hit) - 1)] - hit[j - 1] > 1))
 
-    def flat(x):
-        return F.trim(F.regexp_replace(x, "[ \n]+", " "))
+        def runs(i):
+            def fits(j):
+                own = j - i + 1
+                return ((own >= t["n"] * F.lit(least) - F.lit(1e-9))
+                        & (hit[j - 1] - hit[i - 1] + 1 - own <= t["n"] * F.lit(1 / least - 1) + F.lit(1e-9)))
 
-    return _let(F.coalesce(plain, F.lit("")), lambda p: F.filter(F.array_distinct(F.concat(
-        F.transform(F.split(p, "\n"), lambda x: F.trim(x)), F.transform(F.split(p, "\n\n+"), flat), F.array(flat(p)))),
-        lambda x: F.contains(x, F.lit(" "))))
+            return F.transform(F.filter(last, fits), lambda j: score(
+                t, F.array_distinct(F.slice(grams, hit[i - 1], hit[j - 1] - hit[i - 1] + 1))))
+
+        return F.array_max(F.flatten(F.transform(first, runs)))
+
+    return _let(F.filter(F.sequence(F.lit(1), F.size(grams)), lambda i: F.array_contains(t["bigrams"], grams[i - 1])), stretches)
 
 
 def matches(text: Column, templates: dict[str, str], threshold: float) -> Column:
-    """Array of (score, name) of all passages and templates at or over the threshold."""
+    """Array of (score, name) of all passages, and of runs of words, and templates at or over the threshold."""
+    known = template_bigrams(templates)
     table = F.array(*(F.struct(F.lit(k).alias("name"), F.array(*map(F.lit, v)).alias("bigrams"), F.lit(len(v)).alias("n"))
-                      for k, v in template_bigrams(templates).items()))
+                      for k, v in known.items()))
+    pool = F.array(*map(F.lit, dict.fromkeys(b for v in known.values() for b in v)))
     least = threshold / (2 - threshold)
 
+    def score(t, grams):
+        small, large = F.least(F.size(grams), t["n"]), F.greatest(F.size(grams), t["n"])
+        shared = F.size(F.array_intersect(t["bigrams"], grams))
+        return F.when(small >= large * F.lit(least) - F.lit(1e-9), 2 * shared / (small + large)).otherwise(F.lit(0.0))
+
+    def over(scores):
+        return F.filter(scores, lambda m: m["score"] >= F.lit(threshold))
+
     def compare(grams):
-        def one(t):
-            small, large = F.least(F.size(grams), t["n"]), F.greatest(F.size(grams), t["n"])
-            shared = F.size(F.array_intersect(t["bigrams"], grams))
-            score = F.when(small >= large * F.lit(least) - F.lit(1e-9), 2 * shared / (small + large)).otherwise(F.lit(0.0))
-            return F.struct(score.alias("score"), t["name"].alias("name"))
+        return over(F.transform(table, lambda t: F.struct(score(t, grams).alias("score"), t["name"].alias("name"))))
+
+    def runs(grams, found):
+        def likely(shared):
+            return F.filter(table, lambda t: (F.size(shared) >= t["n"] * F.lit(least) - F.lit(1e-9))
+                            & (F.size(F.array_intersect(t["bigrams"], shared)) >= t["n"] * F.lit(least) - F.lit(1e-9))
+                            & ~F.array_contains(F.transform(found, lambda m: m["name"]), t["name"]))
 
-        return F.filter(F.transform(table, one), lambda m: m["score"] >= F.lit(threshold))
+        return over(F.transform(_let(F.array_intersect(pool, grams), likely), lambda t: F.struct(
+            _best_run(grams, t, score, least).alias("score"), t["name"].alias("name"))))
 
-    return F.flatten(F.transform(passages(text), lambda p: _let(_bigrams(p), compare)))
+    return _let(_plain(text), lambda p: _let(
+        F.flatten(F.transform(_cut(p), lambda x: _let(_bigrams(x), compare))),
+        lambda found: F.concat(found, _let(_in_order(_flat(p)), lambda grams: runs(grams, found)))))
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,

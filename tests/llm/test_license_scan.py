@@ -39,6 +39,43 @@ def test_matches_brute_force(make_docs, edge_rows):
     assert L.license_scan(make_docs([])).count() == 0
 
 
+def all_runs(text, name):
+    """The best Dice of any run of words with the bigrams of a template, with as many others as fit."""
+    w = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
+    pairs, t = list(zip(w, w[1:])), grams(TEMPLATES[name])
+    best = 0.0
+    for i in range(len(pairs)):
+        run, others = set(), 0
+        for p in pairs[i:]:
+            run.add(p)
+            others += p not in t
+            if others > len(t) / 2:
+                break
+            best = max(best, 2 * len(run & t) / (len(run) + len(t)))
+    return best
+
+
+def test_licences_in_their_usual_layout_within_longer_documents(make_docs):
+    filler = " ".join(f"word{i}" for i in range(400))
+    mit = " ".join(TEMPLATES["mit"].split())
+    mit = mit.replace(" The above", "\n\nThe above").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    bsd = " ".join(TEMPLATES["bsd-2-clause"].split()).replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ")
+    bsd = bsd.replace(" THIS SOFTWARE IS", "\n\nTHIS SOFTWARE IS").replace("COPYRIGHT HOLDERS", "REGENTS")
+    gpl = " ".join(TEMPLATES["gpl-3.0-notice"].split())
+    gpl = gpl.replace(" This program is distributed", "\n\nThis program is distributed").replace(" You should", "\n\nYou should")
+    texts = {1: ("mit", mit), 2: ("bsd-2-clause", bsd), 3: ("gpl-3.0-notice", gpl),
+             4: ("all-rights-reserved", "Copyright 2020 Example Inc. All rights reserved. And so on."),
+             5: ("mit-line", "This small tool is released under the MIT License, and so on and on.")}
+    table = [(k, f"{filler}\n\n{t}\n\n{filler}") for k, (_, t) in texts.items()]
+    table += [(6, "all rights of all the others are all reserved rights"), (7, f"{filler} {filler}")]
+    out = {r.doc_id: r for r in L.license_scan(make_docs(table)).collect()}
+    for k, text in table:
+        if k in texts:
+            assert out[k].best_license == texts[k][0] and not brute(text)
+            assert round(out[k].best_score, 9) == round(all_runs(text, texts[k][0]), 9)
+        assert out[k].licenses == [n for n in sorted(TEMPLATES) if all_runs(text, n) >= 0.8]
+
+
 def test_plan_is_native_and_has_no_shuffle(spark, sf_dir):
     plan = L.query(spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Exchange", plan.split("Physical Plan")[-1])
