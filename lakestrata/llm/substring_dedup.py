@@ -22,8 +22,14 @@ are packed into blocks, and three steps narrow down what an index must hold:
    reaches ``span`` form intervals of equal windows, and windows that are not
    in the first text of their interval go.
 
+An anchor at more than ``hot_places`` places (the ends of a passage that many
+texts share, a frequent phrase) sends no segments: each of its windows goes to
+the range of the hash of the whole window, where equal windows meet, so no range
+grows with a hot anchor.
+
 Hashes only choose what to compare: 48-bit anchors that collide cost work, not
-correctness, and chunks and segments are told apart by 128 bits.
+correctness, and chunks, segments and windows of hot anchors are told apart by
+128 bits.
 
 Defined cases: null text is empty; texts shorter than ``span`` stay whole;
 rows of equal id are one text for the rule (neither is smaller); a null id is
@@ -48,6 +54,8 @@ GRAM = 24
 BLOCK_BYTES = 2 << 20
 #: Text bytes of the corpus for each range of anchor hashes.
 RANGE_BYTES = 4 << 20
+#: Places of an anchor from which on its windows are spread by their own hashes.
+HOT_PLACES = 4096
 CHUNK_MASK = np.uint64(511)
 LAST = np.iinfo(np.int64).max
 
@@ -226,7 +234,11 @@ def _opened(body: bytes, settled: pa.Table, span: int) -> tuple[Block, np.ndarra
 
 
 def _anchors(left: pa.Table, right: pa.Table, span: int, ranges: int) -> pa.Table:
-    """The anchors of a block's open windows, sorted, by ranges; the lowest bit says that two of its texts have one."""
+    """The anchors of a block's open windows, sorted, by ranges.
+
+    The lowest bit says that two of its texts have one, the four above it hold
+    the logarithm of the number of its places in the block.
+    """
     out = [_row(0)]
     for block, body in zip(left["block"].to_pylist(), left["body"].to_pylist()):
         b, open_ = _opened(body, right, span)
@@ -238,7 +250,8 @@ def _anchors(left: pa.Table, right: pa.Table, span: int, ranges: int) -> pa.Tabl
         name, own = name[order], own[order]
         head = np.flatnonzero(np.diff(name, prepend=~name[:1]) != 0)
         several = np.minimum.reduceat(own, head) != np.maximum.reduceat(own, head)
-        value = (name[head] << np.uint64(1)) | several.astype(np.uint64)
+        places = np.minimum(np.ceil(np.log2(np.diff(np.append(head, len(name))))), 15).astype(np.uint64)
+        value = (name[head] << np.uint64(5)) | (places << np.uint64(1)) | several.astype(np.uint64)
         which = _range_of(name[head], ranges)
         edges = np.flatnonzero(np.diff(which, prepend=-1))
         out.append(_row(len(edges), block=np.full(len(edges), block), range=which[edges],
@@ -250,33 +263,39 @@ def _range_of(name: np.ndarray, ranges: int) -> np.ndarray:
     return ((name >> np.uint64(16)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """For each block the anchors of one range that occur in two texts or more."""
+def _shared(table: pa.Table, hot_places: int) -> pa.Table:
+    """For each block the anchors of one range that occur in two texts or more; the lowest bit says that one is hot."""
     blocks, values = table["block"].to_pylist(), [unpack_sorted(x) for x in table["body"].to_pylist()]
     every = np.sort(np.concatenate(values))
-    name = every >> np.uint64(1)
+    name = every >> np.uint64(5)
     first = np.concatenate(([True], name[1:] != name[:-1]))
     head = np.flatnonzero(first)
     size = np.diff(np.append(head, len(name)))
     flagged = np.maximum.reduceat(every & np.uint64(1), head) == 1
-    known = name[head][(size > 1) | flagged]
+    places = np.add.reduceat(np.uint64(1) << ((every >> np.uint64(1)) & np.uint64(15)), head)
+    shared = (size > 1) | flagged
+    known, hot = name[head][shared], (places > hot_places)[shared].astype(np.uint64)
     out = []
     for v in values:
-        own = v >> np.uint64(1)
+        own = v >> np.uint64(5)
         at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
-        out.append(own[known[at] == own] if len(known) else own[:0])
+        out.append(((own << np.uint64(1)) | hot[at])[known[at] == own] if len(known) else own[:0])
     keep = [k for k, x in enumerate(out) if len(x)]
     return pa.table({"block": pa.array([blocks[k] for k in keep], pa.int64()),
                      "body": pa.array([pack_sorted(out[k]) for k in keep], pa.binary())})
 
 
 def _segments(left: pa.Table, right: pa.Table, span: int, ranges: int) -> list[pa.RecordBatch]:
-    """Windows of a block that are not settled and have a shared anchor, as segments for the ranges."""
+    """Windows of a block that are not settled and have a shared anchor, as segments for the ranges.
+
+    Windows with a hot anchor go one by one to further ranges, by their own hashes.
+    """
     out = []
     sets = [unpack_sorted(x) for x in right["body"].to_pylist() if x is not None]
     if not sets:
         return out
     known = np.sort(np.concatenate(sets))
+    known, hot = known >> np.uint64(1), (known & np.uint64(1)).astype(bool)
     settled = right.filter(pc.is_valid(right["start"]))
     for block, body in zip(left["block"].to_pylist(), left["body"].to_pylist()):
         b, open_ = _opened(body, settled, span)
@@ -286,26 +305,35 @@ def _segments(left: pa.Table, right: pa.Table, span: int, ranges: int) -> list[p
         used, inverse = b.used(at)
         name = b.names(used)
         spot = np.minimum(np.searchsorted(known, name), len(known) - 1)
-        live = np.flatnonzero(open_ & (known[spot] == name)[inverse])
+        data = b.body.tobytes()
+        live = open_ & (known[spot] == name)[inverse]
+        single = np.flatnonzero(live & hot[spot][inverse])
+        if len(single):
+            start, rank = b.start[single], b.order[b.owner[single]]
+            h1, h2 = _digests(data, start, start + span)
+            again = rank > _least(h1, h2, rank)
+            if again.any():
+                first, n = _joined(start[again])
+                out.append(_row(len(first), block=np.full(len(first), block), start=first, n=n))
+            which = ranges + _range_of(h1.view(np.uint64) >> np.uint64(16), ranges)
+            for r, some in _by_range(which, ~again):
+                out.append(_row(1, block=[block], range=[r], body=[packed({
+                    "start": pa.array(start[some].astype(np.int32)), "rank": pa.array(rank[some]),
+                    "h1": pa.array(h1[some]), "h2": pa.array(h2[some])})]))
+        live = np.flatnonzero(live & ~hot[spot][inverse])
         if len(live) == 0:
             continue
         head = np.flatnonzero(np.concatenate(([True], (np.diff(live) != 1) | (np.diff(at[live]) != 0) | (np.diff(b.owner[live]) != 0))))
         first = live[head]
         n = np.diff(np.append(head, len(live)))
         start, rank = b.start[first], b.order[b.owner[first]]
-        data = b.body.tobytes()
         stop = start + n + span - 1
         h1, h2 = _digests(data, start, stop)
-        group = np.lexsort((rank, h2, h1))
-        new = np.concatenate(([True], (np.diff(h1[group]) != 0) | (np.diff(h2[group]) != 0)))
-        least = np.empty(len(group), np.int64)
-        least[group] = rank[group][np.flatnonzero(new)][np.cumsum(new) - 1]
-        again = rank > least  # an earlier text of this block has the same segment
+        again = rank > _least(h1, h2, rank)  # an earlier text of this block has the same segment
         if again.any():
             out.append(_row(int(again.sum()), block=np.full(int(again.sum()), block), start=start[again], n=n[again]))
         which = _range_of(name[inverse[first]], ranges)
-        for r in np.unique(which[~again]).tolist():
-            some = np.flatnonzero((which == r) & ~again)
+        for r, some in _by_range(which, ~again):
             out.append(_row(1, block=[block], range=[r], body=[packed({
                 "start": pa.array(start[some].astype(np.int32)), "rank": pa.array(rank[some]),
                 "anchor": pa.array(name[inverse[first[some]]].view(np.int64)),
@@ -314,6 +342,30 @@ def _segments(left: pa.Table, right: pa.Table, span: int, ranges: int) -> list[p
     return out
 
 
+def _least(h1: np.ndarray, h2: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Of each row the smallest rank among the rows of its hash."""
+    group = np.lexsort((rank, h2, h1))
+    new = np.concatenate(([True], (np.diff(h1[group]) != 0) | (np.diff(h2[group]) != 0)))
+    least = np.empty(len(group), np.int64)
+    least[group] = rank[group][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return least
+
+
+def _joined(start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted window starts as runs (first, n); windows of two texts are never neighbours."""
+    head = np.flatnonzero(np.diff(start, prepend=-2) != 1)
+    return start[head], np.diff(np.append(head, len(start)))
+
+
+def _by_range(which: np.ndarray, mask: np.ndarray):
+    """Each range with the rows that go there, in their order."""
+    rows = np.flatnonzero(mask)
+    rows = rows[np.argsort(which[rows], kind="stable")]
+    edges = np.flatnonzero(np.diff(which[rows], prepend=-1))
+    for some in np.split(rows, edges[1:]) if len(rows) else []:
+        yield int(which[some[0]]), some
+
+
 def _marked(b: Block, start: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Mask of the windows in runs of n windows from the given starts."""
     edge = np.zeros(len(b.start) + 1, np.int64)
@@ -427,7 +479,12 @@ def _indexed(table: pa.Table, span: int) -> pa.Table:
     parts = [unpacked(x) for x in table["body"].to_pylist()]
     block = np.repeat(table["block"].to_numpy(), [p.num_rows for p in parts])
     t = pa.concat_tables(parts).combine_chunks()
-    start, rank, anchor, h1, h2 = (t[k].to_numpy() for k in ("start", "rank", "anchor", "h1", "h2"))
+    start, rank, h1, h2 = (t[k].to_numpy() for k in ("start", "rank", "h1", "h2"))
+    if "data" not in t.column_names:  # windows of hot anchors
+        late = rank > _least(h1, h2, rank)
+        return pa.table({"block": pa.array(block[late], pa.int64()), "start": pa.array(start[late], pa.int32()),
+                         "n": pa.array(np.ones(int(late.sum()), np.int32))})
+    anchor = t["anchor"].to_numpy()
     data = t["data"].to_pylist()
     order = np.lexsort((rank, h2, h1, anchor))
     new = np.concatenate(([True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0) | (np.diff(anchor[order]) != 0)))
@@ -493,7 +550,7 @@ def _removed(left: pa.Table, right: pa.Table, span: int, kind: pa.DataType) -> p
 
 
 def removed_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",
-                  block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES, hot_places: int = HOT_PLACES) -> DataFrame:
     """Id, n_bytes, starts, stops (byte spans that go) and kept_sha256 of every row."""
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -511,7 +568,8 @@ def removed_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", tex
     settled = C.written(chunks.join(earliest, ["h1", "h2"]).where("rank > first").select("block", "start", "n"), "spans-settled")
     anchors = bodies.groupBy("block").cogroup(settled.groupBy("block")).applyInArrow(
         lambda a, b: _anchors(a, b, span, ranges), BLOCK_FIELDS)
-    shared = anchors.select("range", "block", "body").groupBy("range").applyInArrow(_shared, "block long, body binary")
+    shared = anchors.select("range", "block", "body").groupBy("range").applyInArrow(
+        lambda t: _shared(t, hot_places), "block long, body binary")
     told = settled.select("block", "start", "n", F.lit(None).cast("binary").alias("body")).unionByName(
         shared.select("block", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("n"), "body"))
 

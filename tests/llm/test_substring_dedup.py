@@ -88,3 +88,47 @@ def test_documents(spark, sf_dir, small_docs):
     rows = [(i, t) for i, t, _ in small_docs]
     out = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.query(spark, sf_dir).collect())
     assert out == brute(rows, S.SPAN)
+
+
+def hot_rows():
+    """A passage and a phrase of less than a span between texts that differ: one anchor, a segment of its own in each text."""
+    rng = random.Random(3)
+
+    def prose(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    passage, phrase = prose(90), prose(30)
+    return [(k, prose(80) + (passage if k % 2 else phrase) + prose(80)) for k in range(120)]
+
+
+@pytest.mark.parametrize("places", [0, 20])
+def test_hot_anchors_match_brute_force(make_docs, places):
+    rows = [*corpus(), *[(1000 + i, t) for i, t in hot_rows()]]
+    df = S.removed_spans(make_docs(rows, 4), block_bytes=4000, range_bytes=3000, hot_places=places)
+    assert got(df) == brute(rows, S.SPAN)
+
+
+def test_no_range_gets_all_segments_of_a_hot_anchor():
+    import pyarrow as pa
+
+    rows, ranges = hot_rows(), 16
+    none = pa.table({"start": pa.array([], pa.int32()), "n": pa.array([], pa.int32())})
+    blocks = [pa.table({"block": [k], "body": pa.array([S.packed({
+        "id": pa.array([i for i, _ in some]), "rank": pa.array([i for i, _ in some]),
+        "text": pa.array([t for _, t in some])})], pa.binary())}) for k, some in enumerate((rows[:60], rows[60:]))]
+    anchors = pa.concat_tables([S._anchors(b, none, S.SPAN, ranges) for b in blocks])
+    shared = pa.concat_tables([S._shared(anchors.filter(pa.compute.equal(anchors["range"], r)), 20)
+                               for r in set(anchors["range"].to_pylist())])
+    sent = []
+    for k, b in enumerate(blocks):
+        bodies = shared.filter(pa.compute.equal(shared["block"], k))["body"]
+        told = pa.table({"start": pa.nulls(len(bodies), pa.int32()), "n": pa.nulls(len(bodies), pa.int32()), "body": bodies})
+        sent += [r for batch in S._segments(b, told, S.SPAN, ranges) for r in batch.to_pylist() if r["range"] is not None]
+    most = {}
+    for r in sent:
+        t = S.unpacked(r["body"])
+        for name in t["anchor"].to_pylist() if "anchor" in t.column_names else []:
+            most[name] = most.get(name, 0) + 1
+    assert max(most.values(), default=0) <= 20
+    spread = [r for r in sent if r["range"] >= ranges]
+    assert len({r["range"] for r in spread}) > ranges // 2
