@@ -21,7 +21,6 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op4_license_scan": license_scan.sql(),
-    "op5_language_id": language_id.query,
     "op6_line_dedup": line_dedup.sql(),
 }
 
