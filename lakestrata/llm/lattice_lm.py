@@ -43,6 +43,8 @@ BLOCK_BYTES = 16 << 20
 ROUNDS = 2
 #: Words that one forward pass holds; longer words than LONG are walked one by one.
 BATCH, LONG = 20_000, 48
+#: Characters of a long word whose lattice is held at once in expectation maximisation.
+STRIP = 1024
 NONE = -np.inf
 
 
@@ -162,12 +164,53 @@ class Pieces:
             out[i] = self._long(words[i], logp)
         return out
 
+    def _add(self, total: np.ndarray, piece: np.ndarray, points: np.ndarray, p: np.ndarray) -> None:
+        """Adds expected uses of edges; an edge that is no piece counts for the bytes of its character."""
+        own = piece >= 0
+        total += np.bincount(piece[own], weights=p[own], minlength=self.size)
+        if not own.all():
+            for point, x in zip(points[~own].tolist(), p[~own].tolist()):
+                for b in self.byte_ids(point):
+                    total[b] += x
+
+    def _expected_long(self, word: str, logp: np.ndarray, total: np.ndarray) -> None:
+        """Adds the expected uses of one long word; its lattice is held by strips."""
+        n = len(word)
+
+        def strip(a):
+            m = min(STRIP, n - a)
+            ids, points, w, _, _, _ = self.weights([word[a: a + m + self.longest]], logp)
+            return ids[:m], points[:m], w[:m]
+
+        alpha, beta = np.full(n + 1, NONE), np.full(n + self.longest + 1, NONE)
+        alpha[0] = beta[n] = 0.0
+        for a in range(0, n, STRIP):
+            for i, w in enumerate(strip(a)[2], a):
+                to = alpha[i + 1: i + 1 + self.longest]
+                np.logaddexp(to, alpha[i] + w[: len(to)], out=to)
+        for a in reversed(range(0, n, STRIP)):
+            ids, points, w = strip(a)
+            for i in range(a + len(w) - 1, a - 1, -1):
+                beta[i] = np.logaddexp.reduce(w[i - a] + beta[i + 1: i + 1 + self.longest])
+            for k in range(self.longest):
+                at = np.flatnonzero(np.isfinite(w[:, k]))
+                if len(at):
+                    p = np.exp(alpha[a + at] + w[at, k] + beta[a + at + k + 1] - alpha[n])
+                    self._add(total, ids[at, k], points[at], p)
+
     def expected(self, words: list[str], logp: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece over the distinct words (words of over LONG characters are left to the prior)."""
+        """Expected uses of each piece over the distinct words."""
         total = np.zeros(self.size)
-        short = sorted((x for x in words if len(x) <= LONG), key=len)
-        for k in range(0, len(short), BATCH):
-            ids, points, w, start, size, foreign = self.weights(short[k: k + BATCH], logp)
+        every = sorted(words, key=len)
+        while every and len(every[-1]) > STRIP:
+            self._expected_long(every.pop(), logp, total)
+        k = 0
+        while k < len(every):
+            stop = k + 1  # words of at most BATCH * LONG characters with their padding
+            while stop < len(every) and stop - k < BATCH and (stop - k + 1) * len(every[stop]) <= BATCH * LONG:
+                stop += 1
+            ids, points, w, start, size, _ = self.weights(every[k:stop], logp)
+            k = stop
             alpha, beta = self.forward(w, start, size), self.backward(w, start, size)
             whole = alpha[np.arange(len(size)), size]
             owner = np.repeat(np.arange(len(size)), size)
@@ -178,13 +221,7 @@ class Pieces:
                     continue
                 o = owner[at]
                 p = np.exp(alpha[o, inside[at]] + w[at, n - 1] + beta[o, inside[at] + n] - whole[o])
-                piece = ids[at, n - 1]
-                own = piece >= 0
-                total += np.bincount(piece[own], weights=p[own], minlength=self.size)
-                if n == 1 and not own.all():
-                    for point, x in zip(points[at[~own]].tolist(), p[~own].tolist()):
-                        for b in self.byte_ids(point):
-                            total[b] += x
+                self._add(total, ids[at, n - 1], points[at], p)
         return total
 
 

@@ -90,3 +90,31 @@ def test_held_out_text_is_likelier_than_shuffled_letters(make_docs, small_docs):
         held_out=F.expr("doc_id >= 10000 or crc32(cast(cast(doc_id as string) as binary)) % 5 = 1"),
     ).collect()}
     assert np.mean([out[j] > out[i] for i, j in fold.items() if len(words(texts[j])) > 3]) > 0.95
+
+
+def test_expectation_counts_long_words():
+    import numpy as np
+    import public_tokenizers
+
+    p = L.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    logp = np.log(p.prior)
+    rng = np.random.default_rng(5)
+    for n in (49, 300, 1024, 1025, 2600):
+        word = L.SIGN + "".join(rng.choice(list("abcdeinrst梦é🙂語"), n - 1))
+        ids, points, w, _, _, foreign = p.weights([word], logp)
+        a, b = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+        a[0] = b[n] = 0.0
+        for t in range(1, n + 1):
+            for k in range(1, min(t, p.longest) + 1):
+                a[t] = np.logaddexp(a[t], a[t - k] + w[t - k, k - 1])
+        for t in range(n - 1, -1, -1):
+            for k in range(1, min(n - t, p.longest) + 1):
+                b[t] = np.logaddexp(b[t], w[t, k - 1] + b[t + k])
+        want = np.zeros(p.size)
+        for t in range(n):
+            for k in range(1, min(n - t, p.longest) + 1):
+                x = np.exp(a[t] + w[t, k - 1] + b[t + k] - a[n])
+                for piece in [ids[t, k - 1]] if ids[t, k - 1] >= 0 else p.byte_ids(points[t]) if k == 1 else []:
+                    want[piece] += x
+        got = p.expected([word, "short"], logp) - p.expected(["short"], logp)
+        assert want.sum() > 0 and np.allclose(got, want, atol=1e-8)
