@@ -57,18 +57,30 @@ def word_counts(docs: DataFrame, min_length: int = 6, min_count: int = 5, noise:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` over a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def signatures(word: Column, parts: int = PARTS, edge: int = EDGE) -> Column:
     """Array of the 64-bit signatures of a word."""
-    letters = F.array_sort(F.transform(F.sequence(F.lit(1), F.char_length(word)), lambda i: F.substring(word, i, F.lit(1))))
-    bits = F.transform(letters, lambda x, i: F.concat(x, (i + 1 - F.array_position(letters, x)).cast("string")))
+    ends = (F.substring(word, F.lit(1), F.lit(edge)), F.substring(word, F.char_length(word) - edge + 1, F.lit(edge)))
+    chosen = list(combinations(range(parts), parts - 2))
 
-    def piece(j: int) -> Column:
-        return F.array_join(F.filter(bits, lambda b: F.pmod(F.xxhash64(b), F.lit(parts)) == j), "")
+    def pieces(bits: Column) -> Column:
+        def piece(j: int) -> Column:
+            return F.array_join(F.filter(bits, lambda b: F.pmod(F.xxhash64(b), F.lit(parts)) == j), "")
+        return F.array(*[piece(j) for j in range(parts)])
 
-    pieces = [piece(j) for j in range(parts)]
-    ends = (F.substring(word, F.lit(1), F.lit(edge)), F.substring(word, F.char_length(word) - edge + 1, F.lit(edge)))
-    return F.array(*[F.xxhash64(F.lit(2 * k + side), end, *[pieces[j] for j in chosen])
-                     for k, chosen in enumerate(combinations(range(parts), parts - 2)) for side, end in enumerate(ends)])
+    def signed(p: Column) -> Column:
+        return F.array(*[F.xxhash64(F.lit(2 * k + side), end, *[F.get(p, F.lit(j)) for j in some])
+                         for k, some in enumerate(chosen) for side, end in enumerate(ends)])
+
+    def bits(letters: Column) -> Column:
+        return F.transform(letters, lambda x, i: F.concat(x, (i + 1 - F.array_position(letters, x)).cast("string")))
+
+    letters = F.array_sort(F.transform(F.sequence(F.lit(1), F.char_length(word)), lambda i: F.substring(word, i, F.lit(1))))
+    return _let(letters, lambda x: _let(bits(x), lambda y: _let(pieces(y), signed)))
 
 
 def near_pairs(words: DataFrame, parts: int = PARTS, edge: int = EDGE) -> DataFrame:
