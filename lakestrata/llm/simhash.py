@@ -2,17 +2,24 @@
 
 A fingerprint takes the majority of each bit over the XXH64 hashes of a text's
 word shingles. Equal fingerprints become one point first, so a group of copies
-costs one row. The distinct points are parted by a vantage-point tree: a node
-holds a vantage point and the median distance to it; the tree's top is fitted
-on a bounded sample, the number of its leaves follows the number of points,
-and every point is dealt to its leaf (a shard). By the triangle inequality a
-point within ``bits`` of another can only lie on the other side of a node
-if its own distance is within ``bits`` of the median, so a point that close to
-a boundary also visits the other side. Of two shards that could compare a
-pair, only the later one is visited. A shard builds the rest of its tree over
-its own points, sends its points and visitors down together, and compares at
-the leaves. Links leave a shard as a forest (each point and the least point it
-reaches there), never as all pairs; a star-based pass joins the forests.
+costs one row. The 64 bits are parted into ``bits`` + c groups; two points
+within ``bits`` of each other agree on c of them at least. For each choice of c
+groups a vantage-point tree parts the points by their distance on these bits
+alone: points that agree there stand at the same distance of every vantage
+point, so by the triangle inequality a linked pair lies on one side of every
+boundary of that tree, and no point visits a second shard. A point thus makes
+as many rows as there are choices (5 for c = 1, at 4 bits), at any number of
+points; c grows only where the groups' bits would be too few to part the points
+(above 67 million), and changes cost, never links. Beyond the tree's depth a
+shard is parted by a hash of the chosen bits.
+
+A shard compares with a second tree over the full distance, where a point
+within ``bits`` of a boundary is sought on both sides. A shard of many points
+that agree on the chosen bits (near copies of one text) is dealt over several
+tasks by the top of such a tree, fitted in a task on a bounded sample of the
+shard; points near a boundary visit the later shard as well. Links leave a
+shard as a forest (each point and the least point it reaches there), never as
+all pairs; a star-based pass joins the forests.
 
 Defined cases: a text of fewer words than a shingle is one shingle, one
 without words (or null) has fingerprint zero and links like any other; of
@@ -22,6 +29,8 @@ non-null id reached; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,8 +41,10 @@ from lakestrata.llm import common as C
 from lakestrata.llm.components import components
 
 SHINGLE, BITS = 4, 4
-#: Points that a shard holds on average at most; sample points for each leaf of the top tree.
-SHARD_POINTS, SAMPLE_POINTS = 16_384, 64
+#: Points that a shard holds on average; times that many it is dealt out further; points by which a choice of groups may exceed its values.
+SHARD_POINTS, HOT, FULL = 1024, 4, 16_384
+#: Points that a tree is fitted on at most, and the depth of the top trees at most.
+SAMPLE_POINTS, DEPTH = 65_536, 12
 LEAF = 192
 
 
@@ -181,28 +192,80 @@ def shard_forest(points: np.ndarray, visits: np.ndarray, bits: int) -> tuple[np.
     return points[linked], points[links.label[linked]]
 
 
-def link_points(points: DataFrame, bits: int = BITS, shard_points: int = SHARD_POINTS) -> DataFrame:
-    """(u, v): a forest for each shard over the distinct ``fp`` of ``points``."""
-    spark, n = points.sparkSession, points.count()
+def choices(bits: int, n: int) -> list[int]:
+    """Masks of the bits on some of which any two of ``n`` points within ``bits`` of each other agree."""
+    c = 1
+    while True:
+        groups = [sum(1 << int(b) for b in part) for part in np.array_split(np.arange(64), bits + c)]
+        masks = [sum(some) for some in combinations(groups, c)]
+        if n <= FULL << min(m.bit_count() for m in masks) or c == 3 or bits + c >= 63:
+            return masks
+        c += 1
+
+
+def _depth(n: int, size: int, most: int) -> int:
     depth = 0
-    while n > shard_points << depth:
+    while n > size << depth and depth < most:
         depth += 1
-    sample = points.orderBy(F.xxhash64("fp")).limit(SAMPLE_POINTS << depth).toPandas()["fp"].to_numpy(np.int64)  # bounded
-    tree = spark.sparkContext.broadcast(top_tree(sample.view(np.uint64), depth))
+    return depth
+
+
+def _forest(table: pa.Table, bits: int) -> pa.Table:
+    visits = table["visits"].to_numpy() if "visits" in table.column_names else np.zeros(table.num_rows, bool)
+    a, b = shard_forest(table["fp"].to_numpy().view(np.uint64), visits, bits)
+    return pa.table({"u": pa.array(a.view(np.int64)), "v": pa.array(b.view(np.int64))})
+
+
+def _dealt_further(hot: DataFrame, bits: int, most: int) -> DataFrame:
+    """(shard, part, fp, visits): points of large shards (shard, fp, size), by the top of a full-distance tree each."""
+    sample = hot.withColumn("turn", F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("fp")))).where(F.col("turn") <= SAMPLE_POINTS // 8)
+
+    def fit(table: pa.Table) -> pa.Table:
+        depth = _depth(table["size"][0].as_py(), most, DEPTH)
+        point, radius = top_tree(table["fp"].to_numpy().view(np.uint64), depth)
+        return pa.table({"at": table["shard"][:1], "point": pa.array([point.tobytes()], pa.binary()), "radius": pa.array([radius.tobytes()], pa.binary())})
+
+    trees = C.written(sample.groupBy("shard").applyInArrow(fit, "at long, point binary, radius binary"), "simhash-trees")
 
     def route(batches):
         for b in batches:
-            fp = b.column(0).to_numpy()
-            who, shard, visits = deal(fp.view(np.uint64), tree.value, depth, bits)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(fp[who]), pa.array(visits)], names=["shard", "fp", "visits"])
+            at, fp = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for shard in np.unique(at):
+                own = np.flatnonzero(at == shard)
+                point, radius = (np.frombuffer(b.column(k)[int(own[0])].as_py(), kind) for k, kind in ((2, np.uint64), (3, np.int64)))
+                who, part, visits = deal(fp[own].view(np.uint64), (point, radius), (len(point) + 1).bit_length() - 1, bits)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), shard)), pa.array(part), pa.array(fp[own][who]), pa.array(visits)],
+                                                 names=["shard", "part", "fp", "visits"])
+
+    met = hot.join(trees, F.col("shard") == F.col("at")).select("shard", "fp", "point", "radius")
+    return met.mapInArrow(route, "shard long, part long, fp long, visits boolean")
 
-    def join(table: pa.Table) -> pa.Table:
-        fp = table["fp"].to_numpy().view(np.uint64)
-        a, b = shard_forest(fp, table["visits"].to_numpy(), bits)
-        return pa.table({"u": pa.array(a.view(np.int64)), "v": pa.array(b.view(np.int64))})
 
-    routed = points.select("fp").mapInArrow(route, "shard long, fp long, visits boolean")
-    return routed.groupBy("shard").applyInArrow(join, "u long, v long")
+def link_points(points: DataFrame, bits: int = BITS, shard_points: int = SHARD_POINTS) -> DataFrame:
+    """(u, v): a forest for each shard over the distinct ``fp`` of ``points``."""
+    spark, n = points.sparkSession, points.count()
+    masks, depth = choices(bits, n), _depth(n, shard_points, DEPTH)
+    more = max(1, n // (shard_points << depth))  # parts of a leaf, by a hash of the chosen bits
+    sample = points.orderBy(F.xxhash64("fp")).limit(SAMPLE_POINTS).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)  # a fixed number
+    trees = spark.sparkContext.broadcast([top_tree(sample & np.uint64(m), depth) for m in masks])
+
+    def route(batches):
+        for b in batches:
+            fp = b.column(0).to_numpy()
+            for k, mask in enumerate(masks):
+                own = fp.view(np.uint64) & np.uint64(mask)
+                who, leaf, _ = deal(own, trees.value[k], depth, 0)
+                shard = (leaf * more + (C.mix(own[who]) % np.uint64(more)).astype(np.int64)) * len(masks) + k
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(fp[who])], names=["shard", "fp"])
+
+    routed = C.written(points.select("fp").mapInArrow(route, "shard long, fp long"), "simhash-routed")
+    most = HOT * shard_points
+    large = C.written(routed.groupBy("shard").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > most), "simhash-large")
+    links = routed.join(large, "shard", "left_anti").groupBy("shard").applyInArrow(lambda t: _forest(t, bits), "u long, v long")
+    if large.isEmpty():
+        return links
+    parts = _dealt_further(routed.join(large, "shard"), bits, most)
+    return links.unionByName(parts.groupBy("shard", "part").applyInArrow(lambda t: _forest(t, bits), "u long, v long"))
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, id_col: str = "doc_id",

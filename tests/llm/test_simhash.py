@@ -61,12 +61,52 @@ def test_sharded_links_keep_every_component(spark):
     points = sorted(set(clusters(rng, 3000)))
     signed = np.array(points, np.uint64).view(np.int64).tolist()
     table = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(3)
-    links = H.link_points(table, 4, shard_points=100)  # 32 shards
+    links = H.link_points(table, 4, shard_points=100)  # 32 shards of each tree
     roots = {r.node: r.root for r in components(links).collect()}
     mine = [roots.get(x, x) for x in signed]
     label = classes(points, 4)
     assert len(set(zip(mine, label))) == len(set(mine)) == len(set(label))
-    assert links.count() <= 2 * len(points)  # forests, not pairs
+    assert links.count() <= 5 * len(points)  # a forest for each tree, not pairs
+
+
+def test_dense_shards_are_dealt_further(spark, monkeypatch):
+    """Many near copies of one text agree on most bits: their shards are split, and no link is lost."""
+    rng = random.Random(2)
+    centre = rng.getrandbits(64)
+    points = {centre}
+    while len(points) < 1500:
+        x = centre
+        for b in rng.sample(range(64), rng.randint(1, 9)):
+            x ^= 1 << b
+        points.add(x)
+    points = sorted(points | set(clusters(rng, 500)))
+    monkeypatch.setattr(H, "HOT", 1)
+    signed = np.array(points, np.uint64).view(np.int64).tolist()
+    links = H.link_points(spark.createDataFrame([(x,) for x in signed], "fp long"), 4, shard_points=150)
+    assert "point" in links._jdf.queryExecution().toString()  # trees of single shards
+    roots = {r.node: r.root for r in components(links).collect()}
+    mine, label = [roots.get(x, x) for x in signed], classes(points, 4)
+    assert len(set(zip(mine, label))) == len(set(mine)) == len(set(label))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.lists(st.integers(0, 63), max_size=4), st.sampled_from([10**3, 10**8, 10**12]))
+def test_near_points_agree_on_a_choice(point, flips, n):
+    other = point
+    for b in flips:
+        other ^= 1 << b
+    masks = H.choices(4, n)
+    assert len(masks) == {10**3: 5, 10**8: 15, 10**12: 35}[n]
+    assert any(point & m == other & m for m in masks)
+
+
+def test_rows_a_point_do_not_grow(spark):
+    rng = np.random.default_rng(0)
+    for n in (2000, 16000):
+        fps = rng.integers(-2**63, 2**63 - 1, n)
+        tree = [H.top_tree(fps.view(np.uint64) & np.uint64(m), 6) for m in H.choices(4, n)]
+        rows = sum(len(H.deal(fps.view(np.uint64) & np.uint64(m), t, 6, 0)[0]) for m, t in zip(H.choices(4, n), tree))
+        assert rows == 5 * n
 
 
 @settings(max_examples=40, deadline=None)
