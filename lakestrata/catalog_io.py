@@ -367,12 +367,12 @@ def q_st4(spark, d):
     root = scratch_dir(spark, "st4")
     raw = pat_raw(spark, d).drop("_rescued_data")
     schema = raw.schema
+    order, ties = [F.desc_nulls_last("ingestion_timestamp")], [F.desc_nulls_last("source_file")]
     for s in (1, 2, 3):
         SF.write_csv(raw.filter(F.col("source_file") == f"patients{s}.csv"), f"{root}/in/patients{s}")
         stream = SF.stream_csv(spark, f"{root}/in/patients*", "*.csv", schema=schema)
-        ST.dedup_stream(stream, ["Id"], [F.desc_nulls_last("ingestion_timestamp")], f"{root}/out", f"{root}/ck",
-                        ties=[F.desc_nulls_last("source_file")])
-    return ST.read_bucketed(spark, f"{root}/out").select("Id", "source_file", "MARITAL", "ingestion_timestamp")
+        ST.dedup_stream(stream, ["Id"], order, f"{root}/out", f"{root}/ck", ties)
+    return ST.read_latest(spark, f"{root}/out", ["Id"], order, ties).select("Id", "source_file", "MARITAL", "ingestion_timestamp")
 
 
 def _activity(df: DataFrame) -> DataFrame:
@@ -397,4 +397,4 @@ def q_st5(spark, d):
         s = SF.with_lineage(SF.stream_csv(spark, f"{root}/in/observations*", "*.csv", schema=schema), as_of=AS_OF)
         silver = checked(V.silver_observations(s, date_col="obs_ts"), "silver_observations")
         ST.refresh_groups(silver, ["patient_id"], _activity, ACTIVITY_MERGE, f"{root}/silver", f"{root}/gold", f"{root}/ck")
-    return ST.read_bucketed(spark, f"{root}/gold")
+    return ST.read_groups(spark, f"{root}/gold", ["patient_id"], ACTIVITY_MERGE)

@@ -8,11 +8,9 @@
   written to its own ``_batch_id=<n>`` partition with overwrite, which makes
   a replayed batch (foreachBatch is at-least-once) idempotent.
 * ``dedup_stream`` (ST4) and ``refresh_groups`` (ST5) keep a latest-row table
-  and an aggregate table current: rows are placed in
-  ``_bucket = pmod(xxhash64(keys), n)`` partitions, n is stored with the
-  table, and each micro-batch rewrites only the buckets that it changes
-  (dynamic partition overwrite), from a staged copy so the job never
-  overwrites files it is reading.
+  and an aggregate table current as runs merged on read (``streaming.runs``):
+  a batch writes its own survivors or partial aggregates and commits them,
+  with its writer's batch number, in one step.
 """
 
 from __future__ import annotations
@@ -29,12 +27,9 @@ from pyspark.sql.streaming import StreamingQuery
 from lakestrata.operators import expectations as E
 from lakestrata.operators.dedup import dedup_latest
 from lakestrata.sources.files import read_csv_files, rescue, resolve_schema, stream_table, with_lineage
+from lakestrata.streaming import runs as R
 
 BATCH_COL = "_batch_id"
-BUCKET_COL = "_bucket"
-WRITER_COL, APPLIED_COL = "_writer", "_applied"
-#: Bytes that a bucket should hold, and how many first batches a new table is laid out for.
-BUCKET_BYTES, GROWTH = 128 << 20, 100
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -155,149 +150,72 @@ def streaming_table(stream: DataFrame, rules: Sequence[E.Rule], target: str, che
     return q
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+def _writer(checkpoint: str) -> str:
+    """A stream's name in the tables that it writes to: that of its checkpoint."""
+    return batch_key(checkpoint, 0).split("-")[0]
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def bucket_count(spark: SparkSession, dst: str, buckets: int | None, first: DataFrame) -> int:
-    """Number of buckets of the table at ``dst``; it is stored with the table and never changes.
-
-    A new table gets ``buckets``, or one for each ``BUCKET_BYTES`` of
-    ``GROWTH`` first batches. Asking for another number later is an error,
-    because rows of one key would lie in two buckets.
-    """
-    fs, path = _fs(spark, f"{dst.rstrip('/')}/_buckets")
-    if fs.exists(path):
-        stream = fs.open(path)
-        try:
-            known = int(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-        if buckets is not None and buckets != known:
-            raise ValueError(f"{dst} has {known} buckets; rewrite it to change them to {buckets}")
-        return known
-    if buckets is None:
-        size = int(str(first._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        buckets = int(min(100_000, max(16, GROWTH * size // BUCKET_BYTES)))
-    out = fs.create(path, True)
-    try:
-        out.write(bytearray(str(buckets).encode()))
-    finally:
-        out.close()
-    return buckets
-
-
-def _touched_buckets(df: DataFrame) -> list[int]:
-    # At most ``buckets`` small integers reach the driver.
-    return [r[0] for r in df.select(BUCKET_COL).distinct().collect()]
-
-
-def _replace_buckets(spark: SparkSession, new_content: DataFrame, dst: str, stage: str) -> None:
-    # One writer per bucket: the content is already reduced to one row per
-    # key (or group), and buckets are sized by ``bucket_count``.
-    new_content.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
-    (spark.read.schema(new_content.schema).parquet(stage).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(dst))
-    fs, path = _fs(spark, stage)
-    fs.delete(path, True)
+def _latest(keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column]) -> Callable[[DataFrame], DataFrame]:
+    # of rows that tie in everything named, the one stored first stays
+    return lambda df: dedup_latest(df, keys, order, [*ties, F.asc(R.AGE_COL)]).drop(R.AGE_COL)
 
 
 def dedup_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[Column], dst: str, checkpoint: str,
-                 ties: Sequence[Column] = (), buckets: int | None = None, timeout_s: float | None = None) -> StreamingQuery:
+                 ties: Sequence[Column] = (), timeout_s: float | None = None) -> StreamingQuery:
     """ST4: keep the latest row per key current as new rows stream in.
 
-    A batch is cut to its latest row per key first. Only the buckets of rows
-    that beat the current survivor of their key are written. Replaying a batch
-    gives the same table (dedup is idempotent under a total order).
+    A batch is cut to its latest row per key and committed as a run: it writes
+    bytes in proportion to itself (and, now and then, to the runs that it is
+    folded with). ``read_latest`` chooses the latest row over the runs.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        n = bucket_count(spark, dst, buckets, batch)
-        b = dedup_latest(batch.withColumn(BUCKET_COL, bucket_of(keys, n)), keys, order, ties).persist()
-        try:
-            touched = _touched_buckets(b)
-            if not touched:
-                return
-            out = b
-            if _has_rows(spark, dst):
-                current = spark.read.parquet(dst).filter(F.col(BUCKET_COL).isin(touched)).withColumn("_new", F.lit(False))
-                merged = dedup_latest(current.unionByName(b.withColumn("_new", F.lit(True))), keys, order, [*ties, F.asc("_new")])
-                merged = merged.persist()
-                try:
-                    changed = _touched_buckets(merged.filter("_new"))
-                    if changed:
-                        _replace_buckets(spark, merged.filter(F.col(BUCKET_COL).isin(changed)).drop("_new"), dst,
-                                         f"{checkpoint.rstrip('/')}/stage/batch={batch_id}")
-                finally:
-                    merged.unpersist()
-                return
-            _replace_buckets(spark, out, dst, f"{checkpoint.rstrip('/')}/stage/batch={batch_id}")
-        finally:
-            b.unpersist()
+        if not batch.isEmpty():
+            R.append(dedup_latest(batch, keys, order, ties), dst, _writer(checkpoint), batch_id, _latest(keys, order, ties))
 
     q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
     return q
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p) and any(x.getPath().getName().startswith(f"{BUCKET_COL}=") for x in fs.listStatus(p))
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column] = ()) -> DataFrame:
+    """Batch read of a table kept by ``dedup_stream`` with the same keys, order and ties."""
+    return R.read_runs(spark, path, _latest(keys, order, ties))
 
 
 MERGES = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
+def _merged(keys: Sequence[str], merge: Mapping[str, str]) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: df.groupBy(*keys).agg(*[MERGES[how](c).alias(c) for c, how in merge.items()])
+
+
 def refresh_groups(stream: DataFrame, keys: Sequence[str], agg: Callable[[DataFrame], DataFrame], merge: Mapping[str, str],
-                   silver: str, gold: str, checkpoint: str, buckets: int | None = None,
-                   timeout_s: float | None = None) -> StreamingQuery:
-    """ST5: append new rows to ``silver`` and bring the touched groups of ``gold`` up to date.
+                   silver: str, gold: str, checkpoint: str, timeout_s: float | None = None) -> StreamingQuery:
+    """ST5: append new rows to ``silver`` and bring ``gold`` up to date.
 
     ``agg(df)`` groups by ``keys`` into columns that can be merged, and
-    ``merge`` says how (sum, min or max) for each. A batch is aggregated alone
-    and merged with the stored rows of its buckets: neither all of silver nor
-    the other buckets are read. Every row of a bucket names the last batch
-    that it holds, so a replayed batch is not added twice.
+    ``merge`` says how (sum, min or max) for each. A batch is aggregated alone,
+    from what it has written to silver, and committed as a run; neither the
+    rest of silver nor of gold is read. The commit holds the last batch of each
+    writer, so a replayed batch is not added twice, whoever wrote since.
+    ``read_groups`` merges the runs.
     """
-    key_list = list(keys)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        mine = batch_key(checkpoint, batch_id).split("-")[0]
-        batch.persist()
-        try:
-            (batch.withColumn(BATCH_COL, F.lit(batch_key(checkpoint, batch_id))).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(silver))
-            n = bucket_count(spark, gold, buckets, batch)
-            new = agg(batch).withColumn(BUCKET_COL, bucket_of(key_list, n)).withColumns(
-                {WRITER_COL: F.lit(mine), APPLIED_COL: F.lit(batch_id).cast("long")}).persist()
-            touched = _touched_buckets(new)
-            content = new
-            if touched and _has_rows(spark, gold):
-                current = spark.read.parquet(gold).filter(F.col(BUCKET_COL).isin(touched))
-                done = [r[0] for r in current.filter((F.col(WRITER_COL) == mine) & (F.col(APPLIED_COL) >= batch_id))
-                        .select(BUCKET_COL).distinct().collect()]  # bucket numbers
-                touched = [x for x in touched if x not in set(done)]
-                both = current.unionByName(new).filter(F.col(BUCKET_COL).isin(touched))
-                content = both.groupBy(*key_list, BUCKET_COL).agg(*[MERGES[how](c).alias(c) for c, how in merge.items()]).withColumns(
-                    {WRITER_COL: F.lit(mine), APPLIED_COL: F.lit(batch_id).cast("long")}).select(*new.columns)
-            if touched:
-                _replace_buckets(spark, content, gold, f"{checkpoint.rstrip('/')}/stage/batch={batch_id}")
-            new.unpersist()
-        finally:
-            batch.unpersist()
+        if batch.isEmpty():
+            return
+        key = batch_key(checkpoint, batch_id)
+        (batch.withColumn(BATCH_COL, F.lit(key)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(silver))
+        own = batch.sparkSession.read.schema(batch.schema).parquet(f"{silver.rstrip('/')}/{BATCH_COL}={key}")
+        R.append(agg(own), gold, _writer(checkpoint), batch_id, _merged(keys, merge))
 
     q = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
     return q
 
 
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of a table kept by ``dedup_stream`` / ``refresh_groups``."""
-    return spark.read.parquet(path).drop(BUCKET_COL, WRITER_COL, APPLIED_COL)
+def read_groups(spark: SparkSession, path: str, keys: Sequence[str], merge: Mapping[str, str]) -> DataFrame:
+    """Batch read of a table kept by ``refresh_groups`` with the same keys and merges."""
+    return R.read_runs(spark, path, _merged(keys, merge))

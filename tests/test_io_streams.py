@@ -67,8 +67,8 @@ def test_dedup_stream_equals_batch(spark):
         allrows += rows
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/in/b{i}")
         stream = spark.readStream.schema(schema).parquet(f"{root}/in/b*")
-        ST.dedup_stream(stream, ["Id"], [F.desc("ts")], f"{root}/out", f"{root}/ck", buckets=4)
-    got = sorted(tuple(r) for r in ST.read_bucketed(spark, f"{root}/out").select("Id", "ts", "v").collect())
+        ST.dedup_stream(stream, ["Id"], [F.desc("ts")], f"{root}/out", f"{root}/ck")
+    got = sorted(tuple(r) for r in ST.read_latest(spark, f"{root}/out", ["Id"], [F.desc("ts")]).select("Id", "ts", "v").collect())
     assert got == [("a", 3, "z"), ("b", 5, "new"), ("c", 2, "w")]
 
 
@@ -210,24 +210,6 @@ def test_a_stream_by_position_stops_at_another_header(spark):
         ST.run_available(SF.stream_csv(spark, f"{root}/in", "*.csv", schema=schema), f"{root}/out", f"{root}/ck")
 
 
-def test_bucket_count_is_kept(spark):
-    root = tempfile.mkdtemp(prefix="buckets-")
-    schema = "Id string, ts int"
-
-    def run(k, buckets):
-        spark.createDataFrame([(f"k{k}", k), ("all", k)], schema).coalesce(1).write.parquet(f"{root}/in/b{k}")
-        stream = spark.readStream.schema(schema).parquet(f"{root}/in/b*")
-        ST.dedup_stream(stream, ["Id"], [F.desc("ts")], f"{root}/out", f"{root}/ck", buckets=buckets)
-
-    run(0, 4)
-    run(1, None)
-    with pytest.raises(Exception, match="4 buckets"):
-        run(2, 8)
-    run(3, 4)
-    assert sorted(map(tuple, ST.read_bucketed(spark, f"{root}/out").collect())) == [("all", 3), ("k0", 0), ("k1", 1), ("k2", 2), ("k3", 3)]
-    assert not os.path.exists(f"{root}/ck/stage/batch=0")
-
-
 def test_refresh_merges_partials_and_ignores_a_replay(spark):
     root = tempfile.mkdtemp(prefix="st5-")
     schema = "g string, v int"
@@ -235,8 +217,8 @@ def test_refresh_merges_partials_and_ignores_a_replay(spark):
 
     def run():
         stream = spark.readStream.schema(schema).parquet(f"{root}/in/b*")
-        ST.refresh_groups(stream, ["g"], agg, {"n": "sum", "top": "max"}, f"{root}/silver", f"{root}/gold", f"{root}/ck", buckets=4)
-        return sorted(map(tuple, ST.read_bucketed(spark, f"{root}/gold").collect()), key=repr)
+        ST.refresh_groups(stream, ["g"], agg, {"n": "sum", "top": "max"}, f"{root}/silver", f"{root}/gold", f"{root}/ck")
+        return sorted(map(tuple, ST.read_groups(spark, f"{root}/gold", ["g"], {"n": "sum", "top": "max"}).collect()), key=repr)
 
     spark.createDataFrame([("a", 1), ("a", 5), (None, 2)], schema).write.parquet(f"{root}/in/b0")
     assert run() == [("a", 2, 5), (None, 1, 2)]
