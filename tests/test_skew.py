@@ -70,16 +70,78 @@ def test_equal_rows_and_null_keys_are_spread(spark):
     assert [r["_hot"] for r in hot_keys(big, ["k"], 500).collect()] == [6]
 
 
-def test_group_quantiles_match_sorting(spark):
-    import math
-    import random
+def test_no_hot_key_writes_nothing(spark, monkeypatch):
+    """Without a hot key the join is the plain one; with one, scans are salted in place and shuffled facts are written once."""
+    from lakestrata.operators import joins as J
+
+    written = []
+    real = J.scratch_table
+    monkeypatch.setattr(J, "scratch_table", lambda df, name: written.append(name) or real(df, name))
+    big = spark.range(3000).selectExpr("CAST(id % 3 AS INT) AS k", "id AS v", "id AS w")
+    small = spark.createDataFrame([(1, "a"), (3, "c")], "k int, s string")
+    plain = skew_join(big, small, "k", rows_per_salt=5000)
+    assert "_salt" not in plain._jdf.queryExecution().toString() and written == []
+    salted = skew_join(big, small, "k", rows_per_salt=300)
+    assert "_salt" in salted._jdf.queryExecution().toString() and written == []
+    assert _rows(salted) == _rows(big.join(small, "k"))
+    counted = big.groupBy("k", "v").count()
+    assert _rows(skew_join(counted, small, "k", rows_per_salt=300)) == _rows(counted.join(small, "k")) and written == ["skew-join"]
 
-    from lakestrata.operators.quantiles import group_quantiles
+
+def test_vital_signs_under_skew_are_the_same_in_every_column(spark, sf_dir):
+    o, p = _skewed(spark, sf_dir), pat(spark, sf_dir)
+    assert _rows(G.vital_signs(o, p, AS_OF, rows_per_salt=40)) == _rows(G.vital_signs(o, p, AS_OF))
+
+
+def _quantile_rows():
+    import random
 
     rnd = random.Random(3)
-    rows = [(rnd.choice(["a", None, "hot", "hot", "hot"]), rnd.choice([1.5, 2.0, rnd.random(), None])) for _ in range(2000)]
-    got = {r["g"]: (r["p25"], r["p50"], r["p100"]) for r in group_quantiles(
-        spark.createDataFrame(rows, "g string, v double"), ["g"], "v", {"p25": 0.25, "p50": 0.5, "p100": 1.0}, 7).collect()}
-    for g in ("a", None, "hot"):
+    return [(rnd.choice(["a", None, "hot", "hot", "hot"]), rnd.choice([1.5, 2.0, rnd.random(), rnd.lognormvariate(0, 9), None])) for _ in range(4000)]
+
+
+def _sorted_quantiles(rows, probs):
+    import math
+
+    out = {}
+    for g in {k for k, _ in rows}:
         v = sorted(x for k, x in rows if k == g and x is not None)
-        assert got[g] == tuple(v[math.ceil(len(v) * p) - 1] for p in (0.25, 0.5, 1.0))
+        if v:
+            out[g] = tuple(v[max(0, math.ceil(len(v) * p) - 1)] for p in probs)
+    return out
+
+
+def test_group_quantiles_match_sorting(spark, monkeypatch):
+    from lakestrata.operators import quantiles as Q
+
+    rows = _quantile_rows()
+    probs = {"p0": 0.001, "p25": 0.25, "p50": 0.5, "p100": 1.0}
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    want = _sorted_quantiles(rows, probs.values())
+
+    def got():
+        return {r["g"]: tuple(r)[1:] for r in Q.group_quantiles(df, ["g"], "v", probs, 7).collect()}
+
+    assert got() == want
+    monkeypatch.setattr(Q, "FEW_VALUES", 10)  # the brackets hold more values than one window may order
+    assert got() == want
+    monkeypatch.setattr(Q, "FEW_GROUPS", 1)  # more groups than may be broadcast
+    assert got() == want
+
+
+def test_brackets_that_miss_are_counted_in_full(spark, monkeypatch):
+    from lakestrata.operators import quantiles as Q
+
+    rows = _quantile_rows()
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    real = Q._bracket_counts
+
+    def wrong(known, groups, value, brackets, n):  # one group's brackets lie above all its values, another's below
+        ends = F.when(F.col("g") == "a", F.transform("_ends", lambda x: x + 1e30)).when(F.col("g") == "hot", F.transform("_ends", lambda x: x * 0 - 1))
+        return real(known, groups, value, brackets.withColumn("_ends", F.coalesce(ends, "_ends")), n)
+
+    monkeypatch.setattr(Q, "_bracket_counts", wrong)
+    got = {r["g"]: tuple(r)[1:] for r in Q.group_quantiles(df, ["g"], "v", {"p25": 0.25, "p50": 0.5}).collect()}
+    assert got == _sorted_quantiles(rows, (0.25, 0.5))
+    empty = df.where("false")
+    assert Q.group_quantiles(empty, ["g"], "v", {"p50": 0.5}).collect() == []
