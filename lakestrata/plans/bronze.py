@@ -94,13 +94,13 @@ def bronze(spark: SparkSession, spec: BronzeSpec, src_dir: str, target: str, che
         finally:
             typed.unpersist()
 
-    return csv_batches(spark, src_dir, glob or spec.glob, checkpoint, write, max_files_per_trigger, timeout_s)
+    return csv_batches(spark, src_dir, glob or spec.glob, checkpoint, write, max_files_per_trigger, timeout_s, spec.schema.names)
 
 
 def _load(spark: SparkSession, path: str, glob: str | None, as_of: str | None, spec: BronzeSpec | None) -> DataFrame:
     """With a spec: one pass by header, declared types and rescue. Without: types are inferred in a pass of its own."""
     if spec is not None:
-        return bronze_frame(read_csv_by_header(spark, path, glob), spec, as_of)
+        return bronze_frame(read_csv_by_header(spark, path, glob, declared=spec.schema.names), spec, as_of)
     return with_lineage(read_csv(spark, path, glob=glob), as_of=as_of)
 
 

@@ -28,6 +28,8 @@ from lakestrata.functions.scalars import now
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 #: Raw text of rows that have more values than their header.
 CORRUPT_COL = "_corrupt_record"
+#: Fields whose header name another column has already (but for its case), by name.
+EXTRA_COL = "_extra_fields"
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT}
 
 
@@ -58,6 +60,21 @@ def header_schema(spark: SparkSession, path: str, glob: str | None = None) -> T.
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in fields])
 
 
+def _as_in_header(spark: SparkSession, path: str, glob: str | None, schema: T.StructType) -> T.StructType:
+    """The schema with the header's own names: Spark appends the place to names that clash; the first of them stays."""
+    base = [f.name.removesuffix(str(i)).lower() for i, f in enumerate(schema.fields)]
+    clash = [base.count(b) > 1 and b != f.name.lower() for b, f in zip(base, schema.fields)]
+    if not any(clash):
+        return schema
+    headers = [header_names(h) for h in file_headers(spark, list_files(spark, path, glob))]
+    out: dict[str, T.StructField] = {}
+    for i, f in enumerate(schema.fields):
+        own = any(len(h) > i and h[i] == f.name for h in headers)
+        name = f.name if own or not clash[i] else f.name.removesuffix(str(i))
+        out.setdefault(name.lower(), T.StructField(name, f.dataType, True))
+    return T.StructType(list(out.values()))
+
+
 def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
 
@@ -81,6 +98,7 @@ def resolve_schema(spark: SparkSession, path: str, glob: str | None = None, sche
         schema = read_csv(spark, path, glob=glob, sampling_ratio=sampling_ratio).schema
     else:
         schema = header_schema(spark, path, glob)
+    schema = _as_in_header(spark, path, glob, schema)
     if schema_location:
         save_schema(spark, schema, schema_location)
     return schema
@@ -133,8 +151,9 @@ def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = "_rescued_dat
     """Cast string columns to ``schema``; keep what does not fit.
 
     Declared columns get their declared type (``try_cast``). Values that do
-    not cast and columns not in the schema go to ``rescued_col`` as a JSON
-    object (keys in alphabetical order); it is NULL when nothing was
+    not cast, columns not in the schema and the fields of EXTRA_COL (whose names
+    differ from a column's by case only, or are repeated) go to ``rescued_col``
+    as a JSON object (keys in alphabetical order); it is NULL when nothing was
     rescued. The row is always kept.
     """
     declared = {f.name: f.dataType for f in schema.fields}
@@ -153,14 +172,15 @@ def rescue(df: DataFrame, schema: T.StructType, rescued_col: str = "_rescued_dat
         else:
             out.append(F.lit(None).cast(dtype).alias(name))
     for name in df.columns:
-        if name not in declared and name not in keep and name != rescued_col:
+        if name not in declared and name not in keep and name not in (rescued_col, EXTRA_COL):
             entries.append((name, F.col(f"`{name}`").cast("string")))
     entries.sort(key=lambda e: e[0])
-    if entries:
-        m = F.map_filter(F.create_map(*[x for k, v in entries for x in (F.lit(k), v)]), lambda k, v: v.isNotNull())
-        rescued = F.when(F.size(m) > 0, F.to_json(m))
-    else:
-        rescued = F.lit(None).cast("string")
+    m = F.create_map(*[x for k, v in entries for x in (F.lit(k), v)]).cast("map<string,string>")
+    if EXTRA_COL in present:
+        fields = F.concat(F.map_entries(m), F.coalesce(F.map_entries(EXTRA_COL), F.array()))
+        m = F.map_from_entries(F.array_sort(F.filter(fields, lambda e: e["value"].isNotNull())))
+    m = F.map_filter(m, lambda k, v: v.isNotNull())
+    rescued = F.when(F.size(m) > 0, F.to_json(m)) if entries or EXTRA_COL in present else F.lit(None).cast("string")
     kept = [F.col(k) for k in keep if k in present]
     return df.select(*out, rescued.alias(rescued_col), *kept)
 
@@ -214,28 +234,62 @@ def list_files(spark: SparkSession, path: str | Sequence[str], glob: str | None
     return sorted(unquote(r["path"]) for r in b.load(path).select(F.col("_metadata.file_path").alias("path")).toLocalIterator())
 
 
+def header_names(header: str) -> list[str]:
+    """Field names of a header record; nameless fields are named by place."""
+    return [name or f"_c{i}" for i, name in enumerate(next(csv.reader(io.StringIO(header)), []))]
+
+
+def column_names(headers: Iterable[Sequence[str]], declared: Sequence[str] = (), reserved: Sequence[str] = ()) -> dict[str, str | None]:
+    """Lower-case name -> the name that becomes the column.
+
+    Column names go without case, so of the spellings in some headers one is
+    the column: the declared one, else the first in order. Reserved names are
+    no file's column.
+    """
+    out: dict[str, str | None] = {r.lower(): None for r in reserved}
+    for name in [*declared, *sorted({n for names in headers for n in names})]:
+        out.setdefault(name.lower(), name)
+    return out
+
+
 def read_csv_by_header(spark: SparkSession, path: str | Sequence[str], glob: str | None = None,
-                       file_col: str | None = "source_file") -> DataFrame:
+                       file_col: str | None = "source_file", declared: Sequence[str] = ()) -> DataFrame:
     """All-string read of CSV files whose headers differ (added, removed or
     reordered columns): see ``read_csv_files``."""
-    return read_csv_files(spark, list_files(spark, path, glob), file_col)
-
-
-def read_csv_files(spark: SparkSession, paths: Sequence[str], file_col: str | None = "source_file") -> DataFrame:
-    """Files of one header are read with that header as their schema, and the
-    groups are combined by column name. A row with more values than its header
-    has its whole text in CORRUPT_COL, so nothing is lost. The source file path
-    is added as ``file_col``. No files give an empty frame."""
+    return read_csv_files(spark, list_files(spark, path, glob), file_col, declared)
+
+
+def read_csv_files(spark: SparkSession, paths: Sequence[str], file_col: str | None = "source_file",
+                   declared: Sequence[str] = ()) -> DataFrame:
+    """Files of one header are read by place, named by that header, and the
+    groups are combined by column name. Of header names that are alike but for
+    their case the ``declared`` one is the column; the others, and repeats of a
+    name (marked by their place), are kept in the map EXTRA_COL. A row with more
+    values than its header has its whole text in CORRUPT_COL, so nothing is
+    lost. The source file path is added as ``file_col``. No files give an empty
+    frame."""
+    groups = sorted(file_headers(spark, paths).items())
+    reserved = [c for c in (CORRUPT_COL, EXTRA_COL, file_col) if c]
+    columns = column_names([header_names(h) for h, _ in groups], declared, reserved)
     frames = []
-    for header, files in sorted(file_headers(spark, paths).items()):
-        names = next(csv.reader(io.StringIO(header)), [])
-        fields = [T.StructField(c, T.StringType(), True) for c in names]
-        schema = T.StructType([*fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
+    for header, files in groups:
+        names = header_names(header)
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in (*[f"_{i}" for i in range(len(names))], CORRUPT_COL)])
         options = {"columnNameOfCorruptRecord": CORRUPT_COL, "multiLine": str("\n" in header).lower()}
         f = _reader(spark, None, options).schema(schema).load([_plain_path(x) for x in files])
         wide = ", ".join(f"c{i} string" for i in range(len(names) + 1))  # short rows are marked too; only long ones matter
-        f = f.withColumn(CORRUPT_COL, F.when(F.from_csv(CORRUPT_COL, wide)[f"c{len(names)}"].isNotNull(), F.col(CORRUPT_COL)))
-        frames.append(f.withColumn(file_col, F.col("_metadata.file_path")) if file_col else f)
+        long_row = F.when(F.from_csv(CORRUPT_COL, wide)[f"c{len(names)}"].isNotNull(), F.col(CORRUPT_COL)).alias(CORRUPT_COL)
+        kept: dict[str, Column] = {}
+        extra: dict[str, Column] = {}
+        for i, name in enumerate(names):
+            if columns[name.lower()] == name and name not in kept:
+                kept[name] = F.col(f"_{i}")
+            else:
+                extra[name if name not in kept and name not in extra else f"{name}#{i + 1}"] = F.col(f"_{i}")
+        out = [c.alias(name) for name, c in kept.items()] + [long_row]
+        if extra:
+            out.append(F.create_map(*[x for name, c in extra.items() for x in (F.lit(name), c)]).alias(EXTRA_COL))
+        frames.append(f.select(*out, *([F.col("_metadata.file_path").alias(file_col)] if file_col else [])))
     if not frames:
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (CORRUPT_COL, file_col) if c]))
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)

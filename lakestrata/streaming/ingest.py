@@ -50,7 +50,7 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 
 def csv_batches(spark: SparkSession, src_dir: str, glob: str | None, checkpoint: str,
                 write: Callable[[DataFrame, str], None], max_files_per_trigger: int = 1000,
-                timeout_s: float | None = None) -> StreamingQuery:
+                timeout_s: float | None = None, declared: Sequence[str] = ()) -> StreamingQuery:
     """Hand every micro-batch of new CSV files to ``write(frame, batch key)``, then stop.
 
     The stream lists new files; each batch reads its files (at most
@@ -66,7 +66,7 @@ def csv_batches(spark: SparkSession, src_dir: str, glob: str | None, checkpoint:
     def batch_files(batch: DataFrame, batch_id: int) -> None:
         paths = sorted(unquote(r["path"]) for r in batch.collect())  # bounded by max_files_per_trigger
         if paths:
-            write(read_csv_files(spark, paths), batch_key(checkpoint, batch_id))
+            write(read_csv_files(spark, paths, declared=declared), batch_key(checkpoint, batch_id))
 
     q = (files.writeStream.foreachBatch(batch_files).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -94,7 +94,7 @@ def ingest_available(spark: SparkSession, src_dir: str, glob: str | None, target
         (rows.withColumn(BATCH_COL, F.lit(key)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(target))
 
-    return csv_batches(spark, src_dir, glob, checkpoint, write, max_files_per_trigger)
+    return csv_batches(spark, src_dir, glob, checkpoint, write, max_files_per_trigger, declared=schema.names)
 
 
 def transform_stream(spark: SparkSession, src: str, fn: Callable[[DataFrame], DataFrame], dst: str,

@@ -187,6 +187,36 @@ def test_csv_files_of_any_layout_and_name(spark):
     assert SF.read_csv_by_header(spark, f"{root}/empty").count() == 0
 
 
+def test_headers_that_clash_are_rescued(spark):
+    """Names that differ by case, repeated and missing names: one row each, nothing lost."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    root = tempfile.mkdtemp(prefix="clash-")
+    _write(f"{root}/in/a.csv", "id,ID,x\n1,one,y\n")
+    _write(f"{root}/in/b.csv", "x,ID\nz,two\n")
+    _write(f"{root}/in/c.csv", "id,x,x,,Source_File\n3,first,second,none,mine\n")
+    raw = SF.read_csv_by_header(spark, f"{root}/in", "*.csv", declared=["id", "x"])
+    out = {r["x"]: r for r in SF.rescue(raw, _parse_datatype_string("id int, x string")).collect()}
+    assert {k: r["id"] for k, r in out.items()} == {"y": 1, "z": None, "first": 3}
+    assert out["y"]["_rescued_data"] == '{"ID":"one"}' and out["z"]["_rescued_data"] == '{"ID":"two"}'
+    assert out["first"]["_rescued_data"] == '{"Source_File":"mine","_c3":"none","x#3":"second"}'
+    other = SF.rescue(SF.read_csv_by_header(spark, f"{root}/in", "*.csv", declared=["ID"]), _parse_datatype_string("ID string"))
+    assert sorted((r["ID"] or "", r["_rescued_data"]) for r in other.collect()) == [
+        ("", '{"Source_File":"mine","_c3":"none","id":"3","x":"first","x#3":"second"}'), ("one", '{"id":"1","x":"y"}'), ("two", '{"x":"z"}')]
+    bad = SF.rescue(raw, _parse_datatype_string("id int, x int"))  # values that don't cast beside extra fields
+    assert {r["_rescued_data"] for r in bad.collect()} == {
+        '{"ID":"one","x":"y"}', '{"ID":"two","x":"z"}', '{"Source_File":"mine","_c3":"none","x":"first","x#3":"second"}'}
+
+
+def test_ingest_of_a_clashing_header(spark):
+    root = tempfile.mkdtemp(prefix="clash-")
+    _write(f"{root}/in/a.csv", "id,ID,x,v1\n1,one,y,7\n")
+    for k, infer in enumerate((False, True)):
+        ST.ingest_available(spark, f"{root}/in", "*.csv", f"{root}/out{k}", f"{root}/ck{k}", schema_location=f"{root}/schema{k}", infer_types=infer)
+        row = ST.read_batches(spark, f"{root}/out{k}").collect()
+        assert [(str(r["id"]), r["x"], str(r["v1"]), r["_rescued_data"]) for r in row] == [("1", "y", "7", '{"ID":"one"}')]
+
+
 def test_ingest_maps_later_files_by_name(spark):
     root = tempfile.mkdtemp(prefix="st1-")
     _write(f"{root}/in/p1.csv", "Id,FIRST,LAST\n1,f1,l1\n")
