@@ -246,7 +246,9 @@ def link_points(points: DataFrame, bits: int = BITS, shard_points: int = SHARD_P
     spark, n = points.sparkSession, points.count()
     masks, depth = choices(bits, n), _depth(n, shard_points, DEPTH)
     more = max(1, n // (shard_points << depth))  # parts of a leaf, by a hash of the chosen bits
-    sample = points.orderBy(F.xxhash64("fp")).limit(SAMPLE_POINTS).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)  # a fixed number
+    # a hash share of about SAMPLE_POINTS points: what a task sends shrinks as the table grows
+    some = points.where(F.pmod(F.xxhash64("fp"), F.lit(max(1, n // SAMPLE_POINTS))) == 0).limit(2 * SAMPLE_POINTS)
+    sample = some.toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     trees = spark.sparkContext.broadcast([top_tree(sample & np.uint64(m), depth) for m in masks])
 
     def route(batches):
