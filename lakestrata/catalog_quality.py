@@ -164,9 +164,13 @@ def q_m10(spark, d):
     srules = E.quarantined(E.catalogue("silver_patients", AS_OF))
     p_latest = V.silver_patients(E.expect(pr, prules), AS_OF)
     o_silver = V.silver_organizations(E.expect(orr, orules))
+    ob = _obs_bronze(spark, d)
+    obrules, osrules = (E.quarantined(E.catalogue(t, AS_OF, ("fail", "drop"))) for t in ("bronze_observations", "silver_observations"))
+    o_all = V.silver_observations(E.expect(ob, obrules))
     return Q.stack_metrics(
         M.reconcile("Patients", pr, E.expect(p_latest, srules), E.rejects(pr, prules), E.rejects(p_latest, srules)),
         M.reconcile("Organizations", orr, o_silver, E.rejects(orr, orules)),
+        M.reconcile("Observations", ob, E.expect(o_all, osrules), E.rejects(ob, obrules), E.rejects(o_all, osrules)),
     )
 
 

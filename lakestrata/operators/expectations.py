@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.scalars import ratio
@@ -110,8 +110,18 @@ def expectation_metrics(df: DataFrame, rules: Sequence[Rule], table: str) -> Dat
         aggs.append(F.count_if(~r.passed()).alias(f"_f{i}"))
     one = df.agg(*aggs)
     parts = ", ".join(f"'{r.tier}', '{r.name}', _f{i}" for i, r in enumerate(rules))
-    stacked = one.selectExpr("_total", f"stack({len(rules)}, {parts}) AS (tier, rule, failed)")
-    return stacked.select(
+    return _rates(one.selectExpr("_total", f"stack({len(rules)}, {parts}) AS (tier, rule, failed)"), table)
+
+
+def observed_metrics(spark: SparkSession, counts: Mapping[str, int], rules: Sequence[Rule], table: str) -> DataFrame:
+    """The rows of ``expectation_metrics`` from the counters that ``observed`` has filled: a row for each rule."""
+    rows = [(counts["total_records"], r.tier, r.name, counts[r.name]) for r in rules]
+    return _rates(spark.createDataFrame(rows, "_total long, tier string, rule string, failed long"), table)
+
+
+def _rates(counted: DataFrame, table: str) -> DataFrame:
+    """Metrics rows of (_total, tier, rule, failed)."""
+    return counted.select(
         F.lit(table).alias("table_name"),
         "tier",
         "rule",

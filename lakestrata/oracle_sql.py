@@ -773,7 +773,11 @@ FROM runs GROUP BY CAST(start_time AS DATE)""")
 _silver_ok = passes('silver_patients', ('fail', 'drop'))
 CTE["pat_latest"] = CTE["pat_unchecked"].replace("FROM pat_raw", f"FROM pat_raw WHERE {passes('bronze_patients', ('drop',))}")
 DEPS["pat_latest"] = ["pat_raw"]
-sql("layer_reconciliation", ["pat_raw", "org_raw", "pat_latest"], f"""
+_obs_bronze_ok = passes('bronze_observations', ('fail', 'drop')).replace('DATE', 'obs_ts')
+_obs_silver_ok = passes('silver_observations', ('fail', 'drop'))
+CTE["obs_kept"] = CTE["obs_unchecked"].replace("FROM obs_raw", f"FROM obs_raw WHERE {_obs_bronze_ok}")
+DEPS["obs_kept"] = ["obs_raw"]
+sql("layer_reconciliation", ["pat_raw", "org_raw", "pat_latest", "obs_raw", "obs_kept"], f"""
 SELECT 'Patients' AS entity, b AS bronze_records, r AS rejected_records, sr AS silver_rejected_records,
   b - r - sr - s AS deduplicated_records, s AS silver_records
 FROM (SELECT (SELECT COUNT(*) FROM pat_raw) AS b,
@@ -784,7 +788,13 @@ UNION ALL
 SELECT 'Organizations', b, r, 0, b - r - s, s
 FROM (SELECT (SELECT COUNT(*) FROM org_raw) AS b,
              (SELECT COUNT(*) FROM org_raw WHERE NOT ({passes('bronze_organizations', ('drop',))})) AS r,
-             (SELECT COUNT(*) FROM org_raw WHERE {passes('bronze_organizations', ('drop',))}) AS s) t""")
+             (SELECT COUNT(*) FROM org_raw WHERE {passes('bronze_organizations', ('drop',))}) AS s) t
+UNION ALL
+SELECT 'Observations', b, r, sr, b - r - sr - s, s
+FROM (SELECT (SELECT COUNT(*) FROM obs_raw) AS b,
+             (SELECT COUNT(*) FROM obs_raw WHERE NOT ({_obs_bronze_ok})) AS r,
+             (SELECT COUNT(*) FROM obs_kept WHERE NOT ({_obs_silver_ok})) AS sr,
+             (SELECT COUNT(*) FROM obs_kept WHERE {_obs_silver_ok}) AS s) t""")
 
 # --- R / B7 / B8 -----------------------------------------------------------
 sql("null_key_check", ["obs_bronze"], """

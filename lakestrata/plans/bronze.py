@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.operators import expectations as E
 from lakestrata.sources.files import read_csv, read_csv_by_header, rescue, with_lineage
-from lakestrata.streaming.ingest import BATCH_COL, csv_batches, ingest_available
+from lakestrata.streaming.ingest import csv_batches, ingest_available, write_expected
 
 
 def _schema(spec: dict[str, T.DataType]) -> T.StructType:
@@ -78,21 +78,7 @@ def bronze(spark: SparkSession, spec: BronzeSpec, src_dir: str, target: str, che
         rules = E.quarantined(rules)
 
     def write(raw: DataFrame, key: str) -> None:
-        typed = bronze_frame(raw, spec, as_of).persist()
-        try:
-            metrics = E.expectation_metrics(typed, rules, spec.name).withColumn(BATCH_COL, F.lit(key)).persist()
-            broken = metrics.filter((F.col("tier") == "fail") & (F.col("failed_records") > 0)).select("rule").collect()
-            if broken:
-                raise ValueError(f"{spec.name}: expectation failed in batch {key}: {[r['rule'] for r in broken]}")
-            passing = E.expect(typed, [r for r in rules if r.tier == "drop"])
-            (passing.withColumn(BATCH_COL, F.lit(key)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(target))
-            if metrics_path:
-                (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(BATCH_COL).parquet(metrics_path))
-            metrics.unpersist()
-        finally:
-            typed.unpersist()
+        write_expected(bronze_frame(raw, spec, as_of), rules, target, key, metrics_path, spec.name)
 
     return csv_batches(spark, src_dir, glob or spec.glob, checkpoint, write, max_files_per_trigger, timeout_s, spec.schema.names)
 

@@ -121,16 +121,27 @@ def stream_csv(spark: SparkSession, path: str, glob: str | None = None, schema:
     return r.load(path)
 
 
-def stream_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:
-    """Read a (Parquet) table directory incrementally as a stream."""
+def is_path(name_or_path: str) -> bool:
+    """Whether a table is named by its folder; catalog names hold no slash."""
+    return "/" in name_or_path
+
+
+def stream_table(spark: SparkSession, name_or_path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:
+    """Read a catalog table or a table folder incrementally as a stream.
+
+    A table by name is followed at its present location: rows appended to it
+    arrive in later batches, an overwrite (another version folder) does not.
+    """
+    if not is_path(name_or_path):
+        return spark.readStream.table(name_or_path)
     if schema is None:
-        schema = spark.read.format(fmt).load(path).schema
-    return spark.readStream.format(fmt).schema(schema).load(path)
+        schema = spark.read.format(fmt).load(name_or_path).schema
+    return spark.readStream.format(fmt).schema(schema).load(name_or_path)
 
 
 def scan_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """Batch read of a catalog table or a table directory."""
-    if "/" in name_or_path:
+    if is_path(name_or_path):
         return spark.read.format(fmt).load(name_or_path)
     return spark.table(name_or_path)
 

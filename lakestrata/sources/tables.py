@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators.expectations import Rule, expect
@@ -145,12 +145,41 @@ def guarded_write(df: DataFrame, name: str, enabled: bool = True, fmt: str = "pa
     )
 
 
+#: Bits of a column's range rank in an interleaved key, and rows (about) from which the ranges are taken.
+RANK_BITS, RANK_ROWS = 6, 20_000
+
+
+def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
+    """One sort key whose bits are those of the columns' range ranks in turn.
+
+    A column's rank is the number of its range ends at or below the value, and
+    the ends are quantiles of a hash share of the rows (about RANK_ROWS of
+    them). Rows close in the key are close in every column, so files that hold
+    a range of keys hold a narrow range of each column, not of the first alone.
+    NULLs have rank 0.
+    """
+    n = df.count()
+    share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(max(1, n // RANK_ROWS))) == 0
+    rows = df.where(share).select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)]).limit(4 * RANK_ROWS).toArrow()
+    key = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        values = sorted(v for v in rows[f"_{i}"].to_pylist() if v is not None)
+        ends = sorted({values[k * len(values) >> RANK_BITS] for k in range(1, 1 << RANK_BITS)}) if values else []
+        rank = F.lit(0)
+        for end in ends:
+            rank = rank + F.coalesce(F.col(f"`{c}`") >= F.lit(end), F.lit(False)).cast("int")
+        for bit in range(RANK_BITS):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(columns) + len(columns) - 1 - i))
+    return key
+
+
 def compact(spark: SparkSession, name: str, target_bytes: int = 256 << 20, cluster_by: Sequence[str] = ()) -> DataFrame:
     """K6: rewrite a table into files of about ``target_bytes``, optionally clustered.
 
-    The number of files follows from the table's bytes. Clustering
-    range-partitions on the columns (so each file holds a key range, which
-    narrows min/max statistics) and sorts within files. A row hash is the last
+    The number of files follows from the table's bytes. Clustering by one column
+    range-partitions on it (so each file holds a range, which narrows min/max
+    statistics) and sorts within files; by several, on their interleaved range
+    ranks, so that a filter on any of them skips files. A row hash is the last
     range key, so one value holding a large share of the rows is spread over
     several files instead of one writer task.
     Returns (files_before, files_after).
@@ -160,7 +189,11 @@ def compact(spark: SparkSession, name: str, target_bytes: int = 256 << 20, clust
     df = spark.table(name)
     if cluster_by:
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        out = df.repartitionByRange(n, *cluster_by, spread).sortWithinPartitions(*cluster_by)
+        key = F.col(f"`{cluster_by[0]}`")
+        if len(cluster_by) > 1:
+            key = F.col("_cluster")
+            df = df.withColumn("_cluster", interleaved(df, cluster_by))
+        out = df.repartitionByRange(n, key, spread).sortWithinPartitions(key).drop("_cluster")
     else:
         out = df.repartition(n)
     write_table(out, name, partition_by=_partitions(spark, name))

@@ -3,10 +3,10 @@
 * ``run_available`` drains what is available and stops (availableNow); the
   file sink's metadata log makes each file count exactly once across
   re-runs (ST3).
-* ``streaming_table`` checks fail rules *inside* ``foreachBatch`` before
-  anything is written, so a broken batch commits nothing; every batch is
-  written to its own ``_batch_id=<n>`` partition with overwrite, which makes
-  a replayed batch (foreachBatch is at-least-once) idempotent.
+* ``streaming_table`` checks fail rules inside the write of a batch, so a
+  broken batch commits nothing, and counts all rules in the same pass; every
+  batch is written to its own ``_batch_id=<n>`` partition with overwrite, which
+  makes a replayed batch (foreachBatch is at-least-once) idempotent.
 * ``dedup_stream`` (ST4) and ``refresh_groups`` (ST5) keep a latest-row table
   and an aggregate table current as runs merged on read (``streaming.runs``):
   a batch writes its own survivors or partial aggregates and commits them,
@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.operators import expectations as E
 from lakestrata.operators.dedup import dedup_latest
-from lakestrata.sources.files import read_csv_files, rescue, resolve_schema, stream_table, with_lineage
+from lakestrata.sources.files import is_path, read_csv_files, rescue, resolve_schema, stream_table, with_lineage
 from lakestrata.streaming import runs as R
 
 BATCH_COL = "_batch_id"
@@ -34,12 +34,15 @@ BATCH_COL = "_batch_id"
 
 def run_available(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                   partition_by: Sequence[str] = (), timeout_s: float | None = None) -> StreamingQuery:
-    """K2: append everything available to ``path`` once, then stop."""
+    """K2: append everything available to ``path``, a folder or a catalog table's name, once, then stop.
+
+    A table that does not exist is created by the stream.
+    """
     w = (df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start(path)
+    q = w.start(path) if is_path(path) else w.toTable(path)
     q.awaitTermination(timeout_s)
     return q
 
@@ -113,36 +116,33 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH_COL)
 
 
+def write_expected(batch: DataFrame, rules: Sequence[E.Rule], target: str, key: str, metrics_path: str | None, table: str) -> None:
+    """Write one batch under its key in a single pass: drop rules remove rows, a
+    broken fail rule ends the write before its commit, and the counters of all
+    rules are observed on the way and stored as metrics rows (E5)."""
+    counted, counts = E.observed(batch, rules, f"rules-{key}") if rules else (batch, None)
+    known = R.exists(batch.sparkSession, target)
+    try:
+        (E.expect(counted, rules).withColumn(BATCH_COL, F.lit(key)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(target))
+    except Exception:
+        if not known:  # the first batch leaves no empty table behind
+            R.remove(batch.sparkSession, target)
+        raise
+    if counts is not None and metrics_path:
+        metrics = E.observed_metrics(batch.sparkSession, counts.get, rules, table)
+        (metrics.withColumn(BATCH_COL, F.lit(key)).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COL).parquet(metrics_path))
+
+
 def streaming_table(stream: DataFrame, rules: Sequence[E.Rule], target: str, checkpoint: str,
                     metrics_path: str | None = None, table: str = "table",
                     timeout_s: float | None = None) -> StreamingQuery:
-    """K3: streaming table with fail / drop / warn expectations per micro-batch.
-
-    Per batch: one aggregate counts every rule; a broken fail rule raises
-    before the write; drop-rule violators are removed; the counts are
-    stored as expectation metrics rows (E5) next to the table.
-    """
+    """K3: streaming table with fail / drop / warn expectations per micro-batch (``write_expected``)."""
     rules = list(rules)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            metrics = E.expectation_metrics(batch, rules, table).withColumn(BATCH_COL, F.lit(batch_key(checkpoint, batch_id))) if rules else None
-            if metrics is not None:
-                metrics = metrics.persist()
-                broken = metrics.filter((F.col("tier") == "fail") & (F.col("failed_records") > 0)).select("rule").collect()
-                if broken:
-                    raise ValueError(f"expectation failed in batch {batch_id}: {[r['rule'] for r in broken]}")
-            passing = E.expect(batch, [r for r in rules if r.tier == "drop"])
-            (passing.withColumn(BATCH_COL, F.lit(batch_key(checkpoint, batch_id))).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(target))
-            if metrics is not None and metrics_path:
-                (metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(BATCH_COL).parquet(metrics_path))
-            if metrics is not None:
-                metrics.unpersist()
-        finally:
-            batch.unpersist()
+        write_expected(batch, rules, target, batch_key(checkpoint, batch_id), metrics_path, table)
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -47,7 +47,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
@@ -122,7 +127,7 @@ def append(df: DataFrame, path: str, writer: str, batch: int, merge: Callable[[D
     while True:
         old = load_state(spark, path)
         if old.applied.get(writer, -1) >= batch:
-            _remove(spark, f"{path}/{name}")
+            remove(spark, f"{path}/{name}")
             return False
         runs, total = [*old.runs, new], new["bytes"]
         first = len(runs) - 1
@@ -137,12 +142,12 @@ def append(df: DataFrame, path: str, writer: str, batch: int, merge: Callable[[D
         state = State(old.version + 1, runs, old.applied | {writer: batch}, [r["name"] for r in folded])
         if _commit(spark, path, state):
             for gone in old.dropped:
-                _remove(spark, f"{path}/{gone}")
+                remove(spark, f"{path}/{gone}")
             if old.version > 1:
-                _remove(spark, _state_file(path, old.version - 1))
+                remove(spark, _state_file(path, old.version - 1))
             return True
         if folded:
-            _remove(spark, f"{path}/{whole}")
+            remove(spark, f"{path}/{whole}")
 
 
 def read_runs(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
