@@ -12,10 +12,15 @@ per character. Distinct 4-grams of a slice are scored once for all texts.
 
 The sample is the documents of a language with the smallest hash of their id,
 at most ``train_docs`` of them with at most ``train_chars`` characters each;
-this bounds what is collected and broadcast. One in five of the sample is not
-counted but calibrates rejection: a text is rejected if its cross-entropy is
-further above the language's mean than any calibration text of its length
-allows (deviations shrink with the square root of the length), with a margin.
+this bounds what is collected and broadcast (a language whose labelled texts
+are all longer is not learned, so it is never the answer). One in five of the
+sample is not counted but calibrates rejection. A text is cut into stretches of
+about ``STRETCH`` characters, and each goes to the language whose mean it comes
+closest to, so a text of two known languages is none of an unknown one. The
+mean deviation of its stretches must stay within ``MARGIN`` times the
+``QUANTILE`` of the calibration texts: of the longer half of them, or, for
+short texts, of the shorter half, where it shrinks with the square root of the
+length. Neither bound is under a stated least.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0
 and rejected; without any labelled document nothing is learned and all are
@@ -40,8 +45,14 @@ from lakestrata.llm import common as C
 ORDER = 4
 TRAIN_DOCS = 1_000
 TRAIN_CHARS = 20_000
-#: Rejection: calibration deviations are widened by this factor, and this share of the mean is always allowed (texts of two languages keep below it).
-MARGIN, SLACK = 1.5, 1.0
+#: Fewest calibration texts of a language that can reject.
+CALIBRATION = 5
+STRETCH = 100
+#: Rejection: this quantile of the calibration deviations, widened by this factor, is allowed.
+QUANTILE, MARGIN = 0.99, 2.0
+#: Nats a character that a long text may always be apart (a repeated name is not another language), and the same
+#: times the square root of the length for short ones (few calibration texts show no rare deviation).
+LEAST_LONG, LEAST_SHORT = 0.3, 4.0
 FIELDS = "lang_pred string, score double, cross_entropy double, rejected boolean"
 
 _LETTER: list[np.ndarray] = []
@@ -139,10 +150,11 @@ class Model:
     names: list[str]
     models: list[KneserNey]
     mean: np.ndarray
-    spread: np.ndarray
+    long: np.ndarray  # allowed deviation of long texts
+    short: np.ndarray  # the same times the square root of the length, of short texts
 
-    def entropies(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cross-entropy per character (texts x languages), characters and letters of each text."""
+    def _sums(self, texts: pa.Array):
+        """Negative log-probability (stretches x languages), size and text of each stretch; letters of each text."""
         n = len(texts)
         key, row = grams(texts)
         code = pa.array(key).dictionary_encode()
@@ -150,14 +162,45 @@ class Model:
         index = code.indices.to_numpy(zero_copy_only=False)
         size = np.bincount(row, minlength=n)
         letters = np.bincount(row[(key & np.uint64(0xFFFF)) != 0x20], minlength=n)
-        out = np.zeros((n, len(self.names)))
+        parts = np.maximum(1, size // STRETCH)
+        first = np.cumsum(parts) - parts
+        place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+        stretch = first[row] + place * parts[row] // np.maximum(size, 1)[row]
+        out = np.zeros((int(parts.sum()), len(self.names)))
         for k, m in enumerate(self.models):
-            out[:, k] = -np.bincount(row, weights=m.log_prob(distinct)[index], minlength=n) / np.maximum(size, 1)
-        return out, size, letters
+            out[:, k] = -np.bincount(stretch, weights=m.log_prob(distinct)[index], minlength=len(out))
+        return out, np.bincount(stretch, minlength=len(out)), np.repeat(np.arange(n), parts), letters
+
+    def _whole(self, sums: np.ndarray, size: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        total = np.bincount(row, weights=size, minlength=n).astype(np.int64)
+        out = np.zeros((n, len(self.names)))
+        for k in range(len(self.names)):
+            out[:, k] = np.bincount(row, weights=sums[:, k], minlength=n) / np.maximum(total, 1)
+        return out, total
+
+    def entropies(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cross-entropy per character (texts x languages), characters and letters of each text."""
+        sums, size, row, letters = self._sums(texts)
+        return *self._whole(sums, size, row, len(texts)), letters
+
+    def _excess(self, sums, size, row, n) -> tuple[np.ndarray, np.ndarray]:
+        """Mean deviation of the stretches of each text from the closest means, and what is allowed."""
+        total = np.maximum(np.bincount(row, weights=size, minlength=n), 1)
+        apart = sums - self.mean * size[:, None]
+        near = apart.argmin(axis=1)
+        allowed = np.maximum(self.long[near], self.short[near] / np.sqrt(total[row]))
+        return (np.bincount(row, weights=apart[np.arange(len(apart)), near], minlength=n) / total,
+                np.bincount(row, weights=np.where(size > 0, allowed, 0.0) * np.maximum(size, 1), minlength=n) / total)
+
+    def deviations(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Mean deviation and characters of each text."""
+        sums, size, row, _ = self._sums(texts)
+        return self._excess(sums, size, row, len(texts))[0], np.bincount(row, weights=size, minlength=len(texts))
 
     def predict(self, texts: pa.Array) -> list[pa.Array]:
-        entropy, size, letters = self.entropies(texts)
+        sums, part, row, letters = self._sums(texts)
         n, some = len(texts), letters > 0
+        entropy, size = self._whole(sums, part, row, n)
         if not self.names:
             zero = np.zeros(n)
             return [pa.array(["und"] * n, pa.string()), pa.array(zero), pa.array(zero), pa.array(~some)]
@@ -165,10 +208,10 @@ class Model:
         low = entropy[np.arange(n), best]
         weight = np.exp(-(entropy - low[:, None]) * np.minimum(size, 200)[:, None])
         score = np.where(some, 1 / weight.sum(axis=1), 0.0)
-        allowed = np.maximum(SLACK * self.mean[best], MARGIN * self.spread[best] / np.sqrt(np.maximum(size, 1)))
+        apart, allowed = self._excess(sums, part, row, n)
         names = np.array([*self.names, "und"], object)
         return [pa.array(names[np.where(some, best, len(self.names))], pa.string()), pa.array(score),
-                pa.array(np.where(some, low, 0.0)), pa.array(~some | (low > self.mean[best] + allowed))]
+                pa.array(np.where(some, low, 0.0)), pa.array(~some | (apart > allowed))]
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int, train_chars: int) -> DataFrame:
@@ -181,11 +224,12 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_doc
     sizes = fit.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.shiftrightunsigned(F.xxhash64("id"), 1) / F.lit(float(1 << 63))
     near = (fit.select("id", "lang").join(F.broadcast(sizes), "lang")  # one row a language
-            .where(place * F.col("n") <= 2.0 * train_docs))
+            .where(place * F.col("n") <= 2.0 * train_docs).select("id", "lang").distinct())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("id"), 1), "id"))
-    chosen = near.select("id", "lang").withColumn("rank", rank).where(F.col("rank") <= train_docs)
+    chosen = near.withColumn("rank", rank).where(F.col("rank") <= train_docs)
     rows = fit.join(F.broadcast(chosen.select("id", "lang", "rank")), ["id", "lang"])  # train_docs ids a language
-    return rows.dropDuplicates(["id", "lang"]).withColumn("held", F.pmod("rank", F.lit(5)) == 0)
+    return (rows.groupBy("id", "lang", "rank").agg(F.min("text").alias("text"))  # of different texts of one id the least
+            .withColumn("held", F.pmod("rank", F.lit(5)) == 0))
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -211,28 +255,40 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     for name in names:
         own = counts[counts["lang"] == name]
         models.append(KneserNey(own["gram"].to_numpy().view(np.uint64), own["n"].to_numpy(np.float64)))
-    model = Model(names, models, np.zeros(len(names)), np.zeros(len(names)))
+    model = Model(names, models, np.zeros(len(names)), np.zeros(len(names)), np.zeros(len(names)))
     if not names:
         return model
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
-    def calibrate(batches):
-        for part in C.slices(batches, "text"):
-            entropy, size, _ = sent.value.entropies(C.text_of(part, "text"))
-            lang = part.column(part.schema.get_field_index("lang")).to_pylist()
-            known = {x: k for k, x in enumerate(sent.value.names)}
-            own = np.array([entropy[i, known[x]] if x in known else np.nan for i, x in enumerate(lang)])
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(own), pa.array(size)],
-                                             names=["lang", "entropy", "size"])
-
-    got = chosen.where("held").mapInArrow(calibrate, "lang string, entropy double, size long").toPandas()
-    for k, name in enumerate(names):
-        own = got[(got["lang"] == name) & got["entropy"].notna()]
-        if len(own) >= 5:
-            model.mean[k] = np.average(own["entropy"], weights=own["size"])
-            model.spread[k] = max(1.0, ((own["entropy"] - model.mean[k]) * np.sqrt(own["size"])).max())
-        else:  # too few to calibrate: never reject a text with letters
-            model.spread[k] = np.inf
+    def measured(measure):  # one row a calibration text; what is sent and collected is bounded by the sample
+        sent = docs.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches):
+            for part in C.slices(batches, "text"):
+                lang = part.column(part.schema.get_field_index("lang")).to_pylist()
+                value, size = measure(sent.value, C.text_of(part, "text"), lang)
+                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(value), pa.array(size, pa.float64())],
+                                                 names=["lang", "value", "size"])
+
+        got = (chosen.where("held").mapInArrow(run, "lang string, value double, size double")
+               .orderBy("lang", "size", "value").toPandas().dropna())
+        return {k: got[got["lang"] == name] for k, name in enumerate(names)}
+
+    def own_entropy(m, texts, lang):
+        entropy, size, _ = m.entropies(texts)
+        known = {x: k for k, x in enumerate(m.names)}
+        return np.array([entropy[i, known[x]] if x in known else np.nan for i, x in enumerate(lang)], float), size
+
+    for k, own in measured(own_entropy).items():
+        model.mean[k] = np.average(own["value"], weights=own["size"]) if len(own) >= CALIBRATION else np.inf
+    few = np.isinf(model.mean)
+    model.mean[few] = model.mean[~few].mean() if (~few).any() else 0.0
+    for k, own in measured(lambda m, texts, lang: m.deviations(texts)).items():
+        if few[k]:  # too few to calibrate: what comes closest to this language is not rejected
+            model.long[k] = np.inf
+            continue
+        half = (len(own) + 1) // 2  # ordered by size
+        model.long[k] = max(LEAST_LONG, MARGIN * np.quantile(own["value"][half - 1:], QUANTILE, method="higher"))
+        model.short[k] = max(LEAST_SHORT, MARGIN * np.quantile((own["value"] * np.sqrt(own["size"]))[:half], QUANTILE, method="higher"))
     return model
 
 

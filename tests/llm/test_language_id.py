@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from lakestrata.llm import language_id as L
 
@@ -45,7 +46,7 @@ def slow_kn(train, text):
 def test_entropy_matches_a_slow_model():
     train = ["The cat sat.", "the hat, the rat", "Été à la mer"]
     keys, _ = L.grams(pa.array(train))
-    model = L.Model(["x"], [L.KneserNey(keys, np.ones(len(keys)))], np.zeros(1), np.ones(1))
+    model = L.Model(["x"], [L.KneserNey(keys, np.ones(len(keys)))], np.zeros(1), np.ones(1), np.ones(1))
     texts = ["that cat", "zzz", "La mère  a 12 chats!"]
     got = model.entropies(pa.array(texts))[0][:, 0]
     assert np.allclose(got, [slow_kn(train, t) for t in texts])
@@ -90,3 +91,21 @@ def test_prediction_ignores_labels(make_docs, small_docs):
     blank = make_docs([(None, t, None) for _, t, _ in small_docs[:20]], 1)
     found, name = L.identify(blank, model)
     assert {r[0] for r in found.select(f"{name}.lang_pred").collect()} <= set(model.names)
+
+
+def test_a_language_left_out_is_rejected_and_own_texts_are_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
+    for out in ("de", "en", "es", "fr"):
+        model = L.learn(docs.where(f"lang != '{out}'"))
+        found, name = L.identify(docs, model)
+        share = {r.away: r.share for r in found.groupBy((F.col("lang") == out).alias("away")).agg(
+            F.avg(F.col(f"{name}.rejected").cast("int")).alias("share")).collect()}
+        assert share[True] >= 0.9 and share[False] <= 0.01, (out, share)
+
+
+def test_a_text_of_two_known_languages_is_kept(spark, make_docs, small_docs):
+    model = L.learn(make_docs(small_docs))
+    long = {lang: [t for _, t, k in small_docs if k == lang and len(t or "") > 500] for lang in model.names}
+    pairs = [(i, a[0][:2000] + "\n" + b[0][:2000]) for i, (a, b) in enumerate((a, b) for a in long.values() for b in long.values() if a and b)]
+    found, name = L.identify(make_docs(pairs), model)
+    assert pairs and found.where(f"{name}.rejected").count() == 0
