@@ -8,14 +8,17 @@ word bigrams. For each template, the sizes alone bound the Dice coefficient
 least t / (2 - t) of the larger. Everything is one projection of built-in
 higher-order functions inside the scan: no shuffle and no Python.
 
-A template that no passage matches is looked for in runs of words, across lines
-and paragraphs or inside a longer line; the best run is one more match. A run
-can only reach t if the text has t / (2 - t) of the template's n bigrams, which
-one intersection with all templates' bigrams tells. A run grows no worse by
-bigrams of the template, so only ends of stretches of such bigrams are tried;
-up to n (1 / (t / (2 - t)) - 1) other bigrams, counted with repeats, may lie
-inside. The oracle SQL knows passages only: texts in which only a run matches
-differ from it.
+The bigrams of a passage are bigrams of its text, so a template can only be
+matched where the text has t / (2 - t) of its n bigrams; one intersection with
+all templates' bigrams tells which ones these are, and for most texts there is
+none. Each of them is also looked for in runs of words, across lines and
+paragraphs or inside a longer line; a run that scores more than the passages is
+one more match. A run grows no worse by bigrams of the template, so only ends of
+stretches of such bigrams are tried; up to n (1 / (t / (2 - t)) - 1) other
+bigrams, counted with repeats, may lie inside, and as each gap between stretches
+holds one at least, a begin has no more ends than that: the runs tried grow in
+proportion to the text. The oracle SQL knows passages only: texts in which a run
+scores more than they do differ from it.
 
 Defined cases: null and empty texts and passages of fewer than two words match
 nothing; of equal scores the first template name wins; repeated rows are
@@ -84,29 +87,34 @@ def passages(text: Column) -> Column:
 
 def _best_run(grams: Column, t: Column, score, least: float) -> Column:
     """The highest score of a run of a text's bigrams (in their order, with repeats) with one template."""
+    others = t["n"] * F.lit(1 / least - 1) + F.lit(1e-9)
 
-    def stretches(hit):  # numbers of the hits that begin and that end a stretch
+    def of_hits(hit):  # numbers of the hits that begin and that end a stretch
         every = F.sequence(F.lit(1), F.size(hit))
         first = F.filter(every, lambda j: (j == 1) | (hit[j - 1] - hit[F.greatest(j - 2, F.lit(0))] > 1))
         last = F.filter(every, lambda j: (j == F.size(hit)) | (hit[F.least(j, F.size(hit) - 1)] - hit[j - 1] > 1))
+        return _let(first, lambda begin: _let(last, lambda end: of_stretches(hit, begin, end)))
+
+    def of_stretches(hit, begin, end):
+        def runs(k):
+            i = begin[k - 1]
 
-        def runs(i):
             def fits(j):
                 own = j - i + 1
-                return ((own >= t["n"] * F.lit(least) - F.lit(1e-9))
-                        & (hit[j - 1] - hit[i - 1] + 1 - own <= t["n"] * F.lit(1 / least - 1) + F.lit(1e-9)))
+                return (own >= t["n"] * F.lit(least) - F.lit(1e-9)) & (hit[j - 1] - hit[i - 1] + 1 - own <= others)
 
-            return F.transform(F.filter(last, fits), lambda j: score(
-                t, F.array_distinct(F.slice(grams, hit[i - 1], hit[j - 1] - hit[i - 1] + 1))))
+            return F.array_max(F.transform(
+                F.filter(F.slice(end, k, F.floor(others).cast("int") + 1), fits),
+                lambda j: score(t, F.array_distinct(F.slice(grams, hit[i - 1], hit[j - 1] - hit[i - 1] + 1)))))
 
-        return F.array_max(F.flatten(F.transform(first, runs)))
+        return F.array_max(F.transform(F.sequence(F.lit(1), F.size(begin)), runs))
 
-    return _let(F.filter(F.sequence(F.lit(1), F.size(grams)), lambda i: F.array_contains(t["bigrams"], grams[i - 1])), stretches)
+    return _let(F.filter(F.sequence(F.lit(1), F.size(grams)), lambda i: F.array_contains(t["bigrams"], grams[i - 1])), of_hits)
 
 
 def matches(text: Column, templates: dict[str, str], threshold: float) -> Column:
     """Array of (score, name) of all passages, and of runs of words, and templates at or over the threshold."""
-    known = template_bigrams(templates)
+    known = {k: v for k, v in template_bigrams(templates).items() if v}
     table = F.array(*(F.struct(F.lit(k).alias("name"), F.array(*map(F.lit, v)).alias("bigrams"), F.lit(len(v)).alias("n"))
                       for k, v in known.items()))
     pool = F.array(*map(F.lit, dict.fromkeys(b for v in known.values() for b in v)))
@@ -120,21 +128,30 @@ def matches(text: Column, templates: dict[str, str], threshold: float) -> Column
     def over(scores):
         return F.filter(scores, lambda m: m["score"] >= F.lit(threshold))
 
-    def compare(grams):
-        return over(F.transform(table, lambda t: F.struct(score(t, grams).alias("score"), t["name"].alias("name"))))
+    def scored(likely, one):
+        return over(F.transform(likely, lambda t: F.struct(one(t).alias("score"), t["name"].alias("name"))))
+
+    def in_passages(plain, likely):
+        return F.flatten(F.transform(_cut(plain), lambda x: _let(_bigrams(x), lambda g: scored(likely, lambda t: score(t, g)))))
+
+    def in_runs(grams, likely, found):
+        def best(name):
+            return F.coalesce(F.array_max(F.transform(F.filter(found, lambda m: m["name"] == name), lambda m: m["score"])), F.lit(0.0))
+
+        left = F.filter(likely, lambda t: best(t["name"]) < F.lit(1.0))
+        return F.filter(scored(left, lambda t: _best_run(grams, t, score, least)), lambda m: m["score"] > best(m["name"]) + F.lit(1e-9))
 
-    def runs(grams, found):
-        def likely(shared):
-            return F.filter(table, lambda t: (F.size(shared) >= t["n"] * F.lit(least) - F.lit(1e-9))
-                            & (F.size(F.array_intersect(t["bigrams"], shared)) >= t["n"] * F.lit(least) - F.lit(1e-9))
-                            & ~F.array_contains(F.transform(found, lambda m: m["name"]), t["name"]))
+    def in_text(plain, grams, likely):
+        none = F.filter(F.array(F.struct(F.lit(0.0).alias("score"), F.lit("").alias("name"))), lambda m: F.lit(False))
+        return F.when(F.size(likely) == 0, none).otherwise(
+            _let(in_passages(plain, likely), lambda found: F.concat(found, in_runs(grams, likely, found))))
 
-        return over(F.transform(_let(F.array_intersect(pool, grams), likely), lambda t: F.struct(
-            _best_run(grams, t, score, least).alias("score"), t["name"].alias("name"))))
+    def candidates(shared):
+        return F.filter(table, lambda t: (F.size(shared) >= t["n"] * F.lit(least) - F.lit(1e-9))
+                        & (F.size(F.array_intersect(t["bigrams"], shared)) >= t["n"] * F.lit(least) - F.lit(1e-9)))
 
-    return _let(_plain(text), lambda p: _let(
-        F.flatten(F.transform(_cut(p), lambda x: _let(_bigrams(x), compare))),
-        lambda found: F.concat(found, _let(_in_order(_flat(p)), lambda grams: runs(grams, found)))))
+    return _let(_plain(text), lambda p: _let(_in_order(_flat(p)), lambda grams: _let(
+        _let(F.array_intersect(pool, grams), candidates), lambda likely: in_text(p, grams, likely))))
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,

@@ -1,6 +1,12 @@
 """Licence templates: fixed values, the public wording of each licence or notice."""
 
 TEMPLATES: dict[str, str] = {
+    "agpl-3.0-notice": """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the
+        License, or (at your option) any later version. This program is distributed in the hope that it will be useful,
+        but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Affero General Public License for more details. You should have received a copy of the GNU
+        Affero General Public License along with this program. If not, see https://www.gnu.org/licenses/.""",
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this
@@ -21,10 +27,32 @@ TEMPLATES: dict[str, str] = {
         SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
         LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY
         WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "bsd-3-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above
+        copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form
+        must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. 3. Neither the name of
+        the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+        this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE
+        COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED
+        TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO
+        EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY
+        WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "cc-by-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa-4.0-line":
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc0-1.0-line": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "gpl-2.0-notice": """This program is free software; you can redistribute it and/or modify it under the terms of
+        the GNU General Public License as published by the Free Software Foundation; either version 2 of the License,
+        or (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU
+        General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51
+        Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.""",
     "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-3.0-notice": """This program is free software: you can redistribute it and/or modify it under the terms of
         the GNU General Public License as published by the Free Software Foundation, either version 3 of the License,
@@ -39,6 +67,19 @@ TEMPLATES: dict[str, str] = {
         DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
         PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
         CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "lgpl-2.1-notice": """This library is free software; you can redistribute it and/or modify it under the terms of
+        the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the
+        License, or (at your option) any later version. This library is distributed in the hope that it will be useful,
+        but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the GNU
+        Lesser General Public License along with this library; if not, write to the Free Software Foundation, Inc., 51
+        Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA""",
+    "lgpl-3.0-notice": """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the
+        License, or (at your option) any later version. This program is distributed in the hope that it will be useful,
+        but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the GNU
+        Lesser General Public License along with this program. If not, see https://www.gnu.org/licenses/.""",
     "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
         associated documentation files (the "Software"), to deal in the Software without restriction, including
         without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
@@ -52,4 +93,21 @@ TEMPLATES: dict[str, str] = {
     "mit-line": "Released under the MIT License.",
     "mpl-2.0-notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy
         of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+        modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+        binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize
+        copyright laws, the author or authors of this software dedicate any and all copyright interest in the software
+        to the public domain. We make this dedication for the benefit of the public at large and to the detriment of
+        our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+        present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+        WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+        FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM,
+        DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+        CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
+
+#: SPDX licence identifiers whose one-line tags are templates too; fixed values.
+SPDX = ("AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0-only",
+        "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later",
+        "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense")
+TEMPLATES |= {f"spdx-{x.lower()}": f"SPDX-License-Identifier: {x}" for x in SPDX}
