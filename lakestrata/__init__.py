@@ -4,6 +4,6 @@ Every public function takes and returns DataFrames (or writes tables) and is
 built from public Spark DataFrame, SQL and Structured Streaming functions.
 """
 
-from lakestrata.session import AS_OF, RUNS_AS_OF, get_session, scratch_dir
+from lakestrata.session import AS_OF, RUNS_AS_OF, get_session, scratch_dir, scratch_scope
 
-__all__ = ["AS_OF", "RUNS_AS_OF", "get_session", "scratch_dir"]
+__all__ = ["AS_OF", "RUNS_AS_OF", "get_session", "scratch_dir", "scratch_scope"]

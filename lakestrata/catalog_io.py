@@ -81,7 +81,7 @@ def _schema_name(prefix: str) -> str:
 
 def _fresh_schema(spark, prefix: str) -> str:
     name = _schema_name(prefix)
-    TB.ensure_schema(spark, name, f"{prefix} layer", f"{scratch_dir(spark, 'wh')}/{name}")
+    TB.ensure_schema(spark, name, f"{prefix} layer", f"{scratch_dir(spark, 'wh', keep=True)}/{name}")
     return name
 
 
@@ -236,7 +236,7 @@ def q_k7(spark, d):
 @register("create_schema")
 def q_k8(spark, d):
     db = _schema_name("gold")
-    TB.ensure_schema(spark, db, "Gold layer: business aggregates", f"{scratch_dir(spark, 'wh')}/{db}")
+    TB.ensure_schema(spark, db, "Gold layer: business aggregates", f"{scratch_dir(spark, 'wh', keep=True)}/{db}")
     TB.ensure_schema(spark, db, "Gold layer: business aggregates")  # idempotent
     TB.write_table(org_silver(spark, d), f"{db}.organizations")
     return spark.table(f"{db}.organizations")

@@ -6,6 +6,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,15 +70,52 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def scratch_dir(spark: SparkSession, name: str = "run") -> str:
-    """A new, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(re.sub("^file:(//)?", "", path), exist_ok=True)
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(path, its file system) as Spark's own layer knows them, in any store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def scratch_dir(spark: SparkSession, name: str = "run", keep: bool = False) -> str:
+    """A new, unique folder under the shared checkpoint root.
+
+    It is deleted when the enclosing ``scratch_scope`` ends, or else with the
+    application; ``keep`` leaves it, as tables of a catalog need.
+    """
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    p, fs = _hadoop(spark, path)
+    fs.mkdirs(p)
+    if not keep:
+        fs.deleteOnExit(p)
+        paths = _SCOPE.get()
+        if paths is not None:
+            paths.append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made inside the block when it ends, also by an error.
+
+    For long-lived sessions. Operators return lazy frames that may read
+    scratch tables, so results must be written or collected inside the block.
+    Blocks may be nested; each deletes its own folders.
+    """
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        paths = _SCOPE.get()
+        _SCOPE.reset(token)
+        for path in paths:
+            p, fs = _hadoop(spark, path)
+            fs.delete(p, True)
+            fs.cancelDeleteOnExit(p)
+
+
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: one computation for several readers."""
     path = scratch_dir(df.sparkSession, name) + "/rows"
