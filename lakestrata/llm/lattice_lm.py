@@ -8,16 +8,20 @@ product over its words and one end token. Characters that are no piece fall
 back to the pieces of their UTF-8 bytes.
 
 Piece probabilities start from the vocabulary's own scores (its ranks, as a
-Zipf prior) and are fitted by expectation maximisation on the distinct words
-of all training documents. A word seen in training is also one edge of its
-own: P(w) = max(c - D, 0) / N + D V / N * lattice(w), with absolute discount
-D. That is again a probability, and unseen words get what D sets free.
+Zipf prior) and are fitted by expectation maximisation on all words of all
+training documents, each distinct word weighted with its uses. ``score`` is
+the lattice's log probability of the text. Beside it ``mixture_score`` adds
+each training word as one edge of its own: P(w) = max(c - D, 0) / N + D V / N *
+lattice(w), with absolute discount D.
 
 Spark counts words by blocks of texts: a block's row holds its texts as
 numbers of the block's own words, so texts are read once. Word totals are one
-window over (block, word) rows; scores go back to blocks, which are cogrouped
-with their texts. All that grows with the corpus (words, blocks) stays in
-Spark; the driver gets one row of totals and at most one row for each piece.
+aggregation with map-side sums; each distinct word runs through the lattice
+once, then totals and logs are joined to the (block, word) rows and cogrouped
+with the texts of their block. Both inputs of that join come straight from
+files, so Spark can split the partition of a common word. All that grows with
+the corpus (words, blocks) stays in Spark; the driver gets one row of totals
+and at most one row for each piece.
 
 Defined cases: null text is empty and scores its end token; with no training
 document N and V are 0 and the lattice alone scores; a null id is in no fold
@@ -33,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm import common as C
@@ -173,8 +177,8 @@ class Pieces:
                 for b in self.byte_ids(point):
                     total[b] += x
 
-    def _expected_long(self, word: str, logp: np.ndarray, total: np.ndarray) -> None:
-        """Adds the expected uses of one long word; its lattice is held by strips."""
+    def _expected_long(self, word: str, uses: float, logp: np.ndarray, total: np.ndarray) -> None:
+        """Adds the expected pieces of all uses of one long word; its lattice is held by strips."""
         n = len(word)
 
         def strip(a):
@@ -196,21 +200,23 @@ class Pieces:
                 at = np.flatnonzero(np.isfinite(w[:, k]))
                 if len(at):
                     p = np.exp(alpha[a + at] + w[at, k] + beta[a + at + k + 1] - alpha[n])
-                    self._add(total, ids[at, k], points[at], p)
+                    self._add(total, ids[at, k], points[at], p * uses)
 
-    def expected(self, words: list[str], logp: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece over the distinct words."""
+    def expected(self, words: list[str], logp: np.ndarray, uses: np.ndarray | None = None) -> np.ndarray:
+        """Expected uses of each piece over the words, each used once or as often as ``uses`` says."""
         total = np.zeros(self.size)
-        every = sorted(words, key=len)
+        times = np.ones(len(words)) if uses is None else np.asarray(uses, float)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        every, times = [words[i] for i in order], times[order]
         while every and len(every[-1]) > STRIP:
-            self._expected_long(every.pop(), logp, total)
+            self._expected_long(every.pop(), times[len(every)], logp, total)
         k = 0
         while k < len(every):
             stop = k + 1  # words of at most BATCH * LONG characters with their padding
             while stop < len(every) and stop - k < BATCH and (stop - k + 1) * len(every[stop]) <= BATCH * LONG:
                 stop += 1
             ids, points, w, start, size, _ = self.weights(every[k:stop], logp)
-            k = stop
+            n_uses, k = times[k:stop], stop
             alpha, beta = self.forward(w, start, size), self.backward(w, start, size)
             whole = alpha[np.arange(len(size)), size]
             owner = np.repeat(np.arange(len(size)), size)
@@ -221,7 +227,7 @@ class Pieces:
                     continue
                 o = owner[at]
                 p = np.exp(alpha[o, inside[at]] + w[at, n - 1] + beta[o, inside[at] + n] - whole[o])
-                self._add(total, ids[at, n - 1], points[at], p)
+                self._add(total, ids[at, n - 1], points[at], p * n_uses[o])
         return total
 
 
@@ -317,8 +323,8 @@ class Model:
 
 
 def fit(totals: DataFrame, ends: int, model_file: str, rounds: int = ROUNDS) -> Model:
-    """Totals and piece probabilities from (word, c, lead): lead marks one row of each word."""
-    seen = totals.where("lead and c > 0")
+    """Totals and piece probabilities from (word, c), one row a word; c: its uses in training."""
+    seen = totals.where("c > 0")
     row = seen.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count(F.when(F.col("c") == 1, 1)).alias("n1"),
                    F.count(F.when(F.col("c") == 2, 1)).alias("n2")).first()
     tokens, kinds = (row.n or 0) + ends, row.v + (ends > 0)
@@ -331,16 +337,17 @@ def fit(totals: DataFrame, ends: int, model_file: str, rounds: int = ROUNDS) ->
         def count(batches):
             own, total = pieces(model_file), None
             for b in batches:
-                got = own.expected([SIGN + w for w in b.column(0).to_pylist()], sent.value)
+                got = own.expected([SIGN + w for w in b.column(0).to_pylist()], sent.value, b.column(1).to_numpy())
                 total = got if total is None else total + got
             if total is not None:
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "n"])
 
         got = np.zeros(p.size)
-        for r in seen.select("word").mapInArrow(count, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect():
+        for r in (seen.select("word", "c").mapInArrow(count, "piece long, n double")
+                  .groupBy("piece").agg(F.sum("n").alias("n")).collect()):
             got[r.piece] = r.n  # at most one row for each piece
-        got[p.end] += 1
+        got[p.end] += ends
         mass = 0.01 * got.sum() + 1
         logp = np.log((got + mass * p.prior) / (got.sum() + mass))
     return Model(int(tokens), int(kinds), ends, float(discount), logp)
@@ -348,40 +355,34 @@ def fit(totals: DataFrame, ends: int, model_file: str, rounds: int = ROUNDS) ->
 
 def lm_scores(docs: DataFrame, model_file: str, held_out=None, id_col: str = "doc_id", text_col: str = "text",
               block_bytes: int = BLOCK_BYTES, rounds: int = ROUNDS) -> DataFrame:
-    """Id, held_out, n_tokens, n_known, train_tokens, base_score, score, subword_score of every row."""
+    """Id, held_out, n_tokens, n_known, train_tokens, base_score, score, mixture_score of every row."""
     spark = docs.sparkSession
     held_out = C.id_remainder(id_col) == 1 if held_out is None else held_out
     made = C.written(blocks(docs, held_out, id_col, text_col, block_bytes), "lm-blocks")
     texts = made.where("body is not null").select("block", "body", "trained")
-    per_word = Window.partitionBy("word")
-    words = made.where("body is null").select(
-        "word", "block", "code", F.sum("n").over(per_word).alias("c"),
-        (F.row_number().over(per_word.orderBy("block")) == 1).alias("lead"))
-    words = C.written(words, "lm-words")
+    uses = made.where("body is null").select("word", "block", "code", "n")
+    totals = C.written(uses.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     ends = texts.agg(F.sum("trained")).first()[0] or 0
-    model = fit(words, ends, model_file, rounds)
+    model = fit(totals, ends, model_file, rounds)
     sent = spark.sparkContext.broadcast(model)  # one number for each piece
 
     def score(batches):
         own, m = pieces(model_file), sent.value
         for b in batches:
-            code, names = C.codes(b.column(0))  # rows of a word stand together
-            lattice = own.log_prob([SIGN + w for w in names.to_pylist()], m.logp)[code]
-            c = b.column(3).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [b.column(1), b.column(2), b.column(3), pa.array(m.word_logs(c, lattice).astype(np.float32)),
-                 pa.array(lattice.astype(np.float32))], names=["block", "code", "c", "log", "lattice"])
+            lattice = own.log_prob([SIGN + w for w in b.column(0).to_pylist()], m.logp)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lattice)], names=["word", "c", "lattice"])
 
-    scored = words.mapInArrow(score, "block long, code int, c long, log float, lattice float")
+    logs = C.written(totals.mapInArrow(score, "word string, c long, lattice double"), "lm-logs")
+    scored = uses.join(logs, "word").select(F.col("block").alias("block"), "code", "c", "lattice")
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
 
     def total(left: pa.Table, right: pa.Table) -> pa.Table:
         m, n = sent.value, right.num_rows
         code = right["code"].to_numpy()
-        c, log, lattice = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-        for out, name in ((c, "c"), (log, "log"), (lattice, "lattice")):
+        c, lattice = np.zeros(n, np.int64), np.zeros(n)
+        for out, name in ((c, "c"), (lattice, "lattice")):
             out[code] = right[name].to_numpy()
-        base = m.base(c)
+        base, mixture = m.base(c), m.word_logs(c, lattice)
         parts = []
         for body in left["body"].to_pylist():  # one, as block numbers are distinct
             t = _unpacked(body)
@@ -400,12 +401,12 @@ def lm_scores(docs: DataFrame, model_file: str, held_out=None, id_col: str = "do
                 "n_known": pa.array(sums((c > 0).astype(float)).astype(np.int64) + int(m.ends > 0)),
                 "train_tokens": pa.array(np.full(k, m.tokens)),
                 "base_score": pa.array(sums(base) + m.base(end)[0]),
-                "score": pa.array((sums(log) + m.word_logs(end, end_lattice)[0]) / np.log(10)),
-                "subword_score": pa.array((sums(lattice) + end_lattice[0]) / np.log(10))}))
+                "score": pa.array((sums(lattice) + end_lattice[0]) / np.log(10)),
+                "mixture_score": pa.array((sums(mixture) + m.word_logs(end, end_lattice)[0]) / np.log(10))}))
         return pa.concat_tables(parts)
 
     fields = (f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-              "score double, subword_score double")
+              "score double, mixture_score double")
     out = texts.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(total, fields)
     return out.withColumnRenamed("id", id_col)
 

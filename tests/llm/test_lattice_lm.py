@@ -1,4 +1,5 @@
 import collections
+import functools
 import math
 import zlib
 
@@ -13,12 +14,32 @@ from tests.llm.conftest import lower, words
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
-def slow_word(word, logp, p):
-    """Sum over all segmentations by recursion."""
+@functools.cache
+def vocabulary():
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    known = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
+    return {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
+
+
+def slow_pieces(word, p):
+    """Every piece that some segmentation can use."""
+    ids, points, _, _ = p.edges([word])
+    return {int(i) for i in ids[ids >= 0]} | {b for t, x in zip(ids[:, 0], points) if t < 0 for b in p.byte_ids(int(x))}
+
+
+def slow_uses(word, piece, logp, p, whole):
+    """Expected uses of a piece: the slope of the log likelihood in its log probability."""
+    step = 1e-4
+    up, down = logp.copy(), logp.copy()
+    up[piece] += step
+    down[piece] -= step
+    return (slow_word(word, up, p) - slow_word(word, down, p)) / (2 * step)
+
+
+def slow_word(word, logp, p):
+    """Sum over all segmentations by recursion."""
+    known = vocabulary()
 
     def go(t):
         if not t:
@@ -67,7 +88,29 @@ def test_counts_and_base_match_brute_force(make_docs, edge_rows, small_docs, blo
     out = L.lm_scores(make_docs(rows), MODEL, block_bytes=block, rounds=1).collect()
     assert sorted(((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in out), key=repr) == \
         sorted(brute(rows), key=repr)
-    assert all(math.isfinite(r.score) and r.score < 0 and r.score >= r.subword_score - 2 * r.n_tokens for r in out)
+    assert all(math.isfinite(r.score) and r.score < 0 and r.mixture_score >= r.score - 2 * r.n_tokens for r in out)
+
+
+@pytest.mark.parametrize("rounds,block", [(0, 1 << 24), (2, 2000)])
+def test_score_is_the_likelihood_over_all_segmentations(make_docs, rounds, block):
+    """EM and scores by recursion in plain Python, over whole texts."""
+    texts = ["the cat\tsat", "The hat", "", None, "café \U0001f680b the the", "x1 <s> ▁y", "cats", "the cat sat " * 3]
+    rows = [(i, t) for i, t in enumerate(texts * 3)]
+    p = L.pieces(MODEL)
+    train = [words(lower(t or "")) for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    used, logp = collections.Counter(w for t in train for w in t), np.log(p.prior)
+    for _ in range(rounds):
+        got = np.zeros(p.size)
+        for w, n in used.items():
+            whole = slow_word("▁" + w, logp, p)
+            for i in slow_pieces("▁" + w, p):
+                got[i] += n * slow_uses("▁" + w, i, logp, p, whole)
+        got[p.end] += len(train)
+        mass = 0.01 * got.sum() + 1
+        logp = np.log((got + mass * p.prior) / (got.sum() + mass))
+    want = {i: (sum(slow_word("▁" + w, logp, p) for w in words(lower(t or ""))) + logp[-1]) / math.log(10) for i, t in rows}
+    out = {r.doc_id: r.score for r in L.lm_scores(make_docs(rows), MODEL, block_bytes=block, rounds=rounds).collect()}
+    assert out.keys() == want.keys() and all(math.isclose(out[i], want[i], rel_tol=1e-6) for i in want)
 
 
 def test_no_training_rows_and_empty_table(make_docs):
