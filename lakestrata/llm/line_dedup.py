@@ -6,18 +6,24 @@ lines: the rank at depth 2h is the place of the pair (rank at depth h here,
 rank at depth h from h lines on) in the sorted order of all such pairs. Ranks
 are given to the distinct pairs, not to positions, so a line that a third of
 all texts hold is one row when ranks are sorted, and positions of unique pairs
-leave at once: no longer run starts there. After depth ``min_lines``, equal
-ranks are the intervals of the suffix array whose longest common prefix has
-``min_lines`` lines or more; their union over consecutive positions is every
-maximal repeated run. A run is a later copy where its interval has an earlier
-position, by (id, hash of the text, line). Lines of later copies are deleted.
+leave at once: no longer repeat starts there. Depths go through ``min_lines``
+and double until no pair repeats.
+
+Equal ranks at a depth are an interval of the suffix array whose longest
+common prefix has that many lines or more. A suffix is a later copy where its
+interval has an earlier position, by (id, hash of the text, line); the first
+position of the deepest such interval is its source. Suffixes whose source
+moves along with them line by line are one run; the common prefix of the run's
+first suffix with its source, found exactly by descending through the ranks
+from the deepest on, is the maximal run. Lines of these runs are deleted.
 
 A run counts if it has ``min_lines`` lines, or if one line of it has
 ``min_words`` words by itself.
 
 Only DataFrame functions are used. Each depth writes its (few) repeated pairs
 and positions to the shared folder, so both inputs of a join are shuffled for
-it and Spark can split a hot rank's partition.
+it and Spark can split a hot rank's partition. The number of depths is the
+logarithm of the longest repeat.
 
 Defined cases: lines without a word never count and stay where they are; a
 text whose lines with words are all deleted becomes empty; null texts stay
@@ -27,6 +33,8 @@ other; null ids order first; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,12 +59,14 @@ def _place():
     return F.struct("id", "h", "pos")
 
 
-def _ranked(positions: DataFrame, keys: list[str], kept: list[str]) -> DataFrame:
-    """Positions of repeated keys with the rank of the key and its first place."""
-    groups = (positions.groupBy(*keys).agg(F.count("*").alias("n"), F.min(_place()).alias("first"))
-              .where("n > 1").drop("n").orderBy(*keys)
+def _ranked(positions: DataFrame, keys: list[str], kept: list[str]) -> DataFrame | None:
+    """Positions of repeated keys with the rank of the key and its first place; None if no key repeats."""
+    groups = (positions.groupBy(*keys).agg(F.min(_place()).alias("first"), F.max(_place()).alias("final"))
+              .where(F.col("first") < F.col("final")).drop("final").orderBy(*keys)
               .withColumn("rank", F.monotonically_increasing_id()))
     groups = C.written(groups, "lines-rank")
+    if groups.isEmpty():
+        return None
     return C.written(positions.join(groups, keys).select("id", "h", "pos", "rank", "first", *kept), "lines-pos")
 
 
@@ -68,26 +78,67 @@ def line_positions(docs: DataFrame) -> DataFrame:
                         F.size(F.split(F.btrim(line, F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")).alias("words"))
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
-    """Suffixes (id, h, pos, rank, first) that share their first ``min_lines`` lines, and the repeated lines."""
-    single = _ranked(line_positions(docs), ["a", "b"], ["words"])
-    runs, depth = single, 1
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)
+def ranked_suffixes(docs: DataFrame, min_lines: int = MIN_LINES) -> list[tuple[int, DataFrame]]:
+    """For each depth, the suffixes (id, h, pos, rank, first) that share their first lines; depth 1 has ``words`` too."""
+    found, depth, ranked = [], 1, _ranked(line_positions(docs), ["a", "b"], ["words"])
+    while ranked is not None:
+        found.append((depth, ranked))
+        step = depth if depth >= min_lines else min(depth, min_lines - depth)
         ahead = Window.partitionBy("id", "h").orderBy("pos").rangeBetween(step, step)
-        pairs = runs.select("id", "h", "pos", F.col("rank").alias("r1"), F.max("rank").over(ahead).alias("r2"))
-        runs = _ranked(pairs.where("r2 is not null"), ["r1", "r2"], [])
+        pairs = ranked.select("id", "h", "pos", F.col("rank").alias("r1"), F.max("rank").over(ahead).alias("r2"))
+        ranked = _ranked(pairs.where("r2 is not null"), ["r1", "r2"], [])
         depth += step
-    return runs, single
-
-
-def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, h, gone): the numbers, among lines with a word, of the deleted lines of a text."""
-    runs, single = repeated_runs(docs, min_lines, min_words)
-    later = F.col("first") < _place()
-    lines = runs.where(later).select("id", "h", F.explode(F.sequence("pos", F.col("pos") + (min_lines - 1))).alias("pos"))
-    lines = lines.unionByName(single.where(later & (F.col("words") >= min_words)).select("id", "h", "pos"))
-    return lines.groupBy("id", "h").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
+    return found
+
+
+def _run_starts(found: list[tuple[int, DataFrame]], min_lines: int) -> DataFrame:
+    """(id, h, pos, source, length): later copies whose source doesn't go on from the line before; length is a depth."""
+    later = reduce(DataFrame.unionByName, [
+        t.where(F.col("first") < _place()).select("id", "h", "pos", F.lit(d).alias("length"), "first")
+        for d, t in found if d >= min_lines])
+    best = later.groupBy("id", "h", "pos").agg(F.max("length").alias("length"), F.max_by("first", "length").alias("source"))
+    before = F.lag(F.struct("pos", "source")).over(Window.partitionBy("id", "h").orderBy("pos"))
+    moved = F.struct((F.col("pos") - 1).alias("pos"), F.struct(
+        F.col("source.id").alias("id"), F.col("source.h").alias("h"), (F.col("source.pos") - 1).alias("pos")).alias("source"))
+    return best.withColumn("on", before.eqNullSafe(moved)).where("not on").drop("on")
+
+
+def maximal_runs(found: list[tuple[int, DataFrame]], min_lines: int = MIN_LINES) -> DataFrame | None:
+    """(id, h, pos, length, source): each run of lines that is a later copy of the lines at ``source``, as long as both agree.
+
+    ``found`` comes from :func:`ranked_suffixes`; positions count the lines with a word. None if there is no such run.
+    """
+    if not found or found[-1][0] < min_lines:
+        return None
+    runs = C.written(_run_starts(found, min_lines), "lines-runs")
+    for depth, ranked in reversed(found[:-1]):  # a run is shorter than twice the depth where it was last a copy
+        ranks = ranked.groupBy(F.struct("id", "h").alias("key"), "pos").agg(F.max("rank").alias("rank"))
+        here, there = (ranks.select(F.col("key").alias(f"k{x}"), F.col("pos").alias(f"p{x}"), F.col("rank").alias(f"r{x}"))
+                       for x in "12")
+        at = F.col("length")
+        longer = (runs.join(here, (F.struct("id", "h") == F.col("k1")) & (F.col("pos") + at == F.col("p1")), "left")
+                  .join(there, (F.struct("source.id", "source.h") == F.col("k2"))
+                        & (F.col("source.pos") + at == F.col("p2")), "left"))
+        length = at + F.when(F.col("r1") == F.col("r2"), depth).otherwise(0)
+        runs = C.written(longer.select("id", "h", "pos", length.alias("length"), "source"), "lines-runs")
+    return runs
+
+
+def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame | None:
+    """(id, h, gone): the numbers, among lines with a word, of the deleted lines of a text; None if no line repeats."""
+    found = ranked_suffixes(docs, min_lines)
+    if not found:
+        return None
+    cut = found[0][1].where((F.col("first") < _place()) & (F.col("words") >= min_words))
+    cut = cut.select("id", "h", "pos", (F.col("pos") + 1).alias("end"))
+    runs = maximal_runs(found, min_lines)
+    if runs is not None:
+        cut = cut.unionByName(runs.select("id", "h", "pos", (F.col("pos") + F.col("length")).alias("end")))
+    # runs may overlap: each adds the lines beyond the furthest end before it
+    past = Window.partitionBy("id", "h").orderBy("pos", "end").rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("pos", F.greatest("pos", F.coalesce(F.max("end").over(past), F.lit(0)))).where("pos < end")
+    lines = F.sequence(F.col("pos"), F.col("end") - 1)
+    return cut.groupBy("id", "h").agg(F.array_sort(F.flatten(F.collect_list(lines))).alias("gone"))
 
 
 def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, id_col: str = "doc_id",
@@ -96,8 +147,10 @@ def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     name, key, gone, other_id, other_key = (
         C.fresh(docs, x) for x in ("line_dedup", "line_key", "line_gone", "line_id", "line_other"))
-    later = later_copies(slim, min_lines, min_words).select(
-        F.col("id").alias(other_id), F.col("h").alias(other_key), F.col("gone").alias(gone))
+    later = later_copies(slim, min_lines, min_words)
+    if later is None:  # no line repeats
+        later = slim.limit(0).select("id", F.lit(0).cast("long").alias("h"), F.array().cast("array<int>").alias("gone"))
+    later = later.select(F.col("id").alias(other_id), F.col("h").alias(other_key), F.col("gone").alias(gone))
     text = F.col(text_col)
     joined = docs.withColumn(key, F.xxhash64(text_col)).join(
         later.hint("shuffle_hash"),

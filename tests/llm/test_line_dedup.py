@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from lakestrata.llm import line_dedup as D
 from tests.llm.conftest import words
 
@@ -71,6 +73,38 @@ def test_other_lengths(make_docs):
         assert {r.doc_id: (r[name].n_removed, r.text) for r in found.collect()} == want
 
 
+def test_maximal_runs(make_docs):
+    rng = random.Random(11)
+    base = ["line %d" % rng.randint(0, 3) for _ in range(90)]
+    rows = [(k, "\n".join(base[rng.randint(0, 40):rng.randint(50, 90)] + [f"own {k}"] + base[:rng.randint(0, 30)]))
+            for k in range(25)]
+    rows += [(30, "\n".join(base)), (31, "hot\n" * 200), (32, "one\ntwo"), (None, "\n".join(base)), (33, "\n".join(base))]
+    rows += [rows[3], rows[-1]]  # repeated rows are one text
+    lines = {i: [x for x in t.split("\n") if words(x)] for i, t in rows}
+    docs = make_docs(rows, 4).select(F.col("doc_id").alias("id"), "text")
+    for least in (1, 3, 5):
+        found = D.ranked_suffixes(docs, least)
+        assert found[-1][0] >= 90  # doubled up to the longest repeat: line "hot", 199 times
+        runs = D.maximal_runs(found, least).collect()
+        covered = {}
+        for r in runs:
+            a, b = lines[r.id][r.pos:], lines[r.source.id][r.source.pos:]
+            same = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+            assert r.length == same >= least
+            covered.setdefault(r.id, set()).update(range(r.pos, r.pos + r.length))
+        assert len({(r.id, r.pos) for r in runs}) == len(runs)
+        want = brute([*{i: (i, t) for i, t in rows}.values()], least, 10 ** 9)
+        assert {i: n for i, (n, _) in want.items() if n} == {i: len(x) for i, x in covered.items()}
+
+
+def test_no_repeated_line(make_docs):
+    docs = make_docs([(1, "a\nb"), (2, "c"), (3, None), (1, "a\nb")])
+    found, name = D.line_dedup(docs)
+    assert D.ranked_suffixes(docs.select(F.col("doc_id").alias("id"), "text")) == []
+    assert sorted((r.doc_id, r.text, r[name].n_removed) for r in found.collect() if r.text) == [
+        (1, "a\nb", 0), (1, "a\nb", 0), (2, "c", 0)]
+
+
 def test_documents(spark, sf_dir, small_docs):
     want = brute([(i, t) for i, t, _ in small_docs])
     out = D.query(spark, sf_dir).collect()
