@@ -12,7 +12,9 @@ per character. Distinct 4-grams of a slice are scored once for all texts.
 
 The sample is the documents of a language with the smallest hash of their id,
 at most ``train_docs`` of them with at most ``train_chars`` characters each;
-this bounds what is collected and broadcast. One in five of the sample is not
+this bounds what is collected and broadcast (a language whose labelled texts
+are all longer is not learned, so it is never the answer; an id with several
+texts of a language counts once, with the least of them). One in five of the sample is not
 counted but calibrates rejection: a text is rejected if its cross-entropy is
 further above the language's mean than any calibration text of its length
 allows (deviations shrink with the square root of the length), with a margin.
@@ -181,11 +183,12 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_doc
     sizes = fit.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.shiftrightunsigned(F.xxhash64("id"), 1) / F.lit(float(1 << 63))
     near = (fit.select("id", "lang").join(F.broadcast(sizes), "lang")  # one row a language
-            .where(place * F.col("n") <= 2.0 * train_docs))
+            .where(place * F.col("n") <= 2.0 * train_docs).select("id", "lang").distinct())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("id"), 1), "id"))
-    chosen = near.select("id", "lang").withColumn("rank", rank).where(F.col("rank") <= train_docs)
+    chosen = near.withColumn("rank", rank).where(F.col("rank") <= train_docs)
     rows = fit.join(F.broadcast(chosen.select("id", "lang", "rank")), ["id", "lang"])  # train_docs ids a language
-    return rows.dropDuplicates(["id", "lang"]).withColumn("held", F.pmod("rank", F.lit(5)) == 0)
+    return (rows.groupBy("id", "lang", "rank").agg(F.min("text").alias("text"))  # of an id's texts the least
+            .withColumn("held", F.pmod("rank", F.lit(5)) == 0))
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

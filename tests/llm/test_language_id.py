@@ -90,3 +90,17 @@ def test_prediction_ignores_labels(make_docs, small_docs):
     blank = make_docs([(None, t, None) for _, t, _ in small_docs[:20]], 1)
     found, name = L.identify(blank, model)
     assert {r[0] for r in found.select(f"{name}.lang_pred").collect()} <= set(model.names)
+
+
+def test_sample_of_repeated_ids_is_the_same_in_any_order(make_docs):
+    rows = [(k % 40, f"text {chr(97 + k % 26)} {k}", "en" if k % 3 else "de") for k in range(400)]
+    got = []
+    for some in (rows, rows[::-1]):
+        docs = make_docs([(i, t) for i, t, _ in some], 3).drop("lang")
+        langs = {t: x for _, t, x in some}
+        frame = docs.sparkSession.createDataFrame(list(langs.items()), "text string, lang string")
+        found = L.sample(docs.select("doc_id", "text").join(frame, "text"), "doc_id", "text", "lang", 10, 1000).collect()
+        got.append(sorted((r.id, r.lang, r.text, r["rank"], r.held) for r in found))
+        assert 0 < len({(i, x) for i, x, *_ in got[-1]}) == len(found) <= 20
+        assert all(t == min(u for i, u, y in rows if (i, y) == (d, x)) for d, x, t, *_ in got[-1])
+    assert got[0] == got[1]
