@@ -202,7 +202,9 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_c
               .orderBy(F.xxhash64("id"), "id").limit(train_rows))
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), "id"))  # at most train_rows ids
-    counts = (statistics(rows, "id", "text").dropDuplicates(["id"])
+    found = statistics(rows, "id", "text")
+    one = F.min(F.struct(*[c for c in found.columns if c != "id"])).alias("one")  # of an id's texts the least counts
+    counts = (found.groupBy("id").agg(one).select("id", "one.*")
               .join(F.broadcast(chosen), "id").orderBy("id").toPandas())
     x = ratios(lambda k: counts[k].to_numpy(np.float64))
     bad = counts["low"].to_numpy() == 0

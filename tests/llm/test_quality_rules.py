@@ -73,3 +73,10 @@ def test_sample_bound_is_kept():
     rules = Q.learn_rules(x, np.arange(50) < 20, np.arange(50) % 3 == 2)
     assert rules and not rules[0][0].at_least
     assert pytest.approx(rules[0][0].threshold, abs=1.5) == 19.5
+
+
+def test_rules_do_not_depend_on_the_order_of_repeated_ids(spark, make_docs):
+    rows = [(k % 60, ("| " if k % 2 and k % 60 < 30 else "word ") * (60 + k % 7)) for k in range(240)]
+    labels = spark.createDataFrame([(i, int(i >= 30)) for i in range(60)], "doc_id long, quality int")
+    one, two = (Q.learn(make_docs(x, 4), labels) for x in (rows, rows[::-1]))
+    assert one == two
