@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -192,12 +193,12 @@ def value_costs(values: DataFrame, docs: DataFrame, text_col: str = "text") -> D
     def cut(batches):
         for b in batches:
             for value, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = [w for w in re.findall("[a-zà-ÿ]+", _lower(value)) if len(w) >= SHORT_WORD]
+                own = Counter(w for w in re.findall("[a-zà-ÿ]+", _lower(value)) if len(w) >= SHORT_WORD)
                 got = sorted(pieces(value))
                 for k in range(0, len(got), 10_000):
                     part = got[k: k + 10_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([value] * len(part)), pa.array(part), pa.array([n * own.count(w) if len(own) < 100 else n for w in part], pa.int64())],
+                        [pa.array([value] * len(part)), pa.array(part), pa.array([n * own[w] for w in part], pa.int64())],
                         names=["value", "word", "own"])
 
     cuts = C.written(values.select("value", "n").mapInArrow(cut, "value string, word string, own long"), "secret-pieces")

@@ -86,6 +86,20 @@ def test_counts_by_shuffle_are_the_same(spark, make_docs):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and n == m > 0
 
 
+@pytest.mark.parametrize("n", [99, 100, 150])
+def test_own_words_of_long_values_count_alike(spark, make_docs, n):
+    """Words of a value are left out of the counts as often as they stand there, however many it has."""
+    rows = [(40, "pwd=" + "zebra-" * n + "plonk"), (41, "zebra zebra plonk onk"), (42, "pwd=zebraonk")]
+    docs = make_docs(rows)
+    values = spark.createDataFrame([(v, 1) for _, t in rows for *_, v in S.context_values(t)], "value string, n long")
+    got = {r["value"]: r["log_guesses"] for r in S.value_costs(values, docs).collect()}
+    words = Counter(w for _, t in rows for w in re.findall("[a-zà-ÿ]{3,}", t))
+    total = sum(words.values())
+    left = words - Counter(w for v in got for w in re.findall("[a-zà-ÿ]{3,}", v))
+    want = {v: S.log_guesses(v, {w: math.log10(total / k) for w, k in left.items()}) for v in got}
+    assert got == pytest.approx(want)
+
+
 def segment_costs(value, words):
     """(start, end, cost) of every segment, written from the definition."""
     n, low = len(value), S._lower(value)
