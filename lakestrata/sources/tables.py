@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.operators.expectations import Rule, expect
 
@@ -173,6 +174,25 @@ def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
     return key
 
 
+#: Bytes of rows in memory that a task of a clustered rewrite sorts (about): a small file may hold very many.
+SORT_BYTES = 512 << 20
+
+
+def memory_bytes(df: DataFrame) -> int:
+    """About the bytes that the rows of ``df`` take in a sort: 8 for each column and 24 for a row, and the texts and nested values."""
+    wide = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            wide.append(F.octet_length(c))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            wide.append(F.octet_length(F.to_json(F.struct(c))))
+    each = F.lit(24 + 8 * len(df.columns)).cast("long")
+    for size in wide:
+        each = each + F.coalesce(size, F.lit(0))
+    return df.agg(F.sum(each)).first()[0] or 0
+
+
 def compact(spark: SparkSession, name: str, target_bytes: int = 256 << 20, cluster_by: Sequence[str] = ()) -> DataFrame:
     """K6: rewrite a table into files of about ``target_bytes``, optionally clustered.
 
@@ -181,13 +201,16 @@ def compact(spark: SparkSession, name: str, target_bytes: int = 256 << 20, clust
     statistics) and sorts within files; by several, on their interleaved range
     ranks, so that a filter on any of them skips files. A row hash is the last
     range key, so one value holding a large share of the rows is spread over
-    several files instead of one writer task.
+    several files instead of one writer task. A clustered table whose rows take
+    far more memory than bytes on disk gets more files, so that the sort of one
+    has about SORT_BYTES of rows.
     Returns (files_before, files_after).
     """
     before, size = _files(spark, table_location(spark, name))
     n = max(1, -(-size // target_bytes))
     df = spark.table(name)
     if cluster_by:
+        n = max(n, -(-memory_bytes(df) // SORT_BYTES))
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
         key = F.col(f"`{cluster_by[0]}`")
         if len(cluster_by) > 1:

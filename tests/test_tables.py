@@ -41,6 +41,22 @@ def test_a_filter_on_any_cluster_column_skips_files(spark):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_clustered_rewrite_sorts_bounded_parts(spark, monkeypatch):
+    """Rows that compress well: the bytes on disk make one file, the bytes in memory several."""
+    monkeypatch.setattr(TB, "SORT_BYTES", 1 << 20, raising=False)
+    name = f"clustered_{uuid.uuid4().hex[:8]}"
+    df = spark.range(20_000).select("id", F.repeat(F.lit("x"), 200).alias("wide"), F.array(F.lit("y")).alias("list"))
+    TB.write_table(df.withColumn("k", F.when(F.col("id") % 7 > 0, F.col("id") % 100)), name)
+    assert TB.compact(spark, name, cluster_by=["k"]).first()["files_after"] >= 4
+    assert spark.table(name).agg(F.count("*"), F.sum("id"), F.count("k"), F.max("wide")).first()[:] == (
+        20_000, sum(range(20_000)), 20_000 - len(range(0, 20_000, 7)), "x" * 200)
+    spark.table(name).where("id < 0").write.mode("overwrite").saveAsTable(f"{name}_empty")
+    TB.compact(spark, f"{name}_empty", cluster_by=["k"])
+    assert spark.table(f"{name}_empty").count() == 0
+    for t in (name, f"{name}_empty"):
+        spark.sql(f"DROP TABLE {t}")
+
+
 def test_streams_by_table_name(spark):
     root = tempfile.mkdtemp(prefix="names-")
     a, b = (f"t_{uuid.uuid4().hex[:8]}" for _ in range(2))
