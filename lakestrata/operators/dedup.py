@@ -1,9 +1,10 @@
 """Latest-record deduplication and duplicate inspection.
 
 ``dedup_latest`` keeps the ``row_number() = 1`` form on purpose: Catalyst
-turns it into a partial ``WindowGroupLimit`` that runs *before* the shuffle,
-so a key holding a third of all rows is cut to one row per map partition
-before it is exchanged.
+turns it into a partial ``WindowGroupLimit`` that runs *before* the shuffle
+by key, so a key holding a third of all rows is cut to one row per partition
+before it is exchanged. That limit sorts whole rows, and an input partition
+may hold many times its bytes on disk, so rows are rebalanced first.
 
 ``duplicate_rank`` numbers every copy of a duplicated key without sending
 a whole key group to one task, with JVM functions only.
@@ -23,6 +24,20 @@ def _cols(xs) -> list:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+#: Shuffle partitions up to which Spark writes rows to their files at once; beyond, a task first gathers and sorts them.
+DIRECT_PARTITIONS = 200
+
+
+def rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows in partitions of about ``advisoryPartitionSizeInBytes``, equal keys together unless they fill several.
+
+    The hash of the keys is no partitioning by the keys to Spark, so adaptive
+    execution may split a hot partition; operators on whole keys shuffle again.
+    """
+    n = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), DIRECT_PARTITIONS)
+    return df.withColumn("_bucket", F.xxhash64(*_cols(keys))).hint("rebalance", n, "_bucket").drop("_bucket")
+
+
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column] = ()) -> DataFrame:
     """Keep the first row per ``keys`` under ``order`` then ``ties``.
 
@@ -30,7 +45,7 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ti
     survivor among exact ties is whichever row Spark meets first.
     """
     w = Window.partitionBy(*keys).orderBy(*order, *ties)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return rebalanced(df, keys).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], min_count: int = 2, count_col: str = "duplicate_count") -> DataFrame:

@@ -50,6 +50,16 @@ def test_dedup_plan_limits_before_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_dedup_sorts_rebalanced_rows(spark):
+    """Wide rows that compress well: one input partition must not be sorted in one task."""
+    df = spark.range(0, 200_000, 1, 1).select((F.col("id") % 150_000).cast("string").alias("k"), F.col("id").alias("ts"),
+                                              F.repeat(F.lit("x"), 200).alias("wide"))
+    out = W.dedup_latest(df, ["k"], [F.desc("ts")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Sort [") < plan.index("REBALANCE_PARTITIONS_BY_COL")  # no sort below the rebalancing
+    assert out.columns == ["k", "ts", "wide"] and out.agg(F.count(F.lit(1)), F.min("ts")).first()[:] == (150_000, 50_000)
+
+
 def test_duplicate_rank_matches_window_on_skewed_key(spark):
     df = spark.createDataFrame(_rows(), SCHEMA).repartition(5)
     order = [F.desc("ts"), F.asc("f")]
