@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -180,8 +180,7 @@ class Encoder:
         """Place of each word in the remembered ids."""
         if len(self.slot) > CACHE:
             self._forget()
-        get = self.slot.get
-        slots = np.fromiter((get(w, -1) for w in names), np.int64, len(names))
+        slots = np.fromiter(map(self.slot.get, names, repeat(-1)), np.int64, len(names))
         new = np.flatnonzero(slots < 0)
         if len(new):
             fresh = [names[k] for k in new.tolist()]
@@ -205,8 +204,13 @@ class Encoder:
         each = self.size[slot]
         per = np.bincount(row, weights=each, minlength=len(texts)).astype(np.int64) + 1
         offsets = np.concatenate(([0], np.cumsum(per)))
+        ends = np.cumsum(each)
+        taken = np.repeat(self.start[slot] - ends + each, each)  # from a place in the texts to one in the remembered ids
+        taken += np.arange(len(taken))
         ids = np.zeros(offsets[-1], "<u4")
-        ids[np.arange(each.sum()) + np.repeat(row, each)] = self.flat[np.repeat(self.start[slot], each) + C.spans(each)]
+        inner = np.ones(len(ids), bool)
+        inner[offsets[1:] - 1] = False
+        ids[inner] = self.flat[taken]
         return ids, offsets
 
 
@@ -223,7 +227,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str, tex
             _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
         encoder, seen = _ENCODERS[tokenizer_file], np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
-        for piece in C.slices(batches, "text", C.SLICE_BYTES // 2):
+        for piece in C.slices(batches, "text"):
             ids, offsets = encoder.encode(C.text_of(piece, "text"))
             size = np.diff(offsets)
             n = -(-size // capacity)
