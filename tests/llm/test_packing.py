@@ -77,6 +77,28 @@ def test_ids_match_the_library(texts):
         assert ids[a:b].tolist() == [*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0]
 
 
+def test_new_words_of_letters_share_a_call():
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyzßàéöøÿ")
+    names = list(dict.fromkeys("".join(rng.choice(letters, rng.integers(1, 12))) for _ in range(3000)))
+    texts = [" ".join(names[k: k + 40]) + end for k, end in zip(range(0, len(names), 40), ["", " ", ".", "$$$ #", "...'s", "\t it's 10%", "é̸"] * 99)]
+    encoder = P.Encoder(FILE)
+    library, sent = encoder.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, given, **more):
+            sent.extend(given)
+            return library.encode_batch_fast(given, **more)
+
+    encoder.tokenizer = Counting()
+    for some in (texts[:30], texts, [], ["", "a"]):
+        ids, offsets = encoder.encode(pa.array(some, pa.string()))
+        assert len(ids) == offsets[-1] and len(offsets) == len(some) + 1
+        for t, a, b in zip(some, offsets, offsets[1:]):
+            assert ids[a:b].tolist() == [*library.encode(t, add_special_tokens=False).ids, 0]
+    assert len(sent) < len(names) / 20
+
+
 def check(rows, out):
     from tokenizers import Tokenizer
 
