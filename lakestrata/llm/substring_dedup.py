@@ -56,23 +56,29 @@ BLOCK_BYTES = 2 << 20
 RANGE_BYTES = 4 << 20
 #: Places of an anchor from which on its windows are spread by their own hashes.
 HOT_PLACES = 4096
+#: Places that are hashed together: what they need stays in a core's cache.
+STEP = 1 << 14
 CHUNK_MASK = np.uint64(511)
 LAST = np.iinfo(np.int64).max
 
 
 # --- packing ----------------------------------------------------------------
 
-def packed(columns: dict[str, pa.Array]) -> bytes:
+def packed(columns: dict[str, pa.Array] | pa.RecordBatch) -> bytes:
+    """An Arrow stream, compressed as one: a block sends a small piece to each range, and a codec a column costs more than it."""
+    import zstandard
+
     sink = pa.BufferOutputStream()
-    table = pa.table(columns)
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))
-    with pa.ipc.new_stream(sink, table.schema, options=options) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
+    table = columns if isinstance(columns, pa.RecordBatch) else pa.table(columns)
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write(table)
+    return zstandard.ZstdCompressor(level=5).compress(sink.getvalue())
 
 
 def unpacked(body: bytes) -> pa.Table:
-    return pa.ipc.open_stream(pa.py_buffer(body)).read_all().combine_chunks()
+    import zstandard
+
+    return pa.ipc.open_stream(pa.py_buffer(zstandard.ZstdDecompressor().decompress(body))).read_all().combine_chunks()
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
@@ -96,7 +102,15 @@ _BYTE = C.mix(np.arange(1, 257, dtype=np.uint64))
 
 
 def gram_hashes(body: np.ndarray) -> np.ndarray:
-    """64-bit hash of every substring of GRAM bytes, put together from powers of two."""
+    """64-bit hash of every substring of GRAM bytes."""
+    out = np.empty(max(0, len(body) - GRAM + 1), np.uint64)
+    for a in range(0, len(out), STEP):
+        out[a: a + STEP] = _step_hashes(body[a: a + STEP + GRAM - 1])
+    return out
+
+
+def _step_hashes(body: np.ndarray) -> np.ndarray:
+    """Put together from powers of two."""
     h, power, n = _BYTE[body], np.uint64(0x9E3779B97F4A7C15), 1
     out, size = None, 0
     while True:
@@ -153,15 +167,18 @@ class Block:
         """Of each window the place of its least gram (the last of equal ones)."""
         if len(self.start) == 0:
             return np.zeros(0, np.int64)
-        full = np.uint64(0xFFFFFFFF)
-        key = (self.hash >> np.uint64(32) << np.uint64(32)) | (full - np.arange(len(self.hash), dtype=np.uint64))
-        grams, n = self.span - GRAM + 1, 1
-        while 2 * n <= grams:
-            key = np.minimum(key[:-n], key[n:])
-            n *= 2
-        if n < grams:
-            key = np.minimum(key[: len(key) - (grams - n)], key[grams - n:])
-        return (full - (key[self.start] & full)).astype(np.int64)
+        full, grams = np.uint64(0xFFFFFFFF), self.span - GRAM + 1
+        out = np.empty(len(self.hash) - grams + 1, np.int64)
+        for a in range(0, len(out), STEP):
+            h, n = self.hash[a: a + STEP + grams - 1], 1
+            key = (h >> np.uint64(32) << np.uint64(32)) | (full - np.arange(a, a + len(h), dtype=np.uint64))
+            while 2 * n <= grams:
+                key = np.minimum(key[:-n], key[n:])
+                n *= 2
+            if n < grams:
+                key = np.minimum(key[: len(key) - (grams - n)], key[grams - n:])
+            out[a: a + STEP] = full - (key & full)
+        return out[self.start]
 
     def used(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The distinct anchors and, for each window, the number of its own among them."""
@@ -303,10 +320,7 @@ def _segments(left: pa.Table, right: pa.Table, span: int, ranges: int) -> list[p
                 first, n = _joined(start[again])
                 out.append(_row(len(first), block=np.full(len(first), block), start=first, n=n))
             which = ranges + _range_of(h1.view(np.uint64) >> np.uint64(16), ranges)
-            for r, some in _by_range(which, ~again):
-                out.append(_row(1, block=[block], range=[r], body=[packed({
-                    "start": pa.array(start[some].astype(np.int32)), "rank": pa.array(rank[some]),
-                    "h1": pa.array(h1[some]), "h2": pa.array(h2[some])})]))
+            out.append(_by_range(block, which, ~again, {"start": start.astype(np.int32), "rank": rank, "h1": h1, "h2": h2}))
         live = np.flatnonzero(live & ~hot[spot][inverse])
         if len(live) == 0:
             continue
@@ -320,12 +334,9 @@ def _segments(left: pa.Table, right: pa.Table, span: int, ranges: int) -> list[p
         if again.any():
             out.append(_row(int(again.sum()), block=np.full(int(again.sum()), block), start=start[again], n=n[again]))
         which = _range_of(name[inverse[first]], ranges)
-        for r, some in _by_range(which, ~again):
-            out.append(_row(1, block=[block], range=[r], body=[packed({
-                "start": pa.array(start[some].astype(np.int32)), "rank": pa.array(rank[some]),
-                "anchor": pa.array(name[inverse[first[some]]].view(np.int64)),
-                "h1": pa.array(h1[some]), "h2": pa.array(h2[some]),
-                "data": pa.array([data[i:j] for i, j in zip(start[some].tolist(), stop[some].tolist())], pa.binary())})]))
+        out.append(_by_range(block, which, ~again, {
+            "start": start.astype(np.int32), "rank": rank, "anchor": name[inverse[first]].view(np.int64), "h1": h1, "h2": h2,
+            "data": pa.array([data[i:j] for i, j in zip(start.tolist(), stop.tolist())], pa.binary())}))
     return out
 
 
@@ -344,13 +355,14 @@ def _joined(start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[head], np.diff(np.append(head, len(start)))
 
 
-def _by_range(which: np.ndarray, mask: np.ndarray):
-    """Each range with the rows that go there, in their order."""
+def _by_range(block: int, which: np.ndarray, mask: np.ndarray, columns: dict) -> pa.RecordBatch:
+    """A row for each range with the rows that go there, in their order."""
     rows = np.flatnonzero(mask)
     rows = rows[np.argsort(which[rows], kind="stable")]
     edges = np.flatnonzero(np.diff(which[rows], prepend=-1))
-    for some in np.split(rows, edges[1:]) if len(rows) else []:
-        yield int(which[some[0]]), some
+    every = pa.RecordBatch.from_pydict({k: pa.array(v).take(pa.array(rows)) for k, v in columns.items()})
+    bodies = [packed(every.slice(a, b - a)) for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(rows)])]
+    return _row(len(edges), block=np.full(len(edges), block), range=which[rows[edges]], body=bodies)
 
 
 def _marked(b: Block, start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -472,7 +484,7 @@ def _indexed(table: pa.Table, span: int) -> pa.Table:
         return pa.table({"block": pa.array(block[late], pa.int64()), "start": pa.array(start[late], pa.int32()),
                          "n": pa.array(np.ones(int(late.sum()), np.int32))})
     anchor = t["anchor"].to_numpy()
-    data = t["data"].to_pylist()
+    data, n = t["data"], pc.binary_length(t["data"]).to_numpy().astype(np.int64) - span + 1
     order = np.lexsort((rank, h2, h1, anchor))
     new = np.concatenate(([True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0) | (np.diff(anchor[order]) != 0)))
     kind = np.empty(len(order), np.int64)  # number of the distinct segment
@@ -483,14 +495,10 @@ def _indexed(table: pa.Table, span: int) -> pa.Table:
     several = several[np.argsort(rank[rep[several]], kind="stable")]
     masks: dict[int, np.ndarray] = {}
     if len(several):
-        got = later_windows([data[i] for i in rep[several]], rank[rep[several]], span)
+        got = later_windows(data.take(pa.array(rep[several])).to_pylist(), rank[rep[several]], span)
         masks = {k: m for k, m in zip(several.tolist(), got) if m.any()}
-    out_block, out_start, out_n = [], [], []
-    late = rank > rank[rep[kind]]
-    for i in np.flatnonzero(late).tolist():  # equal segment, earlier text
-        out_block.append(block[i])
-        out_start.append(start[i])
-        out_n.append(len(data[i]) - span + 1)
+    late = rank > rank[rep[kind]]  # equal segment, earlier text
+    out_block, out_start, out_n = block[late].tolist(), start[late].tolist(), n[late].tolist()
     for i in np.flatnonzero(~late & np.isin(kind, list(masks))).tolist() if masks else []:
         m = np.diff(np.concatenate(([0], masks[int(kind[i])].view(np.int8), [0])))
         for a, b in zip(np.flatnonzero(m == 1).tolist(), np.flatnonzero(m == -1).tolist()):
@@ -505,7 +513,8 @@ def _indexed(table: pa.Table, span: int) -> pa.Table:
 
 def _removed(left: pa.Table, right: pa.Table, span: int, kind: pa.DataType) -> pa.Table:
     """(id, n_bytes, starts, stops, kept_sha256) of the texts of a block."""
-    columns: dict[str, list] = {k: [] for k in ("id", "n_bytes", "starts", "stops", "kept_sha256")}
+    names = ["id", "n_bytes", "starts", "stops", "kept_sha256"]
+    out = [pa.table([pa.array([], t) for t in (kind, pa.int64(), *[pa.list_(pa.int64())] * 2, pa.string())], names)]
     for body in left["body"].to_pylist():
         t = unpacked(body)
         texts = t["text"].chunk(0) if t.num_rows else pa.array([], pa.string())
@@ -516,24 +525,25 @@ def _removed(left: pa.Table, right: pa.Table, span: int, kind: pa.DataType) -> p
             np.add.at(edge, a, 1)
             np.add.at(edge, a + right["n"].to_numpy() + span - 1, -1)
         gone = np.cumsum(edge[:-1]) > 0
-        data = bytes_.tobytes()
-        for k, (i, j) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-            step = np.diff(np.concatenate(([0], gone[i:j].view(np.int8), [0])))
-            starts, stops = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-            h, at = hashlib.sha256(), i
-            for s, e in zip(starts.tolist(), stops.tolist()):
-                h.update(data[at: i + s])
-                at = i + e
-            h.update(data[at:j])
-            columns["id"].append(t["id"][k].as_py())
-            columns["n_bytes"].append(j - i)
-            columns["starts"].append(starts.tolist())
-            columns["stops"].append(stops.tolist())
-            columns["kept_sha256"].append(h.hexdigest())
-    return pa.table({"id": pa.array(columns["id"], kind), "n_bytes": pa.array(columns["n_bytes"], pa.int64()),
-                     "starts": pa.array(columns["starts"], pa.list_(pa.int64())),
-                     "stops": pa.array(columns["stops"], pa.list_(pa.int64())),
-                     "kept_sha256": pa.array(columns["kept_sha256"], pa.string())})
+        first, last = gone.copy(), gone.copy()  # bytes at which a removed run begins, and ends
+        some = np.diff(offsets) > 0
+        before, behind = gone[:-1].copy(), gone[1:].copy()
+        inner = offsets[:-1][some][1:]  # a run ends with its text
+        before[inner - 1] = False
+        behind[inner - 1] = False
+        first[1:] &= ~before
+        last[:-1] &= ~behind
+        starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+        owner = np.searchsorted(offsets, starts, side="right") - 1
+        lists = pa.array(np.searchsorted(starts, offsets).astype(np.int32))
+        data = bytes_[~gone].tobytes()
+        kept = offsets - np.concatenate(([0], np.cumsum(gone)))[offsets]
+        out.append(pa.table([
+            t["id"].cast(kind), np.diff(offsets),
+            *(pa.ListArray.from_arrays(lists, pa.array(x - offsets[owner])) for x in (starts, stops)),
+            pa.array([hashlib.sha256(data[i:j]).hexdigest() for i, j in zip(kept[:-1].tolist(), kept[1:].tolist())], pa.string())],
+            names))
+    return pa.concat_tables(out)
 
 
 def removed_spans(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text",

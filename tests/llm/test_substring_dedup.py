@@ -132,3 +132,28 @@ def test_no_range_gets_all_segments_of_a_hot_anchor():
     assert max(most.values(), default=0) <= 20
     spread = [r for r in sent if r["range"] >= ranges]
     assert len({r["range"] for r in spread}) > ranges // 2
+
+
+def test_a_small_piece_is_not_mostly_frame():
+    import pyarrow as pa
+
+    row = {"start": pa.array([7], pa.int32()), "rank": pa.array([1]), "anchor": pa.array([2]), "h1": pa.array([3]),
+           "h2": pa.array([4]), "data": pa.array([b"x" * 60], pa.binary())}
+    assert len(S.packed(row)) < 600
+    assert S.unpacked(S.packed(row)).to_pydict() == {k: v.to_pylist() for k, v in row.items()}
+
+
+@pytest.mark.parametrize("step", [1, 7, 64])
+def test_steps_do_not_show(monkeypatch, step):
+    import pyarrow as pa
+
+    texts = pa.array([t for _, t in corpus()[:40]], pa.string())
+    whole = S.Block(texts, np.arange(40), S.SPAN)
+    at = whole.anchors()
+    monkeypatch.setattr(S, "STEP", step)
+    parts = S.Block(texts, np.arange(40), S.SPAN)
+    assert parts.hash.tolist() == whole.hash.tolist()
+    assert parts.anchors().tolist() == at.tolist()
+    for start, place in zip(whole.start.tolist(), at.tolist()):
+        grams = whole.hash[start: start + S.SPAN - S.GRAM + 1] >> np.uint64(32)
+        assert place == start + len(grams) - 1 - int(grams[::-1].argmin())
