@@ -199,6 +199,19 @@ def _digests(body: bytes, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarr
     return np.array([x >> 64 for x in got], np.uint64).view(np.int64), low.view(np.int64)
 
 
+def _regrouped(batches, limit: int):
+    held, size = [], 0
+    for part in C.slices(batches, "text", limit):
+        n = pc.sum(pc.binary_length(part.column(2))).as_py() or 0
+        if held and size + n > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(part)
+        size += n
+    if held:
+        yield pa.concat_batches(held)
+
+
 BLOCK_FIELDS = ("block long, body binary, start int, n int, h1 long, h2 long, rank long, range long")
 
 
@@ -214,7 +227,7 @@ def _blocks(docs: DataFrame, span: int, block_bytes: int) -> DataFrame:
 
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
-        for batch in C.regrouped(batches, "text", block_bytes):
+        for batch in _regrouped(batches, block_bytes):
             block = (part << 24) + number
             number += 1
             texts, rank = C.text_of(batch, "text"), batch.column(1).to_numpy()
